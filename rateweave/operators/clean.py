@@ -98,10 +98,22 @@ def impute_median(df: DataFrame, cols: Sequence[str], approx_accuracy: int | Non
     return df.na.fill(fills) if fills else df
 
 
+def mode_value(df: DataFrame, c: str):
+    """Most frequent non-NULL value of ``c`` (ties -> smallest) as a scalar-subquery column.
+
+    Counting is a grouped aggregation (partial counts per task, one shuffle of
+    distinct values); the pick is ``min_by`` over (-count, value), so no task
+    ever holds more than its share of distinct values."""
+    counts = df.filter(F.col(c).isNotNull()).groupBy(c).agg(F.count(F.lit(1)).alias("_n"))
+    return counts.agg(F.min_by(F.col(c), F.struct(-F.col("_n"), F.col(c)))).scalar()
+
+
 def impute_mode(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """B-8: NULL -> most frequent value; ties -> smallest value."""
-    modes = df.agg(F.struct(*[F.mode(c, deterministic=True).alias(c) for c in cols])).scalar()
-    return df.select(*[F.coalesce(F.col(c), modes[c]).alias(c) if c in cols else F.col(c) for c in df.columns])
+    out = df
+    for c in cols:
+        out = out.withColumn(c, F.coalesce(F.col(c), mode_value(df, c)))
+    return out
 
 
 def impute_const(df: DataFrame, values: Mapping[str, object]) -> DataFrame:

@@ -43,17 +43,29 @@ def best_price_elastic(df: DataFrame, n: int = INFERENCE_POINTS, lo_f: float = I
     for the incumbent and -i for candidate i.  NULL revenue sorts lowest; a
     NULL incumbent revenue keeps the incumbent (nothing compares greater)."""
     cur = F.col(current)
-    lo, hi = cur * lit_double(lo_f), cur * lit_double(hi_f)
     e = col(elasticity) if isinstance(elasticity, str) else lit_double(elasticity)
+    # Each term is its own column: Catalyst keeps a projection that is used
+    # more than once instead of inlining it, so every price, demand and
+    # revenue is computed once per row and the generated code stays small.
+    work = (df.withColumn("_lo", cur * lit_double(lo_f))
+              .withColumn("_hi", cur * lit_double(hi_f))
+              .withColumn("_e", e))
+    work = work.withColumn("_step", (F.col("_hi") - F.col("_lo")) / lit_double(max(n - 1, 1)))
+    tmp = ["_lo", "_hi", "_e", "_step"]
     cands = []
     for i in range(n):
-        p = grid_point(lo, hi, i, n)
-        d = elastic_demand(base_demand, cur, p, e)
-        cands.append(F.struct((p * d).alias("r"), F.lit(-i).alias("k"), p.alias("p"), d.alias("d")))
+        p = F.col("_hi") if (i == n - 1 and n > 1) else F.col("_lo") + lit_double(i) * F.col("_step")
+        work = work.withColumn(f"_p{i}", p)
+        work = work.withColumn(f"_d{i}", elastic_demand(base_demand, cur, F.col(f"_p{i}"), F.col("_e")))
+        work = work.withColumn(f"_r{i}", F.col(f"_p{i}") * F.col(f"_d{i}"))
+        tmp += [f"_p{i}", f"_d{i}", f"_r{i}"]
+        cands.append(F.struct(F.col(f"_r{i}").alias("r"), F.lit(-i).alias("k"), F.col(f"_p{i}").alias("p"),
+                              F.col(f"_d{i}").alias("d")))
     inc = F.struct(F.col(base_revenue).alias("r"), F.lit(1).alias("k"), cur.alias("p"),
                    F.col(base_demand).alias("d"))
     best = F.when(F.col(base_revenue).isNull(), inc).otherwise(F.greatest(inc, *cands))
-    return (df.withColumn("_best", best)
+    df = work.withColumn("_best", best).drop(*tmp)
+    return (df
               .withColumn("optimized_price", round_half_even_fp(F.col("_best.p"), 2))
               .withColumn("predicted_demand_after", F.col("_best.d"))
               .withColumn("predicted_revenue_after", F.col("_best.r"))

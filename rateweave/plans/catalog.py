@@ -2,7 +2,7 @@
 
 Each query reads the driver's tables (through the listing adapter) and runs
 the library operators over the whole input.  Double outputs are rounded to
-6 decimals with ``rint`` (same rule as the oracle side), nothing else.
+6 decimals with ``rint`` (the same rule as the oracle side), nothing else.
 """
 
 from __future__ import annotations
@@ -12,9 +12,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rateweave.functions.exprs import parse_money
+from rateweave.operators import clean, constraints, curves, encoders, features, profile, report, select
 from rateweave.plans import jobs
 from rateweave.sources.listings import load_listings
 
+# Fixed parameters of the registered queries.
+ROOM_ELASTICITY = {"Entire home/apt": -0.6, "Private room": -0.9, "Shared room": -1.4, "Hotel room": -1.1}
+LOOKUP_ID = 42
+FILTER_ACTIONS, FILTER_LO, FILTER_HI = ["decrease"], 50.0, 200.0
+CHANGE_LIMIT_PCT = 10.0
+BOUNDS = (20.0, 400.0)
+PROFILE_NUMERIC = ["price", "service_fee", "minimum_nights", "number_of_reviews", "reviews_per_month",
+                   "availability_365", "review_rate_number"]
+CORR_COLS = ["price", "number_of_reviews", "reviews_per_month", "availability_365", "demand_score"]
+
 
 def round_doubles(df: DataFrame, digits: int = 6) -> DataFrame:
     s = float(10 ** digits)
@@ -25,12 +37,282 @@ def round_doubles(df: DataFrame, digits: int = 6) -> DataFrame:
     ])
 
 
-def q_h1_inference(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return round_doubles(jobs.inference_job(load_listings(spark, sf_dir)))
+def L(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return load_listings(spark, sf_dir)
+
+
+def _scored(spark, sf_dir):
+    return features.demand_score(L(spark, sf_dir))
+
+
+# ------------------------------------------------------------------ H-1 / G
+
+def q_h1_inference(spark, sf_dir):
+    return round_doubles(jobs.inference_job(L(spark, sf_dir)))
+
+
+def q_h1_inference_room_elasticity(spark, sf_dir):
+    lst = L(spark, sf_dir)
+    e = F.lit(None).cast("double")
+    for k, v in ROOM_ELASTICITY.items():
+        e = F.when(F.col("room_type") == k, F.lit(v)).otherwise(e)
+    pred = jobs.prediction_frame(jobs.target_inference_input(lst)).join(
+        lst.select(F.col("listing_id").cast("string").alias("listing_id"), e.alias("elasticity")), "listing_id")
+    best = select.best_price_elastic(pred, elasticity="elasticity")
+    return round_doubles(report.build_report(best))
+
+
+def _report(spark, sf_dir):
+    return jobs.inference_job(L(spark, sf_dir))
+
+
+def q_g08_inference_summary(spark, sf_dir):
+    return round_doubles(report.inference_summary(_report(spark, sf_dir)))
+
+
+def q_g11_dashboard_kpis(spark, sf_dir):
+    return round_doubles(report.dashboard_kpis(_report(spark, sf_dir)))
+
+
+def q_g12_revenue_impact(spark, sf_dir):
+    return round_doubles(report.revenue_impact(_report(spark, sf_dir)))
+
+
+def q_b16_filter_recommendations(spark, sf_dir):
+    r = report.filter_recommendations(_report(spark, sf_dir), FILTER_ACTIONS, FILTER_LO, FILTER_HI)
+    return round_doubles(report.dashboard_table(r))
+
+
+def q_b16_filter_defaults(spark, sf_dir):
+    return round_doubles(report.dashboard_table(report.filter_recommendations(_report(spark, sf_dir))))
+
+
+def q_g13_listing_insight(spark, sf_dir):
+    return round_doubles(report.listing_insight(_report(spark, sf_dir), str(LOOKUP_ID)))
+
+
+# ------------------------------------------------------------------ B
+
+def q_b04_inference_input(spark, sf_dir):
+    return round_doubles(clean.prepare_inference_input(L(spark, sf_dir), keep_extra=False))
+
+
+def q_b05_parse_money(spark, sf_dir):
+    lst = L(spark, sf_dir)
+    return round_doubles(lst.select("listing_id", "raw_price",
+                                    parse_money(F.col("raw_price")).alias("parsed_price")))
+
+
+def q_b07_impute_median(spark, sf_dir):
+    cols = ["reviews_per_month", "availability_365", "review_rate_number", "service_fee"]
+    return round_doubles(clean.impute_median(L(spark, sf_dir), cols).select("listing_id", *cols))
+
+
+def q_b08_impute_mode(spark, sf_dir):
+    cols = ["cancellation_policy", "instant_bookable", "neighbourhood_group"]
+    return clean.impute_mode(L(spark, sf_dir), cols).select("listing_id", *cols)
+
+
+def q_h4_clean_batch(spark, sf_dir):
+    raw = L(spark, sf_dir).drop("price").withColumnRenamed("raw_price", "price")
+    return round_doubles(clean.clean_batch(raw))
+
+
+def q_b12_drop_nulls(spark, sf_dir):
+    lst = L(spark, sf_dir)
+    return round_doubles(clean.drop_nulls(clean.prep_categorical(
+        features.null_non_finite(lst), ["room_type"]), ["reviews_per_month", "availability_365"]))
+
+
+# ------------------------------------------------------------------ C
+
+def q_c01_profile_shape(spark, sf_dir):
+    return profile.profile_shape(L(spark, sf_dir)).drop("columns")
+
+
+def q_c02_profile_missing(spark, sf_dir):
+    return round_doubles(profile.profile_missing(L(spark, sf_dir)))
+
+
+def q_c03_profile_distinct(spark, sf_dir):
+    return profile.profile_distinct(L(spark, sf_dir))
+
+
+def q_c04_profile_numeric(spark, sf_dir):
+    return round_doubles(profile.profile_numeric(L(spark, sf_dir), PROFILE_NUMERIC))
+
+
+def q_c07_skew(spark, sf_dir):
+    return round_doubles(profile.profile_skew(L(spark, sf_dir), PROFILE_NUMERIC))
+
+
+def q_c08_iqr_outliers(spark, sf_dir):
+    return round_doubles(profile.iqr_outliers(L(spark, sf_dir), PROFILE_NUMERIC))
+
+
+def q_c09_histogram(spark, sf_dir):
+    return round_doubles(profile.histogram(L(spark, sf_dir), "price", 50))
+
+
+def q_c10_box_price_by_room(spark, sf_dir):
+    return round_doubles(profile.box_stats(L(spark, sf_dir), "price", by="room_type"))
+
+
+def q_c10_box_demand_by_area(spark, sf_dir):
+    return round_doubles(profile.box_stats(_scored(spark, sf_dir), "demand_score", by="neighbourhood_group"))
+
+
+def q_c11_corr_matrix(spark, sf_dir):
+    return round_doubles(profile.corr_matrix(_scored(spark, sf_dir), CORR_COLS))
+
+
+def q_c12_bin2d(spark, sf_dir):
+    return round_doubles(profile.bin2d(_scored(spark, sf_dir), "price", "demand_score", 20, value="price"))
+
+
+def q_c13_value_counts(spark, sf_dir):
+    return profile.value_counts(L(spark, sf_dir), "room_type")
+
+
+# ------------------------------------------------------------------ D
+
+def q_d02_demand_score(spark, sf_dir):
+    return round_doubles(_scored(spark, sf_dir).select("listing_id", "demand_score"))
+
+
+def q_h4_engineer_batch(spark, sf_dir):
+    return round_doubles(features.engineer_batch(L(spark, sf_dir)).drop("raw_price"))
+
+
+def q_d12_model_features(spark, sf_dir):
+    return round_doubles(features.engineer_model_features(L(spark, sf_dir)).select(
+        "listing_id", "price_log", "price_per_minimum_night", "room_type_neighbourhood"))
+
+
+def q_d19_split(spark, sf_dir):
+    return L(spark, sf_dir).select("listing_id", encoders.is_test("listing_id").alias("is_test"))
+
+
+def q_d13_frequency(spark, sf_dir):
+    lst = L(spark, sf_dir)
+    train, test = encoders.split(lst)
+    freq = encoders.fit_frequency(train, "neighbourhood_group")
+    tr = encoders.apply_frequency(train, freq, "neighbourhood_group", unseen_zero=False)
+    te = encoders.apply_frequency(test, freq, "neighbourhood_group", unseen_zero=True)
+    cols = ["listing_id", "neighbourhood_group", "neighbourhood_group_freq"]
+    return round_doubles(tr.select(*cols, F.lit(False).alias("is_test")).unionByName(
+        te.select(*cols, F.lit(True).alias("is_test"))))
+
+
+def q_d14_category_index(spark, sf_dir):
+    lst = L(spark, sf_dir)
+    train, _ = encoders.split(lst)
+    cats = encoders.fit_categories(train, "room_type")
+    return encoders.category_index(lst, "room_type", cats).select("listing_id", "room_type", "room_type_index")
+
+
+def q_d15_median_imputer(spark, sf_dir):
+    lst = L(spark, sf_dir)
+    train, test = encoders.split(lst)
+    cols = ["reviews_per_month", "availability_365", "service_fee"]
+    st = encoders.fit_median_imputer(train, cols)
+    return round_doubles(st.apply_fill(test).select("listing_id", *cols))
+
+
+def q_d16_std_scaler(spark, sf_dir):
+    lst = L(spark, sf_dir)
+    train, test = encoders.split(lst)
+    cols = ["price", "number_of_reviews", "minimum_nights"]
+    st = encoders.fit_std_scaler(train, cols)
+    return round_doubles(encoders.apply_std_scaler(test.select("listing_id", *cols), st, cols))
+
+
+# ------------------------------------------------------------------ F
+
+def _curve(spark, sf_dir):
+    return jobs.target_curve(L(spark, sf_dir))
+
+
+def q_f01_target_curve(spark, sf_dir):
+    return round_doubles(_curve(spark, sf_dir))
+
+
+def q_f05_elastic_curve(spark, sf_dir):
+    pred = jobs.prediction_frame(features.demand_score(L(spark, sf_dir)))
+    c = curves.elastic_curve(pred.select("listing_id", "current_price", "predicted_demand_before"))
+    return round_doubles(c)
+
+
+def q_f06_option_ids(spark, sf_dir):
+    c = _curve(spark, sf_dir).select("listing_id", "candidate_price", F.col("option_id").alias("grid_option"))
+    return curves.option_ids(c, order="grid_option").select("listing_id", "grid_option", "option_id")
+
+
+def _recs(spark, sf_dir, **rules):
+    return round_doubles(jobs.recommendation_job(_curve(spark, sf_dir), **rules))
+
+
+def q_f08_select_best(spark, sf_dir):
+    return _recs(spark, sf_dir)
+
+
+def q_f11_limit_change(spark, sf_dir):
+    return _recs(spark, sf_dir, change_pct=CHANGE_LIMIT_PCT)
+
+
+def q_f12_area_band(spark, sf_dir):
+    return _recs(spark, sf_dir, area_pct=constraints.AREA_DEVIATION_PCT)
+
+
+def q_f13_room_band(spark, sf_dir):
+    return _recs(spark, sf_dir, room_band=True)
+
+
+def q_f14_room_hierarchy(spark, sf_dir):
+    return _recs(spark, sf_dir, hierarchy=True)
+
+
+def q_f15_competitor_cap(spark, sf_dir):
+    return _recs(spark, sf_dir, competitor_factor=constraints.COMPETITOR_FACTOR)
+
+
+def q_f16_price_bounds(spark, sf_dir):
+    return _recs(spark, sf_dir, bounds=BOUNDS)
+
+
+ALL_RULES = dict(change_pct=constraints.MAX_CHANGE_PCT, area_pct=constraints.AREA_DEVIATION_PCT, room_band=True,
+                 hierarchy=True, competitor_factor=constraints.COMPETITOR_FACTOR)
+
+
+def q_h2_recommendation(spark, sf_dir):
+    return _recs(spark, sf_dir, **ALL_RULES)
+
+
+def q_f09_infeasible(spark, sf_dir):
+    flagged = constraints.apply_rules(_curve(spark, sf_dir), **ALL_RULES)
+    sel = select.select_best_option(flagged, feasible="feasible")
+    return sel.filter(~F.col("feasible")).select("listing_id")
+
+
+def q_g09_recommendation_summary(spark, sf_dir):
+    return round_doubles(report.recommendation_summary(jobs.recommendation_job(_curve(spark, sf_dir), **ALL_RULES)))
+
+
+def q_g10_selection_summary(spark, sf_dir):
+    c = _curve(spark, sf_dir)
+    sel = select.optimize_curve(c)
+    return round_doubles(report.selection_summary(c, sel).drop("optional_constraints"))
+
+
+def q_f17_selection(spark, sf_dir):
+    sel = select.optimize_curve(constraints.competitor_cap(_curve(spark, sf_dir)))
+    return round_doubles(sel.select("listing_id", "option_id", "current_price", "recommended_price",
+                                    "predicted_demand", "expected_revenue", "current_revenue_estimate",
+                                    "expected_revenue_change", "price_change", "price_change_pct", "reason"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "h1_inference": q_h1_inference,
+    name[2:]: fn for name, fn in sorted(globals().items()) if name.startswith("q_") and callable(fn)
 }
 
 

@@ -129,8 +129,579 @@ def h1_inference() -> str:
     return with_listings(REPORT_SELECT, *inference_report_ctes())
 
 
+
+def _rep(select_body: str, *extra_ctes: str) -> str:
+    return with_listings(select_body, *inference_report_ctes(), *extra_ctes)
+
+
+def h1_inference_room_elasticity() -> str:
+    e = """CASE room_type WHEN 'Entire home/apt' THEN CAST(-0.6 AS DOUBLE) WHEN 'Private room' THEN CAST(-0.9 AS DOUBLE)
+       WHEN 'Shared room' THEN CAST(-1.4 AS DOUBLE) WHEN 'Hotel room' THEN CAST(-1.1 AS DOUBLE) END"""
+    ctes = [INFERENCE_INPUT, demand_cte("inp"),
+            f"""pred AS (
+  SELECT s.listing_id, s.price AS current_price, s.demand_score AS predicted_demand_before,
+         s.price * s.demand_score AS predicted_revenue_before, el.e AS e
+  FROM scored s JOIN (SELECT CAST(listing_id AS VARCHAR) AS listing_id, {e} AS e FROM listings) el
+    ON el.listing_id = s.listing_id)"""]
+    cf = closed_form_ctes()
+    cf[0] = cf[0].replace("p.predicted_demand_before AS base", "p.predicted_demand_before AS base, p.e AS e")
+    cf[1] = cf[1].replace(f"pow(cp / current_price, {D(-1.2)})", "pow(cp / current_price, e)")
+    return with_listings(REPORT_SELECT, *ctes, *cf, REPORT_CTE)
+
+
+def g08_inference_summary() -> str:
+    return _rep(f"""SELECT count(*) AS total_listings,
+  count(*) FILTER (WHERE recommendation = 'increase') AS increase_count,
+  count(*) FILTER (WHERE recommendation = 'decrease') AS decrease_count,
+  count(*) FILTER (WHERE recommendation = 'keep') AS keep_count,
+  {R('sum(expected_improvement)')} AS total_expected_improvement,
+  {R('avg(expected_improvement)')} AS average_expected_improvement,
+  {R('max(expected_improvement)')} AS max_expected_improvement,
+  {R('min(expected_improvement)')} AS min_expected_improvement
+FROM rep2""")
+
+
+def g11_dashboard_kpis() -> str:
+    return _rep(f"""SELECT count(*) AS total_listings, {R('sum(expected_improvement)')} AS revenue_increase,
+  {R(f"avg(CASE WHEN current_price = 0 THEN NULL ELSE (optimized_price - current_price) / current_price END) * {D(100)}")} AS avg_price_change_pct,
+  {R(f"avg(CASE WHEN recommendation <> 'keep' THEN {D(1)} ELSE {D(0)} END) * {D(100)}")} AS pct_listings_changed
+FROM rep2""")
+
+
+def g12_revenue_impact() -> str:
+    return _rep(f"""SELECT {R('sum(predicted_revenue_before)')} AS revenue_before, {R('sum(predicted_revenue_after)')} AS revenue_after,
+  {R('sum(predicted_revenue_after) - sum(predicted_revenue_before)')} AS total_gain, count(*) AS total_listings,
+  count(*) FILTER (WHERE recommendation = 'increase') AS increase_count,
+  count(*) FILTER (WHERE recommendation = 'decrease') AS decrease_count,
+  count(*) FILTER (WHERE recommendation = 'keep') AS keep_count
+FROM rep2""")
+
+
+DASH = f"""SELECT listing_id, {R('current_price')} AS current_price, {R('optimized_price')} AS optimized_price,
+  {R('expected_improvement')} AS expected_improvement, recommendation, reason FROM rep2"""
+
+
+def b16_filter_recommendations() -> str:
+    return _rep(DASH + f" WHERE recommendation IN ('decrease') AND current_price BETWEEN {D(50)} AND {D(200)}")
+
+
+def b16_filter_defaults() -> str:
+    return _rep(DASH + " WHERE current_price BETWEEN (SELECT min(current_price) FROM rep2) AND (SELECT max(current_price) FROM rep2)")
+
+
+def g13_listing_insight() -> str:
+    return _rep(f"""SELECT listing_id, {R('current_price')} AS current_price, {R('optimized_price')} AS optimized_price,
+  {R('expected_improvement')} AS revenue_gain FROM rep2 WHERE listing_id = '42'""")
+
+
+# ------------------------------------------------------------------ B
+
+def b04_inference_input() -> str:
+    return with_listings(f"""SELECT listing_id, {R('price')} AS price, {R('service_fee')} AS service_fee, room_type,
+  neighbourhood_group, {R('availability_365')} AS availability_365, {R('number_of_reviews')} AS number_of_reviews,
+  {R('reviews_per_month')} AS reviews_per_month FROM inp""", INFERENCE_INPUT)
+
+
+def b05_parse_money() -> str:
+    return with_listings(f"""SELECT listing_id, raw_price,
+  {R("TRY_CAST(trim(regexp_replace(raw_price, '[$,]', '', 'g')) AS DOUBLE)")} AS parsed_price FROM listings""")
+
+
+def _median_fill(cols, src="listings", where="") -> str:
+    meds = ", ".join(f"quantile_cont({c}, 0.5) AS m_{c}" for c in cols)
+    return f"(SELECT {meds} FROM {src} {where})"
+
+
+def b07_impute_median() -> str:
+    cols = ["reviews_per_month", "availability_365", "review_rate_number", "service_fee"]
+    sel = ", ".join(f"{R(f'coalesce(l.{c}, m.m_{c})')} AS {c}" for c in cols)
+    return with_listings(f"SELECT l.listing_id, {sel} FROM listings l, {_median_fill(cols)} m")
+
+
+def _mode(col: str, src: str) -> str:
+    return f"(SELECT {col} FROM {src} WHERE {col} IS NOT NULL GROUP BY {col} ORDER BY count(*) DESC, {col} ASC LIMIT 1)"
+
+
+def b08_impute_mode() -> str:
+    cols = ["cancellation_policy", "instant_bookable", "neighbourhood_group"]
+    sel = ", ".join(f"coalesce({c}, {_mode(c, 'listings')}) AS {c}" for c in cols)
+    return with_listings(f"SELECT listing_id, {sel} FROM listings")
+
+
+def h4_clean_batch() -> str:
+    med = ["minimum_nights", "number_of_reviews", "reviews_per_month", "review_rate_number"]
+    parsed = f"""parsed AS (
+  SELECT listing_id, host_id,
+         TRY_CAST(trim(regexp_replace(CAST(service_fee AS VARCHAR), '[$,]', '', 'g')) AS DOUBLE) AS service_fee,
+         room_type, neighbourhood_group, minimum_nights, number_of_reviews, reviews_per_month, availability_365,
+         review_rate_number, instant_bookable, cancellation_policy,
+         TRY_CAST(trim(regexp_replace(raw_price, '[$,]', '', 'g')) AS DOUBLE) AS price, competitor_avg_price
+  FROM listings)"""
+    fill = ", ".join(f"coalesce(p.{c}, m.m_{c}) AS {c}" for c in med)
+    imputed = f"""imputed AS (
+  SELECT p.listing_id, p.host_id, p.service_fee, p.room_type, p.neighbourhood_group, {fill}, p.availability_365,
+         p.instant_bookable, lower(trim(p.cancellation_policy)) AS cancellation_policy, p.price, p.competitor_avg_price
+  FROM parsed p, {_median_fill(med, 'parsed')} m)"""
+    body = f"""SELECT listing_id, host_id, {R('service_fee')} AS service_fee, room_type, neighbourhood_group,
+  {", ".join(R(c) + " AS " + c for c in med)}, {R('availability_365')} AS availability_365,
+  coalesce(instant_bookable, {_mode('instant_bookable', 'imputed')}) AS instant_bookable,
+  coalesce(cancellation_policy, {_mode('cancellation_policy', 'imputed')}) AS cancellation_policy,
+  {R('price')} AS price, {R('competitor_avg_price')} AS competitor_avg_price
+FROM imputed WHERE availability_365 BETWEEN {D(0)} AND {D(366)}"""
+    return with_listings(body, parsed, imputed)
+
+
+LISTING_DOUBLES = ["price", "service_fee", "minimum_nights", "number_of_reviews", "reviews_per_month",
+                   "availability_365", "review_rate_number", "competitor_avg_price"]
+LISTING_OTHER = ["listing_id", "host_id", "room_type", "neighbourhood_group", "instant_bookable",
+                 "cancellation_policy", "raw_price"]
+
+
+def _listing_cols(prefix: str = "", override: dict | None = None) -> str:
+    override = override or {}
+    parts = []
+    for c in LISTING_OTHER:
+        parts.append(f"{override.get(c, prefix + c)} AS {c}")
+    for c in LISTING_DOUBLES:
+        parts.append(f"{R(override.get(c, prefix + c))} AS {c}")
+    return ", ".join(parts)
+
+
+def b12_drop_nulls() -> str:
+    return with_listings(f"""SELECT {_listing_cols(override={'room_type': "coalesce(room_type, 'missing')"})}
+FROM listings WHERE reviews_per_month IS NOT NULL AND availability_365 IS NOT NULL""")
+
+
+# ------------------------------------------------------------------ C
+
+ALL_LISTING_COLS = ["listing_id", "host_id", "price", "service_fee", "room_type", "neighbourhood_group",
+                    "minimum_nights", "number_of_reviews", "reviews_per_month", "availability_365",
+                    "review_rate_number", "instant_bookable", "cancellation_policy", "raw_price",
+                    "competitor_avg_price"]
+PROFILE_NUMERIC = ["price", "service_fee", "minimum_nights", "number_of_reviews", "reviews_per_month",
+                   "availability_365", "review_rate_number"]
+STRING_COLS = ["room_type", "neighbourhood_group", "cancellation_policy", "raw_price"]
+
+
+def c01_profile_shape() -> str:
+    return with_listings(f"SELECT count(*) AS n_rows, CAST({len(ALL_LISTING_COLS)} AS BIGINT) AS n_columns FROM listings")
+
+
+def c02_profile_missing() -> str:
+    parts = []
+    for c in ALL_LISTING_COLS:
+        miss = f"{c} IS NULL" + (f" OR isnan({c})" if c in LISTING_DOUBLES else "")
+        parts.append(f"""SELECT '{c}' AS "column", count(*) FILTER (WHERE {miss}) AS missing_count,
+  {R(f"CAST(count(*) FILTER (WHERE {miss}) AS DOUBLE) / CAST(count(*) AS DOUBLE) * {D(100)}")} AS missing_pct FROM listings""")
+    return with_listings("\nUNION ALL\n".join(parts))
+
+
+def c03_profile_distinct() -> str:
+    parts = [f"""SELECT '{c}' AS "column", count(DISTINCT {c}) AS n_distinct FROM listings""" for c in STRING_COLS]
+    return with_listings("\nUNION ALL\n".join(parts))
+
+
+def _long(cols, src="listings") -> str:
+    return "\nUNION ALL\n".join(f"""SELECT '{c}' AS col, CAST({c} AS DOUBLE) AS v FROM {src}""" for c in cols)
+
+
+def c04_profile_numeric() -> str:
+    return with_listings(f"""SELECT col AS "column", count(v) AS count, {R('avg(v)')} AS mean, {R('stddev_samp(v)')} AS std,
+  {R('min(v)')} AS min, {R('quantile_cont(v, 0.25)')} AS q25, {R('quantile_cont(v, 0.5)')} AS q50,
+  {R('quantile_cont(v, 0.75)')} AS q75, {R('max(v)')} AS max
+FROM lng WHERE v IS NOT NULL AND NOT isnan(v) GROUP BY col""", f"lng AS ({_long(PROFILE_NUMERIC)})")
+
+
+def c07_skew() -> str:
+    return with_listings(f"""SELECT col AS "column", {R('CASE WHEN count(v) > 2 THEN skewness(v) END')} AS skewness
+FROM lng GROUP BY col""", f"lng AS ({_long(PROFILE_NUMERIC)})")
+
+
+def c08_iqr_outliers() -> str:
+    q = f"""q AS (SELECT col, quantile_cont(v, 0.25) AS q1, quantile_cont(v, 0.75) AS q3 FROM lng
+  WHERE v IS NOT NULL AND NOT isnan(v) GROUP BY col),
+b AS (SELECT col, q1, q3, q3 - q1 AS iqr, q1 - {D(1.5)} * (q3 - q1) AS lower, q3 + {D(1.5)} * (q3 - q1) AS upper FROM q)"""
+    return with_listings(f"""SELECT b.col AS "column", {R('b.q1')} AS q1, {R('b.q3')} AS q3, {R('b.iqr')} AS iqr,
+  {R('b.lower')} AS lower, {R('b.upper')} AS upper,
+  (SELECT count(*) FROM lng WHERE lng.col = b.col AND (lng.v < b.lower OR lng.v > b.upper)) AS n_outliers
+FROM b""", f"lng AS ({_long(PROFILE_NUMERIC)})", q)
+
+
+def _bucket(v: str, lo: str, hi: str, bins: int) -> str:
+    w = f"(({hi} - {lo}) / {D(bins)})"
+    return (f"CASE WHEN {hi} = {lo} THEN 1 ELSE least(CAST(floor(({v} - {lo}) / {w}) AS INTEGER) + 1, {bins}) END")
+
+
+def c09_histogram() -> str:
+    b = _bucket("l.price", "s.lo", "s.hi", 50)
+    return with_listings(f"""SELECT bin, {R(f'lo + CAST(bin - 1 AS DOUBLE) * w')} AS lower, {R(f'lo + CAST(bin AS DOUBLE) * w')} AS upper,
+  count(*) AS count
+FROM (SELECT {b} AS bin, s.lo AS lo, (s.hi - s.lo) / {D(50)} AS w
+      FROM listings l, (SELECT min(price) AS lo, max(price) AS hi FROM listings) s
+      WHERE l.price IS NOT NULL AND NOT isnan(l.price)) x
+GROUP BY bin, lo, w""")
+
+
+def _box(src: str, value: str, key: str) -> str:
+    return f"""d AS (SELECT {key} AS k, CAST({value} AS DOUBLE) AS v FROM {src}
+  WHERE {value} IS NOT NULL AND NOT isnan({value}) AND {key} IS NOT NULL),
+q AS (SELECT k, quantile_cont(v, 0.25) AS q1, quantile_cont(v, 0.5) AS median, quantile_cont(v, 0.75) AS q3
+      FROM d GROUP BY k),
+f AS (SELECT k, q1, median, q3, q1 - {D(1.5)} * (q3 - q1) AS lf, q3 + {D(1.5)} * (q3 - q1) AS uf FROM q)"""
+
+
+def _box_select(key: str) -> str:
+    return f"""SELECT f.k AS {key}, count(*) AS count, {R('min(d.v)')} AS min, {R('any_value(f.q1)')} AS q1,
+  {R('any_value(f.median)')} AS median, {R('any_value(f.q3)')} AS q3, {R('max(d.v)')} AS max,
+  {R('min(CASE WHEN d.v >= f.lf AND d.v <= f.uf THEN d.v END)')} AS whisker_low,
+  {R('max(CASE WHEN d.v >= f.lf AND d.v <= f.uf THEN d.v END)')} AS whisker_high,
+  count(*) FILTER (WHERE NOT (d.v >= f.lf AND d.v <= f.uf)) AS n_outliers
+FROM d JOIN f ON d.k = f.k GROUP BY f.k"""
+
+
+def c10_box_price_by_room() -> str:
+    return with_listings(_box_select("room_type"), _box("listings", "price", "room_type"))
+
+
+def c10_box_demand_by_area() -> str:
+    return with_listings(_box_select("neighbourhood_group"), demand_cte("listings"),
+                         _box("scored", "demand_score", "neighbourhood_group"))
+
+
+CORR_COLS = ["price", "number_of_reviews", "reviews_per_month", "availability_365", "demand_score"]
+
+
+def c11_corr_matrix() -> str:
+    parts = [f"SELECT '{a}' AS a, '{b}' AS b, {R(f'corr(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE))')} AS corr FROM scored"
+             for a in CORR_COLS for b in CORR_COLS]
+    return with_listings("\nUNION ALL\n".join(parts), demand_cte("listings"))
+
+
+def c12_bin2d() -> str:
+    bx = _bucket("CAST(s.price AS DOUBLE)", "m.xlo", "m.xhi", 20)
+    by = _bucket("CAST(s.demand_score AS DOUBLE)", "m.ylo", "m.yhi", 20)
+    return with_listings(f"""SELECT {bx} AS x_bin, {by} AS y_bin, count(*) AS count, {R('avg(s.price)')} AS mean_price
+FROM scored s, (SELECT min(price) AS xlo, max(price) AS xhi, min(demand_score) AS ylo, max(demand_score) AS yhi FROM scored) m
+WHERE s.price IS NOT NULL AND s.demand_score IS NOT NULL
+GROUP BY 1, 2""", demand_cte("listings"))
+
+
+def c13_value_counts() -> str:
+    return with_listings("SELECT room_type, count(*) AS count FROM listings WHERE room_type IS NOT NULL GROUP BY room_type")
+
+
+# ------------------------------------------------------------------ D
+
+def d02_demand_score() -> str:
+    return with_listings(f"SELECT listing_id, {R('demand_score')} AS demand_score FROM scored", demand_cte("listings"))
+
+
+def h4_engineer_batch() -> str:
+    fe = f"""fe AS (
+  SELECT l.*, CASE WHEN availability_365 + {D(1)} = 0 THEN NULL ELSE reviews_per_month / (availability_365 + {D(1)}) END AS demand_score,
+    CASE WHEN number_of_reviews + {D(1)} = 0 THEN NULL ELSE reviews_per_month / (number_of_reviews + {D(1)}) END AS review_intensity,
+    CASE WHEN availability_365 <= {D(120)} THEN 'low' WHEN availability_365 <= {D(240)} THEN 'medium' ELSE 'high' END AS availability_bucket,
+    CASE WHEN minimum_nights = 0 THEN NULL ELSE price / minimum_nights END AS price_per_minimum_night,
+    ln({D(1)} + price) AS price_log
+  FROM listings l),
+ng AS (SELECT neighbourhood_group, avg(demand_score) AS neighbourhood_group_demand_avg FROM fe
+       WHERE neighbourhood_group IS NOT NULL GROUP BY neighbourhood_group)"""
+    doubles = [c for c in LISTING_DOUBLES] + ["demand_score", "review_intensity", "price_per_minimum_night", "price_log",
+                                              "neighbourhood_group_demand_avg", "price_review_interaction",
+                                              "availability_min_nights"]
+    other = [c for c in LISTING_OTHER if c != "raw_price"] + ["availability_bucket", "room_type_neighbourhood"]
+    expr = {"price_review_interaction": "fe.price * fe.reviews_per_month",
+            "availability_min_nights": "fe.availability_365 * fe.minimum_nights",
+            "room_type_neighbourhood": "fe.room_type || '_' || fe.neighbourhood_group",
+            "neighbourhood_group_demand_avg": "ng.neighbourhood_group_demand_avg"}
+    sel = ", ".join([f"{expr.get(c, 'fe.' + c)} AS {c}" for c in other] +
+                    [f"{R(expr.get(c, 'fe.' + c))} AS {c}" for c in doubles])
+    return with_listings(f"SELECT {sel} FROM fe LEFT JOIN ng ON ng.neighbourhood_group = fe.neighbourhood_group", fe)
+
+
+def d12_model_features() -> str:
+    return with_listings(f"""SELECT listing_id,
+  {R(f'CASE WHEN price IS NULL THEN NULL ELSE ln({D(1)} + greatest(price, {D(0)})) END')} AS price_log,
+  {R(f'CASE WHEN minimum_nights + {D(1)} = 0 THEN NULL ELSE price / (minimum_nights + {D(1)}) END')} AS price_per_minimum_night,
+  coalesce(room_type, 'nan') || '_' || coalesce(neighbourhood_group, 'nan') AS room_type_neighbourhood
+FROM listings""")
+
+
+TEST_FLAG = "(substr(md5(CAST(listing_id AS VARCHAR) || ':42'), 1, 8) < '33333333')"
+
+
+def d19_split() -> str:
+    return with_listings(f"SELECT listing_id, {TEST_FLAG} AS is_test FROM listings")
+
+
+SPLIT = f"sp AS (SELECT *, {TEST_FLAG} AS is_test FROM listings)"
+
+
+def d13_frequency() -> str:
+    freq = """fq AS (SELECT neighbourhood_group, CAST(count(*) AS DOUBLE) /
+             CAST((SELECT count(neighbourhood_group) FROM sp WHERE NOT is_test) AS DOUBLE) AS f
+           FROM sp WHERE NOT is_test AND neighbourhood_group IS NOT NULL GROUP BY neighbourhood_group)"""
+    return with_listings(f"""SELECT sp.listing_id, sp.neighbourhood_group,
+  {R(f'CASE WHEN sp.is_test THEN coalesce(fq.f, {D(0)}) ELSE fq.f END')} AS neighbourhood_group_freq, sp.is_test
+FROM sp LEFT JOIN fq ON fq.neighbourhood_group = sp.neighbourhood_group""", SPLIT, freq)
+
+
+def d14_category_index() -> str:
+    cats = """cats AS (SELECT room_type, CAST(row_number() OVER (ORDER BY room_type) - 1 AS INTEGER) AS idx
+  FROM (SELECT DISTINCT room_type FROM sp WHERE NOT is_test AND room_type IS NOT NULL) t)"""
+    return with_listings("""SELECT l.listing_id, l.room_type, cats.idx AS room_type_index
+FROM listings l LEFT JOIN cats ON cats.room_type = l.room_type""", SPLIT, cats)
+
+
+def d15_median_imputer() -> str:
+    cols = ["reviews_per_month", "availability_365", "service_fee"]
+    sel = ", ".join(f"{R(f'coalesce(t.{c}, coalesce(m.m_{c}, {D(0)}))')} AS {c}" for c in cols)
+    return with_listings(f"SELECT t.listing_id, {sel} FROM sp t, {_median_fill(cols, 'sp', 'WHERE NOT is_test')} m WHERE t.is_test",
+                         SPLIT)
+
+
+def d16_std_scaler() -> str:
+    cols = ["price", "number_of_reviews", "minimum_nights"]
+    st = ", ".join(f"avg({c}) AS mu_{c}, stddev_pop({c}) AS sd_{c}" for c in cols)
+    sel = ", ".join(
+        f"{R(f'(t.{c} - s.mu_{c}) / CASE WHEN s.sd_{c} = 0 THEN {D(1)} ELSE s.sd_{c} END')} AS {c}" for c in cols)
+    return with_listings(f"SELECT t.listing_id, {sel} FROM sp t, (SELECT {st} FROM sp WHERE NOT is_test) s WHERE t.is_test",
+                         SPLIT)
+
+
+# ------------------------------------------------------------------ F
+
+def rint2(x: str, d: int) -> str:
+    s = f"1e{d}"
+    return f"(round_even(({x}) * {s}, 0) / {s})"
+
+
+def curve_ctes(n: int = 15, lo_f: float = 0.8, hi_f: float = 1.2, e: float = -1.2) -> list[str]:
+    lo = f"greatest(price * {D(lo_f)}, {D(1)})"
+    return [
+        demand_cte("listings"),
+        f"""g0 AS (
+  SELECT listing_id, price AS cur, demand_score AS base, room_type, neighbourhood_group, competitor_avg_price,
+         {lo} AS lo, greatest(price * {D(hi_f)}, {lo} + {D(1)}) AS hi
+  FROM scored)""",
+        f"""g1 AS (
+  SELECT g0.*, CAST(t.i AS INTEGER) AS option_id,
+         {rint2(f"CASE WHEN t.i = {n - 1} THEN hi ELSE lo + CAST(t.i AS DOUBLE) * ((hi - lo) / {D(n - 1)}) END", 2)} AS cand
+  FROM g0 CROSS JOIN range(0, {n}) t(i))""",
+        f"""g2 AS (
+  SELECT *, CASE WHEN cur = 0 OR base * pow(cand / cur, {D(e)}) IS NULL THEN NULL
+                 WHEN base * pow(cand / cur, {D(e)}) < 0 THEN {D(0)} ELSE base * pow(cand / cur, {D(e)}) END AS dem
+  FROM g1)""",
+        f"""curve AS (
+  SELECT listing_id, option_id, {rint2('cur', 2)} AS current_price, {rint2('cand', 2)} AS candidate_price,
+         {rint2('dem', 6)} AS predicted_demand, {rint2('cand * dem', 6)} AS expected_revenue,
+         {rint2('cand - cur', 2)} AS price_change,
+         CASE WHEN cur <> 0 THEN {rint2(f'(cand - cur) / cur * {D(100)}', 4)} ELSE {D(0)} END AS price_change_pct,
+         room_type, neighbourhood_group, competitor_avg_price
+  FROM g2)""",
+    ]
+
+
+CURVE_COLS = ["listing_id", "option_id", "current_price", "candidate_price", "predicted_demand", "expected_revenue",
+              "price_change", "price_change_pct", "room_type", "neighbourhood_group", "competitor_avg_price"]
+CURVE_DOUBLES = {"current_price", "candidate_price", "predicted_demand", "expected_revenue", "price_change",
+                 "price_change_pct", "competitor_avg_price"}
+
+
+def f01_target_curve() -> str:
+    sel = ", ".join(R(c) + " AS " + c if c in CURVE_DOUBLES else c for c in CURVE_COLS)
+    return with_listings(f"SELECT {sel} FROM curve", *curve_ctes())
+
+
+def f05_elastic_curve() -> str:
+    n = 30
+    g = f"""ec AS (
+  SELECT s.listing_id, s.price AS current_price, s.demand_score AS predicted_demand_before, CAST(t.i AS INTEGER) AS option_id,
+         CASE WHEN t.i = {n - 1} THEN s.price * {D(1.3)}
+              ELSE s.price * {D(0.7)} + CAST(t.i AS DOUBLE) * ((s.price * {D(1.3)} - s.price * {D(0.7)}) / {D(n - 1)}) END AS candidate_price
+  FROM scored s CROSS JOIN range(0, {n}) t(i)),
+ec2 AS (SELECT *, predicted_demand_before * pow(CASE WHEN current_price = 0 THEN NULL ELSE candidate_price / current_price END, {D(-1.2)}) AS predicted_demand FROM ec)"""
+    return with_listings(f"""SELECT listing_id, {R('current_price')} AS current_price, {R('predicted_demand_before')} AS predicted_demand_before,
+  option_id, {R('candidate_price')} AS candidate_price, {R('predicted_demand')} AS predicted_demand,
+  {R('candidate_price * predicted_demand')} AS expected_revenue FROM ec2""", demand_cte("listings"), g)
+
+
+def f06_option_ids() -> str:
+    return with_listings("""SELECT listing_id, option_id AS grid_option,
+  CAST(row_number() OVER (PARTITION BY listing_id ORDER BY option_id) - 1 AS INTEGER) AS option_id FROM curve""",
+                         *curve_ctes())
+
+
+RANKS = {"Entire home/apt": 3, "Private room": 2, "Shared room": 1}
+
+
+def rule_ctes(change_pct=None, area_pct=None, room_band=False, hierarchy=False, competitor=None, bounds=None,
+              src: str = "curve") -> list[str]:
+    conds = []
+    ctes = []
+    joins = []
+    if change_pct is not None:
+        conds.append(f"NOT (CASE WHEN c.current_price = 0 THEN FALSE ELSE coalesce(abs(c.candidate_price - c.current_price) / c.current_price * {D(100)} > {D(change_pct)}, FALSE) END)")
+    if area_pct is not None:
+        d = float(area_pct) / 100.0
+        ctes.append(f"""ab AS (SELECT neighbourhood_group, min(current_price) * {D(1.0 - d)} AS lo, max(current_price) * {D(1.0 + d)} AS hi
+  FROM {src} WHERE neighbourhood_group IS NOT NULL GROUP BY neighbourhood_group)""")
+        joins.append("LEFT JOIN ab ON ab.neighbourhood_group = c.neighbourhood_group")
+        conds.append("NOT coalesce(c.candidate_price < ab.lo OR c.candidate_price > ab.hi, FALSE)")
+    if room_band:
+        ctes.append(f"""rb AS (SELECT room_type, min(current_price) * {D(0.75)} AS lo, max(current_price) * {D(1.25)} AS hi
+  FROM {src} WHERE room_type IS NOT NULL GROUP BY room_type)""")
+        joins.append("LEFT JOIN rb ON rb.room_type = c.room_type")
+        conds.append("NOT coalesce(c.candidate_price < rb.lo OR c.candidate_price > rb.hi, FALSE)")
+    if hierarchy:
+        rank = " ".join(f"WHEN '{k}' THEN {v}" for k, v in RANKS.items())
+        ctes.append(f"""ra AS (SELECT room_type, CASE room_type {rank} END AS rk, avg(current_price) AS av FROM {src}
+  GROUP BY room_type HAVING CASE room_type {rank} END IS NOT NULL),
+rt AS (SELECT r1.room_type, (SELECT min(r2.av) FROM ra r2 WHERE r2.rk > r1.rk) AS thr FROM ra r1)""")
+        joins.append("LEFT JOIN rt ON rt.room_type = c.room_type")
+        conds.append("NOT coalesce(c.candidate_price > rt.thr, FALSE)")
+    if competitor is not None:
+        conds.append(f"NOT coalesce(c.candidate_price > c.competitor_avg_price * {D(competitor)}, FALSE)")
+    if bounds is not None:
+        lo, hi = bounds
+        conds.append(f"coalesce(c.candidate_price >= {D(lo)}, TRUE) AND coalesce(c.candidate_price <= {D(hi)}, TRUE)")
+    ok = " AND ".join(f"({x})" for x in conds) or "TRUE"
+    ctes.append(f"flagged AS (SELECT c.*, {ok} AS feasible FROM {src} c {' '.join(joins)})")
+    return ctes
+
+
+SELECTED = """sel AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY listing_id ORDER BY expected_revenue DESC NULLS LAST, option_id ASC) AS rk
+                 FROM flagged WHERE feasible) t WHERE rk = 1)"""
+
+BIZ = f"""biz AS (
+  SELECT listing_id, current_price, candidate_price AS recommended_price, room_type, neighbourhood_group,
+         predicted_demand AS predicted_demand_before, predicted_demand AS predicted_demand_after,
+         current_price * predicted_demand AS expected_revenue_before,
+         candidate_price * predicted_demand AS expected_revenue_after,
+         candidate_price * predicted_demand - current_price * predicted_demand AS expected_revenue_change,
+         candidate_price - current_price AS price_change,
+         (candidate_price - current_price) / CASE WHEN current_price = 0 THEN {D(1)} ELSE current_price END * {D(100)} AS price_change_pct
+  FROM sel),
+biz2 AS (
+  SELECT *, CASE WHEN price_change > 0 THEN 'Increase Price' WHEN price_change < 0 THEN 'Decrease Price' ELSE 'Keep Price' END AS price_action,
+    CASE WHEN recommended_price < current_price AND predicted_demand_after > predicted_demand_before
+           THEN 'Lower price is expected to increase demand and improve occupancy.'
+         WHEN recommended_price > current_price AND expected_revenue_change > 0
+           THEN 'Higher price is expected to improve revenue with acceptable demand loss.'
+         WHEN abs(recommended_price - current_price) < {D(1e-6)} THEN 'Current price appears close to the best feasible price.'
+         WHEN expected_revenue_change <= 0 THEN 'Recommendation is constrained by business rules or limited feasible options.'
+         ELSE 'Selected as the best feasible price under the optimization model.' END AS reason
+  FROM biz)"""
+
+BIZ_SELECT = f"""SELECT listing_id, {R('current_price')} AS current_price, {R('recommended_price')} AS recommended_price,
+  room_type, neighbourhood_group, price_action, {R('predicted_demand_before')} AS predicted_demand_before,
+  {R('predicted_demand_after')} AS predicted_demand_after, {R('expected_revenue_before')} AS expected_revenue_before,
+  {R('expected_revenue_after')} AS expected_revenue_after, {R('expected_revenue_change')} AS expected_revenue_change,
+  {R('price_change')} AS price_change, {R('price_change_pct')} AS price_change_pct, reason FROM biz2"""
+
+
+def recs(**rules) -> str:
+    return with_listings(BIZ_SELECT, *curve_ctes(), *rule_ctes(**rules), SELECTED, BIZ)
+
+
+ALL_RULES = dict(change_pct=20.0, area_pct=25.0, room_band=True, hierarchy=True, competitor=1.2)
+
+
+def f09_infeasible() -> str:
+    return with_listings("SELECT listing_id FROM flagged GROUP BY listing_id HAVING count(*) FILTER (WHERE feasible) = 0",
+                         *curve_ctes(), *rule_ctes(**ALL_RULES))
+
+
+def g09_recommendation_summary() -> str:
+    return with_listings(f"""SELECT count(DISTINCT listing_id) AS num_listings, count(*) AS num_recommendations,
+  count(*) FILTER (WHERE price_action = 'Increase Price') AS increase_price_count,
+  count(*) FILTER (WHERE price_action = 'Decrease Price') AS decrease_price_count,
+  count(*) FILTER (WHERE price_action = 'Keep Price') AS keep_price_count,
+  {R('avg(price_change_pct)')} AS average_price_change_pct, {R('sum(expected_revenue_before)')} AS total_expected_revenue_before,
+  {R('sum(expected_revenue_after)')} AS total_expected_revenue_after, {R('sum(expected_revenue_change)')} AS total_expected_revenue_change
+FROM biz2""", *curve_ctes(), *rule_ctes(**ALL_RULES), SELECTED, BIZ)
+
+
+SEL_METRICS = f"""sm AS (
+  SELECT listing_id, option_id, current_price, candidate_price AS recommended_price, predicted_demand, expected_revenue,
+         current_price * predicted_demand AS current_revenue_estimate,
+         expected_revenue - current_price * predicted_demand AS expected_revenue_change,
+         candidate_price - current_price AS price_change,
+         (candidate_price - current_price) / CASE WHEN current_price = 0 THEN {D(1)} ELSE current_price END * {D(100)} AS price_change_pct
+  FROM sel)"""
+
+
+def g10_selection_summary() -> str:
+    return with_listings(f"""SELECT (SELECT count(*) FROM curve) AS num_input_rows, (SELECT count(DISTINCT listing_id) FROM curve) AS num_listings,
+  count(*) AS num_selected_rows, {R('sum(expected_revenue)')} AS total_expected_revenue_after,
+  {R('sum(current_revenue_estimate)')} AS total_estimated_revenue_before,
+  {R('sum(expected_revenue_change)')} AS total_expected_revenue_change, {R('avg(price_change_pct)')} AS average_price_change_pct
+FROM sm""", *curve_ctes(), *rule_ctes(), SELECTED, SEL_METRICS)
+
+
+def f17_selection() -> str:
+    reason = f"""CASE WHEN price_change > 0 AND expected_revenue_change > 0 THEN 'Higher price improves expected revenue.'
+  WHEN price_change < 0 AND expected_revenue_change > 0 THEN 'Lower price improves demand enough to increase expected revenue.'
+  WHEN abs(price_change) <= {D(1e-6)} THEN 'Current price already appears near-optimal.'
+  ELSE 'Selected as best feasible option under optimization rules.' END"""
+    return with_listings(f"""SELECT listing_id, option_id, {R('current_price')} AS current_price, {R('recommended_price')} AS recommended_price,
+  {R('predicted_demand')} AS predicted_demand, {R('expected_revenue')} AS expected_revenue,
+  {R('current_revenue_estimate')} AS current_revenue_estimate, {R('expected_revenue_change')} AS expected_revenue_change,
+  {R('price_change')} AS price_change, {R('price_change_pct')} AS price_change_pct, {reason} AS reason FROM sm""",
+                         *curve_ctes(), *rule_ctes(competitor=1.2), SELECTED, SEL_METRICS)
+
+
 ORACLES = {
     "h1_inference": h1_inference,
+    "h1_inference_room_elasticity": h1_inference_room_elasticity,
+    "g08_inference_summary": g08_inference_summary,
+    "g11_dashboard_kpis": g11_dashboard_kpis,
+    "g12_revenue_impact": g12_revenue_impact,
+    "b16_filter_recommendations": b16_filter_recommendations,
+    "b16_filter_defaults": b16_filter_defaults,
+    "g13_listing_insight": g13_listing_insight,
+    "b04_inference_input": b04_inference_input,
+    "b05_parse_money": b05_parse_money,
+    "b07_impute_median": b07_impute_median,
+    "b08_impute_mode": b08_impute_mode,
+    "h4_clean_batch": h4_clean_batch,
+    "b12_drop_nulls": b12_drop_nulls,
+    "c01_profile_shape": c01_profile_shape,
+    "c02_profile_missing": c02_profile_missing,
+    "c03_profile_distinct": c03_profile_distinct,
+    "c04_profile_numeric": c04_profile_numeric,
+    "c07_skew": c07_skew,
+    "c08_iqr_outliers": c08_iqr_outliers,
+    "c09_histogram": c09_histogram,
+    "c10_box_price_by_room": c10_box_price_by_room,
+    "c10_box_demand_by_area": c10_box_demand_by_area,
+    "c11_corr_matrix": c11_corr_matrix,
+    "c12_bin2d": c12_bin2d,
+    "c13_value_counts": c13_value_counts,
+    "d02_demand_score": d02_demand_score,
+    "h4_engineer_batch": h4_engineer_batch,
+    "d12_model_features": d12_model_features,
+    "d19_split": d19_split,
+    "d13_frequency": d13_frequency,
+    "d14_category_index": d14_category_index,
+    "d15_median_imputer": d15_median_imputer,
+    "d16_std_scaler": d16_std_scaler,
+    "f01_target_curve": f01_target_curve,
+    "f05_elastic_curve": f05_elastic_curve,
+    "f06_option_ids": f06_option_ids,
+    "f08_select_best": lambda: recs(),
+    "f11_limit_change": lambda: recs(change_pct=10.0),
+    "f12_area_band": lambda: recs(area_pct=25.0),
+    "f13_room_band": lambda: recs(room_band=True),
+    "f14_room_hierarchy": lambda: recs(hierarchy=True),
+    "f15_competitor_cap": lambda: recs(competitor=1.2),
+    "f16_price_bounds": lambda: recs(bounds=(20.0, 400.0)),
+    "h2_recommendation": lambda: recs(**ALL_RULES),
+    "f09_infeasible": f09_infeasible,
+    "g09_recommendation_summary": g09_recommendation_summary,
+    "g10_selection_summary": g10_selection_summary,
+    "f17_selection": f17_selection,
 }
 
 
