@@ -2,7 +2,8 @@
 
 Every query starts from the same listing derivation (``LISTINGS_SQL``) as the
 Spark adapter.  Floating outputs are rounded on both sides with
-``round_even(x * 1e6, 0) / 1e6`` (Spark: ``rint(x * 1e6) / 1e6``) so that
+``round_even(x * 1e6, 0) / 1e6 + 0`` (Spark: ``rint(x * 1e6) / 1e6 + 0``; the
+``+ 0`` turns -0.0 into 0.0) so that
 last-bit differences between the JVM's and C's ``pow``/``log`` do not decide the
 comparison.  Doubles are always written as CAST(.. AS DOUBLE): a bare 0.5 is a
 DECIMAL in both engines.
@@ -19,7 +20,7 @@ def D(x) -> str:
 
 def R(expr: str, digits: int = 6) -> str:
     s = f"1e{digits}"
-    return f"round_even(({expr}) * {s}, 0) / {s}"
+    return f"(round_even(({expr}) * {s}, 0) / {s} + CAST(0 AS DOUBLE))"
 
 
 def with_listings(body: str, *ctes: str) -> str:
