@@ -144,3 +144,34 @@ def run_record(name: str, params: Mapping, metrics_row, started: float) -> dict:
 def append_runs(spark, records: Sequence[dict], path: str) -> None:
     """E-10: append run rows to a Parquet table."""
     spark.createDataFrame(list(records)).write.mode("append").parquet(path)
+
+
+def fit_simple_linear(train: DataFrame, x: str, label: str = "demand_score"):
+    """E-1 on one feature (normal-equation OLS with intercept)."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.regression import LinearRegression
+
+    return Pipeline(stages=[
+        VectorAssembler(inputCols=[x], outputCol="features", handleInvalid="skip"),
+        LinearRegression(featuresCol="features", labelCol=label, regParam=0.0, solver="normal"),
+    ]).fit(train.filter(F.col(x).isNotNull() & F.col(label).isNotNull()))
+
+
+def model_curve(listings: DataFrame, model, n: int = 15, lo_f: float = 0.8, hi_f: float = 1.2,
+                clip: bool = True, repartition: int | None = None) -> DataFrame:
+    """F-4: every listing × bounded candidate grid -> replace price -> model
+    (price features are recomputed inside the fitted pipeline) -> demand clipped
+    at 0 -> F-4 columns.  Static columns ride along; the explode is row-local."""
+    from rateweave.operators import curves
+    from rateweave.functions.exprs import clip_lower
+
+    base = listings.withColumn("current_price", F.col("price"))
+    grid = curves.price_grid("current_price", n, lo_f, hi_f)
+    ex = curves.explode_grid(base, grid, repartition=repartition).withColumn("price", F.col("candidate_price"))
+    pred = model.transform(ex)
+    dem = clip_lower(F.col("prediction"), 0.0) if clip else F.col("prediction")
+    out = curves.curve_columns(pred.withColumn("predicted_demand", dem))
+    keep = [c for c in ("room_type", "neighbourhood_group", "competitor_avg_price") if c in out.columns]
+    return out.select("listing_id", "option_id", "current_price", "candidate_price", "predicted_demand",
+                      "expected_revenue", "price_change", "price_change_pct", *keep)

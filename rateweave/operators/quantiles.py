@@ -58,16 +58,20 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Seque
                   .withColumn("_kc", F.ceil("_pos").cast("long"))
                   .withColumn("_frac", F.col("_pos") - F.col("_kf").cast("double")))
     wants = cut_lineage(wants)
+    sizes = wants.agg(F.count(F.lit(1)).alias("w"), F.max("_n").alias("m")).first()
+    n_wants, max_n = int(sizes["w"] or 0), int(sizes["m"] or 0)
     ranks = (wants.select("_g", "_n", "_lo", "_hi", F.explode(F.array_distinct(F.array("_kf", "_kc"))).alias("_k"))
                   .distinct())
     # state: rank _k of group lies at rank _r among the _m values in [_lo, _hi]
     state = ranks.select("_g", "_k", "_lo", "_hi", F.col("_k").alias("_r"), F.col("_n").alias("_m"))
-    state = cut_lineage(state)
+    fast = max_n <= gather_limit          # every group is small enough to rank directly
+    if not fast:
+        state = cut_lineage(state)
 
     def open_(s: DataFrame):
         return (F.col("_lo") < F.col("_hi")) & (F.col("_m") > F.lit(gather_limit))
 
-    while True:
+    while not fast:
         todo = state.filter(open_(state))
         n_todo = todo.count()
         if n_todo == 0:
@@ -96,19 +100,20 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Seque
     direct = state.filter(F.col("_lo") == F.col("_hi")).select("_g", "_k", F.col("_lo").alias("_val"))
     small = state.filter(F.col("_lo") < F.col("_hi"))
     small_int = small.select("_g", "_lo", "_hi").distinct()
-    n_small = small_int.count()
+    n_small = 2 * n_wants if fast else small_int.count()
     if n_small:
         rw = Window.partitionBy("_g", "_lo", "_hi").orderBy("_v")
         ranked = (data.join(_maybe_broadcast(small_int, n_small), "_g")
                       .filter(F.col("_v").between(F.col("_lo"), F.col("_hi")))
                       .withColumn("_j", F.row_number().over(rw) - F.lit(1)))
-        picked = (small.join(ranked, ["_g", "_lo", "_hi"])
-                       .filter(F.col("_j") == F.col("_r"))
-                       .select("_g", "_k", F.col("_v").alias("_val")))
+        picked = (ranked.join(_maybe_broadcast(small, n_small), ["_g", "_lo", "_hi"])
+                        .filter(F.col("_j") == F.col("_r"))
+                        .select("_g", "_k", F.col("_v").alias("_val")))
         resolved = direct.unionByName(picked)
     else:
         resolved = direct
-    resolved = cut_lineage(resolved)
+    if not fast:
+        resolved = cut_lineage(resolved)
 
     lo_v = resolved.select("_g", F.col("_k").alias("_kf"), F.col("_val").alias("_vf"))
     hi_v = resolved.select("_g", F.col("_k").alias("_kc"), F.col("_val").alias("_vc"))

@@ -314,6 +314,91 @@ def q_f17_selection(spark, sf_dir):
                                     "expected_revenue_change", "price_change", "price_change_pct", "reason"))
 
 
+# ------------------------------------------------------------------ F-10
+
+def q_f10_budget(spark, sf_dir):
+    from rateweave.operators import budget
+
+    sel, _ = budget.select_with_budget(_curve(spark, sf_dir), max_avg_pct=budget.DEFAULT_MAX_AVG_PCT)
+    return round_doubles(sel.select("listing_id", "option_id", "current_price", "candidate_price",
+                                    "expected_revenue", "abs_price_change_pct"))
+
+
+# ------------------------------------------------------------------ E (rows-only: fitted models)
+
+MODEL_NUMERIC = ["price", "service_fee", "minimum_nights", "number_of_reviews", "review_rate_number",
+                 "competitor_avg_price"]
+MODEL_CATEGORICAL = ["room_type", "neighbourhood_group", "cancellation_policy"]
+
+
+def _train_test(spark, sf_dir):
+    data = clean.drop_leakage(features.demand_score(L(spark, sf_dir)))
+    return encoders.split(data)
+
+
+def q_e01_linear_single(spark, sf_dir):
+    from rateweave.operators import models
+
+    train, test = _train_test(spark, sf_dir)
+    m = models.fit_simple_linear(train, "number_of_reviews")
+    return round_doubles(models.regression_metrics(m.transform(test.filter(F.col("number_of_reviews").isNotNull()))))
+
+
+def q_h3_training(spark, sf_dir):
+    from rateweave.operators import models
+
+    train, test = _train_test(spark, sf_dir)
+    train, test = cut_lineage(train), cut_lineage(test)
+    fitted = {k: models.fit_model(train, k, MODEL_NUMERIC, MODEL_CATEGORICAL)
+              for k in ("linear", "ridge", "forest", "gbt")}
+    cmp = models.compare_models(fitted, test)
+    best = models.select_best(cmp).scalar()
+    return cmp.withColumn("is_best", F.col("model") == best).drop("_order")
+
+
+def _model(spark, sf_dir, kind="forest"):
+    from rateweave.operators import models
+
+    train, _ = _train_test(spark, sf_dir)
+    return models.fit_model(cut_lineage(train), kind, MODEL_NUMERIC, MODEL_CATEGORICAL)
+
+
+def q_e11_score(spark, sf_dir):
+    from rateweave.operators import models
+
+    return round_doubles(models.score(L(spark, sf_dir), _model(spark, sf_dir, "ridge")))
+
+
+def q_h1_inference_model(spark, sf_dir):
+    return round_doubles(jobs.inference_job(L(spark, sf_dir), model=_model(spark, sf_dir, "ridge")))
+
+
+def q_f04_model_curve_recommendation(spark, sf_dir):
+    from rateweave.operators import models
+
+    curve = models.model_curve(L(spark, sf_dir), _model(spark, sf_dir, "forest"))
+    return round_doubles(jobs.recommendation_job(curve, change_pct=constraints.MAX_CHANGE_PCT))
+
+
+# ------------------------------------------------------------------ streaming H-1
+
+def q_s01_stream_inference(spark, sf_dir):
+    """H-1 through Structured Streaming: the listings derived from the tables are
+    written as stream input under the checkpoint directory, consumed with an
+    availableNow trigger, and the report sink is read back."""
+    import uuid
+
+    from rateweave.streaming.inference_stream import start_inference_stream
+
+    root = f"{spark.sparkContext.getCheckpointDir().rstrip('/')}/stream-{uuid.uuid4().hex}"
+    lst = L(spark, sf_dir)
+    lst.repartition(4).write.mode("overwrite").parquet(f"{root}/in")
+    ref = spark.read.parquet(f"{root}/in")
+    q = start_inference_stream(spark, f"{root}/in", ref.schema, ref, f"{root}/out", f"{root}/ckpt", max_files=1)
+    q.awaitTermination()
+    return round_doubles(spark.read.parquet(f"{root}/out").drop("batch_id"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name[2:]: fn for name, fn in sorted(globals().items()) if name.startswith("q_") and callable(fn)
 }

@@ -653,7 +653,19 @@ def f17_selection() -> str:
                          *curve_ctes(), *rule_ctes(competitor=1.2), SELECTED, SEL_METRICS)
 
 
+def e01_linear_single() -> str:
+    fit = """fit AS (SELECT regr_slope(demand_score, number_of_reviews) AS b, regr_intercept(demand_score, number_of_reviews) AS a
+  FROM scored WHERE NOT is_test AND number_of_reviews IS NOT NULL AND demand_score IS NOT NULL)"""
+    pr = """pr AS (SELECT s.demand_score AS y, f.a + f.b * s.number_of_reviews AS p FROM scored s, fit f
+  WHERE s.is_test AND s.number_of_reviews IS NOT NULL)"""
+    split = f"spl AS (SELECT *, {TEST_FLAG} AS is_test FROM listings)"
+    return with_listings(f"""SELECT {R('sqrt(avg((y - p) * (y - p)))')} AS rmse, {R('avg(abs(y - p))')} AS mae,
+  {R(f'{D(1)} - sum((y - p) * (y - p)) / regr_syy(y, p)')} AS r2 FROM pr""", split, demand_cte("spl"), fit, pr)
+
+
 ORACLES = {
+    "e01_linear_single": e01_linear_single,
+    "s01_stream_inference": h1_inference,
     "h1_inference": h1_inference,
     "h1_inference_room_elasticity": h1_inference_room_elasticity,
     "g08_inference_summary": g08_inference_summary,
