@@ -7,8 +7,8 @@ Each rule has two forms:
   * the plain name filters the curve (the option is removed before selection).
 
 Group statistics (band limits, room-type averages) are partial aggregates
-joined back on the group key; the tables have one row per group, and AQE
-broadcasts them when their measured size is small.  Rows whose group key is
+attached on the group key with ``joins.attach_stats``: counted first and
+broadcast when small, so the exploded curve is never shuffled for them.  Rows whose group key is
 NULL are never restricted by a group rule.
 """
 
@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rateweave.functions.exprs import lit_double
+from rateweave.operators.joins import attach_stats
 
 # Fixed defaults of the business rules.
 MAX_CHANGE_PCT = 20.0
@@ -62,7 +63,7 @@ def band_ok(curve: DataFrame, group_col: str, lo_factor: float, hi_factor: float
            .filter(F.col(group_col).isNotNull()))
     cand = F.col(candidate)
     violates = F.coalesce((cand < F.col("_band_lo")) | (cand > F.col("_band_hi")), F.lit(False))
-    return (curve.join(lim, on=group_col, how="left")
+    return (attach_stats(curve, lim, group_col)
             .withColumn(out, ~violates)
             .drop("_band_lo", "_band_hi"))
 

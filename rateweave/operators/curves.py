@@ -1,9 +1,10 @@
 """Candidate price grids and demand curves.
 
-Row-local grids are arrays built with ``sequence`` + ``transform`` (no shuffle);
-long curves use ``posexplode`` so the option number is the grid index.  The
-explode multiplies rows by ``n`` (10-30); ``repartition_before_explode`` spreads
-few large input files over more tasks first.
+Row-local grids are ``array(...)`` expressions unrolled at plan time (n is a
+constant), so they stay inside whole-stage codegen; long curves use
+``posexplode`` so the option number is the grid index.  The explode multiplies
+rows by ``n`` (10-30); ``explode_grid(repartition=...)`` spreads few large input
+files over more tasks first.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from rateweave.functions.exprs import (
     DEFAULT_ELASTICITY,
     col,
     elastic_demand,
+    grid_point,
     lit_double,
     round_half_even_fp,
 )
@@ -42,17 +44,12 @@ def price_grid(price: str | Column, n: int, lo_f: float, hi_f: float, floor: flo
     Bounded form (defaults): lo = max(p*lo_f, 1), hi = max(p*hi_f, lo + 1), 2 dp.
     ``floor=None, min_span=None, scale=None`` gives the unbounded, unrounded grid."""
     lo, hi = grid_bounds(col(price), lo_f, hi_f, floor, min_span)
-    if n == 1:
-        pts = F.array(lo)
-    else:
-        step = (hi - lo) / lit_double(n - 1)
-        pts = F.transform(
-            F.sequence(F.lit(0), F.lit(n - 1)),
-            lambda i: F.when(i == n - 1, hi).otherwise(lo + i.cast("double") * step),
-        )
+    # n is a plan-time constant: the points are unrolled into one array(...)
+    # expression (whole-stage codegen), not a per-row lambda.
+    pts = [grid_point(lo, hi, i, n) for i in range(n)]
     if scale is not None:
-        pts = F.transform(pts, lambda p: round_half_even_fp(p, scale))
-    return pts
+        pts = [round_half_even_fp(p, scale) for p in pts]
+    return F.array(*pts)
 
 
 def explode_grid(df: DataFrame, grid: Column, price_out: str = "candidate_price",

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rateweave.functions.exprs import finite_or_null
+from rateweave.operators.joins import attach_stats
 
 # Fixed split settings (20 % test, seed 42).
 TEST_FRACTION = 0.2
@@ -59,7 +60,7 @@ def apply_frequency(df: DataFrame, freq: DataFrame, c: str, unseen_zero: bool =
     """Map values to their train frequency.  ``unseen_zero`` (test side): values
     not in train, and NULL, become 0; otherwise unmatched stays NULL."""
     out_col = f"{c}_freq"
-    j = df.join(freq, on=c, how="left")
+    j = attach_stats(df, freq, c)
     val = F.coalesce(F.col(out_col), F.lit(0.0)) if unseen_zero else F.col(out_col)
     j = j.withColumn(out_col, val)
     return j.drop(c).withColumnRenamed(out_col, c) if replace else j

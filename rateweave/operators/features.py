@@ -21,6 +21,7 @@ from rateweave.functions.exprs import (
     log1p_clip,
     safe_div,
 )
+from rateweave.operators.joins import attach_stats
 
 # Fixed weights and fills of the composite demand score.
 DEMAND_WEIGHTS = (0.5, 0.3, 0.2)
@@ -98,7 +99,7 @@ def room_area_cross(null_text: str | None = None) -> Column:
 def target_mean(df: DataFrame, key: str, value: str, out: str) -> DataFrame:
     """D-8: mean of ``value`` per ``key`` mapped back to each row; NULL key -> NULL."""
     means = df.groupBy(key).agg(F.avg(value).alias(out)).filter(F.col(key).isNotNull())
-    return df.join(means, on=key, how="left")
+    return attach_stats(df, means, key)
 
 
 def engineer_batch(df: DataFrame) -> DataFrame:

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rateweave.operators.joins import attach_stats
 from rateweave.operators.quantiles import exact_quantiles, long_columns, quantile_columns
 
 NUMERIC_TYPES = (T.DoubleType, T.FloatType, T.IntegerType, T.LongType, T.ShortType, T.ByteType, T.DecimalType)
@@ -97,7 +98,7 @@ def iqr_outliers(df: DataFrame, cols: Sequence[str] | None = None, k: float = IQ
     q = (q.withColumn("iqr", F.col("q3") - F.col("q1"))
           .withColumn("lower", F.col("q1") - F.lit(float(k)) * F.col("iqr"))
           .withColumn("upper", F.col("q3") + F.lit(float(k)) * F.col("iqr")))
-    counts = (long.join(q.select("column", "lower", "upper"), "column")
+    counts = (attach_stats(long, q.select("column", "lower", "upper"), "column", how="inner")
                   .groupBy("column")
                   .agg(F.count_if((F.col("value") < F.col("lower")) | (F.col("value") > F.col("upper")))
                        .alias("n_outliers")))
@@ -134,7 +135,7 @@ def box_stats(df: DataFrame, value: str, by: str | None = None, k: float = IQR_K
     q = quantile_columns(exact_quantiles(data, "value", probs, by=keys), probs, ["q1", "median", "q3"], by=keys)
     q = (q.withColumn("_lf", F.col("q1") - F.lit(float(k)) * (F.col("q3") - F.col("q1")))
           .withColumn("_uf", F.col("q3") + F.lit(float(k)) * (F.col("q3") - F.col("q1"))))
-    joined = data.join(q, keys) if keys else data.withColumn("_q", q.select(
+    joined = attach_stats(data, q, keys, how="inner") if keys else data.withColumn("_q", q.select(
         F.struct(*q.columns)).scalar()).select("value", "_q.*")
     inside = (F.col("value") >= F.col("_lf")) & (F.col("value") <= F.col("_uf"))
     agg = joined.groupBy(*keys).agg(

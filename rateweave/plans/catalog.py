@@ -57,8 +57,8 @@ def q_h1_inference_room_elasticity(spark, sf_dir):
     e = F.lit(None).cast("double")
     for k, v in ROOM_ELASTICITY.items():
         e = F.when(F.col("room_type") == k, F.lit(v)).otherwise(e)
-    pred = jobs.prediction_frame(jobs.target_inference_input(lst)).join(
-        lst.select(F.col("listing_id").cast("string").alias("listing_id"), e.alias("elasticity")), "listing_id")
+    pred = jobs.prediction_frame(jobs.target_inference_input(lst.withColumn("elasticity", e)),
+                                 carry=["elasticity"])
     best = select.best_price_elastic(pred, elasticity="elasticity")
     return round_doubles(report.build_report(best))
 

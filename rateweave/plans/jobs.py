@@ -18,9 +18,10 @@ from rateweave.operators.curves import CURVE_HI, CURVE_LO, CURVE_POINTS
 
 
 def prediction_frame(df: DataFrame, demand: str = "demand_score", key: str = "listing_id",
-                     price: str = "price") -> DataFrame:
-    """E-11 output shape: id, current price, demand before, revenue before = price × demand."""
-    return df.select(
+                     price: str = "price", carry: list[str] | None = None) -> DataFrame:
+    """E-11 output shape: id, current price, demand before, revenue before = price × demand
+    (plus ``carry`` columns riding along, e.g. a per-listing elasticity)."""
+    return df.select(*(carry or []),
         F.col(key).alias("listing_id"),
         F.col(price).alias("current_price"),
         F.col(demand).alias("predicted_demand_before"),

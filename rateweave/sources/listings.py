@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rateweave.operators.joins import attach_stats
+from rateweave.session import cut_lineage
 from rateweave.sources.io import read_table
 
 # Fixed mapping of part type to room type (the adapter's definition).
@@ -71,19 +73,24 @@ def listings_from_parts(part: DataFrame, lineitem: DataFrame) -> DataFrame:
         F.col("p_brand").alias("_brand"),
         F.col("p_type").alias("_ptype"),
     )
-    # Competitor reference: mean price of parts sharing brand and type.  A grouped
-    # aggregate joined back (partial aggregation; AQE broadcasts it when its
-    # measured size is small, otherwise a skew-aware sort-merge join).
-    comp = base.groupBy("_brand", "_ptype").agg(F.avg("price").alias("competitor_avg_price"))
-    return base.join(comp, ["_brand", "_ptype"], "left").drop("_brand", "_ptype")
-
-
-def load_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # Competitor reference: mean price of parts sharing brand and type.  It needs
+    # only ``part``; the grouped aggregate (one row per brand × type) is counted
+    # and broadcast when small, so the listing side is not shuffled for it.
+    comp = (part.groupBy(F.col("p_brand").alias("_brand"), F.col("p_type").alias("_ptype"))
+                .agg(F.avg(price).alias("competitor_avg_price")))
+    return attach_stats(base, comp, ["_brand", "_ptype"]).drop("_brand", "_ptype")
+
+
+def load_listings(spark: SparkSession, sf_dir: str, materialize: bool = True) -> DataFrame:
+    """The listing table.  It is read several times per job (fitted statistics,
+    group bands, the main pass), so by default it is written once to the shared
+    checkpoint directory and the lineitem aggregation runs once."""
     part = read_table(spark, sf_dir, "part").select(
         "p_partkey", "p_brand", "p_type", "p_size", "p_retailprice")
     lineitem = read_table(spark, sf_dir, "lineitem").select(
         "l_partkey", "l_suppkey", "l_orderkey", "l_quantity")
-    return listings_from_parts(part, lineitem)
+    out = listings_from_parts(part, lineitem)
+    return cut_lineage(out) if materialize else out
 
 
 # The same listing derivation in ANSI SQL (DuckDB dialect), used as the head
