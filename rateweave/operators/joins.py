@@ -2,10 +2,11 @@
 
 A statistics table (one row per group: band limits, means, frequencies) has
 as many rows as the group key has values, which is not known in advance.
-``attach_stats`` materialises the table once in the shared checkpoint
-directory, counts it, and broadcasts it only when the count is within
-``broadcast_rows``.  The large side is then joined without being shuffled,
-so a hot group key costs nothing extra.  Beyond the limit it falls back to a
+``attach_stats`` caches the table, counts it (one job that also fills the
+cache; lost blocks are recomputed from lineage), and broadcasts it only when
+the count is within ``broadcast_rows`` (a stats row is a key and a few
+doubles, so the limit keeps a broadcast in the tens of MB).  The large side is
+then joined without being shuffled, so a hot group key costs nothing extra.  Beyond the limit it falls back to a
 regular shuffle join, which AQE splits when a key is skewed.
 """
 
@@ -16,16 +17,14 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rateweave.session import cut_lineage
-
-BROADCAST_ROWS = 2_000_000
+BROADCAST_ROWS = 1_000_000
 
 
 def attach_stats(df: DataFrame, stats: DataFrame, on: str | Sequence[str], how: str = "left",
                  broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Join ``stats`` (one row per key) onto ``df``, broadcasting only after a size check."""
     keys = [on] if isinstance(on, str) else list(on)
-    small = cut_lineage(stats)
+    small = stats.cache()
     n = small.count()
     side = F.broadcast(small) if n <= broadcast_rows else small
     return df.join(side, on=keys, how=how)
