@@ -68,10 +68,18 @@ def apply_frequency(df: DataFrame, freq: DataFrame, c: str, unseen_zero: bool =
 
 # ---------------------------------------------------------------- D-14
 
-def fit_categories(train: DataFrame, c: str) -> list[str]:
-    """Sorted distinct values (the one-hot column set must be known when planning;
-    its size is the column's cardinality, not the row count)."""
-    return [r[0] for r in train.filter(F.col(c).isNotNull()).select(c).distinct().orderBy(c).collect()]
+MAX_CATEGORIES = 10_000
+
+
+def fit_categories(train: DataFrame, c: str, max_categories: int = MAX_CATEGORIES) -> list[str]:
+    """Sorted distinct values.  The one-hot column set must be known when
+    planning, so the values come to the driver; a column with more than
+    ``max_categories`` values is refused (use frequency encoding or the
+    ``StringIndexer`` vector path instead) rather than pulled whole."""
+    vals = train.filter(F.col(c).isNotNull()).select(c).distinct().orderBy(c).limit(max_categories + 1).collect()
+    if len(vals) > max_categories:
+        raise ValueError(f"column {c!r} has more than {max_categories} distinct values; not one-hot encodable")
+    return [r[0] for r in vals]
 
 
 def one_hot(df: DataFrame, c: str, categories: Sequence[str], drop_input: bool = True) -> DataFrame:

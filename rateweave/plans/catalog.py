@@ -324,6 +324,13 @@ def q_f10_budget(spark, sf_dir):
                                     "expected_revenue", "abs_price_change_pct"))
 
 
+def q_f10_budget_summary(spark, sf_dir):
+    from rateweave.operators import budget
+
+    _, s = budget.select_with_budget(_curve(spark, sf_dir), max_avg_pct=budget.DEFAULT_MAX_AVG_PCT)
+    return round_doubles(budget.budget_summary_frame(spark, s))
+
+
 # ------------------------------------------------------------------ E (rows-only: fitted models)
 
 MODEL_NUMERIC = ["price", "service_fee", "minimum_nights", "number_of_reviews", "review_rate_number",
