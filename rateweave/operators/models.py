@@ -175,3 +175,30 @@ def model_curve(listings: DataFrame, model, n: int = 15, lo_f: float = 0.8, hi_f
     keep = [c for c in ("room_type", "neighbourhood_group", "competitor_avg_price") if c in out.columns]
     return out.select("listing_id", "option_id", "current_price", "candidate_price", "predicted_demand",
                       "expected_revenue", "price_change", "price_change_pct", *keep)
+
+
+def train_models(train: DataFrame, kinds: Sequence[str], numeric: Sequence[str], categorical: Sequence[str],
+                 label: str = "demand_score", params: Mapping[str, Mapping] | None = None,
+                 parallel: int = 4) -> dict:
+    """H-3 training stage: fit the preprocessor once, materialise (features, label)
+    once in the shared checkpoint directory, then fit every regressor on that
+    table, concurrently (each fit is its own set of distributed jobs).  Each
+    returned model is a full PipelineModel: shared fitted preprocessing stages
+    plus its regressor, so it scores raw listing rows."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    from pyspark.ml import PipelineModel
+
+    from rateweave.session import cut_lineage
+
+    params = dict(params or {})
+    prep = build_preprocessor(numeric, categorical, label=label).fit(train)
+    feats = cut_lineage(prep.transform(train).select("features", label))
+    st = feats.agg(F.count(label).alias("n"), F.stddev_samp(label).alias("s")).first()
+
+    def fit_one(kind: str):
+        est = _estimator(kind, label, "features", params.get(kind), st["n"], st["s"])
+        return kind, PipelineModel(stages=[*prep.stages, est.fit(feats)])
+
+    with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
+        return dict(pool.map(fit_one, list(kinds)))

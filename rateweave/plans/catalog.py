@@ -356,8 +356,7 @@ def q_h3_training(spark, sf_dir):
 
     train, test = _train_test(spark, sf_dir)
     train, test = cut_lineage(train), cut_lineage(test)
-    fitted = {k: models.fit_model(train, k, MODEL_NUMERIC, MODEL_CATEGORICAL)
-              for k in ("linear", "ridge", "forest", "gbt")}
+    fitted = models.train_models(train, ("linear", "ridge", "forest", "gbt"), MODEL_NUMERIC, MODEL_CATEGORICAL)
     cmp = models.compare_models(fitted, test)
     best = models.select_best(cmp).scalar()
     return cmp.withColumn("is_best", F.col("model") == best).drop("_order")

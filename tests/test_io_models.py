@@ -108,3 +108,17 @@ def test_tune_and_run_log(spark):
     assert spark.read.parquet(os.path.join(d, "runs")).count() == 2
     sub = models.tuning_subset(train, 100)
     assert sub.count() == 100 and sub.select("listing_id").distinct().count() == 100
+
+
+def test_train_models_shared_preprocessing(spark):
+    import numpy as np
+
+    from rateweave.operators import models
+
+    train, test = _train_test(spark)
+    both = models.train_models(train, ("linear", "ridge"), NUM, CAT, parallel=2)
+    assert set(both) == {"linear", "ridge"}
+    single = models.fit_model(train, "linear", NUM, CAT)
+    a = [r[0] for r in both["linear"].transform(test).orderBy("listing_id").select("prediction").collect()]
+    b = [r[0] for r in single.transform(test).orderBy("listing_id").select("prediction").collect()]
+    assert np.allclose(a, b, rtol=1e-6, atol=1e-9)
