@@ -46,7 +46,7 @@ def inference_job(listings: DataFrame, model=None, elasticity: float | str = DEF
     if model is not None:
         from rateweave.operators.models import score
 
-        pred = score(listings, model)
+        pred = score(clean.prepare_inference_input(listings), model)
     else:
         pred = prediction_frame(target_inference_input(listings))
     best = select.best_price_elastic(pred, n=n, lo_f=lo_f, hi_f=hi_f, elasticity=elasticity)
