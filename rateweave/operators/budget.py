@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 DEFAULT_MAX_AVG_PCT = 10.0
 GRID = 32
 PASSES = 4
+SATURATED = 1e-4       # stop refining once the chosen cost is within 0.01 % of the budget
 
 
 def change_cost(curve: DataFrame, current: str = "current_price", candidate: str = "candidate_price",
@@ -50,14 +51,31 @@ def _choice(lam: float | None, v, c, opt):
 
 
 def _evaluate(curve: DataFrame, lams: list[float | None], key: str, revenue: str, cost: str, option: str):
-    """One pass: for each λ, total chosen cost, total revenue and Σ max (v - λc)."""
-    v, c, opt = F.col(revenue), F.col(cost), F.col(option)
-    per = curve.groupBy(key).agg(*[
-        F.max_by(F.struct(c.alias("c"), v.alias("v")), _choice(lam, v, c, opt)).alias(f"s{k}")
-        for k, lam in enumerate(lams)])
-    row = per.agg(*[x for k in range(len(lams)) for x in (
-        F.sum(f"s{k}.c").alias(f"c{k}"), F.sum(f"s{k}.v").alias(f"v{k}"))],
-        F.count(F.lit(1)).alias("n")).first()
+    """One pass: for each λ, the total cost and revenue of the per-listing choice.
+
+    Evaluation uses scalar keys only (``max_by(cost, v - λ·cost)``); exact ties
+    may resolve to any maximiser here.  The final selection breaks ties towards
+    the lower cost, so its total cost at the same λ is never above the value
+    computed here, and a λ found feasible here stays feasible."""
+    v, c = F.col(revenue), F.col(cost)
+    aggs = []
+    for k, lam in enumerate(lams):
+        if lam is None:          # cheapest option
+            aggs += [F.min(c).alias(f"c{k}"), F.lit(0.0).alias(f"v{k}")]
+        elif lam == 0.0:         # best revenue
+            aggs += [F.max_by(c, v).alias(f"c{k}"), F.max(v).alias(f"v{k}")]
+        else:
+            score = v - F.lit(float(lam)) * c
+            aggs += [F.max_by(c, score).alias(f"c{k}"), F.max(score).alias(f"m{k}")]
+    per = curve.groupBy(key).agg(*aggs)
+    sums = []
+    for k, lam in enumerate(lams):
+        sums.append(F.sum(f"c{k}").alias(f"c{k}"))
+        if lam is not None and lam != 0.0:
+            sums.append(F.sum(F.col(f"m{k}") + F.lit(float(lam)) * F.col(f"c{k}")).alias(f"v{k}"))
+        else:
+            sums.append(F.sum(f"v{k}").alias(f"v{k}"))
+    row = per.agg(*sums, F.count(F.lit(1)).alias("n")).first()
     return [(lam, row[f"c{k}"] or 0.0, row[f"v{k}"] or 0.0) for k, lam in enumerate(lams)], row["n"]
 
 
@@ -90,8 +108,9 @@ def select_with_budget(curve: DataFrame, max_avg_pct: float = DEFAULT_MAX_AVG_PC
                 hi = min(hi, lam_k)
             else:
                 lo = max(lo, lam_k)
+        c_hi = min((ck for lam_k, ck, _ in evals[2:] if lam_k == hi), default=None)
         for _ in range(passes - 1):
-            if math.isinf(hi):
+            if math.isinf(hi) or (c_hi is not None and c_hi >= budget * (1.0 - SATURATED)):
                 break
             a = math.log10(lo) if lo > 0 else math.log10(hi) - 12
             b = math.log10(hi)
@@ -99,7 +118,8 @@ def select_with_budget(curve: DataFrame, max_avg_pct: float = DEFAULT_MAX_AVG_PC
             ev, _ = _evaluate(c, lams, key, revenue, cost, option)
             for lam_k, ck, _ in ev:
                 if ck <= budget:
-                    hi = min(hi, lam_k)
+                    if lam_k < hi:
+                        hi, c_hi = lam_k, ck
                 else:
                     lo = max(lo, lam_k)
         lam = hi if not math.isinf(hi) else None
