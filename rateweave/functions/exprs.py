@@ -3,8 +3,6 @@ JVM-side built-in functions, so it stays inside whole-stage codegen."""
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -98,6 +96,3 @@ def grid_point(lo: Column, hi: Column, i: int, n: int) -> Column:
         return hi
     return lo + F.lit(float(i)) * ((hi - lo) / F.lit(float(n - 1)))
 
-
-def struct_greatest(structs: Iterable[Column]) -> Column:
-    return F.greatest(*list(structs))

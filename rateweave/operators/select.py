@@ -18,7 +18,6 @@ from rateweave.functions.exprs import (
     DEFAULT_ELASTICITY,
     col,
     elastic_demand,
-    grid_point,
     lit_double,
     round_half_even_fp,
 )
