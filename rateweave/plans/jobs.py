@@ -84,3 +84,95 @@ def recommendation_job(curve: DataFrame, change_pct: float | None = None, area_p
                                       hierarchy=hierarchy, competitor_factor=competitor_factor, bounds=bounds)
     sel = select.optimize_curve(flagged, feasible="feasible").filter(F.col("feasible")).drop("feasible")
     return report.build_recommendations(sel)
+
+
+# ---------------------------------------------------------------- runnable jobs (inputs -> sinks)
+
+def run_inference(spark, source, out_dir: str, model_path: str | None = None,
+                  elasticity: float | str = DEFAULT_ELASTICITY) -> dict:
+    """H-1 end to end: listing input (path, list of candidate paths, or DataFrame)
+    -> report CSV + summary JSON under ``out_dir``.  The report is written once and
+    the summary is computed from the written table."""
+    from rateweave.sources import io
+
+    if isinstance(source, (list, tuple)):
+        source = io.resolve_first(spark, list(source))
+    listings = io.read_listings(spark, source)
+    model = io.load_model(model_path) if model_path else None
+    rep = inference_job(listings, model=model, elasticity=elasticity)
+    out = out_dir.rstrip("/")
+    io.write_report(rep, f"{out}/price_recommendations", fmt="parquet")
+    written = spark.read.parquet(f"{out}/price_recommendations")
+    io.write_report(written, f"{out}/price_recommendations_csv")
+    summary = report.inference_summary(written)
+    io.write_summary(summary, f"{out}/inference_summary")
+    return summary.first().asDict()
+
+
+def run_recommendation(spark, listings: DataFrame, out_dir: str, model=None, max_avg_pct: float | None = None,
+                       **rules) -> dict:
+    """H-2 end to end: curve (model or target) -> rules -> selection (or budgeted
+    selection) -> business table CSV + summary JSON + curve Parquet."""
+    from rateweave.operators import budget as budget_op
+    from rateweave.sources import io
+    from rateweave.session import cut_lineage
+
+    if model is not None:
+        from rateweave.operators.models import model_curve
+
+        curve = model_curve(listings, model)
+    else:
+        curve = target_curve(listings)
+    curve = cut_lineage(curve)                       # read by rules, selection and summary
+    out = out_dir.rstrip("/")
+    io.write_curve(curve, f"{out}/demand_price_curve")
+    extra = {}
+    if max_avg_pct is not None:
+        flagged = constraints.apply_rules(curve, **rules) if rules else curve.withColumn("feasible", F.lit(True))
+        sel, extra = budget_op.select_with_budget(flagged.filter(F.col("feasible")).drop("feasible"), max_avg_pct)
+        sel = select.selection_reason(select.selection_metrics(sel.withColumnRenamed("candidate_price",
+                                                                                     "recommended_price")))
+        recs = report.build_recommendations(sel)
+    else:
+        recs = recommendation_job(curve, **rules)
+    io.write_report(recs, f"{out}/price_recommendations")
+    written = spark.read.option("header", True).option("inferSchema", False).csv(f"{out}/price_recommendations")
+    summary = report.recommendation_summary(recs)
+    io.write_summary(summary, f"{out}/optimization_summary")
+    result = summary.first().asDict()
+    result["budget"] = extra
+    result["rows_written"] = written.count()
+    return result
+
+
+def run_profile(spark, df: DataFrame, out_dir: str) -> None:
+    """C-6 + A-5: nested profile document as JSON."""
+    from rateweave.operators import profile
+    from rateweave.sources import io
+
+    io.write_summary(profile.data_summary(df), f"{out_dir.rstrip('/')}/data_summary")
+
+
+def run_clean_and_engineer(df: DataFrame, out_path: str) -> DataFrame:
+    """H-4: clean, engineer, write the feature table (A-6)."""
+    from rateweave.sources import io
+
+    out = features.engineer_batch(clean.clean_batch(df))
+    io.write_curve(out, out_path)
+    return out
+
+
+def run_encoders(train: DataFrame, test: DataFrame, one_hot_cols, freq_cols, scale_cols):
+    """H-5: standalone one-hot + frequency encoding and population-std scaling fit on
+    train, applied to both sides."""
+    from rateweave.operators import encoders
+
+    for c in one_hot_cols:
+        cats = encoders.fit_categories(train, c)
+        train, test = encoders.one_hot(train, c, cats), encoders.one_hot(test, c, cats)
+    for c in freq_cols:
+        f = encoders.fit_frequency(train, c)
+        train = encoders.apply_frequency(train, f, c, unseen_zero=False, replace=True)
+        test = encoders.apply_frequency(test, f, c, unseen_zero=True, replace=True)
+    st = encoders.fit_std_scaler(train, scale_cols)
+    return encoders.apply_std_scaler(train, st, scale_cols), encoders.apply_std_scaler(test, st, scale_cols)
