@@ -52,12 +52,15 @@ def limit_change(curve: DataFrame, max_pct: float = MAX_CHANGE_PCT, **kw) -> Dat
 # ---------------------------------------------------------------- F-12 / F-13
 
 def band_ok(curve: DataFrame, group_col: str, lo_factor: float, hi_factor: float, out: str,
-            current: str = "current_price", candidate: str = "candidate_price") -> DataFrame:
+            current: str = "current_price", candidate: str = "candidate_price",
+            stats_from: DataFrame | None = None) -> DataFrame:
     """Candidate must lie in [min(current)·lo_factor, max(current)·hi_factor] of its group.
-    Absent group column -> rule skipped (all TRUE)."""
+    Absent group column -> rule skipped (all TRUE).  ``stats_from`` (default: the
+    curve itself) is the frame the group limits are computed from."""
     if group_col not in curve.columns:
         return curve.withColumn(out, F.lit(True))
-    lim = (curve.groupBy(group_col)
+    src = stats_from if stats_from is not None else curve
+    lim = (src.groupBy(group_col)
            .agg((F.min(current) * lit_double(lo_factor)).alias("_band_lo"),
                 (F.max(current) * lit_double(hi_factor)).alias("_band_hi"))
            .filter(F.col(group_col).isNotNull()))
@@ -70,6 +73,7 @@ def band_ok(curve: DataFrame, group_col: str, lo_factor: float, hi_factor: float
 
 def area_band_ok(curve: DataFrame, group_col: str = "neighbourhood_group",
                  deviation_pct: float = AREA_DEVIATION_PCT, out: str = "ok_area", **kw) -> DataFrame:
+    """F-12 as a flag."""
     d = float(deviation_pct) / 100.0
     return band_ok(curve, group_col, 1.0 - d, 1.0 + d, out, **kw)
 
@@ -95,7 +99,7 @@ def room_band(curve: DataFrame, group_col: str = "room_type", lo_factor: float =
 
 def room_hierarchy_ok(curve: DataFrame, ranks: Mapping[str, int] | None = None, group_col: str = "room_type",
                       out: str = "ok_hierarchy", current: str = "current_price",
-                      candidate: str = "candidate_price") -> DataFrame:
+                      candidate: str = "candidate_price", stats_from: DataFrame | None = None) -> DataFrame:
     """A ranked room type may not be priced above the average current price
     (mean over curve rows) of any higher-ranked type present.  Unranked types
     are exempt.  The per-type averages are one tiny aggregate; the thresholds
@@ -103,7 +107,8 @@ def room_hierarchy_ok(curve: DataFrame, ranks: Mapping[str, int] | None = None,
     ranks = dict(ROOM_RANKS if ranks is None else ranks)
     if group_col not in curve.columns:
         return curve.withColumn(out, F.lit(True))
-    avgs = curve.groupBy(group_col).agg(F.avg(current).alias("_avg"))
+    src = stats_from if stats_from is not None else curve
+    avgs = src.groupBy(group_col).agg(F.avg(current).alias("_avg"))
     rank_of = F.lit(None).cast("int")
     for name, r in ranks.items():
         rank_of = F.when(F.col(group_col) == name, F.lit(r)).otherwise(rank_of)
@@ -161,18 +166,19 @@ def apply_rules(curve: DataFrame, change_pct: float | None = MAX_CHANGE_PCT,
                 out: str = "feasible") -> DataFrame:
     """Evaluate the enabled rules as flags and AND them into ``out``.
 
-    Group statistics are taken over the unfiltered curve, as the rules are
-    evaluated side by side (each independently forces options to zero)."""
+    Group statistics are taken over the unfiltered input curve (the rules are
+    evaluated side by side; each independently forces options to zero), so no
+    statistic re-runs another rule's join."""
     flags = []
     c = curve
     if change_pct is not None:
         c = limit_change_ok(c, change_pct); flags.append("ok_change")
     if area_pct is not None:
-        c = area_band_ok(c, deviation_pct=area_pct); flags.append("ok_area")
+        c = area_band_ok(c, deviation_pct=area_pct, stats_from=curve); flags.append("ok_area")
     if room_band:
-        c = room_band_ok(c); flags.append("ok_room_band")
+        c = room_band_ok(c, stats_from=curve); flags.append("ok_room_band")
     if hierarchy:
-        c = room_hierarchy_ok(c); flags.append("ok_hierarchy")
+        c = room_hierarchy_ok(c, stats_from=curve); flags.append("ok_hierarchy")
     if competitor_factor is not None:
         c = competitor_cap_ok(c, competitor_factor); flags.append("ok_competitor")
     if bounds is not None:
