@@ -122,3 +122,22 @@ def test_train_models_shared_preprocessing(spark):
     a = [r[0] for r in both["linear"].transform(test).orderBy("listing_id").select("prediction").collect()]
     b = [r[0] for r in single.transform(test).orderBy("listing_id").select("prediction").collect()]
     assert np.allclose(a, b, rtol=1e-6, atol=1e-9)
+
+
+def test_ridge_matches_closed_form(spark):
+    import numpy as np
+
+    from rateweave.operators import models
+
+    train, _ = _train_test(spark)
+    m = models.fit_model(train, "ridge", NUM, CAT)
+    prep_out = m.transform(train).select("features", "demand_score").toPandas()
+    X = np.vstack([v.toArray() for v in prep_out["features"]])
+    y = prep_out["demand_score"].to_numpy()
+    xm, ym = X.mean(axis=0), y.mean()
+    Xc, yc = X - xm, y - ym
+    w = np.linalg.solve(Xc.T @ Xc + 1.0 * np.eye(X.shape[1]), Xc.T @ yc)
+    b = ym - xm @ w
+    lr = m.stages[-1]
+    assert np.allclose(lr.coefficients.toArray(), w, rtol=1e-5, atol=1e-7)
+    assert lr.intercept == pytest.approx(b, rel=1e-5, abs=1e-7)
