@@ -186,6 +186,7 @@ def data_summary(df: DataFrame) -> DataFrame:
     shape = profile_shape(df)
     miss = profile_missing(df).agg(F.collect_list(F.struct("column", "missing_count", "missing_pct")).alias("missing"))
     dist = profile_distinct(df).agg(F.collect_list(F.struct("column", "n_distinct")).alias("distinct"))
-    num = profile_numeric(df).agg(F.collect_list(F.struct(*[c for c in profile_numeric(df).columns])).alias("numeric"))
+    desc = profile_numeric(df)
+    num = desc.agg(F.collect_list(F.struct(*desc.columns)).alias("numeric"))
     return (shape.withColumn("missing", miss.scalar()).withColumn("distinct", dist.scalar())
                  .withColumn("numeric", num.scalar()))

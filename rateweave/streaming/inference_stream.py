@@ -18,22 +18,27 @@ from rateweave.operators import clean, features, report, select
 from rateweave.plans import jobs
 
 
-def score_batch(batch: DataFrame, reference: DataFrame, elasticity: float = -1.2) -> DataFrame:
-    """H-1 on one batch, demand statistics fitted on ``reference`` (prepared input)."""
+def score_batch(batch: DataFrame, reference: DataFrame | None, elasticity: float = -1.2, model=None) -> DataFrame:
+    """H-1 on one batch: demand from a fitted ``model``, or the demand target with
+    its statistics fitted on ``reference`` (prepared input)."""
+    if model is not None:
+        return jobs.inference_job(batch, model=model, elasticity=elasticity)
     prepared = clean.prepare_inference_input(batch)
     scored = features.demand_score(prepared, fit_on=reference)
     best = select.best_price_elastic(jobs.prediction_frame(scored), elasticity=elasticity)
     return report.build_report(best)
 
 
-def start_inference_stream(spark: SparkSession, source_dir: str, schema: T.StructType, reference: DataFrame,
-                           sink_dir: str, checkpoint_dir: str, available_now: bool = True, max_files: int = 64):
-    """Start the streaming job: parquet listing files in ``source_dir`` -> report rows in ``sink_dir``."""
+def start_inference_stream(spark: SparkSession, source_dir: str, schema: T.StructType, reference: DataFrame | None,
+                           sink_dir: str, checkpoint_dir: str, available_now: bool = True, max_files: int = 64,
+                           model=None):
+    """Start the streaming job: parquet listing files in ``source_dir`` -> report rows in ``sink_dir``.
+    Pass either ``reference`` (fit of the demand target) or a fitted ``model``."""
     stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(source_dir))
-    ref = clean.prepare_inference_input(reference)
+    ref = clean.prepare_inference_input(reference) if reference is not None else None
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        (score_batch(batch, ref).withColumn("batch_id", F.lit(batch_id))
+        (score_batch(batch, ref, model=model).withColumn("batch_id", F.lit(batch_id))
             .write.mode("overwrite").parquet(f"{sink_dir.rstrip('/')}/batch_id={batch_id}"))
 
     w = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint_dir)

@@ -91,3 +91,24 @@ def test_streaming_inference_equals_batch(spark):
     b = entry.queries()["h1_inference"](spark, SF_SMALL)
     assert s.count() == b.count()
     assert s.exceptAll(b).count() == 0 and b.exceptAll(s).count() == 0
+
+
+def test_streaming_with_model(spark):
+    import tempfile
+
+    from rateweave.operators import clean, encoders, features, models
+    from rateweave.plans import jobs
+    from rateweave.sources.listings import load_listings
+    from rateweave.streaming.inference_stream import start_inference_stream
+
+    lst = load_listings(spark, SF_SMALL)
+    train, _ = encoders.split(clean.drop_leakage(features.demand_score(lst)))
+    m = models.fit_model(train, "linear", ["price", "number_of_reviews"], ["room_type"])
+    root = tempfile.mkdtemp(prefix="rateweave-stream-", dir="/tmp")
+    lst.repartition(3).write.parquet(f"{root}/in")
+    q = start_inference_stream(spark, f"{root}/in", lst.schema, None, f"{root}/out", f"{root}/ck", max_files=1, model=m)
+    q.awaitTermination()
+    got = spark.read.parquet(f"{root}/out").drop("batch_id")
+    want = jobs.inference_job(lst, model=m)
+    assert got.count() == want.count()
+    assert got.exceptAll(want).count() == 0
