@@ -90,6 +90,14 @@ def q_b16_filter_defaults(spark, sf_dir):
     return round_doubles(report.dashboard_table(report.filter_recommendations(_report(spark, sf_dir))))
 
 
+def q_f05_explorer_listing(spark, sf_dir):
+    """Explorer view: one listing of the persisted report -> its 30-point
+    elasticity curve (demand and revenue at each price)."""
+    row = report.listing_row(_report(spark, sf_dir), str(LOOKUP_ID)).select(
+        "listing_id", "current_price", "predicted_demand_before", "optimized_price")
+    return round_doubles(curves.elastic_curve(row))
+
+
 def q_g13_listing_insight(spark, sf_dir):
     return round_doubles(report.listing_insight(_report(spark, sf_dir), str(LOOKUP_ID)))
 

@@ -190,6 +190,21 @@ def b16_filter_defaults() -> str:
     return _rep(DASH + " WHERE current_price BETWEEN (SELECT min(current_price) FROM rep2) AND (SELECT max(current_price) FROM rep2)")
 
 
+def f05_explorer_listing() -> str:
+    n = 30
+    body = f"""SELECT listing_id, {R('current_price')} AS current_price, {R('predicted_demand_before')} AS predicted_demand_before,
+  {R('optimized_price')} AS optimized_price, option_id, {R('candidate_price')} AS candidate_price,
+  {R('predicted_demand')} AS predicted_demand, {R('candidate_price * predicted_demand')} AS expected_revenue
+FROM (SELECT x.*, x.predicted_demand_before * pow(CASE WHEN x.current_price = 0 THEN NULL
+                                                      ELSE x.candidate_price / x.current_price END, {D(-1.2)}) AS predicted_demand
+      FROM (SELECT r.listing_id, r.current_price, r.predicted_demand_before, r.optimized_price, CAST(t.i AS INTEGER) AS option_id,
+                   CASE WHEN t.i = {n - 1} THEN r.current_price * {D(1.3)}
+                        ELSE r.current_price * {D(0.7)} + CAST(t.i AS DOUBLE)
+                             * ((r.current_price * {D(1.3)} - r.current_price * {D(0.7)}) / {D(n - 1)}) END AS candidate_price
+            FROM rep2 r CROSS JOIN range(0, {n}) t(i) WHERE r.listing_id = '42') x) y"""
+    return _rep(body)
+
+
 def g13_listing_insight() -> str:
     return _rep(f"""SELECT listing_id, {R('current_price')} AS current_price, {R('optimized_price')} AS optimized_price,
   {R('expected_improvement')} AS revenue_gain FROM rep2 WHERE listing_id = '42'""")
@@ -674,6 +689,7 @@ ORACLES = {
     "b16_filter_recommendations": b16_filter_recommendations,
     "b16_filter_defaults": b16_filter_defaults,
     "g13_listing_insight": g13_listing_insight,
+    "f05_explorer_listing": f05_explorer_listing,
     "b04_inference_input": b04_inference_input,
     "b05_parse_money": b05_parse_money,
     "b07_impute_median": b07_impute_median,
