@@ -3,6 +3,8 @@ Python versions of the reference semantics (sequential scan, strict improvement)
 
 import math
 
+import pytest
+
 import numpy as np
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -66,3 +68,47 @@ def test_select_best_option_matches_python(spark, listings):
     got = {r["listing_id"]: r["option_id"] for r in select.select_best_option(df).collect()}
     want = {i: max(range(len(opts)), key=lambda j: (opts[j], -j)) for i, opts in enumerate(listings)}
     assert got == want
+
+
+@pytest.fixture(scope="module")
+def small_curve(spark):
+    from rateweave.plans import jobs
+    from rateweave.sources.listings import load_listings
+
+    return jobs.target_curve(load_listings(spark, "/root/testdata/sf0.01")).toPandas()
+
+
+@pytest.mark.parametrize("rules", [dict(change_pct=10.0), dict(area_pct=25.0, room_band=True),
+                                   dict(change_pct=20.0, area_pct=25.0, room_band=True, hierarchy=True,
+                                        competitor_factor=1.2)])
+def test_recommendation_properties(spark, small_curve, rules):
+    from rateweave.operators import constraints, select
+
+    curve = spark.createDataFrame(small_curve)
+    flagged = constraints.apply_rules(curve, **rules).toPandas()
+    feasible = flagged[flagged.feasible]
+    sel = select.optimize_curve(constraints.apply_rules(curve, **rules), feasible="feasible").toPandas()
+    chosen = sel[sel.feasible]
+    # exactly one row per listing with a feasible option, none for the others
+    assert sorted(chosen.listing_id) == sorted(feasible.listing_id.unique())
+    assert set(sel[~sel.feasible].listing_id) == set(flagged.listing_id) - set(feasible.listing_id)
+    # the selected revenue is the best feasible revenue; ties -> lowest option
+    best = feasible.sort_values(["expected_revenue", "option_id"], ascending=[False, True]).groupby("listing_id").head(1)
+    m = chosen.merge(best, on="listing_id", suffixes=("", "_b"))
+    assert (m.option_id == m.option_id_b).all() and (m.expected_revenue == m.expected_revenue_b).all()
+    # rules only shrink: more rules never add feasible options
+    base = constraints.apply_rules(curve, change_pct=None).toPandas()
+    assert base.feasible.all() and len(feasible) <= len(base)
+
+
+def test_forest_quality_threshold(spark):
+    from rateweave.operators import clean, encoders, features, models
+    from rateweave.sources.listings import load_listings
+
+    data = clean.drop_leakage(features.demand_score(load_listings(spark, "/root/testdata/sf0.01")))
+    train, test = encoders.split(data)
+    m = models.fit_model(train, "forest", ["price", "service_fee", "minimum_nights", "number_of_reviews",
+                                           "review_rate_number"], ["room_type", "neighbourhood_group"],
+                         params={"numTrees": 50, "maxDepth": 10})
+    r2 = models.regression_metrics(m.transform(test)).first()["r2"]
+    assert r2 > 0.2
