@@ -97,7 +97,7 @@ def select_with_budget(curve: DataFrame, max_avg_pct: float = DEFAULT_MAX_AVG_PC
     cheapest = evals[1]
     summary = {"num_listings": int(n), "budget": budget, "status": "optimal"}
     if unconstrained[1] <= budget:
-        lam = 0.0
+        lam = lam_bound = 0.0
     elif cheapest[1] > budget:
         summary.update(status="infeasible", min_cost=cheapest[1])
         return c.limit(0), summary
@@ -127,16 +127,20 @@ def select_with_budget(curve: DataFrame, max_avg_pct: float = DEFAULT_MAX_AVG_PC
         summary["status"] = "feasible"
     v, cc, opt = F.col(revenue), F.col(cost), F.col(option)
     payload_cols = [x for x in c.columns if x != key]
-    sel = (c.groupBy(key).agg(F.max_by(F.struct(*[F.col(x) for x in payload_cols]), _choice(lam, v, cc, opt)).alias("_s"))
-             .select(key, *[F.col("_s." + x).alias(x) for x in payload_cols]))
-    tot = sel.agg(F.sum(cost).alias("c"), F.sum(revenue).alias("v")).first()
+    bound = None if lam == 0.0 else lam_bound
+    # one grouped pass: the chosen option per listing and, for the dual bound,
+    # max_j (v - λc); materialised so totals and the caller read it cheaply
+    per = cut_lineage(c.groupBy(key).agg(
+        F.max_by(F.struct(*[F.col(x) for x in payload_cols]), _choice(lam, v, cc, opt)).alias("_s"),
+        (F.max(v - F.lit(bound) * cc) if bound is not None else F.lit(None).cast("double")).alias("_m")))
+    sel = per.select(key, *[F.col("_s." + x).alias(x) for x in payload_cols])
+    tot = per.agg(F.sum(f"_s.{cost}").alias("c"), F.sum(f"_s.{revenue}").alias("v"), F.sum("_m").alias("m")).first()
     used, value = float(tot["c"] or 0.0), float(tot["v"] or 0.0)
-    if lam == 0.0:
+    if bound is None:
         upper = value                      # unconstrained optimum is attained
     else:
         # weak duality: any multiplier gives an upper bound on the optimum
-        dual = c.groupBy(key).agg(F.max(v - F.lit(lam_bound) * cc).alias("_m")).agg(F.sum("_m")).first()[0]
-        upper = float(dual) + lam_bound * budget
+        upper = float(tot["m"]) + bound * budget
     summary.update(multiplier=lam, used_cost=used, objective=value, upper_bound=upper,
                    gap=max(upper - value, 0.0))
     return sel, summary
