@@ -60,3 +60,22 @@ def test_distinct_and_missing(spark):
     assert m == {"s": 1, "x": 2}
     assert profile.value_counts(df, "s").first()["s"] == "a"
     assert F is not None
+
+
+def test_approx_paths_close_to_exact(spark):
+    from rateweave.operators import clean
+    from rateweave.operators.quantiles import column_quantiles
+
+    rng = np.random.default_rng(3)
+    vals = rng.normal(50, 10, 5000)
+    df = spark.createDataFrame([(float(v), None if i % 10 == 0 else float(v)) for i, v in enumerate(vals)],
+                               "x double, y double")
+    ex = column_quantiles(df, ["x", "y"], [0.25, 0.5, 0.75])
+    ap = column_quantiles(df, ["x", "y"], [0.25, 0.5, 0.75], accuracy=10_000)
+    for c in ("x", "y"):
+        for a, b in zip(ex[c], ap[c]):
+            assert abs(a - b) < 0.5
+    d = profile.profile_numeric(df, ["x"], accuracy=10_000).first()
+    assert abs(d["q50"] - float(np.median(vals))) < 0.5
+    filled = clean.impute_median(df, ["y"], approx_accuracy=10_000)
+    assert filled.filter("y IS NULL").count() == 0
