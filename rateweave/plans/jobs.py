@@ -74,16 +74,23 @@ def target_curve(listings: DataFrame, n: int = CURVE_POINTS, lo_f: float = CURVE
 
 def recommendation_job(curve: DataFrame, change_pct: float | None = None, area_pct: float | None = None,
                        room_band: bool = False, hierarchy: bool = False,
-                       competitor_factor: float | None = None, bounds: tuple | None = None) -> DataFrame:
+                       competitor_factor: float | None = None, bounds: tuple | None = None,
+                       on_infeasible: str = "report") -> DataFrame:
     """H-2: rules as flags -> one option per feasible listing -> business table.
 
     Rules are evaluated side by side on the whole curve and selection is one
-    aggregation over listing id; infeasible listings drop out (listed by
-    ``infeasible_report``)."""
+    aggregation over listing id.  Listings left without an allowed option drop
+    out of the table (``on_infeasible="report"``; list them with
+    ``select.select_best_option(..., feasible=...)``) or fail the job
+    (``on_infeasible="error"``, the solver's behaviour)."""
+    if on_infeasible not in ("report", "error"):
+        raise ValueError("on_infeasible must be 'report' or 'error'")
     flagged = constraints.apply_rules(curve, change_pct=change_pct, area_pct=area_pct, room_band=room_band,
                                       hierarchy=hierarchy, competitor_factor=competitor_factor, bounds=bounds)
-    sel = select.optimize_curve(flagged, feasible="feasible").filter(F.col("feasible")).drop("feasible")
-    return report.build_recommendations(sel)
+    sel = select.optimize_curve(flagged, feasible="feasible")
+    if on_infeasible == "error":
+        select.require_feasible(sel)
+    return report.build_recommendations(sel.filter(F.col("feasible")).drop("feasible"))
 
 
 # ---------------------------------------------------------------- runnable jobs (inputs -> sinks)

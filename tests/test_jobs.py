@@ -48,3 +48,15 @@ def test_run_profile_clean_encoders(spark):
     m = a.agg(F.avg("price"), F.stddev_pop("price")).first()
     assert abs(m[0]) < 1e-9 and abs(m[1] - 1) < 1e-9
     assert b.count() == te.count()
+
+
+def test_recommendation_on_infeasible_error(spark):
+    import pytest
+
+    from rateweave.plans import jobs
+    from rateweave.sources.listings import load_listings
+
+    curve = jobs.target_curve(load_listings(spark, SF_SMALL))
+    assert jobs.recommendation_job(curve, bounds=(0.0, 1e9), on_infeasible="error").count() > 0
+    with pytest.raises(RuntimeError, match="No feasible"):
+        jobs.recommendation_job(curve, bounds=(1e8, 1e9), on_infeasible="error")
