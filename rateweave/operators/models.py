@@ -23,6 +23,7 @@ CV_FOLDS = 3
 FOREST_GRID = {"numTrees": [100, 150], "maxDepth": [10, 20, 30], "minInstancesPerNode": [1, 5]}
 GBT_GRID = {"maxIter": [100, 200], "maxDepth": [3, 6], "stepSize": [0.05, 0.1]}
 MAX_SPARK_DEPTH = 30
+FOREST_NODE_MEMORY_MB = 1024
 
 
 def _estimator(kind: str, label: str, features: str, params: Mapping | None = None, n_train: int | None = None,
@@ -43,7 +44,10 @@ def _estimator(kind: str, label: str, features: str, params: Mapping | None = No
         return RandomForestRegressor(featuresCol=features, labelCol=label,
                                      numTrees=int(p.get("numTrees", FOREST_TREES)),
                                      maxDepth=min(int(p.get("maxDepth", FOREST_DEPTH)), MAX_SPARK_DEPTH),
-                                     minInstancesPerNode=int(p.get("minInstancesPerNode", 1)), seed=SPLIT_SEED)
+                                     minInstancesPerNode=int(p.get("minInstancesPerNode", 1)), seed=SPLIT_SEED,
+                                     # deep trees: larger node batches per pass and cached node ids
+                                     # mean fewer passes over the data (same model family and params)
+                                     maxMemoryInMB=FOREST_NODE_MEMORY_MB, cacheNodeIds=True)
     if kind == "gbt":
         return GBTRegressor(featuresCol=features, labelCol=label, maxIter=int(p.get("maxIter", GBT_ITER)),
                             maxDepth=int(p.get("maxDepth", GBT_DEPTH)), stepSize=float(p.get("stepSize", GBT_STEP)),
@@ -167,6 +171,13 @@ def model_curve(listings: DataFrame, model, n: int = 15, lo_f: float = 0.8, hi_f
     from rateweave.functions.exprs import clip_lower
 
     base = listings.withColumn("current_price", F.col("price"))
+    if repartition is None:
+        # scoring n candidates per listing is the expensive step: when the listing
+        # input arrives in fewer partitions than the cluster has cores, spread the
+        # (un-exploded) listings first; at scale this is a no-op
+        par = base.sparkSession.sparkContext.defaultParallelism
+        if base.rdd.getNumPartitions() < par:
+            repartition = par
     grid = curves.price_grid("current_price", n, lo_f, hi_f)
     ex = curves.explode_grid(base, grid, repartition=repartition).withColumn("price", F.col("candidate_price"))
     pred = model.transform(ex)
