@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 from rateweave.session import cut_lineage
 
 BLOCK_BYTES = 2 << 20
+#: Documents in a block fit 16 bits, so that (block << 16) + index is a document's place.
+BLOCK_DOCS = 1 << 16
 NULL_ID = np.int64(np.iinfo(np.int64).max)
 
 BLOCK_SCHEMA = "n_docs int, n_bytes long, ids binary, no_id binary, lengths binary, data binary"
@@ -40,11 +42,11 @@ def string_parts(column: pa.ChunkedArray | pa.Array) -> tuple[np.ndarray, np.nda
 
 
 def cuts(offsets: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
-    """Row ranges of at most ``most`` bytes each; a longer row stands alone."""
+    """Row ranges of at most ``most`` bytes and BLOCK_DOCS rows each; a longer row stands alone."""
     i, n = 0, len(offsets) - 1
     while i < n:
         j = int(np.searchsorted(offsets, offsets[i] + most, side="right")) - 1
-        j = min(max(j, i + 1), n)
+        j = min(max(j, i + 1), i + BLOCK_DOCS, n)
         yield i, j
         i = j
 
@@ -79,7 +81,8 @@ def write_blocks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     documents stand by id, null ids last.  Null texts count as empty."""
     packed = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")) \
         .mapInArrow(_packer(block_bytes), BLOCK_SCHEMA)
-    return cut_lineage(packed.withColumn("block", F.monotonically_increasing_id()))
+    made = F.monotonically_increasing_id()               # partition << 33 + row of the partition
+    return cut_lineage(packed.withColumn("block", F.shiftleft(F.shiftright(made, 33), 24) + made.bitwiseAND((1 << 33) - 1)))
 
 
 class Block:
