@@ -12,6 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -24,6 +25,7 @@ BLOCK_DOCS = 1 << 16
 NULL_ID = np.int64(np.iinfo(np.int64).max)
 
 BLOCK_SCHEMA = "n_docs int, n_bytes long, ids binary, no_id binary, lengths binary, data binary"
+OPEN_COLUMNS = ["block", "ids", "no_id", "lengths", "data"]
 
 
 def string_parts(column: pa.ChunkedArray | pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -51,7 +53,7 @@ def cuts(offsets: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
         i = j
 
 
-def _packer(block_bytes: int):
+def _packer(block_bytes: int, rest: list[str] | None):
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         squeeze = zstandard.ZstdCompressor(level=3)
         for batch in batches:
@@ -62,25 +64,41 @@ def _packer(block_bytes: int):
             flat, offsets = string_parts(batch.column(1).take(pa.array(order)))
             ids, no_id = ids[order], no_id[order]
             rows = []
+            if rest is not None:
+                other = pa.Table.from_batches([batch]).select(rest).append_column(
+                    "no text", batch.column(1).is_null()).take(pa.array(order))
             for i, j in cuts(offsets, block_bytes):
                 lengths = np.diff(offsets[i: j + 1]).astype(np.int32)
                 data = flat[offsets[i]: offsets[j]].tobytes()
                 rows.append((j - i, len(data), ids[i:j].tobytes(), no_id[i:j].tobytes(), lengths.tobytes(),
-                             squeeze.compress(data)))
+                             squeeze.compress(data), _written(other.slice(i, j - i)) if rest is not None else None))
             if rows:
+                n = 6 if rest is None else 7
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.int64())]
-                    + [pa.array([r[k] for r in rows], pa.binary()) for k in range(2, 6)],
-                    names=["n_docs", "n_bytes", "ids", "no_id", "lengths", "data"])
+                    + [pa.array([r[k] for r in rows], pa.binary()) for k in range(2, n)],
+                    names=["n_docs", "n_bytes", "ids", "no_id", "lengths", "data", "rest"][:n])
     return pack
 
 
+def _written(table: pa.Table) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        out.write_table(table)
+    return sink.getvalue().to_pybytes()
+
+
 def write_blocks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                 block_bytes: int = BLOCK_BYTES) -> DataFrame:
+                 block_bytes: int = BLOCK_BYTES, whole_rows: bool = False) -> DataFrame:
     """A written table of blocks (BLOCK_SCHEMA and a unique ``block``).  Within a block
-    documents stand by id, null ids last.  Null texts count as empty."""
-    packed = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")) \
-        .mapInArrow(_packer(block_bytes), BLOCK_SCHEMA)
+    documents stand by id, null ids last.  Null texts count as empty.  With ``whole_rows``
+    the other columns go along, for ``Block.rows``."""
+    other = [c for c in docs.columns if c != text_col] if whole_rows else []
+    names = [f"r{k}" for k in range(len(other))]
+    own = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"),
+                      *[F.col(c).alias(n) for c, n in zip(other, names)])
+    packed = own.mapInArrow(_packer(block_bytes, names if whole_rows else None),
+                            BLOCK_SCHEMA + (", rest binary" if whole_rows else ""))
     made = F.monotonically_increasing_id()               # partition << 33 + row of the partition
     return cut_lineage(packed.withColumn("block", F.shiftleft(F.shiftright(made, 33), 24) + made.bitwiseAND((1 << 33) - 1)))
 
@@ -99,6 +117,15 @@ class Block:
     def of(cls, table: pa.Table, row: int = 0) -> Block:
         return cls(*(table.column(c)[row].as_py() for c in ("ids", "no_id", "lengths", "data")))
 
+    def rows(self, rest: bytes, index: np.ndarray, columns: list[str], text_col: str) -> pa.Table:
+        """Whole rows of the documents as they came, with their columns in the given order."""
+        other = pa.ipc.open_stream(rest).read_all()
+        offsets = pa.py_buffer(self.starts.astype(np.int64).tobytes())
+        text = pa.LargeStringArray.from_buffers(len(self.ids), offsets, pa.py_buffer(self.data.tobytes()))
+        text = pa.compute.if_else(other.column("no text").combine_chunks(), None, text).cast(pa.string())
+        parts = iter(other.columns[:-1])
+        return pa.table([text if c == text_col else next(parts) for c in columns], names=columns).take(pa.array(index))
+
     def id_array(self, rows: np.ndarray | None = None) -> pa.Array:
         ids, mask = (self.ids, self.no_id) if rows is None else (self.ids[rows], self.no_id[rows])
         return pa.array(ids, pa.int64(), mask=np.array(mask))

@@ -189,7 +189,7 @@ def _meet(table: pa.Table) -> pa.Table:
     return pa.table({"a": pa.array(edge[:, 0]), "b": pa.array(edge[:, 1]), "equal": pa.array(edge[:, 2] > 0)})
 
 
-def _open(words: int, n_rest: int):
+def _open(words: int):
     """Rows of the documents, and the sets that their groups ask for."""
     def fn(key, left: pa.Table, right: pa.Table) -> pa.Table:
         kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
@@ -357,7 +357,7 @@ def linked_documents(table: DataFrame, words: int = 5, num: int = 80, den: int =
     """For a table of blocks, a row for each document: node (its place: block and index), doc_id,
     n_shingles and ``component``, the first node of its component."""
     n = B.n_shares(table, SHARE_BYTES)
-    cols = table.select("block", "ids", "no_id", "lengths", "data")
+    cols = table.select(*B.OPEN_COLUMNS)
     keys = cols.mapInArrow(_send_keys(words, num, den, n),
                            "share int, block long, keys binary, owners binary, equal binary")
     met = cut_lineage(keys.groupBy("share").applyInArrow(_meet, "a long, b long, equal boolean")
@@ -367,7 +367,7 @@ def linked_documents(table: DataFrame, words: int = 5, num: int = 80, den: int =
     own = groups.join(copies, groups.node == copies.a, "left_anti")
     several = own.groupBy("group").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("group")
     asked = own.join(several, "group").select("node", "group", F.shiftright("node", 16).alias("block"))
-    opened = cut_lineage(cols.groupBy("block").cogroup(asked.groupBy("block")).applyInArrow(_open(words, 0), OPENED))
+    opened = cut_lineage(cols.groupBy("block").cogroup(asked.groupBy("block")).applyInArrow(_open(words), OPENED))
     sets = opened.where("group is not null").select("group", "node", "shingles")
     links = _tasks(sets, n, group_sets).groupBy("task", "i", "j").applyInArrow(_join_groups(num, den), "a long, b long")
     joined = components(links.unionByName(copies))
@@ -382,3 +382,26 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     rows = cut_lineage(linked_documents(B.write_blocks(docs, id_col, text_col), words, num, den))
     least = rows.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     return rows.join(least, "component").select("doc_id", "n_shingles", "component_id")
+
+
+def _kept(columns: list[str], text_col: str):
+    def fn(left: pa.Table, right: pa.Table) -> pa.Table:
+        parts = []
+        for r in range(left.num_rows):
+            own = np.sort(right.column("node").to_numpy() & 0xFFFF)
+            parts.append(B.Block.of(left, r).rows(left.column("rest")[r].as_py(), own, columns, text_col))
+        return pa.concat_tables(parts)
+    return fn
+
+
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5,
+                         num: int = 80, den: int = 100) -> DataFrame:
+    """The documents of which one of each component stays, with all their columns: the one with
+    the smallest doc_id, null ids last, and of one id the first in place."""
+    table = B.write_blocks(docs, id_col, text_col, whole_rows=True)
+    rows = linked_documents(table, words, num, den)
+    first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "node")
+    kept = cut_lineage(rows.groupBy("component").agg(F.min(first)["node"].alias("node"))
+                       .select("node", F.shiftright("node", 16).alias("block")))
+    opened = table.select(*B.OPEN_COLUMNS, "rest").groupBy("block").cogroup(kept.groupBy("block"))
+    return opened.applyInArrow(_kept(docs.columns, text_col), docs.schema)

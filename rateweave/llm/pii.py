@@ -76,6 +76,10 @@ def _valid(kind: str, value: Column) -> Column:
     return F.lit(True)
 
 
+def _checker(kind: str):
+    return lambda span: _valid(kind, span["value"])
+
+
 def _proposals(found: Column, pieces: Column) -> Column:
     """Matches with their places (code points, end exclusive), from the pieces around them."""
     kind = "struct<at:int,out:array<struct<start:int,end:int,value:string>>>"
@@ -97,6 +101,11 @@ def _score(kind: str, text: Column, span: Column) -> Column:
     return F.when(near.rlike(f"(?i)\\b(?:{words})"), F.lit(min(1.0, score + 0.1))).otherwise(F.lit(score))
 
 
+def _scored(kind: str, text: Column):
+    return lambda span: F.struct(span["start"].alias("start"), span["end"].alias("end"),
+                                 _score(kind, text, span).alias("score"))
+
+
 def find(docs: DataFrame, text_col: str = "text", prefix: str = "pii_") -> DataFrame:
     """``docs`` with a column ``pii_<kind>`` for each kind: its spans with start, end and score."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
@@ -109,25 +118,30 @@ def find(docs: DataFrame, text_col: str = "text", prefix: str = "pii_") -> DataF
     spans = {}
     for kind in PATTERNS:
         own = F.when(F.size(f"{prefix}{kind}_m") > 0, F.filter(
-            _proposals(F.col(f"{prefix}{kind}_m"), F.col(f"{prefix}{kind}_p")), lambda s, k=kind: _valid(k, s["value"])))
+            _proposals(F.col(f"{prefix}{kind}_m"), F.col(f"{prefix}{kind}_p")), _checker(kind)))
         spans[f"{prefix}{kind}"] = F.coalesce(own, F.array().cast(_NONE))
     out = out.withColumns(spans).drop(*found, *pieces)
-    return out.withColumns({f"{prefix}{kind}": F.transform(f"{prefix}{kind}", lambda s, k=kind: F.struct(
-        s["start"].alias("start"), s["end"].alias("end"), _score(k, text, s).alias("score"))) for kind in PATTERNS})
+    return out.withColumns({f"{prefix}{kind}": F.transform(f"{prefix}{kind}", _scored(kind, text)) for kind in PATTERNS})
+
+
+def _each(kinds: list[str], prefix: str, made) -> Column:
+    """The spans of all kinds in one array, each as ``made(kind, span)``."""
+    def of(kind: str):
+        return lambda span: made(kind, span)
+    return F.concat(*[F.transform(f"{prefix}{k}", of(k)) for k in kinds])
 
 
 def _written(kinds: list[str], prefix: str) -> Column:
-    return F.array_join(F.concat(*[F.transform(f"{prefix}{k}", lambda s, k=k: F.concat_ws(
-        ":", F.lit(k), s["start"].cast("string"), s["end"].cast("string"))) for k in kinds]), ",")
+    return F.array_join(_each(kinds, prefix, lambda kind, s: F.concat_ws(
+        ":", F.lit(kind), s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
 def report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row for each document: doc_id, a count for each base kind, base_sha256, spans, and
     ``scored``, all spans with their kinds and scores."""
     own = find(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")))
-    scored = F.concat(*[F.transform(f"pii_{k}", lambda s, k=k: F.struct(
-        F.lit(k).alias("kind"), s["start"].alias("start"), s["end"].alias("end"), s["score"].alias("score")))
-        for k in PATTERNS])
+    scored = _each(list(PATTERNS), "pii_", lambda kind, s: F.struct(
+        F.lit(kind).alias("kind"), s["start"].alias("start"), s["end"].alias("end"), s["score"].alias("score")))
     return own.select("doc_id", *[F.size(f"pii_{k}").cast("long").alias(f"n_{k}") for k in BASE],
                       F.sha2(_written(BASE, "pii_"), 256).alias("base_sha256"),
                       _written(list(PATTERNS), "pii_").alias("spans"), scored.alias("scored"))
@@ -137,8 +151,8 @@ def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """``docs`` with every span of personal data replaced by its kind in brackets; of spans that
     overlap the first gives the name.  Null texts stay null."""
     own = find(docs, text_col, "_pii_")
-    spans = F.array_sort(F.concat(*[F.transform(f"_pii_{k}", lambda s, k=k: F.struct(
-        s["start"].alias("start"), s["end"].alias("end"), F.lit(f"<{k.upper()}>").alias("tag"))) for k in PATTERNS]))
+    spans = F.array_sort(_each(list(PATTERNS), "_pii_", lambda kind, s: F.struct(
+        s["start"].alias("start"), s["end"].alias("end"), F.lit(f"<{kind.upper()}>").alias("tag"))))
     kind = "struct<at:int,out:string>"
     text = F.col(text_col)
 

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from rateweave.llm import (chat_trees, decontaminate, hash_tree, ngram_join, packing, pii, quality, spot_signatures,
                            suffix_dedup, token_files)
+from rateweave.llm.oracle_sql import ORACLE_SQL  # noqa: F401
 from rateweave.session import ensure_checkpoint_dir
 
 
@@ -91,5 +92,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op1_suffix_dedup, op2_best_fit_packing, op3_chat_trees, op4_ngram_join, op5_quality, op6_hash_tree,
         op7_decontaminate, op8_pii, op9_spot_signatures, op10_token_files)
 }
-
-ORACLE_SQL: dict[str, str] = {}

@@ -360,11 +360,11 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     character, so they are binary)."""
     table = B.write_blocks(docs, id_col, text_col)
     n = B.n_shares(table, SHARE_BYTES)
-    asked = table.select("block", "ids", "no_id", "lengths", "data").mapInArrow(
+    asked = table.select(*B.OPEN_COLUMNS).mapInArrow(
         _ask(length, gram, n), "share int, block long, keys binary, counts binary")
     answers = cut_lineage(asked.groupBy("share").applyInArrow(_answer, ANSWER))
     hot = _often(answers)
-    opened = table.select("block", "ids", "no_id", "lengths", "data").groupBy("block")
+    opened = table.select(*B.OPEN_COLUMNS).groupBy("block")
     sent = cut_lineage(opened.cogroup(answers.select("block", "share", "bits").groupBy("block")).applyInArrow(
         _send(length, gram, n, hot), SENT))
     found = sent.where("share >= 0").groupBy("share").applyInArrow(_resolve(length), "block long, spans binary")
