@@ -33,14 +33,12 @@ def ids_of(tokenizer, text):
     return tokenizer.encode(text or "", add_special_tokens=False).ids
 
 
-@settings(max_examples=300, deadline=None)
+@settings(max_examples=1500, deadline=None)
 @given(st.lists(st.text(alphabet=" \n\t abé'sl!<>|1日", max_size=30), max_size=5))
 def test_encoder_equals_tokenizer(texts):
-    from tokenizers import Tokenizer
-
-    t = Tokenizer.from_file(PATH)
-    t.encode_special_tokens = True
-    got = T.encoder(PATH).encode(texts)
+    enc = T.encoder(PATH)
+    t = enc.tokenizer
+    got = enc.encode(texts)
     assert [np.frombuffer(g, "<u4").tolist() for g in got] == [ids_of(t, x) for x in texts]
 
 
