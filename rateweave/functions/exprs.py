@@ -44,16 +44,39 @@ def round_half_even_fp(c: str | Column, digits: int = 2) -> Column:
 
 
 def fmt2(c: str | Column) -> Column:
-    """Two-decimal text without thousands separators (``format_number`` adds them)."""
-    return F.format_string("%.2f", col(c))
+    """Two-decimal text of the double's exact value, ties to even (C's ``%.2f``).
+
+    The JVM formats the shortest decimal instead, half up, which differs for 0.125 or
+    2.675.  x * 100 is split into a rounded product and its exact error, so the side of
+    the tie is known; what is formatted then has two decimals already."""
+    x = F.abs(col(c))
+    p = x * F.lit(100.0)
+    high = x * F.lit(134217729.0) - (x * F.lit(134217729.0) - x)
+    error = (high * F.lit(100.0) - p) + (x - high) * F.lit(100.0)
+    whole = F.floor(p).cast("double")
+    rest = p - whole
+    up = (rest > 0.5) | ((rest == 0.5) & ((error > 0) | ((error == 0) & (whole % 2 == 1))))
+    cents = F.when(up, whole + F.lit(1.0)).otherwise(whole)
+    exact = F.when(x < F.lit(1e13), cents / F.lit(100.0)).otherwise(x)      # beyond, doubles have no cents
+    return F.concat(F.when(col(c).cast("string").startswith("-"), F.lit("-")).otherwise(F.lit("")), F.format_string("%.2f", exact))
 
 
 # ---------------------------------------------------------------- text
 
+# Decimal notation only: the JVM's parser also takes suffixes ('5d') and 'Infinity'.
+NUMBER = r"^[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?$"
+
+
+def parse_number(c: str | Column, strict: bool = False) -> Column:
+    """Text in decimal notation -> finite double; other text -> NULL, or an error when strict."""
+    text = F.trim(col(c).cast("string"))
+    other = F.raise_error(F.concat(F.lit("not a number: "), text)).cast("double") if strict else F.lit(None).cast("double")
+    return F.when(text.rlike(NUMBER), finite_or_null(text.try_cast("double"))).when(text.isNotNull(), other)
+
+
 def parse_money(c: str | Column, strict: bool = False) -> Column:
     """'$1,234' -> 1234.0.  Non-numeric text -> NULL, or a runtime error when strict."""
-    cleaned = F.trim(F.regexp_replace(col(c).cast("string"), r"[$,]", ""))
-    return cleaned.cast("double") if strict else cleaned.try_cast("double")
+    return parse_number(F.regexp_replace(col(c).cast("string"), r"[$,]", ""), strict)
 
 
 def std_text(c: str | Column) -> Column:

@@ -4,151 +4,183 @@
     s.t.      Σ_j x(i, j) = 1 for every listing i
               Σ abs_pct(i, j) x(i, j) <= N · max_avg_pct      (N = listings)
 
-A multiple-choice knapsack.  An exact MILP does not distribute, so the
-problem is solved through its Lagrangian relaxation: for a multiplier λ >= 0
-every listing independently picks argmax_j (revenue - λ·cost); the chosen
-total cost C(λ) falls as λ grows.  One pass evaluates ``grid`` multipliers
-at once: a single grouped aggregation with one ``max_by`` per multiplier (partial
-aggregation, so no listing's options are ever gathered in one place) followed
-by one global sum.  A few passes bracket the smallest λ with C(λ) <= budget.
-
-The selection at that λ is feasible; Σ_i max_j (v - λc) + λ·B is an upper
-bound on the optimum (weak duality), so the reported gap is a certificate.
-If the budget does not bind (C(0) <= B) the result is exactly the
-unconstrained selection (ties -> lowest option).  If even the cheapest option
-of every listing exceeds the budget, the problem is infeasible.
+A multiple-choice knapsack.  Each listing starts at its cheapest option; its upper hull
+(cost against revenue) gives the steps that can be worth their cost, each with an
+efficiency, revenue gained per cost, that falls from step to step.  Taking all listings'
+steps in the order of their efficiency until the budget is spent is the optimum of the
+relaxed problem; stopping before the first step that doesn't fit loses less than that
+one step.  Steps of one efficiency are ordered by a hash of their listing, so equal
+listings split at the cut and the budget is used to within one step.
+
+The hull is row-local, on the options of a listing packed in one row.  The cut is found
+coarse to fine: costs are summed by ranges of efficiency (the ranges are quantiles of the
+steps themselves, whatever the unit of revenue), and only the range that holds the cut is
+looked at again, until it is small enough to be ordered in one task.  Costs are summed as
+decimals, so the cut doesn't depend on how rows are dealt out.
+
+Options without a revenue or a cost, and those that a rule forbids, are never taken.  N
+counts every listing of the curve; listings left without an option are counted in the
+summary and have no row in the selection.
 """
 
 from __future__ import annotations
 
-import math
+from decimal import Decimal
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from rateweave.functions.exprs import round_half_even_fp
+from rateweave.session import cut_lineage
+
 DEFAULT_MAX_AVG_PCT = 10.0
-GRID = 32
-PASSES = 4
-SATURATED = 1e-4       # stop refining once the chosen cost is within 0.01 % of the budget
+GATHER = 100_000
+RANGES = 64
+MONEY = "decimal(38,6)"
 
 
 def change_cost(curve: DataFrame, current: str = "current_price", candidate: str = "candidate_price",
                 out: str = "abs_price_change_pct") -> DataFrame:
     """|candidate - current| / current · 100, current 0 -> divisor 1."""
-    cur = F.col(current)
-    return curve.withColumn(out, F.abs(F.col(candidate) - cur) / F.when(cur == 0, F.lit(1.0)).otherwise(cur)
-                            * F.lit(100.0))
-
-
-def _choice(lam: float | None, v, c, opt):
-    """Ordering for argmax_j (v - λc); ties -> lower cost, then lower option.
-    λ = None means +inf (cheapest option, ties -> higher revenue)."""
-    if lam is None:
-        return F.struct(-c, v, -opt)
-    if lam == 0.0:
-        return F.struct(v, -opt)
-    return F.struct(v - F.lit(float(lam)) * c, -c, -opt)
-
-
-def _evaluate(curve: DataFrame, lams: list[float | None], key: str, revenue: str, cost: str, option: str):
-    """One pass: for each λ, the total cost and revenue of the per-listing choice.
-
-    Evaluation uses scalar keys only (``max_by(cost, v - λ·cost)``); exact ties
-    may resolve to any maximiser here.  The final selection breaks ties towards
-    the lower cost, so its total cost at the same λ is never above the value
-    computed here, and a λ found feasible here stays feasible."""
-    v, c = F.col(revenue), F.col(cost)
-    aggs = []
-    for k, lam in enumerate(lams):
-        if lam is None:          # cheapest option
-            aggs += [F.min(c).alias(f"c{k}"), F.lit(0.0).alias(f"v{k}")]
-        elif lam == 0.0:         # best revenue
-            aggs += [F.max_by(c, v).alias(f"c{k}"), F.max(v).alias(f"v{k}")]
-        else:
-            score = v - F.lit(float(lam)) * c
-            aggs += [F.max_by(c, score).alias(f"c{k}"), F.max(score).alias(f"m{k}")]
-    per = curve.groupBy(key).agg(*aggs)
-    sums = []
-    for k, lam in enumerate(lams):
-        sums.append(F.sum(f"c{k}").alias(f"c{k}"))
-        if lam is not None and lam != 0.0:
-            sums.append(F.sum(F.col(f"m{k}") + F.lit(float(lam)) * F.col(f"c{k}")).alias(f"v{k}"))
-        else:
-            sums.append(F.sum(f"v{k}").alias(f"v{k}"))
-    row = per.agg(*sums, F.count(F.lit(1)).alias("n")).first()
-    return [(lam, row[f"c{k}"] or 0.0, row[f"v{k}"] or 0.0) for k, lam in enumerate(lams)], row["n"]
+    return curve.withColumn(out, _cost(F.col(current), F.col(candidate)))
+
+
+def _cost(cur: Column, cand: Column) -> Column:
+    return F.abs(cand - cur) / F.when(cur == 0, F.lit(1.0)).otherwise(cur) * F.lit(100.0)
+
+
+def _hull(options: Column) -> Column:
+    """Options on the upper hull from the cheapest on, each with the efficiency of the step to it."""
+    kind = "array<struct<c:double,v:double,o:bigint,eff:double>>"
+    first = F.element_at(options, 1)
+    start = F.array(F.struct(first["c"].alias("c"), first["v"].alias("v"), first["o"].alias("o"),
+                             F.lit(float("inf")).alias("eff"))).cast(kind)
+
+    def step(hull: Column, _: Column) -> Column:
+        cur = F.element_at(hull, -1)
+        ahead = F.filter(options, lambda x: (x["c"] > cur["c"]) & (x["v"] > cur["v"]))
+        best = F.array_max(F.transform(ahead, lambda x: F.struct(
+            ((x["v"] - cur["v"]) / (x["c"] - cur["c"])).alias("slope"), x["c"].alias("c"), (-x["o"]).alias("n"),
+            x["v"].alias("v"))))
+        # a one-element array binds the step once
+        grown = F.transform(F.array(best), lambda b: F.when(b.isNull(), hull).otherwise(F.concat(hull, F.array(F.struct(
+            b["c"].alias("c"), b["v"].alias("v"), (-b["n"]).alias("o"), F.least(cur["eff"], b["slope"]).alias("eff"))))))
+        return F.element_at(grown, 1).cast(kind)
+    return F.aggregate(F.sequence(F.lit(1), F.greatest(F.size(options) - 1, F.lit(1))), start, step)
+
+
+def pack_options(curve: DataFrame, key: str, revenue: str, option: str, cost: str, feasible: str | None) -> DataFrame:
+    """One row for each listing: key and its options (c, v, o, payload), cheapest first."""
+    payload = F.struct(*[F.col(c) for c in curve.columns if c not in (key, feasible)])
+    ok = F.col(revenue).isNotNull() & F.col(cost).isNotNull()
+    if feasible:
+        ok = ok & F.coalesce(F.col(feasible), F.lit(False))
+    one = F.when(ok, F.struct(round_half_even_fp(cost, 6).alias("c"), (-F.col(revenue)).alias("n"),
+                              F.col(option).cast("long").alias("o"), payload.alias("p")))
+    packed = curve.groupBy(key).agg(F.sort_array(F.collect_list(one)).alias("_o"))
+    return packed.select(key, F.transform("_o", lambda x: F.struct(
+        x["c"].alias("c"), (-x["n"]).alias("v"), x["o"].alias("o"), x["p"].alias("p"))).alias("_o"))
+
+
+def _sum(df: DataFrame, c: Column) -> Decimal:
+    return df.agg(F.sum(c).alias("s")).first()["s"] or Decimal(0)
+
+
+def _first_left(steps: DataFrame, room: Decimal, gather: int):
+    """The first step in the order (eff desc, tie, k) that no longer fits into ``room``."""
+    before, span = Decimal(0), steps
+    while True:
+        s = span.agg(F.count(F.lit(1)).alias("n"), F.min("eff").alias("lo"), F.max("eff").alias("hi"),
+                     F.min("rank").alias("r_lo"), F.max("rank").alias("r_hi")).first()
+        if s["n"] <= gather or (s["lo"] == s["hi"] and s["r_lo"] == s["r_hi"]):
+            break
+        by, low, high = ("eff", s["lo"], s["hi"]) if s["lo"] < s["hi"] else ("rank", s["r_lo"], s["r_hi"])
+        asked = [k / RANGES for k in range(1, RANGES)]
+        found = span.agg(F.percentile_approx(by, asked, 10_000).alias("b")).first()["b"]
+        bounds = sorted({b for b in found if low < b} | {high})
+        place = F.lit(0)
+        for b in bounds:
+            place = place + (F.col(by) >= F.lit(b)).cast("int")
+        sums = {r["place"]: r["s"] for r in span.groupBy(place.alias("place")).agg(
+            F.sum("dc").alias("s")).collect()}
+        for p in sorted(sums, reverse=by == "eff"):
+            if before + sums[p] > room:
+                break
+            before += sums[p]
+        span = cut_lineage(span.where(place == F.lit(p)))
+    order = [F.col("eff").desc(), F.col("rank"), F.col("tie"), F.col("k")]
+    total = F.sum("dc").over(Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
+    return span.withColumn("_t", total).where(F.col("_t") > F.lit(room - before)).orderBy(*order).first()
 
 
 def select_with_budget(curve: DataFrame, max_avg_pct: float = DEFAULT_MAX_AVG_PCT, key: str = "listing_id",
-                       revenue: str = "expected_revenue", option: str = "option_id", grid: int = GRID,
-                       passes: int = PASSES) -> tuple[DataFrame, dict]:
+                       revenue: str = "expected_revenue", option: str = "option_id", feasible: str | None = None,
+                       gather: int = GATHER) -> tuple[DataFrame, dict]:
     """Returns (selection, summary).  ``selection`` has one row per listing with the
-    chosen option's columns plus ``abs_price_change_pct``; ``summary`` holds the
-    budget, used cost, multiplier, objective, upper bound and gap."""
-    from rateweave.session import cut_lineage
-
+    chosen option's columns plus ``abs_price_change_pct``; ``summary`` holds the budget,
+    used cost, multiplier (efficiency of the first step left out), objective, upper bound
+    and gap, and how many listings have no allowed option."""
     cost = "abs_price_change_pct"
-    # read once per pass: materialise the costed curve in the shared checkpoint dir
-    c = cut_lineage(change_cost(curve, out=cost))
-    first = [0.0, None] + [10.0 ** (-6 + 12 * k / (grid - 3)) for k in range(grid - 2)]
-    evals, n = _evaluate(c, first, key, revenue, cost, option)
-    budget = float(n) * float(max_avg_pct)
-    unconstrained = evals[0]
-    cheapest = evals[1]
-    summary = {"num_listings": int(n), "budget": budget, "status": "optimal"}
-    if unconstrained[1] <= budget:
-        lam = lam_bound = 0.0
-    elif cheapest[1] > budget:
-        summary.update(status="infeasible", min_cost=cheapest[1])
-        return c.limit(0), summary
+    costed = change_cost(curve, out=cost)
+    names = [c for c in costed.columns if c not in (key, feasible)]
+    packed = pack_options(costed, key, revenue, option, cost, feasible)
+    tie = F.md5(F.col(key).cast("string"))
+    packed = cut_lineage(packed.select(key, "_o", F.when(F.size("_o") > 0, _hull(F.col("_o"))).alias("_h"),
+                                       tie.alias("tie")))
+    free = F.array_max(F.transform("_o", lambda x: F.struct(x["v"].alias("v"), (-x["o"]).alias("n"), x["c"].alias("c"))))
+    money = lambda c: c.cast("decimal(18,6)")
+    t = packed.select(F.element_at("_h", 1)["c"].alias("base"), free.alias("f")).agg(
+        F.count(F.lit(1)).alias("n"), F.count("base").alias("some"), F.sum(money(F.col("base"))).alias("base"),
+        F.sum(money(F.col("f.c"))).alias("free")).first()
+    budget = float(t["n"]) * float(max_avg_pct)
+    limit = Decimal(repr(budget))
+    summary = {"num_listings": int(t["n"]), "budget": budget, "num_infeasible": int(t["n"] - t["some"])}
+    chosen: Column
+    left = None
+    if (t["base"] or Decimal(0)) > limit:
+        summary.update(status="infeasible", min_cost=float(t["base"]))
+        chosen = F.lit(None).cast("long")
+    elif (t["free"] or Decimal(0)) <= limit:
+        summary.update(status="optimal", multiplier=0.0)
+        chosen = -free["n"]
     else:
-        lo, hi = 0.0, math.inf            # C(lo) > budget >= C(hi)
-        for lam_k, ck, _ in evals[2:]:
-            if ck <= budget:
-                hi = min(hi, lam_k)
-            else:
-                lo = max(lo, lam_k)
-        c_hi = min((ck for lam_k, ck, _ in evals[2:] if lam_k == hi), default=None)
-        for _ in range(passes - 1):
-            if math.isinf(hi) or (c_hi is not None and c_hi >= budget * (1.0 - SATURATED)):
-                break
-            a = math.log10(lo) if lo > 0 else math.log10(hi) - 12
-            b = math.log10(hi)
-            lams = [10.0 ** (a + (b - a) * (k + 1) / (grid + 1)) for k in range(grid)]
-            ev, _ = _evaluate(c, lams, key, revenue, cost, option)
-            for lam_k, ck, _ in ev:
-                if ck <= budget:
-                    if lam_k < hi:
-                        hi, c_hi = lam_k, ck
-                else:
-                    lo = max(lo, lam_k)
-        lam = hi if not math.isinf(hi) else None
-        lam_bound = lam if lam is not None else max(x for x in first if x is not None)
-        summary["status"] = "feasible"
-    v, cc, opt = F.col(revenue), F.col(cost), F.col(option)
-    payload_cols = [x for x in c.columns if x != key]
-    bound = None if lam == 0.0 else lam_bound
-    # one grouped pass: the chosen option per listing and, for the dual bound,
-    # max_j (v - λc); materialised so totals and the caller read it cheaply
-    per = cut_lineage(c.groupBy(key).agg(
-        F.max_by(F.struct(*[F.col(x) for x in payload_cols]), _choice(lam, v, cc, opt)).alias("_s"),
-        (F.max(v - F.lit(bound) * cc) if bound is not None else F.lit(None).cast("double")).alias("_m")))
-    sel = per.select(key, *[F.col("_s." + x).alias(x) for x in payload_cols])
-    tot = per.agg(F.sum(f"_s.{cost}").alias("c"), F.sum(f"_s.{revenue}").alias("v"), F.sum("_m").alias("m")).first()
-    used, value = float(tot["c"] or 0.0), float(tot["v"] or 0.0)
-    if bound is None:
-        upper = value                      # unconstrained optimum is attained
-    else:
-        # weak duality: any multiplier gives an upper bound on the optimum
-        upper = float(tot["m"]) + bound * budget
-    summary.update(multiplier=lam, used_cost=used, objective=value, upper_bound=upper,
-                   gap=max(upper - value, 0.0))
+        prior = F.transform(F.sequence(F.lit(1), F.size("_h") - 1), lambda k: F.struct(
+            k.alias("k"), F.element_at("_h", k + 1)["eff"].alias("eff"),
+            (money(F.element_at("_h", k + 1)["c"]) - money(F.element_at("_h", k)["c"])).alias("dc"),
+            (F.element_at("_h", k + 1)["v"] - F.element_at("_h", k)["v"]).alias("dv")))
+        steps = packed.where(F.size("_h") > 1).select("tie", F.inline(prior)).withColumn(
+            "rank", F.conv(F.substring("tie", 1, 8), 16, 10).cast("long"))
+        steps = cut_lineage(steps)
+        left = _first_left(steps, limit - t["base"], gather)
+        if left is None:                                     # every worthwhile step fits
+            chosen = F.element_at("_h", -1)["o"]
+            summary.update(status="optimal", multiplier=0.0)
+        else:
+            e, own, k0 = F.lit(left["eff"]), F.lit(left["tie"]), F.lit(left["k"])
+            taken = F.filter(F.transform("_h", lambda h, k: F.struct(h["o"].alias("o"), h["eff"].alias("eff"), k.alias("k"))),
+                             lambda h: (h["k"] == 0) | (h["eff"] > e) | ((h["eff"] == e) & (
+                                 (F.col("tie") < own) | ((F.col("tie") == own) & (h["k"] < k0)))))
+            chosen = F.element_at(taken, -1)["o"]
+            summary.update(status="feasible", multiplier=float(left["eff"]))
+    picked = F.element_at(F.filter("_o", lambda x: x["o"] == F.col("_c")), 1)["p"]
+    sel = packed.withColumn("_c", chosen).where("_c is not null").withColumn("_p", picked).select(
+        key, *[F.col("_p")[c].alias(c) for c in names])
+    if summary["status"] == "infeasible":
+        return sel, summary
+    sel = cut_lineage(sel)
+    tot = sel.agg(F.sum(money(round_half_even_fp(cost, 6))).alias("c"), F.sum(revenue).alias("v")).first()
+    used, value = float(tot["c"] or 0), float(tot["v"] or 0.0)
+    # the relaxed optimum: what is taken and as much of the next step as fits
+    upper = value + (float(limit - (tot["c"] or Decimal(0))) * left["eff"] if left is not None else 0.0)
+    summary.update(used_cost=used, objective=value, upper_bound=upper, gap=max(upper - value, 0.0))
     return sel, summary
 
 
+SUMMARY = ("status string, num_listings long, num_infeasible long, budget double, multiplier double, used_cost double, "
+           "objective double, upper_bound double, gap double")
+
+
 def budget_summary_frame(spark, summary: dict) -> DataFrame:
     """The summary dict as a one-row DataFrame (for the JSON sink)."""
-    cols = ["status", "num_listings", "budget", "multiplier", "used_cost", "objective", "upper_bound", "gap"]
-    return spark.createDataFrame([tuple(summary.get(k) for k in cols)],
-                                 "status string, num_listings long, budget double, multiplier double, "
-                                 "used_cost double, objective double, upper_bound double, gap double")
+    cols = [c.split(" ")[0] for c in SUMMARY.split(", ")]
+    return spark.createDataFrame([tuple(summary.get(k) for k in cols)], SUMMARY)

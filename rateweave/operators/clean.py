@@ -12,7 +12,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rateweave.functions.exprs import finite_or_null, parse_money, std_text
+from rateweave.functions.exprs import finite_or_null, parse_money, parse_number, std_text
 from rateweave.sources.io import INFERENCE_SCHEMA
 
 # Fixed values used by the cleaning steps.
@@ -40,7 +40,7 @@ def require_columns(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """B-2: raise listing every missing column (in the order given)."""
     missing = [c for c in cols if c not in df.columns]
     if missing:
-        raise ValueError(f"Missing required columns: {missing}")
+        raise ValueError("input lacks columns: " + ", ".join(missing))
     return df
 
 
@@ -50,7 +50,8 @@ def enforce_types(df: DataFrame, schema: Mapping[str, str] = INFERENCE_SCHEMA) -
     for c in df.columns:
         role = schema.get(c)
         if role == "numerical":
-            exprs.append(finite_or_null(F.col(c).try_cast("double")).alias(c))
+            text = df.schema[c].dataType.typeName() == "string"
+            exprs.append((parse_number(c) if text else finite_or_null(F.col(c).cast("double"))).alias(c))
         elif role == "categorical":
             exprs.append(F.col(c).cast("string").alias(c))
         else:
@@ -95,25 +96,35 @@ def impute_median(df: DataFrame, cols: Sequence[str], approx_accuracy: int | Non
 
     med = column_quantiles(df, list(cols), [0.5], accuracy=approx_accuracy)
     fills = {c: med[c][0] for c in cols if med[c][0] is not None}
-    return df.na.fill(fills) if fills else df
+    # as double: the median of an integer column can lie between two integers
+    return df.select(*[F.coalesce(F.col(c).cast("double"), F.lit(fills[c])).alias(c) if c in fills else F.col(c)
+                       for c in df.columns])
 
 
-def mode_value(df: DataFrame, c: str):
-    """Most frequent non-NULL value of ``c`` (ties -> smallest) as a scalar-subquery column.
+def mode_values(df: DataFrame, cols: Sequence[str]) -> dict[str, str | None]:
+    """Most frequent non-NULL value of each column (ties -> smallest), as text.
 
-    Counting is a grouped aggregation (partial counts per task, one shuffle of
-    distinct values); the pick is ``min_by`` over (-count, value), so no task
-    ever holds more than its share of distinct values."""
-    counts = df.filter(F.col(c).isNotNull()).groupBy(c).agg(F.count(F.lit(1)).alias("_n"))
-    return counts.agg(F.min_by(F.col(c), F.struct(-F.col("_n"), F.col(c)))).scalar()
+    All columns are counted in one aggregation by (column, value), with partial counts per
+    task; the pick is ``min_by`` over (-count, value), so no task holds more than its share
+    of distinct values.  One row for each column comes to the driver."""
+    numeric = {f.name for f in df.schema.fields if f.dataType.typeName() in
+               ("double", "float", "integer", "long", "short", "byte", "decimal")}
+    if not cols:
+        return {}
+    pairs = F.explode(F.array(*[F.struct(
+        F.lit(c).alias("c"), F.col(c).cast("string").alias("v"),
+        (F.col(c).cast("double") if c in numeric else F.lit(None).cast("double")).alias("x")) for c in cols]))
+    counts = df.select(pairs.alias("_p")).select("_p.*").where("v is not null").groupBy("c", "v", "x").agg(
+        F.count(F.lit(1)).alias("n"))
+    found = counts.groupBy("c").agg(F.min_by("v", F.struct(-F.col("n"), F.col("x"), F.col("v"))).alias("v")).collect()
+    return {c: None for c in cols} | {r["c"]: r["v"] for r in found}
 
 
 def impute_mode(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """B-8: NULL -> most frequent value; ties -> smallest value."""
-    out = df
-    for c in cols:
-        out = out.withColumn(c, F.coalesce(F.col(c), mode_value(df, c)))
-    return out
+    modes = mode_values(df, cols)
+    return df.select(*[F.coalesce(F.col(c), F.lit(modes[c]).cast(df.schema[c].dataType)).alias(c)
+                       if modes.get(c) is not None else F.col(c) for c in df.columns])
 
 
 def impute_const(df: DataFrame, values: Mapping[str, object]) -> DataFrame:
@@ -144,18 +155,26 @@ def prep_categorical(df: DataFrame, cols: Sequence[str]) -> DataFrame:
                        else F.col(c) for c in df.columns])
 
 
-def clean_batch(df: DataFrame, median_cols: Sequence[str] = ("minimum_nights", "number_of_reviews",
-                                                             "reviews_per_month", "review_rate_number",
-                                                             "calculated_host_listings_count"),
-                mode_cols: Sequence[str] = ("host_identity_verified", "cancellation_policy", "instant_bookable"),
-                text_cols: Sequence[str] = ("cancellation_policy",)) -> DataFrame:
-    """H-4 cleaning block: drop raw columns, parse money, median/mode/constant
-    imputation, text standardisation and the availability range filter."""
+# Fixed steps of the batch cleaning: which column is filled with what.
+MEDIAN_COLUMNS = ["availability_365", "minimum_nights", "review_rate_number", "calculated_host_listings_count",
+                  "price", "service_fee"]
+MODE_COLUMNS = ["instant_bookable", "neighbourhood_group", "cancellation_policy"]
+ZERO_COLUMNS = ["reviews_per_month", "number_of_reviews"]
+
+
+def clean_batch(df: DataFrame) -> DataFrame:
+    """H-4 cleaning block, on the columns that are there: drop raw columns, parse money, fill
+    with median, mode (the policy after its text is standardised), country and 0, then keep
+    valid availability.
+
+    Where the original computes a fill without keeping it (the first four medians and the
+    country), the fill is made, as its text says it should be."""
+    has = lambda cols: [c for c in cols if c in out.columns]
     out = drop_columns(df)
-    out = parse_money_columns(out, [c for c in ("price", "service_fee") if c in out.columns])
-    out = impute_median(out, [c for c in median_cols if c in out.columns])
-    out = standardize_text(out, [c for c in text_cols if c in out.columns])
-    out = impute_mode(out, [c for c in mode_cols if c in out.columns])
-    if "country" in out.columns:
-        out = impute_const(out, {"country": DEFAULT_COUNTRY})
+    out = parse_money_columns(out, has(("price", "service_fee")))
+    out = impute_median(out, has(MEDIAN_COLUMNS))
+    out = standardize_text(out, has(("cancellation_policy",)))
+    out = impute_mode(out, has(MODE_COLUMNS))
+    out = impute_const(out, {c: v for c, v in ({"country": DEFAULT_COUNTRY} | {z: 0.0 for z in ZERO_COLUMNS}).items()
+                             if c in out.columns})
     return filter_range(out)

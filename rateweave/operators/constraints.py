@@ -97,18 +97,13 @@ def room_band(curve: DataFrame, group_col: str = "room_type", lo_factor: float =
 
 # ---------------------------------------------------------------- F-14
 
-def room_hierarchy_ok(curve: DataFrame, ranks: Mapping[str, int] | None = None, group_col: str = "room_type",
-                      out: str = "ok_hierarchy", current: str = "current_price",
-                      candidate: str = "candidate_price", stats_from: DataFrame | None = None) -> DataFrame:
-    """A ranked room type may not be priced above the average current price
-    (mean over curve rows) of any higher-ranked type present.  Unranked types
-    are exempt.  The per-type averages are one tiny aggregate; the thresholds
-    for every rank come out of it as one scalar subquery."""
+def with_hierarchy_limit(df: DataFrame, stats_from: DataFrame, out: str, ranks: Mapping[str, int] | None = None,
+                         group_col: str = "room_type", current: str = "current_price") -> DataFrame:
+    """``df`` with the lowest average current price of the room types ranked above a row's own
+    (NULL: no limit).  The per-type averages are one tiny aggregate; the thresholds for every
+    rank come out of it as one scalar subquery."""
     ranks = dict(ROOM_RANKS if ranks is None else ranks)
-    if group_col not in curve.columns:
-        return curve.withColumn(out, F.lit(True))
-    src = stats_from if stats_from is not None else curve
-    avgs = src.groupBy(group_col).agg(F.avg(current).alias("_avg"))
+    avgs = stats_from.groupBy(group_col).agg(F.avg(current).alias("_avg"))
     rank_of = F.lit(None).cast("int")
     for name, r in ranks.items():
         rank_of = F.when(F.col(group_col) == name, F.lit(r)).otherwise(rank_of)
@@ -120,8 +115,20 @@ def room_hierarchy_ok(curve: DataFrame, ranks: Mapping[str, int] | None = None,
     row_thr = F.lit(None).cast("double")
     for name, r in ranks.items():
         row_thr = F.when(F.col(group_col) == name, F.col(f"_thr.r{r}")).otherwise(row_thr)
-    violates = F.coalesce(F.col(candidate) > row_thr, F.lit(False))
-    return curve.withColumn("_thr", thr).withColumn(out, ~violates).drop("_thr")
+    return df.withColumn("_thr", thr).withColumn(out, row_thr).drop("_thr")
+
+
+def room_hierarchy_ok(curve: DataFrame, ranks: Mapping[str, int] | None = None, group_col: str = "room_type",
+                      out: str = "ok_hierarchy", current: str = "current_price",
+                      candidate: str = "candidate_price", stats_from: DataFrame | None = None) -> DataFrame:
+    """A ranked room type may not be priced above the average current price
+    (mean over curve rows) of any higher-ranked type present.  Unranked types
+    are exempt."""
+    if group_col not in curve.columns:
+        return curve.withColumn(out, F.lit(True))
+    src = stats_from if stats_from is not None else curve
+    limited = with_hierarchy_limit(curve, src, "_above", ranks, group_col, current)
+    return limited.withColumn(out, ~F.coalesce(F.col(candidate) > F.col("_above"), F.lit(False))).drop("_above")
 
 
 def room_hierarchy(curve: DataFrame, ranks: Mapping[str, int] | None = None, **kw) -> DataFrame:
@@ -160,7 +167,7 @@ def price_bounds(curve: DataFrame, lo: float | str | None = None, hi: float | st
     return _filter(curve, price_bounds_ok(curve, lo, hi, out="_ok", **kw), "_ok")
 
 
-def apply_rules(curve: DataFrame, change_pct: float | None = MAX_CHANGE_PCT,
+def apply_rules(curve: DataFrame, change_pct: float | None = None,
                 area_pct: float | None = None, room_band: bool = False, hierarchy: bool = False,
                 competitor_factor: float | None = None, bounds: tuple | None = None,
                 out: str = "feasible") -> DataFrame:

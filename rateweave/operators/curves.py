@@ -42,14 +42,15 @@ def price_grid(price: str | Column, n: int, lo_f: float, hi_f: float, floor: flo
     """F-1/F-2: array of n evenly spaced prices, ``lo + i*(hi-lo)/(n-1)``, last = hi.
 
     Bounded form (defaults): lo = max(p*lo_f, 1), hi = max(p*hi_f, lo + 1), 2 dp.
-    ``floor=None, min_span=None, scale=None`` gives the unbounded, unrounded grid."""
+    ``floor=None, min_span=None, scale=None`` gives the unbounded, unrounded grid.
+    A NULL price has no grid (NULL, which explodes to no rows)."""
     lo, hi = grid_bounds(col(price), lo_f, hi_f, floor, min_span)
     # n is a plan-time constant: the points are unrolled into one array(...)
     # expression (whole-stage codegen), not a per-row lambda.
     pts = [grid_point(lo, hi, i, n) for i in range(n)]
     if scale is not None:
         pts = [round_half_even_fp(p, scale) for p in pts]
-    return F.array(*pts)
+    return F.when(col(price).isNotNull(), F.array(*pts))
 
 
 def explode_grid(df: DataFrame, grid: Column, price_out: str = "candidate_price",

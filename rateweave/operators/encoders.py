@@ -8,14 +8,16 @@ category (AQE broadcasts it when small) or a per-row expression.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rateweave.functions.exprs import finite_or_null
 from rateweave.operators.joins import attach_stats
+from rateweave.session import cut_lineage
 
 # Fixed split settings (20 % test, seed 42).
 TEST_FRACTION = 0.2
@@ -68,18 +70,21 @@ def apply_frequency(df: DataFrame, freq: DataFrame, c: str, unseen_zero: bool =
 
 # ---------------------------------------------------------------- D-14
 
-MAX_CATEGORIES = 10_000
+def category_table(train: DataFrame, c: str) -> DataFrame:
+    """(``c``, ``<c>_index``): the distinct values in order with their positions, at any number
+    of values.  Ranges of values are numbered one by one, after the counts of those before."""
+    own = train.filter(F.col(c).isNotNull()).select(c).distinct().repartitionByRange(c)
+    own = cut_lineage(own.withColumn("_p", F.spark_partition_id()))
+    counts = own.groupBy("_p").agg(F.count(F.lit(1)).alias("_n"))
+    before = counts.select("_p", (F.sum("_n").over(Window.orderBy("_p")) - F.col("_n")).alias("_b"))   # a row per range
+    return own.withColumn("_r", F.row_number().over(Window.partitionBy("_p").orderBy(c)) - 1).join(before, "_p").select(
+        c, (F.col("_b") + F.col("_r")).cast("int").alias(f"{c}_index"))
 
 
-def fit_categories(train: DataFrame, c: str, max_categories: int = MAX_CATEGORIES) -> list[str]:
-    """Sorted distinct values.  The one-hot column set must be known when
-    planning, so the values come to the driver; a column with more than
-    ``max_categories`` values is refused (use frequency encoding or the
-    ``StringIndexer`` vector path instead) rather than pulled whole."""
-    vals = train.filter(F.col(c).isNotNull()).select(c).distinct().orderBy(c).limit(max_categories + 1).collect()
-    if len(vals) > max_categories:
-        raise ValueError(f"column {c!r} has more than {max_categories} distinct values; not one-hot encodable")
-    return [r[0] for r in vals]
+def fit_categories(train: DataFrame, c: str) -> list[str]:
+    """Sorted distinct values as a list, for columns that the caller knows to have few:
+    indicator columns must be known when planning.  For others there is ``category_table``."""
+    return [r[0] for r in category_table(train, c).orderBy(f"{c}_index").collect()]
 
 
 def one_hot(df: DataFrame, c: str, categories: Sequence[str], drop_input: bool = True) -> DataFrame:
@@ -89,10 +94,25 @@ def one_hot(df: DataFrame, c: str, categories: Sequence[str], drop_input: bool =
     return out.drop(c) if drop_input else out
 
 
-def category_index(df: DataFrame, c: str, categories: Sequence[str], out: str | None = None) -> DataFrame:
+def category_index(df: DataFrame, c: str, categories: Sequence[str] | DataFrame, out: str | None = None) -> DataFrame:
     """Position of the value in the sorted train categories (0-based); unseen/NULL -> NULL."""
+    name = out or f"{c}_index"
+    if isinstance(categories, DataFrame):
+        return attach_stats(df, categories.withColumnRenamed(f"{c}_index", name), c)
     m = F.create_map(*[x for i, v in enumerate(categories) for x in (F.lit(v), F.lit(i))])
-    return df.withColumn(out or f"{c}_index", F.when(F.col(c).isNotNull(), m[F.col(c)]))
+    return df.withColumn(name, F.when(F.col(c).isNotNull(), m[F.col(c)]))
+
+
+def one_hot_vector(df: DataFrame, c: str, table: DataFrame, drop_input: bool = True) -> DataFrame:
+    """``<c>_onehot``: a sparse indicator vector over ``category_table``'s values, at any number
+    of them; unseen values and NULL -> all zeros."""
+    from pyspark.ml.feature import OneHotEncoder
+
+    n = table.count()
+    indexed = category_index(df, c, table, "_idx").withColumn("_idx", F.coalesce(F.col("_idx"), F.lit(n)).cast("double"))
+    sizes = df.sparkSession.range(n, n + 1).select(F.col("id").cast("double").alias("_idx"))
+    coded = OneHotEncoder(inputCol="_idx", outputCol=f"{c}_onehot", dropLast=True).fit(sizes).transform(indexed)
+    return coded.drop("_idx", *([c] if drop_input else []))
 
 
 # ---------------------------------------------------------------- D-15 / D-16
@@ -137,23 +157,42 @@ def apply_std_scaler(df: DataFrame, stats: DataFrame, cols: Sequence[str]) -> Da
 
 # ---------------------------------------------------------------- D-18
 
-FEATURE_SQL = """
-SELECT *,
-  CASE WHEN price IS NULL THEN NULL ELSE log1p(greatest(price, 0D)) END AS price_log,
-  try_divide(price, minimum_nights + 1D) AS price_per_minimum_night,
-  concat(coalesce(room_type, 'nan'), '_', coalesce(neighbourhood_group, 'nan')) AS room_type_neighbourhood
-FROM __THIS__
-"""
+def feature_sql(columns: Sequence[str] | None = None) -> str:
+    """D-12 as a pipeline statement, for the inputs that are there (default: all)."""
+    has = lambda *cs: columns is None or set(cs) <= set(columns)
+    parts = ["*"]
+    if has("price"):
+        parts.append("CASE WHEN price IS NULL THEN NULL ELSE log1p(greatest(price, 0D)) END AS price_log")
+    if has("price", "minimum_nights"):
+        parts.append("try_divide(price, minimum_nights + 1D) AS price_per_minimum_night")
+    if has("room_type", "neighbourhood_group"):
+        parts.append("concat(coalesce(room_type, 'nan'), '_', coalesce(neighbourhood_group, 'nan')) AS room_type_neighbourhood")
+    return f"SELECT {', '.join(parts)} FROM __THIS__"
 
 
-def build_preprocessor(numeric: Sequence[str], categorical: Sequence[str], label: str = "demand_score",
-                       median_error: float = 0.001, features_out: str = "features"):
+def feature_columns(df: DataFrame, label: str = "demand_score", exclude: Sequence[str] = ()) -> tuple[list[str], list[str]]:
+    """Numeric and categorical inputs by type (text and booleans are categories), without the
+    label and ``exclude`` (ids and raw text that is no category)."""
+    from rateweave.operators.profile import numeric_columns
+
+    numeric = numeric_columns(df, exclude=[label, *exclude])
+    kinds = ("string", "boolean")
+    return numeric, [f.name for f in df.schema.fields if f.dataType.typeName() in kinds and f.name not in exclude]
+
+
+def build_preprocessor(numeric: Sequence[str], categorical: Sequence[str], n_train: int, label: str = "demand_score",
+                       median_error: float = 0.001, features_out: str = "features",
+                       columns: Sequence[str] | None = None):
     """Spark ML pipeline: price features -> (numeric: finite, median impute,
     scale) + (categorical: string, 'missing', one-hot in sorted order, unseen
-    -> zeros) -> one vector.  Fits with distributed aggregates only."""
+    -> zeros) -> one vector.  Fits with distributed aggregates only.
+
+    Spark's scaler divides by the deviation with n - 1; the factor sqrt(n / (n - 1)) makes
+    it the population's (``n_train`` rows, as every value is imputed before)."""
     from pyspark.ml import Pipeline
-    from pyspark.ml.feature import (Imputer, OneHotEncoder, SQLTransformer, StandardScaler, StringIndexer,
-                                    VectorAssembler)
+    from pyspark.ml.feature import (ElementwiseProduct, Imputer, OneHotEncoder, SQLTransformer, StandardScaler,
+                                    StringIndexer, VectorAssembler)
+    from pyspark.ml.linalg import Vectors
 
     num = [c for c in numeric if c != label]
     prep = ", ".join(
@@ -161,12 +200,14 @@ def build_preprocessor(numeric: Sequence[str], categorical: Sequence[str], label
          for c in num]
         + [f"coalesce(CAST({c} AS STRING), 'missing') AS {c}__c" for c in categorical])
     stages = [
-        SQLTransformer(statement=FEATURE_SQL),
+        SQLTransformer(statement=feature_sql(columns)),
         SQLTransformer(statement=f"SELECT *, {prep} FROM __THIS__"),
         Imputer(strategy="median", relativeError=median_error, inputCols=[f"{c}__n" for c in num],
                 outputCols=[f"{c}__i" for c in num]),
         VectorAssembler(inputCols=[f"{c}__i" for c in num], outputCol="_num", handleInvalid="keep"),
-        StandardScaler(inputCol="_num", outputCol="_num_s", withMean=True, withStd=True),
+        StandardScaler(inputCol="_num", outputCol="_num_z", withMean=True, withStd=True),
+        ElementwiseProduct(inputCol="_num_z", outputCol="_num_s", scalingVec=Vectors.dense(
+            [math.sqrt(n_train / max(n_train - 1, 1))] * len(num))),
     ]
     cat_vecs = []
     for c in categorical:

@@ -15,8 +15,6 @@ from pyspark.sql import functions as F
 
 from rateweave.functions.exprs import (
     availability_bucket,
-    clip_lower,
-    col,
     finite_or_null,
     log1p_clip,
     safe_div,
@@ -69,6 +67,15 @@ def demand_score(df: DataFrame, out: str = "demand_score", weights: Sequence[flo
     return df.withColumn(out, score).drop("_dstats")
 
 
+def demand_extremes(df: DataFrame) -> DataFrame:
+    """The smallest and largest values that ``demand_score`` needs of ``fit_on``, computed now:
+    two rows on the driver that stand for the whole frame."""
+    s = df.agg(*[f(F.coalesce(F.col(c), F.lit(0.0))).alias(f"{c}_{k}") for c in ("reviews_per_month", "number_of_reviews")
+                 for k, f in (("lo", F.min), ("hi", F.max))]).first()
+    rows = [(s[f"reviews_per_month_{k}"], s[f"number_of_reviews_{k}"], None) for k in ("lo", "hi")]
+    return df.sparkSession.createDataFrame(rows, "reviews_per_month double, number_of_reviews double, availability_365 double")
+
+
 def demand_ratio(df: DataFrame, out: str = "demand_score") -> DataFrame:
     """D-1: reviews_per_month / (availability_365 + 1)."""
     return df.withColumn(out, safe_div(F.col("reviews_per_month"), F.col("availability_365") + F.lit(1.0)))
@@ -139,8 +146,3 @@ def null_non_finite(df: DataFrame, cols: Sequence[str] | None = None) -> DataFra
     return df.select(*[finite_or_null(c).alias(c) if c in cols else F.col(c) for c in df.columns])
 
 
-__all__ = [
-    "availability_bucket", "clip_lower", "col", "demand_ratio", "demand_score", "engineer_batch",
-    "engineer_model_features", "log1p_clip", "minmax", "null_non_finite", "price_per_min_night",
-    "review_intensity", "room_area_cross", "target_mean",
-]

@@ -1,13 +1,11 @@
 """Attaching small fitted/statistics tables to large frames.
 
-A statistics table (one row per group: band limits, means, frequencies) has
-as many rows as the group key has values, which is not known in advance.
-``attach_stats`` caches the table, counts it (one job that also fills the
-cache; lost blocks are recomputed from lineage), and broadcasts it only when
-the count is within ``broadcast_rows`` (a stats row is a key and a few
-doubles, so the limit keeps a broadcast in the tens of MB).  The large side is
-then joined without being shuffled, so a hot group key costs nothing extra.  Beyond the limit it falls back to a
-regular shuffle join, which AQE splits when a key is skewed.
+A statistics table (one row per group: band limits, means, frequencies) has as many rows
+as the group key has values, which is not known in advance.  ``attach_stats`` writes the
+table once, measures it (rows and the bytes of its text), and broadcasts it only within
+``broadcast_bytes``.  The large side is then joined without being shuffled, so a hot
+group key costs nothing extra.  Beyond the limit it is a regular shuffle join, which AQE
+splits when a key is skewed.
 """
 
 from __future__ import annotations
@@ -17,14 +15,26 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BROADCAST_ROWS = 1_000_000
+from rateweave.session import cut_lineage
+
+BROADCAST_BYTES = 64 << 20
+CELL_BYTES = 16
+
+
+def measured_bytes(df: DataFrame) -> int:
+    """Bytes of a table: fixed cells at ``CELL_BYTES`` each and the bytes of its text."""
+    texts = [F.coalesce(F.octet_length(f.name), F.lit(0)) for f in df.schema.fields
+             if f.dataType.typeName() in ("string", "binary")]
+    row = F.lit(CELL_BYTES * (len(df.columns) + 1)).cast("long")
+    for t in texts:
+        row = row + t
+    return int(df.agg(F.sum(row)).first()[0] or 0)
 
 
 def attach_stats(df: DataFrame, stats: DataFrame, on: str | Sequence[str], how: str = "left",
-                 broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+                 broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Join ``stats`` (one row per key) onto ``df``, broadcasting only after a size check."""
     keys = [on] if isinstance(on, str) else list(on)
-    small = stats.cache()
-    n = small.count()
-    side = F.broadcast(small) if n <= broadcast_rows else small
+    small = cut_lineage(stats)
+    side = F.broadcast(small) if measured_bytes(small) <= broadcast_bytes else small
     return df.join(side, on=keys, how=how)

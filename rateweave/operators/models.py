@@ -12,7 +12,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rateweave.operators.encoders import SPLIT_SEED, build_preprocessor, split_bucket
+from rateweave.functions.exprs import round_half_even_fp
+from rateweave.operators.encoders import SPLIT_SEED, build_preprocessor, split_bucket, split_threshold
 
 # Fixed model settings.
 RIDGE_ALPHA = 1.0
@@ -26,6 +27,15 @@ MAX_SPARK_DEPTH = 30
 FOREST_NODE_MEMORY_MB = 1024
 
 
+def tree_depth(depth: int | None) -> int:
+    """A tree's depth; None, no limit, is the deepest that Spark's trees go."""
+    if depth is None:
+        return MAX_SPARK_DEPTH
+    if depth > MAX_SPARK_DEPTH:
+        raise ValueError(f"trees can't be deeper than {MAX_SPARK_DEPTH}, asked for {depth}")
+    return int(depth)
+
+
 def _estimator(kind: str, label: str, features: str, params: Mapping | None = None, n_train: int | None = None,
                label_std: float | None = None):
     from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
@@ -43,14 +53,14 @@ def _estimator(kind: str, label: str, features: str, params: Mapping | None = No
     if kind == "forest":
         return RandomForestRegressor(featuresCol=features, labelCol=label,
                                      numTrees=int(p.get("numTrees", FOREST_TREES)),
-                                     maxDepth=min(int(p.get("maxDepth", FOREST_DEPTH)), MAX_SPARK_DEPTH),
+                                     maxDepth=tree_depth(p.get("maxDepth", FOREST_DEPTH)),
                                      minInstancesPerNode=int(p.get("minInstancesPerNode", 1)), seed=SPLIT_SEED,
                                      # deep trees: larger node batches per pass and cached node ids
                                      # mean fewer passes over the data (same model family and params)
                                      maxMemoryInMB=FOREST_NODE_MEMORY_MB, cacheNodeIds=True)
     if kind == "gbt":
         return GBTRegressor(featuresCol=features, labelCol=label, maxIter=int(p.get("maxIter", GBT_ITER)),
-                            maxDepth=int(p.get("maxDepth", GBT_DEPTH)), stepSize=float(p.get("stepSize", GBT_STEP)),
+                            maxDepth=tree_depth(p.get("maxDepth", GBT_DEPTH)), stepSize=float(p.get("stepSize", GBT_STEP)),
                             seed=SPLIT_SEED)
     raise ValueError(f"unknown model kind {kind!r}")
 
@@ -60,12 +70,9 @@ def fit_model(train: DataFrame, kind: str, numeric: Sequence[str], categorical:
     """E-1..E-4: preprocessor + regressor as one PipelineModel (saveable, A-7)."""
     from pyspark.ml import Pipeline
 
-    n_train, label_std = None, None
-    if kind == "ridge":
-        st = train.agg(F.count(label).alias("n"), F.stddev_samp(label).alias("s")).first()
-        n_train, label_std = st["n"], st["s"]
-    prep = build_preprocessor(numeric, categorical, label=label)
-    est = _estimator(kind, label, "features", params, n_train, label_std)
+    st = train.agg(F.count(F.lit(1)).alias("rows"), F.count(label).alias("n"), F.stddev_samp(label).alias("s")).first()
+    prep = build_preprocessor(numeric, categorical, st["rows"], label=label, columns=train.columns)
+    est = _estimator(kind, label, "features", params, st["n"], st["s"])
     return Pipeline(stages=[*prep.getStages(), est]).fit(train)
 
 
@@ -90,7 +97,7 @@ def compare_models(models: Mapping[str, object], test: DataFrame, label: str = "
         rows = r if rows is None else rows.unionByName(r)
     if rows is None:
         raise ValueError("no model to compare")
-    return rows.select("model", "_order", *[F.round(c, 4).alias(c) for c in ("rmse", "mae", "r2")]).orderBy(
+    return rows.select("model", "_order", *[round_half_even_fp(c, 4).alias(c) for c in ("rmse", "mae", "r2")]).orderBy(
         F.desc("r2"), "_order")
 
 
@@ -100,9 +107,17 @@ def select_best(metrics: DataFrame) -> DataFrame:
 
 
 def tuning_subset(df: DataFrame, n: int = TUNING_ROWS, key: str = "listing_id", seed: int = SPLIT_SEED) -> DataFrame:
-    """E-6: n rows without replacement, chosen by a seeded hash of the key (a
-    bounded top-n: each task keeps at most n rows)."""
-    return df.orderBy(split_bucket(key, seed + 1), key).limit(n)
+    """E-6: the n rows with the smallest seeded hash of the key.  A threshold on the hash, from
+    the number of rows, leaves little more than n rows before they are ordered; the result is
+    dealt out again, so that fits on it run in parallel."""
+    bucket, total = split_bucket(key, seed + 1), df.count()
+    few, share = df, 1.2 * n / max(total, 1)
+    while share < 1.0:
+        few = df.where(bucket < F.lit(split_threshold(share)))
+        if few.count() >= n:
+            break
+        few, share = df, share * 1.5
+    return few.orderBy(bucket, key).limit(n).repartition(max(2, df.sparkSession.sparkContext.defaultParallelism))
 
 
 def tune(train: DataFrame, kind: str, numeric: Sequence[str], categorical: Sequence[str],
@@ -113,17 +128,20 @@ def tune(train: DataFrame, kind: str, numeric: Sequence[str], categorical: Seque
     from pyspark.ml.evaluation import RegressionEvaluator
     from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 
+    from rateweave.session import cut_lineage
+
     grid = dict(grid or (FOREST_GRID if kind == "forest" else GBT_GRID))
-    prep = build_preprocessor(numeric, categorical, label=label)
+    subset = cut_lineage(tuning_subset(train, subset_rows))
+    prep = build_preprocessor(numeric, categorical, subset.count(), label=label, columns=train.columns)
     est = _estimator(kind, label, "features")
     builder = ParamGridBuilder()
     for name, values in grid.items():
-        vals = [min(v, MAX_SPARK_DEPTH) if name == "maxDepth" else v for v in values]
+        vals = [tree_depth(v) if name == "maxDepth" else v for v in values]
         builder = builder.addGrid(est.getParam(name), vals)
     cv = CrossValidator(estimator=Pipeline(stages=[*prep.getStages(), est]), estimatorParamMaps=builder.build(),
                         evaluator=RegressionEvaluator(labelCol=label, metricName="r2"), numFolds=folds,
                         parallelism=parallelism, seed=SPLIT_SEED)
-    cvm = cv.fit(tuning_subset(train, subset_rows))
+    cvm = cv.fit(subset)
     best_idx = max(range(len(cvm.avgMetrics)), key=lambda i: (cvm.avgMetrics[i], -i))
     best_params = {p.name: v for p, v in cvm.getEstimatorParamMaps()[best_idx].items()}
     return fit_model(train, kind, numeric, categorical, label, best_params), best_params
@@ -166,18 +184,13 @@ def model_curve(listings: DataFrame, model, n: int = 15, lo_f: float = 0.8, hi_f
                 clip: bool = True, repartition: int | None = None) -> DataFrame:
     """F-4: every listing × bounded candidate grid -> replace price -> model
     (price features are recomputed inside the fitted pipeline) -> demand clipped
-    at 0 -> F-4 columns.  Static columns ride along; the explode is row-local."""
+    at 0 -> F-4 columns.  Static columns ride along; the explode is row-local.  Scoring n
+    candidates per listing is the expensive step: ``repartition`` spreads listings that come
+    in few partitions over more tasks before they are exploded."""
     from rateweave.operators import curves
     from rateweave.functions.exprs import clip_lower
 
     base = listings.withColumn("current_price", F.col("price"))
-    if repartition is None:
-        # scoring n candidates per listing is the expensive step: when the listing
-        # input arrives in fewer partitions than the cluster has cores, spread the
-        # (un-exploded) listings first; at scale this is a no-op
-        par = base.sparkSession.sparkContext.defaultParallelism
-        if base.rdd.getNumPartitions() < par:
-            repartition = par
     grid = curves.price_grid("current_price", n, lo_f, hi_f)
     ex = curves.explode_grid(base, grid, repartition=repartition).withColumn("price", F.col("candidate_price"))
     pred = model.transform(ex)
@@ -203,7 +216,7 @@ def train_models(train: DataFrame, kinds: Sequence[str], numeric: Sequence[str],
     from rateweave.session import cut_lineage
 
     params = dict(params or {})
-    prep = build_preprocessor(numeric, categorical, label=label).fit(train)
+    prep = build_preprocessor(numeric, categorical, train.count(), label=label, columns=train.columns).fit(train)
     feats = cut_lineage(prep.transform(train).select("features", label))
     st = feats.agg(F.count(label).alias("n"), F.stddev_samp(label).alias("s")).first()
 

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rateweave.functions.exprs import finite_or_null
 from rateweave.operators.joins import attach_stats
 from rateweave.operators.quantiles import exact_quantiles, long_columns, quantile_columns
 
@@ -60,8 +61,7 @@ def profile_distinct(df: DataFrame, cols: Sequence[str] | None = None, approx_rs
         return _long_agg(df, cols, "d", lambda c: [F.approx_count_distinct(c, approx_rsd).alias("n_distinct")])
     # exact: unpivot to (column, value) and count distinct pairs -> one shuffle for all columns
     long = df.select(*[F.col(c).cast("string").alias(c) for c in cols]).unpivot([], list(cols), "column", "value")
-    return (long.filter(F.col("value").isNotNull()).select("column", "value").distinct()
-                .groupBy("column").agg(F.count(F.lit(1)).alias("n_distinct")))
+    return long.select("column", "value").distinct().groupBy("column").agg(F.count("value").alias("n_distinct"))
 
 
 def profile_numeric(df: DataFrame, cols: Sequence[str] | None = None, accuracy: int | None = None) -> DataFrame:
@@ -98,29 +98,30 @@ def iqr_outliers(df: DataFrame, cols: Sequence[str] | None = None, k: float = IQ
     q = (q.withColumn("iqr", F.col("q3") - F.col("q1"))
           .withColumn("lower", F.col("q1") - F.lit(float(k)) * F.col("iqr"))
           .withColumn("upper", F.col("q3") + F.lit(float(k)) * F.col("iqr")))
-    counts = (attach_stats(long, q.select("column", "lower", "upper"), "column", how="inner")
-                  .groupBy("column")
-                  .agg(F.count_if((F.col("value") < F.col("lower")) | (F.col("value") > F.col("upper")))
-                       .alias("n_outliers")))
-    return q.join(counts, "column", "left").select("column", "q1", "q3", "iqr", "lower", "upper", "n_outliers")
+    names = ["q1", "q3", "iqr", "lower", "upper"]
+    # a column without values keeps its row, with NULL bounds and no outlier
+    return attach_stats(long, q, "column").groupBy("column").agg(
+        *[F.first(n).alias(n) for n in names],
+        F.count_if((F.col("value") < F.col("lower")) | (F.col("value") > F.col("upper"))).alias("n_outliers"))
 
 
 def histogram(df: DataFrame, c: str, bins: int = 50) -> DataFrame:
     """C-9: equal-width bins between min and max; the maximum falls in the last bin.
-    Output: bin (1..bins), lower/upper edge, count (empty bins omitted)."""
-    s = df.agg(F.struct(F.min(F.col(c).cast("double")).alias("lo"),
-                        F.max(F.col(c).cast("double")).alias("hi"))).scalar()
+    Output: bin (1..bins), lower/upper edge, count (0 for empty bins); no rows without values.
+    NULL and non-finite values are missing."""
+    data = df.select(finite_or_null(F.col(c).cast("double")).alias("_v")).filter(F.col("_v").isNotNull())
+    s = data.agg(F.struct(F.min("_v").alias("lo"), F.max("_v").alias("hi")))
     v = F.col("_v")
     lo, hi = F.col("_h.lo"), F.col("_h.hi")
     width = (hi - lo) / F.lit(float(bins))
     b = F.when(hi == lo, F.lit(1)).otherwise(
         F.least(F.floor((v - lo) / width).cast("int") + F.lit(1), F.lit(bins)))
-    return (df.select(F.col(c).cast("double").alias("_v")).filter(F.col("_v").isNotNull() & ~F.isnan("_v"))
-              .withColumn("_h", s)
-              .groupBy(b.alias("bin"))
-              .agg(F.count(F.lit(1)).alias("count"), F.first(lo).alias("_lo"), F.first(width).alias("_w"))
-              .select("bin", (F.col("_lo") + (F.col("bin") - 1).cast("double") * F.col("_w")).alias("lower"),
-                      (F.col("_lo") + F.col("bin").cast("double") * F.col("_w")).alias("upper"), "count"))
+    counts = data.withColumn("_h", s.scalar()).groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
+    edges = df.sparkSession.range(1, bins + 1).select(F.col("id").cast("int").alias("bin")).withColumn("_h", s.scalar()) \
+        .where("_h.lo is not null")
+    return edges.join(F.broadcast(counts), "bin", "left").select(       # at most ``bins`` rows
+        "bin", (lo + (F.col("bin") - 1).cast("double") * width).alias("lower"),
+        (lo + F.col("bin").cast("double") * width).alias("upper"), F.coalesce("count", F.lit(0)).alias("count"))
 
 
 def box_stats(df: DataFrame, value: str, by: str | None = None, k: float = IQR_K) -> DataFrame:
@@ -150,11 +151,11 @@ def box_stats(df: DataFrame, value: str, by: str | None = None, k: float = IQR_K
 def corr_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """C-11: pairwise-complete Pearson correlation, long form (a, b, corr), one aggregation."""
     cols = list(cols)
-    pairs = [(a, b) for a in cols for b in cols]
-    row = df.agg(F.array(*[
-        F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"),
-                 F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias("corr"))
-        for a, b in pairs]).alias("_p"))
+    place = {c: k for k, c in enumerate(cols)}
+    # (a, b) and (b, a) are written alike, so each pair is aggregated once
+    one = lambda a, b: F.corr(*[F.col(c).cast("double") for c in sorted((a, b), key=place.get)])
+    row = df.agg(F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), one(a, b).alias("corr"))
+                           for a in cols for b in cols]).alias("_p"))
     return row.select(F.inline("_p"))
 
 

@@ -39,14 +39,14 @@ def _maybe_broadcast(small: DataFrame, n_rows: int) -> DataFrame:
 
 def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Sequence[str] | None = None,
                     gather_limit: int = GATHER_LIMIT, bins: int = BINS) -> DataFrame:
-    """Long result: by..., ``q`` (double), ``value`` (double).  NULL/NaN values are
-    ignored; groups with no value are absent; NULL group keys are a group."""
+    """Long result: by..., ``q`` (double), ``value`` (double).  NULL and non-finite values
+    are missing; groups with no value are absent; NULL group keys are a group."""
     by = list(by or [])
     probs = [float(p) for p in probs]
     g = F.struct(*[F.col(c) for c in by]) if by else F.struct(F.lit(0).alias("_"))
     v = F.col(value).cast("double")
     data = (df.select(g.alias("_g"), v.alias("_v"))
-              .filter(F.col("_v").isNotNull() & ~F.isnan("_v")))
+              .filter(F.col("_v").isNotNull() & ~F.isnan("_v") & (F.abs("_v") < float("inf"))))
 
     stats = data.groupBy("_g").agg(F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_lo"),
                                    F.max("_v").alias("_hi"))
@@ -71,11 +71,15 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Seque
     def open_(s: DataFrame):
         return (F.col("_lo") < F.col("_hi")) & (F.col("_m") > F.lit(gather_limit))
 
+    last = None
     while not fast:
         todo = state.filter(open_(state))
-        n_todo = todo.count()
-        if n_todo == 0:
+        now = todo.agg(F.count(F.lit(1)).alias("n"), F.sum("_m").alias("m"), F.sum(F.col("_hi") - F.col("_lo")).alias("w")).first()
+        if now["n"] == 0:
             break
+        if now == last:
+            raise RuntimeError("quantile refinement made no progress")
+        last = now
         intervals = todo.select("_g", "_lo", "_hi").distinct()
         intervals = cut_lineage(intervals)
         n_int = intervals.count()

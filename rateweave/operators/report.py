@@ -93,10 +93,11 @@ def business_reason(df: DataFrame, out: str = "reason") -> DataFrame:
     return df.withColumn(out, txt)
 
 
-def build_recommendations(sel: DataFrame) -> DataFrame:
-    """G-7: business table from a selection.  Before and after demand are the
-    selected option's demand (the selection carries no separate baseline)."""
-    d = (sel.withColumn("predicted_demand_before", F.col("predicted_demand"))
+def build_recommendations(sel: DataFrame, true_before: str | None = None) -> DataFrame:
+    """G-7: business table from a selection.  Before and after demand are the selected
+    option's demand, as the selection carries no baseline of its own; ``true_before`` names a
+    column with the demand at the current price to use instead."""
+    d = (sel.withColumn("predicted_demand_before", F.col(true_before or "predicted_demand"))
             .withColumn("predicted_demand_after", F.col("predicted_demand"))
             .withColumn("expected_revenue_before", F.col("current_price") * F.col("predicted_demand_before"))
             .withColumn("expected_revenue_after", F.col("recommended_price") * F.col("predicted_demand_after"))
@@ -139,13 +140,15 @@ def recommendation_summary(recs: DataFrame) -> DataFrame:
 
 
 def selection_summary(curve: DataFrame, sel: DataFrame, flags: dict | None = None,
-                      key: str = "listing_id") -> DataFrame:
-    """G-10: input rows / listings (curve) and totals of the selection, one row.
+                      key: str = "listing_id", packed: str | None = None) -> DataFrame:
+    """G-10: input rows / listings (curve) and totals of the selection, one row.  ``packed``
+    names the array of options where a row of ``curve`` is a listing.
 
     Both sides are one-row global aggregates, combined as scalar subqueries."""
     flags = flags or {}
-    cin = curve.agg(F.struct(F.count(F.lit(1)).alias("rows"),
-                             F.count_distinct(key).alias("listings"))).scalar()
+    rows = F.sum(F.size(packed).cast("long")) if packed else F.count(F.lit(1))
+    listing = F.when(F.size(packed) > 0, F.col(key)) if packed else F.col(key)
+    cin = curve.agg(F.struct(rows.alias("rows"), F.count_distinct(listing).alias("listings"))).scalar()
     out = sel.agg(
         F.count(F.lit(1)).alias("num_selected_rows"),
         F.sum("expected_revenue").alias("total_expected_revenue_after"),

@@ -75,17 +75,17 @@ def best_price_elastic(df: DataFrame, n: int = INFERENCE_POINTS, lo_f: float = I
 def select_best_option(curve: DataFrame, key: str = "listing_id", revenue: str = "expected_revenue",
                        option: str = "option_id", feasible: str | None = None) -> DataFrame:
     """F-8: exactly one option per listing maximising expected revenue; ties -> lowest option.
+    Options without a revenue are never chosen.
 
     With ``feasible`` (a boolean column) only allowed options compete, and a
     listing without any gets ``feasible = FALSE`` and NULL option columns (F-9)
     instead of failing the run."""
     payload_cols = [c for c in curve.columns if c not in (key, feasible)]
     payload = F.struct(*[F.col(c) for c in payload_cols])
-    order = F.struct(F.col(revenue), -F.col(option))
-    if feasible is not None:
-        order = F.when(F.col(feasible), order)
+    open_ = F.col(revenue).isNotNull() & (F.col(feasible) if feasible is not None else F.lit(True))
+    order = F.when(open_, F.struct(F.col(revenue), -F.col(option)))
     agg = curve.groupBy(key).agg(F.max_by(payload, order).alias("_sel"),
-                                 *( [F.count_if(F.col(feasible)).alias("_n_ok")] if feasible else []))
+                                 *( [F.count_if(open_).alias("_n_ok")] if feasible else []))
     out = agg.select(key, *[F.col("_sel." + c).alias(c) for c in payload_cols],
                      *([(F.col("_n_ok") > 0).alias("feasible")] if feasible else []))
     if feasible is not None:

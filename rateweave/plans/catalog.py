@@ -12,10 +12,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rateweave.functions.exprs import parse_money
+from rateweave.functions.exprs import fmt2, parse_money
 from rateweave.operators import clean, constraints, curves, encoders, features, profile, report, select
-from rateweave.plans import jobs
-from rateweave.session import cut_lineage
+from rateweave.plans import jobs, options
+from rateweave.session import cut_lineage, ensure_checkpoint_dir
+from rateweave.sources import io
 from rateweave.sources.listings import load_listings
 
 # Fixed parameters of the registered queries.
@@ -38,8 +39,15 @@ def round_doubles(df: DataFrame, digits: int = 6) -> DataFrame:
     ])
 
 
-def L(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return load_listings(spark, sf_dir)
+def L(spark: SparkSession, sf_dir: str, *cols: str) -> DataFrame:
+    """Listings for queries that read them several times: written once, of ``cols`` only if given."""
+    own = load_listings(spark, sf_dir, materialize=False)
+    return cut_lineage(own.select(*cols) if cols else own)
+
+
+def once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Listings for queries that read them once: nothing is written, unread columns are not computed."""
+    return load_listings(spark, sf_dir, materialize=False)
 
 
 def _scored(spark, sf_dir):
@@ -105,32 +113,140 @@ def q_g13_listing_insight(spark, sf_dir):
 # ------------------------------------------------------------------ B
 
 def q_b04_inference_input(spark, sf_dir):
-    return round_doubles(clean.prepare_inference_input(L(spark, sf_dir), keep_extra=False))
+    return round_doubles(clean.prepare_inference_input(once(spark, sf_dir), keep_extra=False))
+
+
+ODD_MONEY = ["5d", "$7f", "Infinity", "$1,234", " $12.50 ", "", "-3e2", "NaN", "0x10", "1.2.3"]
+
+
+def q_b03_enforce_types(spark, sf_dir):
+    """Numbers as text, with text that only some parsers take."""
+    lst = once(spark, sf_dir)
+    odd = F.element_at(F.array(*[F.lit(x) for x in ODD_MONEY]), (F.col("listing_id") % len(ODD_MONEY)).cast("int") + 1)
+    text = lst.select("listing_id", F.when(F.col("listing_id") % 2 == 0, odd).otherwise(F.col("price").cast("string"))
+                      .alias("price"), "room_type")
+    return round_doubles(clean.enforce_types(text).select(F.col("listing_id").cast("long").alias("listing_id"), "price"))
 
 
 def q_b05_parse_money(spark, sf_dir):
-    lst = L(spark, sf_dir)
+    lst = once(spark, sf_dir)
     return round_doubles(lst.select("listing_id", "raw_price",
                                     parse_money(F.col("raw_price")).alias("parsed_price")))
 
 
+def q_b05_parse_odd_money(spark, sf_dir):
+    odd = F.element_at(F.array(*[F.lit(x) for x in ODD_MONEY]), (F.col("listing_id") % len(ODD_MONEY)).cast("int") + 1)
+    return round_doubles(once(spark, sf_dir).select("listing_id", parse_money(odd).alias("parsed_price")))
+
+
+def q_b01_b06_b09_names_and_fills(spark, sf_dir):
+    """Names of the raw file normalised, raw columns dropped, the country filled."""
+    lst = once(spark, sf_dir)
+    raw = lst.select(F.col("listing_id").alias(" ID "), F.col("room_type").alias("Room Type"), F.lit("x").alias("NAME"),
+                     F.lit("y").alias("house_rules"), F.lit(None).cast("string").alias("license"),
+                     F.lit(2000.0).alias("Construction year"), F.lit("US").alias("country code"), F.lit("z").alias("host name"),
+                     F.when(F.col("listing_id") % 3 > 0, "Canada").alias("Country"))
+    return clean.impute_const(clean.drop_columns(clean.normalize_columns(raw)), {"country": clean.DEFAULT_COUNTRY})
+
+
+def q_b02_missing_columns(spark, sf_dir):
+    """What the input contract says of listings that lack columns."""
+    lst = once(spark, sf_dir)
+    try:
+        clean.require_columns(lst.select("listing_id", "price"), list(clean.INFERENCE_SCHEMA))
+        said = ""
+    except ValueError as e:
+        said = str(e)
+    return lst.agg(F.count(F.lit(1)).alias("listings")).withColumn("said", F.lit(said))
+
+
+def q_b07_integer_median(spark, sf_dir):
+    """The median of an integer column can lie between two integers."""
+    lst = once(spark, sf_dir).select("listing_id", F.when(F.col("listing_id") % 2 == 0, F.col("listing_id")).alias("half"))
+    return clean.impute_median(lst, ["half"]).select("listing_id", "half")
+
+
+def _with_odd_values(lst: DataFrame) -> DataFrame:
+    """Prices with NULL, NaN and infinities, and a column without values."""
+    k = F.col("listing_id") % 50
+    odd = F.when(k == 1, None).when(k == 2, float("nan")).when(k == 3, float("inf")).when(k == 4, float("-inf"))
+    return lst.select("listing_id", "room_type", odd.otherwise(F.col("price")).alias("price"), "minimum_nights",
+                      F.lit(None).cast("double").alias("nothing"), F.lit(None).cast("string").alias("no_text"))
+
+
+def q_b13_odd_values_dropped(spark, sf_dir):
+    odd = _with_odd_values(once(spark, sf_dir)).drop("nothing", "no_text")
+    return round_doubles(clean.drop_nulls(features.null_non_finite(odd), ["price"]))
+
+
+def q_b14_leakage_columns(spark, sf_dir):
+    lst = once(spark, sf_dir)
+    left = clean.drop_leakage(lst).columns
+    return lst.agg(F.count(F.lit(1)).alias("listings")).withColumn("left", F.lit(",".join(sorted(left))))
+
+
+def q_c03_distinct_of_nothing(spark, sf_dir):
+    return profile.profile_distinct(_with_odd_values(once(spark, sf_dir)))
+
+
+def q_c08_iqr_odd_values(spark, sf_dir):
+    return round_doubles(profile.iqr_outliers(features.null_non_finite(_with_odd_values(L(spark, sf_dir))),
+                                              ["price", "minimum_nights", "nothing"]))
+
+
+def q_c09_histogram_odd_values(spark, sf_dir):
+    return round_doubles(profile.histogram(_with_odd_values(L(spark, sf_dir)), "price", 200))
+
+
+def q_c06_data_summary(spark, sf_dir):
+    lst = L(spark, sf_dir, "listing_id", "room_type", "price")
+    row = profile.data_summary(lst)
+    return row.select("n_rows", "n_columns", F.size("missing").alias("n_missing"), F.size("numeric").alias("n_numeric"),
+                      F.element_at("distinct", 1)["n_distinct"].alias("room_types"))
+
+
+def q_d03_minmax(spark, sf_dir):
+    return round_doubles(features.minmax(L(spark, sf_dir, "listing_id", "price"), "price").select("listing_id", "price_minmax"))
+
+
+def q_d14_indicators(spark, sf_dir):
+    lst = L(spark, sf_dir, "listing_id", "room_type")
+    return encoders.one_hot(lst, "room_type", ["Hotel room", "Private room", "Shared room"])
+
+
+def q_d17_numeric_columns(spark, sf_dir):
+    lst = once(spark, sf_dir)
+    return lst.agg(F.count(F.lit(1)).alias("listings")).withColumn("numeric", F.lit(",".join(sorted(profile.numeric_columns(lst)))))
+
+
 def q_b07_impute_median(spark, sf_dir):
     cols = ["reviews_per_month", "availability_365", "review_rate_number", "service_fee"]
-    return round_doubles(clean.impute_median(L(spark, sf_dir), cols).select("listing_id", *cols))
+    return round_doubles(clean.impute_median(L(spark, sf_dir, "listing_id", *cols), cols).select("listing_id", *cols))
 
 
 def q_b08_impute_mode(spark, sf_dir):
     cols = ["cancellation_policy", "instant_bookable", "neighbourhood_group"]
-    return clean.impute_mode(L(spark, sf_dir), cols).select("listing_id", *cols)
+    return clean.impute_mode(L(spark, sf_dir, "listing_id", *cols), cols).select("listing_id", *cols)
+
+
+def _raw_file(lst: DataFrame) -> DataFrame:
+    """Listings with the gaps and the extra columns of the raw file."""
+    k = F.col("listing_id")
+    return lst.withColumns({
+        "price": F.when(k % 31 != 0, F.col("raw_price")),
+        "number_of_reviews": F.when(k % 37 != 0, F.col("number_of_reviews")),
+        "country": F.when(k % 29 != 0, F.when(k % 3 == 0, "Canada").otherwise("United States")),
+        "host_identity_verified": F.when(k % 5 != 0, "verified"),
+        **{c: F.lit("x") for c in clean.DROPPED_RAW_COLUMNS}}).drop("raw_price")
 
 
 def q_h4_clean_batch(spark, sf_dir):
-    raw = L(spark, sf_dir).drop("price").withColumnRenamed("raw_price", "price")
-    return round_doubles(clean.clean_batch(raw))
+    own = L(spark, sf_dir)
+    return round_doubles(clean.clean_batch(cut_lineage(_raw_file(own))))
 
 
 def q_b12_drop_nulls(spark, sf_dir):
-    lst = L(spark, sf_dir)
+    lst = once(spark, sf_dir)
     return round_doubles(clean.drop_nulls(clean.prep_categorical(
         features.null_non_finite(lst), ["room_type"]), ["reviews_per_month", "availability_365"]))
 
@@ -138,35 +254,35 @@ def q_b12_drop_nulls(spark, sf_dir):
 # ------------------------------------------------------------------ C
 
 def q_c01_profile_shape(spark, sf_dir):
-    return profile.profile_shape(L(spark, sf_dir)).drop("columns")
+    return profile.profile_shape(once(spark, sf_dir)).drop("columns")
 
 
 def q_c02_profile_missing(spark, sf_dir):
-    return round_doubles(profile.profile_missing(L(spark, sf_dir)))
+    return round_doubles(profile.profile_missing(once(spark, sf_dir)))
 
 
 def q_c03_profile_distinct(spark, sf_dir):
-    return profile.profile_distinct(L(spark, sf_dir))
+    return profile.profile_distinct(once(spark, sf_dir))
 
 
 def q_c04_profile_numeric(spark, sf_dir):
-    return round_doubles(profile.profile_numeric(L(spark, sf_dir), PROFILE_NUMERIC))
+    return round_doubles(profile.profile_numeric(L(spark, sf_dir, *PROFILE_NUMERIC), PROFILE_NUMERIC))
 
 
 def q_c07_skew(spark, sf_dir):
-    return round_doubles(profile.profile_skew(L(spark, sf_dir), PROFILE_NUMERIC))
+    return round_doubles(profile.profile_skew(once(spark, sf_dir), PROFILE_NUMERIC))
 
 
 def q_c08_iqr_outliers(spark, sf_dir):
-    return round_doubles(profile.iqr_outliers(L(spark, sf_dir), PROFILE_NUMERIC))
+    return round_doubles(profile.iqr_outliers(L(spark, sf_dir, *PROFILE_NUMERIC), PROFILE_NUMERIC))
 
 
 def q_c09_histogram(spark, sf_dir):
-    return round_doubles(profile.histogram(L(spark, sf_dir), "price", 50))
+    return round_doubles(profile.histogram(L(spark, sf_dir, "price"), "price", 50))
 
 
 def q_c10_box_price_by_room(spark, sf_dir):
-    return round_doubles(profile.box_stats(L(spark, sf_dir), "price", by="room_type"))
+    return round_doubles(profile.box_stats(L(spark, sf_dir, "price", "room_type"), "price", by="room_type"))
 
 
 def q_c10_box_demand_by_area(spark, sf_dir):
@@ -182,7 +298,7 @@ def q_c12_bin2d(spark, sf_dir):
 
 
 def q_c13_value_counts(spark, sf_dir):
-    return profile.value_counts(L(spark, sf_dir), "room_type")
+    return profile.value_counts(once(spark, sf_dir), "room_type")
 
 
 # ------------------------------------------------------------------ D
@@ -196,12 +312,12 @@ def q_h4_engineer_batch(spark, sf_dir):
 
 
 def q_d12_model_features(spark, sf_dir):
-    return round_doubles(features.engineer_model_features(L(spark, sf_dir)).select(
+    return round_doubles(features.engineer_model_features(once(spark, sf_dir)).select(
         "listing_id", "price_log", "price_per_minimum_night", "room_type_neighbourhood"))
 
 
 def q_d19_split(spark, sf_dir):
-    return L(spark, sf_dir).select("listing_id", encoders.is_test("listing_id").alias("is_test"))
+    return once(spark, sf_dir).select("listing_id", encoders.is_test("listing_id").alias("is_test"))
 
 
 def q_d13_frequency(spark, sf_dir):
@@ -216,9 +332,9 @@ def q_d13_frequency(spark, sf_dir):
 
 
 def q_d14_category_index(spark, sf_dir):
-    lst = L(spark, sf_dir)
+    lst = L(spark, sf_dir, "listing_id", "room_type")
     train, _ = encoders.split(lst)
-    cats = encoders.fit_categories(train, "room_type")
+    cats = encoders.category_table(train, "room_type")
     return encoders.category_index(lst, "room_type", cats).select("listing_id", "room_type", "room_type_index")
 
 
@@ -244,6 +360,28 @@ def _curve(spark, sf_dir):
     return jobs.target_curve(L(spark, sf_dir))
 
 
+def _packed(spark, sf_dir):
+    """Listings with their options in one row, written once: rules and summaries read them again."""
+    return cut_lineage(options.with_options(L(spark, sf_dir)))
+
+
+def q_f01_curve_without_price(spark, sf_dir):
+    """Listings without a price have no candidates."""
+    lst = L(spark, sf_dir)
+    gaps = lst.withColumn("price", F.when(F.col("listing_id") % 41 != 0, F.col("price")))
+    return round_doubles(jobs.target_curve(gaps).groupBy("listing_id").agg(
+        F.count(F.lit(1)).alias("options"), F.min("candidate_price").alias("lowest")))
+
+
+def q_f08_without_revenue(spark, sf_dir):
+    """Options without a revenue are never chosen; a listing that has no other is infeasible."""
+    c = _curve(spark, sf_dir).withColumn("expected_revenue", F.when(
+        (F.col("listing_id") % 7 != 0) & (F.col("option_id") != 0), F.col("expected_revenue")))
+    sel = select.select_best_option(c.withColumn("feasible", F.lit(True)), feasible="feasible")
+    return round_doubles(sel.select("listing_id", F.coalesce("option_id", F.lit(-1)).alias("option_id"), "expected_revenue",
+                                    "feasible"))
+
+
 def q_f01_target_curve(spark, sf_dir):
     return round_doubles(_curve(spark, sf_dir))
 
@@ -260,13 +398,22 @@ def q_f06_option_ids(spark, sf_dir):
 
 
 def _recs(spark, sf_dir, **rules):
-    return round_doubles(jobs.recommendation_job(_curve(spark, sf_dir), **rules))
+    return round_doubles(options.recommend(_packed(spark, sf_dir), **rules))
 
 
 def q_f08_select_best(spark, sf_dir):
     return _recs(spark, sf_dir)
 
 
+def q_f08_long_curve(spark, sf_dir):
+    """The grouped form, for curves that come as rows."""
+    return round_doubles(jobs.recommendation_job(_curve(spark, sf_dir)))
+
+
+def q_h2_long_curve(spark, sf_dir):
+    return round_doubles(jobs.recommendation_job(_curve(spark, sf_dir), **ALL_RULES))
+
+
 def q_f11_limit_change(spark, sf_dir):
     return _recs(spark, sf_dir, change_pct=CHANGE_LIMIT_PCT)
 
@@ -300,23 +447,40 @@ def q_h2_recommendation(spark, sf_dir):
 
 
 def q_f09_infeasible(spark, sf_dir):
-    flagged = constraints.apply_rules(_curve(spark, sf_dir), **ALL_RULES)
-    sel = select.select_best_option(flagged, feasible="feasible")
+    sel = options.select_best(_packed(spark, sf_dir), **ALL_RULES)
     return sel.filter(~F.col("feasible")).select("listing_id")
 
 
 def q_g09_recommendation_summary(spark, sf_dir):
-    return round_doubles(report.recommendation_summary(jobs.recommendation_job(_curve(spark, sf_dir), **ALL_RULES)))
+    return round_doubles(report.recommendation_summary(options.recommend(_packed(spark, sf_dir), **ALL_RULES)))
 
 
 def q_g10_selection_summary(spark, sf_dir):
-    c = _curve(spark, sf_dir)
-    sel = select.optimize_curve(c)
-    return round_doubles(report.selection_summary(c, sel).drop("optional_constraints"))
+    rows = _packed(spark, sf_dir)
+    flags = {"neighborhood": True}
+    sel = options.optimize(rows, area_pct=constraints.AREA_DEVIATION_PCT).where("feasible")
+    return round_doubles(report.selection_summary(rows, sel, flags, packed="options").select("*", "optional_constraints.*")
+                         .drop("optional_constraints"))
+
+
+def q_g07_true_before(spark, sf_dir):
+    """The business table with the demand at the current price as the demand before."""
+    rows = _packed(spark, sf_dir)
+    demand = features.demand_score(L(spark, sf_dir, "listing_id", "reviews_per_month", "number_of_reviews", "availability_365"))
+    sel = options.optimize(rows).where("feasible").drop("feasible").join(
+        demand.select("listing_id", F.col("demand_score").alias("now")), "listing_id")
+    return round_doubles(report.build_recommendations(sel, true_before="now"))
+
+
+def q_g02_half_cents(spark, sf_dir):
+    """Amounts at and beside half a cent, written with two decimals."""
+    x = F.col("listing_id") / F.lit(1000.0)
+    return once(spark, sf_dir).select("listing_id", fmt2(x).alias("plain"), fmt2(-x * F.lit(1.1)).alias("scaled"),
+                                      fmt2((F.col("listing_id") * 2 + 1) / F.lit(8.0)).alias("ties"))
 
 
 def q_f17_selection(spark, sf_dir):
-    sel = select.optimize_curve(constraints.competitor_cap(_curve(spark, sf_dir)))
+    sel = options.optimize(_packed(spark, sf_dir), competitor_factor=constraints.COMPETITOR_FACTOR).where("feasible")
     return round_doubles(sel.select("listing_id", "option_id", "current_price", "recommended_price",
                                     "predicted_demand", "expected_revenue", "current_revenue_estimate",
                                     "expected_revenue_change", "price_change", "price_change_pct", "reason"))
@@ -324,12 +488,39 @@ def q_f17_selection(spark, sf_dir):
 
 # ------------------------------------------------------------------ F-10
 
+BUDGET_COLUMNS = ["listing_id", "option_id", "current_price", "candidate_price", "expected_revenue", "abs_price_change_pct"]
+
+
 def q_f10_budget(spark, sf_dir):
     from rateweave.operators import budget
 
     sel, _ = budget.select_with_budget(_curve(spark, sf_dir), max_avg_pct=budget.DEFAULT_MAX_AVG_PCT)
-    return round_doubles(sel.select("listing_id", "option_id", "current_price", "candidate_price",
-                                    "expected_revenue", "abs_price_change_pct"))
+    return round_doubles(sel.select(*BUDGET_COLUMNS))
+
+
+def _alike(spark, sf_dir):
+    """One and the same curve for every listing."""
+    lst = L(spark, sf_dir, "listing_id")
+    same = lst.select("listing_id", F.lit(100.0).alias("current_price"), F.explode(F.sequence(F.lit(0), F.lit(4))).alias("option_id"))
+    return same.select("*", (F.lit(100.0) + F.lit(5.0) * F.col("option_id")).alias("candidate_price"),
+                       (F.lit(100.0) + F.col("option_id") * (F.lit(9.0) - F.col("option_id"))).alias("expected_revenue"))
+
+
+def q_f10_budget_alike(spark, sf_dir):
+    """Equal listings split at the cut, so the budget is used to within one step."""
+    from rateweave.operators import budget
+
+    sel, _ = budget.select_with_budget(_alike(spark, sf_dir), max_avg_pct=7.0)
+    return round_doubles(sel.select(*BUDGET_COLUMNS))
+
+
+def q_f10_budget_with_rules(spark, sf_dir):
+    """The budget over what the rules allow; N counts all listings."""
+    from rateweave.operators import budget
+
+    flagged = constraints.apply_rules(_curve(spark, sf_dir), competitor_factor=constraints.COMPETITOR_FACTOR)
+    sel, _ = budget.select_with_budget(flagged, max_avg_pct=5.0, feasible="feasible")
+    return round_doubles(sel.select(*BUDGET_COLUMNS))
 
 
 def q_f10_budget_summary(spark, sf_dir):
@@ -341,9 +532,8 @@ def q_f10_budget_summary(spark, sf_dir):
 
 # ------------------------------------------------------------------ E (rows-only: fitted models)
 
-MODEL_NUMERIC = ["price", "service_fee", "minimum_nights", "number_of_reviews", "review_rate_number",
-                 "competitor_avg_price"]
-MODEL_CATEGORICAL = ["room_type", "neighbourhood_group", "cancellation_policy"]
+#: Not inputs of a model: ids, and the price as text.
+MODEL_EXCLUDE = ["listing_id", "host_id", "raw_price"]
 
 
 def _train_test(spark, sf_dir):
@@ -364,7 +554,8 @@ def q_h3_training(spark, sf_dir):
 
     train, test = _train_test(spark, sf_dir)
     train, test = cut_lineage(train), cut_lineage(test)
-    fitted = models.train_models(train, ("linear", "ridge", "forest", "gbt"), MODEL_NUMERIC, MODEL_CATEGORICAL)
+    fitted = models.train_models(train, ("linear", "ridge", "forest", "gbt"),
+                                 *encoders.feature_columns(train, exclude=MODEL_EXCLUDE))
     cmp = models.compare_models(fitted, test)
     best = models.select_best(cmp).scalar()
     return cmp.withColumn("is_best", F.col("model") == best).drop("_order")
@@ -374,7 +565,164 @@ def _model(spark, sf_dir, kind="forest"):
     from rateweave.operators import models
 
     train, _ = _train_test(spark, sf_dir)
-    return models.fit_model(cut_lineage(train), kind, MODEL_NUMERIC, MODEL_CATEGORICAL)
+    train = cut_lineage(train)
+    return models.fit_model(train, kind, *encoders.feature_columns(train, exclude=MODEL_EXCLUDE))
+
+
+def _two_feature_fit(spark, sf_dir, kind):
+    """Coefficients on price and number of reviews, scaled by the population's deviation."""
+    from rateweave.operators import models
+
+    train, _ = _train_test(spark, sf_dir)
+    m = models.fit_model(cut_lineage(train.select("listing_id", "price", "number_of_reviews", "demand_score")), kind,
+                         ["price", "number_of_reviews"], [])
+    lr = m.stages[-1]
+    rows = [("price", float(lr.coefficients[0])), ("number_of_reviews", float(lr.coefficients[1])),
+            ("intercept", float(lr.intercept))]
+    return round_doubles(spark.createDataFrame(rows, "term string, value double"), 4)
+
+
+def q_e01_linear_two(spark, sf_dir):
+    return _two_feature_fit(spark, sf_dir, "linear")
+
+
+def q_e02_ridge_two(spark, sf_dir):
+    return _two_feature_fit(spark, sf_dir, "ridge")
+
+
+def q_d18_scaled(spark, sf_dir):
+    """Scaled numeric inputs of the test side, as the fitted preprocessor gives them."""
+    from pyspark.ml.functions import vector_to_array
+
+    train, test = _train_test(spark, sf_dir)
+    cols = ["price", "number_of_reviews", "minimum_nights"]
+    train, test = (cut_lineage(t.select("listing_id", *cols, "demand_score")) for t in (train, test))
+    prep = encoders.build_preprocessor(cols, [], train.count(), columns=train.columns).fit(train)
+    x = vector_to_array("features")
+    return round_doubles(prep.transform(test).select("listing_id", *[x[i].alias(c) for i, c in enumerate(cols)]))
+
+
+def q_h5_encoders(spark, sf_dir):
+    """Indicator and frequency encoding, logarithms, fills and scaling of the test side."""
+    lst = L(spark, sf_dir, "listing_id", "room_type", "neighbourhood_group", "price", "minimum_nights", "number_of_reviews",
+            "reviews_per_month")
+    train, test = encoders.split(lst)
+    _, out = jobs.run_encoders(train, test, {"room_type": ["Hotel room", "Private room"]}, ["neighbourhood_group"],
+                               ["price", "minimum_nights", "number_of_reviews", "reviews_per_month"])
+    return round_doubles(out)
+
+
+def q_e06_tuning_subset(spark, sf_dir):
+    from rateweave.operators import models
+
+    train, _ = encoders.split(L(spark, sf_dir, "listing_id"))
+    return models.tuning_subset(train, 300)
+
+
+def q_h3_training_facts(spark, sf_dir):
+    """What must hold of a training run: models compared, metrics of the written predictions."""
+    from rateweave.operators import models
+
+    train, test = _train_test(spark, sf_dir)
+    train, test = cut_lineage(train), cut_lineage(test)
+    fitted = models.train_models(train, ("linear", "ridge", "forest", "gbt"),
+                                 *encoders.feature_columns(train, exclude=MODEL_EXCLUDE),
+                                 params={"forest": {"numTrees": 20, "maxDepth": 8}, "gbt": {"maxIter": 20}})
+    cmp = cut_lineage(models.compare_models(fitted, test))
+    pred = cut_lineage(fitted["forest"].transform(test).select("demand_score", "prediction"))
+    err = F.col("demand_score") - F.col("prediction")
+    again = pred.agg(F.sqrt(F.avg(err * err)).alias("e")).first()["e"]
+    best = models.select_best(cmp).first()["best_model"]
+    top = cmp.orderBy(F.desc("r2"), "_order").first()["model"]
+    same = cmp.where("model = 'forest'").first()["rmse"]
+    return cmp.agg(F.count(F.lit(1)).alias("models")).select(
+        "models", F.lit(pred.count()).alias("test_rows"), F.lit(best == top).alias("best_has_the_top_r2"),
+        F.lit(abs(same - again) < 1e-4).alias("metrics_recomputed"))
+
+
+def q_e10_run_log(spark, sf_dir):
+    """Two runs appended to a log and read back."""
+    import time
+
+    from rateweave.operators import models
+
+    lst = once(spark, sf_dir)
+    path = _scratch(spark, "runs")
+    n = lst.count()
+    for k in range(2):
+        models.append_runs(spark, [models.run_record(f"run{k}", {"rows": n}, {"rmse": 1.0 + k, "mae": 0.5, "r2": 0.1}, time.time())],
+                           path)
+    return spark.read.parquet(path).select("run_name", F.col("params.rows").alias("rows"), "rmse", "mae", "r2",
+                                           (F.col("duration_sec") >= 0).alias("timed"))
+
+
+# ------------------------------------------------------------------ A: written, then read
+
+def _scratch(spark, name: str) -> str:
+    import uuid
+
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def q_a01_csv_scan(spark, sf_dir):
+    """A CSV file with quotes, line breaks and other column places, read by the header's names."""
+    lst = once(spark, sf_dir)
+    path = _scratch(spark, "csv")
+    lst.select(F.concat(F.lit('said "no", '), "room_type", F.lit("\nthen left")).alias("house rules"), F.col("price").alias("Price"),
+               F.col("listing_id").alias("id"), F.col("instant_bookable")).write.option("header", True) \
+        .option("escape", '"').option("quoteAll", True).csv(path)
+    return round_doubles(io.read_listings(spark, path).select(
+        "listing_id", "house_rules", io_price("price"), "instant_bookable"))
+
+
+def io_price(c):
+    return parse_money(c).alias("price")
+
+
+def q_a02_a03_first_path_or_frame(spark, sf_dir):
+    """The first path that is there; a frame is taken as it is."""
+    lst = once(spark, sf_dir)
+    path = _scratch(spark, "listings") + ".parquet"
+    lst.select("listing_id", "price").write.parquet(path)
+    found = io.read_listings(spark, io.resolve_first(spark, [path + ".missing", path]))
+    return round_doubles(io.read_listings(spark, found))
+
+
+def q_a04_report_csv(spark, sf_dir):
+    path = _scratch(spark, "report")
+    report_ = jobs.inference_job(L(spark, sf_dir))
+    io.write_report(report_, path)
+    return round_doubles(spark.read.option("header", True).schema(report_.schema).option("escape", '"').csv(path))
+
+
+def q_a05_summary_json(spark, sf_dir):
+    path = _scratch(spark, "summary")
+    io.write_summary(report.inference_summary(_report(spark, sf_dir)), path)
+    kept = ["total_listings", "increase_count", "decrease_count", "keep_count", "total_expected_improvement",
+            "average_expected_improvement", "max_expected_improvement", "min_expected_improvement"]
+    return round_doubles(spark.read.json(path).select(*kept))
+
+
+def q_a06_curve_parquet(spark, sf_dir):
+    path = _scratch(spark, "curve")
+    io.write_curve(_curve(spark, sf_dir), path, partition_by=["room_type"])
+    return round_doubles(spark.read.parquet(path).select(*FULL_CURVE))
+
+
+def q_a07_model_saved(spark, sf_dir):
+    """A saved model predicts as the one that was saved."""
+    path = _scratch(spark, "model")
+    m = _model(spark, sf_dir, "linear")
+    io.save_model(m, path)
+    _, test = _train_test(spark, sf_dir)
+    test = cut_lineage(test)
+    a, b = (x.transform(test).select("listing_id", F.col("prediction").alias(n)) for x, n in ((m, "p"), (io.load_model(path), "q")))
+    return a.join(b, "listing_id").agg(F.count(F.lit(1)).alias("rows"),
+                                       F.bool_and(F.abs(F.col("p") - F.col("q")) < 1e-12).alias("same"))
+
+
+FULL_CURVE = ["listing_id", "option_id", "current_price", "candidate_price", "predicted_demand", "expected_revenue",
+              "price_change", "price_change_pct", "room_type", "neighbourhood_group", "competitor_avg_price"]
 
 
 def q_e11_score(spark, sf_dir):
@@ -394,6 +742,26 @@ def q_f04_model_curve_recommendation(spark, sf_dir):
     return round_doubles(jobs.recommendation_job(curve, change_pct=constraints.MAX_CHANGE_PCT))
 
 
+def q_f04_model_curve_facts(spark, sf_dir):
+    """What must hold of a model's curve, whatever the model."""
+    from rateweave.operators import models
+
+    curve = models.model_curve(L(spark, sf_dir), _model(spark, sf_dir, "ridge"))
+    per = curve.groupBy("listing_id").agg(F.count(F.lit(1)).alias("n"), F.min("predicted_demand").alias("least"), F.bool_and(
+        F.abs(F.col("expected_revenue") - F.col("candidate_price") * F.col("predicted_demand")) <= 1e-3).alias("product"))
+    return per.agg(F.count(F.lit(1)).alias("listings"), F.sum("n").alias("options"),
+                   F.bool_and(F.col("n") == 15).alias("all_fifteen"), F.bool_and(F.col("least") >= 0).alias("demand_not_negative"),
+                   F.bool_and("product").alias("revenue_is_price_times_demand"))
+
+
+def q_e11_score_facts(spark, sf_dir):
+    from rateweave.operators import models
+
+    scored = models.score(L(spark, sf_dir), _model(spark, sf_dir, "ridge"))
+    return scored.agg(F.count(F.lit(1)).alias("listings"), F.count("predicted_demand_before").alias("predicted"), F.bool_and(
+        F.col("predicted_revenue_before") == F.col("current_price") * F.col("predicted_demand_before")).alias("product"))
+
+
 # ------------------------------------------------------------------ streaming H-1
 
 def q_s01_stream_inference(spark, sf_dir):

@@ -117,38 +117,57 @@ def run_inference(spark, source, out_dir: str, model_path: str | None = None,
 
 
 def run_recommendation(spark, listings: DataFrame, out_dir: str, model=None, max_avg_pct: float | None = None,
-                       **rules) -> dict:
+                       on_infeasible: str = "report", **rules) -> dict:
     """H-2 end to end: curve (model or target) -> rules -> selection (or budgeted
-    selection) -> business table CSV + summary JSON + curve Parquet."""
+    selection) -> business table CSV + summary JSONs + curve Parquet.
+
+    The rules are the same with and without a budget, and so is ``on_infeasible``; the
+    budget's N counts every listing of the curve.  Summaries are read from what was written."""
     from rateweave.operators import budget as budget_op
+    from rateweave.plans import options
+    from rateweave.session import cut_lineage, intermediates
     from rateweave.sources import io
-    from rateweave.session import cut_lineage
-
-    if model is not None:
-        from rateweave.operators.models import model_curve
 
-        curve = model_curve(listings, model)
-    else:
-        curve = target_curve(listings)
-    curve = cut_lineage(curve)                       # read by rules, selection and summary
+    if on_infeasible not in ("report", "error"):
+        raise ValueError("on_infeasible must be 'report' or 'error'")
     out = out_dir.rstrip("/")
-    io.write_curve(curve, f"{out}/demand_price_curve")
-    extra = {}
-    if max_avg_pct is not None:
-        flagged = constraints.apply_rules(curve, **rules) if rules else curve.withColumn("feasible", F.lit(True))
-        sel, extra = budget_op.select_with_budget(flagged.filter(F.col("feasible")).drop("feasible"), max_avg_pct)
-        sel = select.selection_reason(select.selection_metrics(sel.withColumnRenamed("candidate_price",
-                                                                                     "recommended_price")))
+    extra: dict = {}
+    with intermediates(spark):
+        rows = None
+        if model is not None:
+            from rateweave.operators.models import model_curve
+
+            io.write_curve(model_curve(listings, model), f"{out}/demand_price_curve")
+        else:
+            rows = cut_lineage(options.with_options(listings))
+            io.write_curve(options.explode_options(rows), f"{out}/demand_price_curve")
+        curve = spark.read.parquet(f"{out}/demand_price_curve")
+        if max_avg_pct is not None:
+            sel, extra = budget_op.select_with_budget(constraints.apply_rules(curve, **rules), max_avg_pct,
+                                                      feasible="feasible")
+            if on_infeasible == "error" and (extra["num_infeasible"] or extra["status"] == "infeasible"):
+                raise RuntimeError("No feasible price option for at least one listing.")
+            sel = select.selection_reason(select.selection_metrics(sel.withColumnRenamed("candidate_price",
+                                                                                         "recommended_price")))
+        else:
+            sel = options.optimize(rows, **rules) if rows is not None else select.optimize_curve(
+                constraints.apply_rules(curve, **rules), feasible="feasible")
+            if on_infeasible == "error":
+                select.require_feasible(sel)
+            sel = sel.filter(F.col("feasible")).drop("feasible")
+        io.write_curve(sel, f"{out}/selection")
+        sel = spark.read.parquet(f"{out}/selection")
         recs = report.build_recommendations(sel)
-    else:
-        recs = recommendation_job(curve, **rules)
-    io.write_report(recs, f"{out}/price_recommendations")
-    written = spark.read.option("header", True).option("inferSchema", False).csv(f"{out}/price_recommendations")
-    summary = report.recommendation_summary(recs)
+        io.write_report(recs, f"{out}/price_recommendations")
+        flags = {"avg_price_change": max_avg_pct is not None, "neighborhood": rules.get("area_pct") is not None,
+                 "room_type": bool(rules.get("room_band"))}
+        io.write_summary(report.selection_summary(curve, sel, flags), f"{out}/selection_summary")
+    written = spark.read.option("header", True).schema(recs.schema).csv(f"{out}/price_recommendations")
+    summary = report.recommendation_summary(written)
     io.write_summary(summary, f"{out}/optimization_summary")
     result = summary.first().asDict()
     result["budget"] = extra
-    result["rows_written"] = written.count()
+    result["rows_written"] = result["num_recommendations"]
     return result
 
 
@@ -169,17 +188,37 @@ def run_clean_and_engineer(df: DataFrame, out_path: str) -> DataFrame:
     return out
 
 
-def run_encoders(train: DataFrame, test: DataFrame, one_hot_cols, freq_cols, scale_cols):
-    """H-5: standalone one-hot + frequency encoding and population-std scaling fit on
-    train, applied to both sides."""
+# Fixed: columns whose long tail is taken as a logarithm before they are scaled.
+LOG_COLUMNS = ["price", "minimum_nights", "number_of_reviews"]
+
+
+def run_encoders(train: DataFrame, test: DataFrame, one_hot_cols, freq_cols, scale_cols=None,
+                 label: str = "demand_score"):
+    """H-5: one-hot and frequency encoding, logarithms, non-finite and missing values to the
+    train median, and population-std scaling, all fit on train and applied to both sides.
+
+    ``one_hot_cols`` maps a column to its list of values (indicator columns), or names columns
+    (a sparse vector over the values of train, at any number of them).  ``scale_cols`` default
+    to the numeric columns by type without the label."""
+    from rateweave.functions.exprs import log1p_clip
     from rateweave.operators import encoders
+    from rateweave.operators.profile import numeric_columns
 
+    listed = dict(one_hot_cols) if isinstance(one_hot_cols, dict) else {}
     for c in one_hot_cols:
-        cats = encoders.fit_categories(train, c)
-        train, test = encoders.one_hot(train, c, cats), encoders.one_hot(test, c, cats)
+        if c in listed:
+            train, test = encoders.one_hot(train, c, listed[c]), encoders.one_hot(test, c, listed[c])
+        else:
+            table = encoders.category_table(train, c)
+            train, test = encoders.one_hot_vector(train, c, table), encoders.one_hot_vector(test, c, table)
     for c in freq_cols:
         f = encoders.fit_frequency(train, c)
         train = encoders.apply_frequency(train, f, c, unseen_zero=False, replace=True)
         test = encoders.apply_frequency(test, f, c, unseen_zero=True, replace=True)
-    st = encoders.fit_std_scaler(train, scale_cols)
-    return encoders.apply_std_scaler(train, st, scale_cols), encoders.apply_std_scaler(test, st, scale_cols)
+    logs = {c: log1p_clip(F.col(c).cast("double")) for c in LOG_COLUMNS if c in train.columns}
+    train, test = train.withColumns(logs), test.withColumns(logs)
+    cols = list(scale_cols) if scale_cols is not None else numeric_columns(train, exclude=[label])
+    fills = encoders.fit_median_imputer(train, cols)
+    train, test = fills.apply_fill(train), fills.apply_fill(test)
+    st = encoders.fit_std_scaler(train, cols)
+    return encoders.apply_std_scaler(train, st, cols), encoders.apply_std_scaler(test, st, cols)

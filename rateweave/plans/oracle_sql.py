@@ -97,6 +97,7 @@ def closed_form_ctes(src: str = "pred", n: int = 10, lo_f: float = 0.7, hi_f: fl
     ]
 
 
+#: Fixed: the texts of the report, as they must read.
 REPORT_CTE = f"""rep AS (
   SELECT *,
     CASE WHEN current_price = 0 THEN 'keep'
@@ -245,26 +246,133 @@ def b08_impute_mode() -> str:
 
 
 def h4_clean_batch() -> str:
-    med = ["minimum_nights", "number_of_reviews", "reviews_per_month", "review_rate_number"]
-    parsed = f"""parsed AS (
-  SELECT listing_id, host_id,
-         TRY_CAST(trim(regexp_replace(CAST(service_fee AS VARCHAR), '[$,]', '', 'g')) AS DOUBLE) AS service_fee,
-         room_type, neighbourhood_group, minimum_nights, number_of_reviews, reviews_per_month, availability_365,
-         review_rate_number, instant_bookable, cancellation_policy,
-         TRY_CAST(trim(regexp_replace(raw_price, '[$,]', '', 'g')) AS DOUBLE) AS price, competitor_avg_price
+    med = ["availability_365", "minimum_nights", "review_rate_number", "price", "service_fee"]
+    raw = """raw AS (
+  SELECT listing_id, host_id, service_fee, room_type, neighbourhood_group, minimum_nights, reviews_per_month, availability_365,
+         review_rate_number, instant_bookable, lower(trim(cancellation_policy)) AS cancellation_policy, competitor_avg_price,
+         CASE WHEN listing_id % 31 <> 0 THEN CAST(replace(replace(raw_price, '$', ''), ',', '') AS DOUBLE) END AS price,
+         CASE WHEN listing_id % 37 <> 0 THEN number_of_reviews END AS number_of_reviews,
+         CASE WHEN listing_id % 29 <> 0 THEN CASE WHEN listing_id % 3 = 0 THEN 'Canada' ELSE 'United States' END END AS country,
+         CASE WHEN listing_id % 5 <> 0 THEN 'verified' END AS host_identity_verified
   FROM listings)"""
-    fill = ", ".join(f"coalesce(p.{c}, m.m_{c}) AS {c}" for c in med)
-    imputed = f"""imputed AS (
-  SELECT p.listing_id, p.host_id, p.service_fee, p.room_type, p.neighbourhood_group, {fill}, p.availability_365,
-         p.instant_bookable, lower(trim(p.cancellation_policy)) AS cancellation_policy, p.price, p.competitor_avg_price
-  FROM parsed p, {_median_fill(med, 'parsed')} m)"""
-    body = f"""SELECT listing_id, host_id, {R('service_fee')} AS service_fee, room_type, neighbourhood_group,
-  {", ".join(R(c) + " AS " + c for c in med)}, {R('availability_365')} AS availability_365,
-  coalesce(instant_bookable, {_mode('instant_bookable', 'imputed')}) AS instant_bookable,
-  coalesce(cancellation_policy, {_mode('cancellation_policy', 'imputed')}) AS cancellation_policy,
-  {R('price')} AS price, {R('competitor_avg_price')} AS competitor_avg_price
-FROM imputed WHERE availability_365 BETWEEN {D(0)} AND {D(366)}"""
-    return with_listings(body, parsed, imputed)
+    filled = f"""filled AS (
+  SELECT r.listing_id, r.host_id, r.room_type, r.host_identity_verified, r.competitor_avg_price,
+         {", ".join(f"coalesce(r.{c}, m.m_{c}) AS {c}" for c in med)},
+         coalesce(r.reviews_per_month, {D(0)}) AS reviews_per_month, coalesce(r.number_of_reviews, {D(0)}) AS number_of_reviews,
+         coalesce(r.country, 'United States') AS country,
+         {", ".join(f"coalesce(r.{c}, {_mode(c, 'raw')}) AS {c}" for c in ("instant_bookable", "neighbourhood_group", "cancellation_policy"))}
+  FROM raw r, {_median_fill(med, 'raw')} m)"""
+    doubles = med + ["reviews_per_month", "number_of_reviews", "competitor_avg_price"]
+    body = f"""SELECT listing_id, host_id, room_type, neighbourhood_group, instant_bookable, cancellation_policy, country,
+  host_identity_verified, {", ".join(R(c) + " AS " + c for c in doubles)}
+FROM filled WHERE availability_365 >= 0 AND availability_365 <= 366"""
+    return with_listings(body, raw, filled)
+
+
+# ------------------------------------------------------------------ odd values
+
+ODD_MONEY = ["5d", "$7f", "Infinity", "$1,234", " $12.50 ", "", "-3e2", "NaN", "0x10", "1.2.3"]
+_ODD = "CASE listing_id % 10 " + " ".join(f"WHEN {i} THEN '{x}'" for i, x in enumerate(ODD_MONEY)) + " END"
+_DECIMAL = "^[+-]?([0-9]+\\.?[0-9]*|\\.[0-9]+)([eE][+-]?[0-9]+)?$"
+
+
+def _number(text: str) -> str:
+    return f"CASE WHEN regexp_matches(trim({text}), '{_DECIMAL}') THEN TRY_CAST(trim({text}) AS DOUBLE) END"
+
+
+def b03_enforce_types() -> str:
+    return with_listings(f"""SELECT listing_id, {R(f"CASE WHEN listing_id % 2 = 0 THEN {_number(_ODD)} ELSE price END")} AS price
+FROM listings""")
+
+
+def b05_parse_odd_money() -> str:
+    bare = f"replace(replace({_ODD}, '$', ''), ',', '')"
+    return with_listings(f"SELECT listing_id, {R(_number(bare))} AS parsed_price FROM listings")
+
+
+def b01_b06_b09_names_and_fills() -> str:
+    return with_listings("""SELECT listing_id, room_type, CASE WHEN listing_id % 3 > 0 THEN 'Canada' ELSE 'United States' END AS country
+FROM listings""")
+
+
+def b02_missing_columns() -> str:
+    gone = ["service_fee", "room_type", "neighbourhood_group", "availability_365", "number_of_reviews", "reviews_per_month"]
+    return with_listings(f"SELECT count(*) AS listings, 'input lacks columns: {', '.join(gone)}' AS said FROM listings")
+
+
+def b07_integer_median() -> str:
+    return with_listings("""SELECT listing_id, coalesce(CASE WHEN listing_id % 2 = 0 THEN CAST(listing_id AS DOUBLE) END,
+  (SELECT quantile_cont(CAST(listing_id AS DOUBLE), 0.5) FROM listings WHERE listing_id % 2 = 0)) AS half FROM listings""")
+
+
+#: Prices that are left of _with_odd_values: those that are missing there have no number.
+_SOUND = "sound AS (SELECT listing_id, room_type, minimum_nights, CASE WHEN listing_id % 50 IN (1, 2, 3, 4) THEN NULL ELSE price END AS price FROM listings)"
+
+
+def b13_odd_values_dropped() -> str:
+    return with_listings(f"SELECT listing_id, room_type, {R('price')} AS price, {R('minimum_nights')} AS minimum_nights "
+                         "FROM sound WHERE price IS NOT NULL", _SOUND)
+
+
+def b14_leakage_columns() -> str:
+    left = sorted(c for c in ALL_LISTING_COLS if c not in ("reviews_per_month", "availability_365"))
+    return with_listings(f"SELECT count(*) AS listings, '{','.join(left)}' AS \"left\" FROM listings")
+
+
+def c03_distinct_of_nothing() -> str:
+    return with_listings("""SELECT 'room_type' AS "column", count(DISTINCT room_type) AS n_distinct FROM listings
+UNION ALL SELECT 'no_text', CAST(0 AS BIGINT)""")
+
+
+def c08_iqr_odd_values() -> str:
+    parts = []
+    for c in ("price", "minimum_nights"):
+        q = f"(SELECT quantile_cont({c}, 0.25) AS q1, quantile_cont({c}, 0.75) AS q3 FROM sound)"
+        parts.append(f"""SELECT '{c}' AS "column", {R('q1')} AS q1, {R('q3')} AS q3, {R('q3 - q1')} AS iqr,
+  {R(f'q1 - {D(1.5)} * (q3 - q1)')} AS lower, {R(f'q3 + {D(1.5)} * (q3 - q1)')} AS upper,
+  (SELECT count(*) FROM sound WHERE {c} < q1 - {D(1.5)} * (q3 - q1) OR {c} > q3 + {D(1.5)} * (q3 - q1)) AS n_outliers FROM {q} q""")
+    none = "CAST(NULL AS DOUBLE)"
+    parts.append(f"SELECT 'nothing', {none}, {none}, {none}, {none}, {none}, CAST(0 AS BIGINT)")
+    return with_listings("\nUNION ALL\n".join(parts), _SOUND)
+
+
+def c09_histogram_odd_values() -> str:
+    return with_listings(_histogram("sound", 200), _SOUND)
+
+
+def _histogram(src: str, bins: int) -> str:
+    b = _bucket("l.price", "s.lo", "s.hi", bins)
+    return f"""SELECT CAST(e.bin AS INTEGER) AS bin, {R(f'lo + CAST(e.bin - 1 AS DOUBLE) * w')} AS lower,
+  {R('lo + CAST(e.bin AS DOUBLE) * w')} AS upper, coalesce(c.n, 0) AS count
+FROM range(1, {bins + 1}) e(bin), (SELECT min(price) AS lo, (max(price) - min(price)) / {D(bins)} AS w FROM {src}) s
+LEFT JOIN (SELECT {b} AS bin, count(*) AS n FROM {src} l, (SELECT min(price) AS lo, max(price) AS hi FROM {src}) s
+           WHERE l.price IS NOT NULL AND NOT isnan(l.price) GROUP BY 1) c ON c.bin = e.bin"""
+
+
+def c06_data_summary() -> str:
+    return with_listings("""SELECT count(*) AS n_rows, CAST(3 AS BIGINT) AS n_columns, CAST(3 AS INTEGER) AS n_missing,
+  CAST(2 AS INTEGER) AS n_numeric, count(DISTINCT room_type) AS room_types FROM listings""")
+
+
+def d03_minmax() -> str:
+    return with_listings(f"""SELECT listing_id, {R('(price - lo) / (hi - lo + 1e-8)')} AS price_minmax
+FROM listings, (SELECT min(price) AS lo, max(price) AS hi FROM listings)""")
+
+
+def d14_indicators() -> str:
+    kinds = ["Hotel room", "Private room", "Shared room"]
+    return with_listings("SELECT listing_id, " + ", ".join(
+        f"CASE WHEN room_type = '{k}' THEN {D(1)} ELSE {D(0)} END AS \"room_type_{k}\"" for k in kinds) + " FROM listings")
+
+
+def d17_numeric_columns() -> str:
+    return with_listings(f"SELECT count(*) AS listings, '{','.join(sorted(['listing_id', 'host_id', *LISTING_DOUBLES]))}' AS numeric FROM listings")
+
+
+def g02_half_cents() -> str:
+    x = "CAST(listing_id AS DOUBLE)"
+    return with_listings(f"""SELECT listing_id, printf('%.2f', {x} / {D(1000)}) AS plain, printf('%.2f', -({x} / {D(1000)}) * {D(1.1)}) AS scaled,
+  printf('%.2f', CAST(listing_id * 2 + 1 AS DOUBLE) / {D(8)}) AS ties FROM listings""")
 
 
 LISTING_DOUBLES = ["price", "service_fee", "minimum_nights", "number_of_reviews", "reviews_per_month",
@@ -349,13 +457,7 @@ def _bucket(v: str, lo: str, hi: str, bins: int) -> str:
 
 
 def c09_histogram() -> str:
-    b = _bucket("l.price", "s.lo", "s.hi", 50)
-    return with_listings(f"""SELECT bin, {R(f'lo + CAST(bin - 1 AS DOUBLE) * w')} AS lower, {R(f'lo + CAST(bin AS DOUBLE) * w')} AS upper,
-  count(*) AS count
-FROM (SELECT {b} AS bin, s.lo AS lo, (s.hi - s.lo) / {D(50)} AS w
-      FROM listings l, (SELECT min(price) AS lo, max(price) AS hi FROM listings) s
-      WHERE l.price IS NOT NULL AND NOT isnan(l.price)) x
-GROUP BY bin, lo, w""")
+    return with_listings(_histogram("listings", 50))
 
 
 def _box(src: str, value: str, key: str) -> str:
@@ -548,6 +650,7 @@ def f06_option_ids() -> str:
                          *curve_ctes())
 
 
+#: Fixed: ranks of room types, as the rules have them.
 RANKS = {"Entire home/apt": 3, "Private room": 2, "Shared room": 1}
 
 
@@ -590,6 +693,7 @@ SELECTED = """sel AS (
   SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY listing_id ORDER BY expected_revenue DESC NULLS LAST, option_id ASC) AS rk
                  FROM flagged WHERE feasible) t WHERE rk = 1)"""
 
+#: Fixed: the texts of the business table, as they must read.
 BIZ = f"""biz AS (
   SELECT listing_id, current_price, candidate_price AS recommended_price, room_type, neighbourhood_group,
          predicted_demand AS predicted_demand_before, predicted_demand AS predicted_demand_after,
@@ -652,8 +756,9 @@ def g10_selection_summary() -> str:
     return with_listings(f"""SELECT (SELECT count(*) FROM curve) AS num_input_rows, (SELECT count(DISTINCT listing_id) FROM curve) AS num_listings,
   count(*) AS num_selected_rows, {R('sum(expected_revenue)')} AS total_expected_revenue_after,
   {R('sum(current_revenue_estimate)')} AS total_estimated_revenue_before,
-  {R('sum(expected_revenue_change)')} AS total_expected_revenue_change, {R('avg(price_change_pct)')} AS average_price_change_pct
-FROM sm""", *curve_ctes(), *rule_ctes(), SELECTED, SEL_METRICS)
+  {R('sum(expected_revenue_change)')} AS total_expected_revenue_change, {R('avg(price_change_pct)')} AS average_price_change_pct,
+  FALSE AS avg_price_change_enabled, TRUE AS neighborhood_consistency_enabled, FALSE AS room_type_fairness_enabled
+FROM sm""", *curve_ctes(), *rule_ctes(area_pct=25.0), SELECTED, SEL_METRICS)
 
 
 def f17_selection() -> str:
@@ -668,6 +773,167 @@ def f17_selection() -> str:
                          *curve_ctes(), *rule_ctes(competitor=1.2), SELECTED, SEL_METRICS)
 
 
+def f01_curve_without_price() -> str:
+    return with_listings(f"""SELECT listing_id, count(*) AS options, {R('min(candidate_price)')} AS lowest FROM curve
+WHERE listing_id % 41 <> 0 GROUP BY listing_id""", *curve_ctes())
+
+
+def f08_without_revenue() -> str:
+    return with_listings(f"""SELECT l.listing_id, coalesce(c.option_id, -1) AS option_id, {R('c.expected_revenue')} AS expected_revenue, c.option_id IS NOT NULL AS feasible
+FROM (SELECT DISTINCT listing_id FROM curve) l LEFT JOIN (
+  SELECT *, row_number() OVER (PARTITION BY listing_id ORDER BY expected_revenue DESC, option_id) AS rk FROM curve
+  WHERE listing_id % 7 <> 0 AND option_id <> 0 AND expected_revenue IS NOT NULL) c ON c.listing_id = l.listing_id AND c.rk = 1""",
+                         *curve_ctes())
+
+
+def g07_true_before() -> str:
+    now = BIZ.replace("predicted_demand AS predicted_demand_before", "now AS predicted_demand_before") \
+        .replace("current_price * predicted_demand AS expected_revenue_before", "current_price * now AS expected_revenue_before") \
+        .replace("candidate_price * predicted_demand - current_price * predicted_demand AS",
+                 "candidate_price * predicted_demand - current_price * now AS") \
+        .replace("FROM sel)", "FROM (SELECT sel.*, scored.demand_score AS now FROM sel JOIN scored ON scored.listing_id = sel.listing_id))")
+    return with_listings(BIZ_SELECT, *curve_ctes(), *rule_ctes(), SELECTED, now)
+
+
+def budget_ctes(src: str, max_avg_pct: float, where: str = "TRUE") -> list[str]:
+    """Hull steps by recursion, then the cut by one running sum over all steps."""
+    cost = f"abs(candidate_price - current_price) / CASE WHEN current_price = 0 THEN {D(1)} ELSE current_price END * {D(100)}"
+    return [
+        f"""op AS (SELECT listing_id, option_id AS o, {rint2(cost, 6)} AS c, expected_revenue AS v FROM {src}
+  WHERE {where} AND expected_revenue IS NOT NULL AND candidate_price IS NOT NULL)""",
+        f"""hull AS (
+  SELECT listing_id, CAST(0 AS BIGINT) AS k, c, v, o, CAST('Infinity' AS DOUBLE) AS eff FROM (
+    SELECT *, row_number() OVER (PARTITION BY listing_id ORDER BY c, v DESC, o) AS rn FROM op) WHERE rn = 1
+  UNION ALL
+  SELECT listing_id, k + 1, c2, v2, o2, least(eff, slope) FROM (
+    SELECT h.listing_id, h.k, h.eff, op.c AS c2, op.v AS v2, op.o AS o2, (op.v - h.v) / (op.c - h.c) AS slope,
+           row_number() OVER (PARTITION BY h.listing_id ORDER BY (op.v - h.v) / (op.c - h.c) DESC, op.c DESC, op.o) AS rn
+    FROM hull h JOIN op ON op.listing_id = h.listing_id AND op.c > h.c AND op.v > h.v) WHERE rn = 1)""",
+        """stp AS (SELECT listing_id, k, eff, md5(CAST(listing_id AS VARCHAR)) AS tie, CAST(c AS DECIMAL(18, 6))
+    - CAST(lag(c) OVER (PARTITION BY listing_id ORDER BY k) AS DECIMAL(18, 6)) AS dc FROM hull)""",
+        f"""room AS (SELECT CAST((SELECT count(DISTINCT listing_id) FROM {src}) * {max_avg_pct} AS DECIMAL(18, 6))
+    - (SELECT sum(CAST(c AS DECIMAL(18, 6))) FROM hull WHERE k = 0) AS r)""",
+        """cum AS (SELECT listing_id, k, sum(dc) OVER (ORDER BY eff DESC, tie, k ROWS UNBOUNDED PRECEDING) AS t FROM stp WHERE k > 0)""",
+        """pick AS (SELECT h.listing_id, h.o FROM hull h JOIN (
+    SELECT listing_id, max(k) AS k FROM (SELECT listing_id, k FROM cum, room WHERE t <= r UNION ALL SELECT listing_id, k FROM hull WHERE k = 0)
+    GROUP BY listing_id) m ON m.listing_id = h.listing_id AND m.k = h.k)""",
+        f"""taken AS (SELECT s.listing_id, s.option_id, s.current_price, s.candidate_price, s.expected_revenue, {cost} AS abs_price_change_pct
+  FROM {src} s JOIN pick ON pick.listing_id = s.listing_id AND pick.o = s.option_id)"""]
+
+
+_TAKEN = f"""SELECT listing_id, option_id, {R('current_price')} AS current_price, {R('candidate_price')} AS candidate_price,
+  {R('expected_revenue')} AS expected_revenue, {R('abs_price_change_pct')} AS abs_price_change_pct FROM taken"""
+
+
+def _recursive(sql: str) -> str:
+    return sql.replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+def f10_budget() -> str:
+    return _recursive(with_listings(_TAKEN, *curve_ctes(), *budget_ctes("curve", 10.0)))
+
+
+def f10_budget_alike() -> str:
+    alike = f"""alike AS (SELECT listing_id, CAST(i AS INTEGER) AS option_id, {D(100)} AS current_price, {D(100)} + {D(5)} * i AS candidate_price,
+  {D(100)} + CAST(i * (9 - i) AS DOUBLE) AS expected_revenue FROM listings CROSS JOIN range(0, 5) t(i))"""
+    return _recursive(with_listings(_TAKEN, alike, *budget_ctes("alike", 7.0)))
+
+
+def f10_budget_with_rules() -> str:
+    return _recursive(with_listings(_TAKEN, *curve_ctes(), *rule_ctes(competitor=1.2), *budget_ctes("flagged", 5.0, "feasible")))
+
+
+def f10_budget_summary() -> str:
+    left = "(SELECT min(eff) FROM (SELECT eff FROM stp JOIN cum USING (listing_id, k), room WHERE t > r ORDER BY t LIMIT 1))"
+    cost = "CAST((SELECT sum(CAST(round_even(abs_price_change_pct * 1e6, 0) / 1e6 AS DECIMAL(18, 6))) FROM taken) AS DOUBLE)"
+    return _recursive(with_listings(f"""SELECT 'feasible' AS status, n AS num_listings, CAST(0 AS BIGINT) AS num_infeasible, {R(f'n * {D(10)}')} AS budget,
+  {R(left)} AS multiplier, {R(cost)} AS used_cost, {R('v')} AS objective,
+  {R(f"v + CAST(CAST(n * 10 AS DECIMAL(18, 6)) - (SELECT sum(CAST(round_even(abs_price_change_pct * 1e6, 0) / 1e6 AS DECIMAL(18, 6))) FROM taken) AS DOUBLE) * {left}")} AS upper_bound,
+  {R(f"greatest(v + CAST(CAST(n * 10 AS DECIMAL(18, 6)) - (SELECT sum(CAST(round_even(abs_price_change_pct * 1e6, 0) / 1e6 AS DECIMAL(18, 6))) FROM taken) AS DOUBLE) * {left} - v, {D(0)})")} AS gap
+FROM (SELECT count(*) AS n, sum(expected_revenue) AS v FROM taken)""", *curve_ctes(), *budget_ctes("curve", 10.0)))
+
+
+_TRAIN = ["tr AS (SELECT * FROM scored WHERE NOT is_test)", """st AS (SELECT avg(price) AS mp, stddev_pop(price) AS sp, avg(number_of_reviews) AS mr,
+  stddev_pop(number_of_reviews) AS sr, avg(demand_score) AS my FROM tr)""", """mo AS (SELECT sum(p * p) AS pp, sum(r * r) AS rr, sum(p * r) AS pr, sum(p * y) AS py, sum(r * y) AS ry, any_value(my) AS my
+  FROM (SELECT (price - mp) / sp AS p, (number_of_reviews - mr) / sr AS r, demand_score - my AS y, my FROM tr, st))"""]
+
+
+def _two(alpha: float) -> str:
+    det = f"((pp + {D(alpha)}) * (rr + {D(alpha)}) - pr * pr)"
+    split = f"spl AS (SELECT *, {TEST_FLAG} AS is_test FROM listings)"
+    return with_listings(f"""SELECT 'price' AS term, {R(f'((rr + {D(alpha)}) * py - pr * ry) / {det}', 4)} AS value FROM mo
+UNION ALL SELECT 'number_of_reviews', {R(f'((pp + {D(alpha)}) * ry - pr * py) / {det}', 4)} FROM mo
+UNION ALL SELECT 'intercept', {R('my', 4)} FROM mo""", split, demand_cte("spl"), *_TRAIN)
+
+
+def e01_linear_two() -> str:
+    return _two(0.0)
+
+
+def e02_ridge_two() -> str:
+    return _two(1.0)
+
+
+def d18_scaled() -> str:
+    cols = ["price", "number_of_reviews", "minimum_nights"]
+    st = ", ".join(f"avg({c}) AS mu_{c}, stddev_pop({c}) AS sd_{c}" for c in cols)
+    sel = ", ".join(f"{R(f'(t.{c} - s.mu_{c}) / CASE WHEN s.sd_{c} = 0 THEN {D(1)} ELSE s.sd_{c} END')} AS {c}" for c in cols)
+    return with_listings(f"SELECT t.listing_id, {sel} FROM sp t, (SELECT {st} FROM sp WHERE NOT is_test) s WHERE t.is_test", SPLIT)
+
+
+def h5_encoders() -> str:
+    cols = ["price", "minimum_nights", "number_of_reviews", "reviews_per_month"]
+    logs = "lg AS (SELECT listing_id, is_test, room_type, neighbourhood_group, reviews_per_month, " + ", ".join(
+        f"CASE WHEN {c} IS NOT NULL THEN ln({D(1)} + greatest({c}, {D(0)})) END AS {c}" for c in cols[:3]) + " FROM sp)"
+    fill = "fl AS (SELECT l.listing_id, l.is_test, l.room_type, l.neighbourhood_group, " + ", ".join(
+        f"coalesce(l.{c}, coalesce(m.m_{c}, {D(0)})) AS {c}" for c in cols) + f" FROM lg l, {_median_fill(cols, 'lg', 'WHERE NOT is_test')} m)"
+    st = ", ".join(f"avg({c}) AS mu_{c}, stddev_pop({c}) AS sd_{c}" for c in cols)
+    freq = """fq AS (SELECT neighbourhood_group, CAST(count(*) AS DOUBLE) / CAST((SELECT count(neighbourhood_group) FROM sp WHERE NOT is_test) AS DOUBLE) AS f
+  FROM sp WHERE NOT is_test AND neighbourhood_group IS NOT NULL GROUP BY neighbourhood_group)"""
+    sel = ", ".join(f"{R(f'(t.{c} - s.mu_{c}) / CASE WHEN s.sd_{c} = 0 THEN {D(1)} ELSE s.sd_{c} END')} AS {c}" for c in cols)
+    ind = ", ".join(f"CASE WHEN t.room_type = '{k}' THEN {D(1)} ELSE {D(0)} END AS \"room_type_{k}\"" for k in ("Hotel room", "Private room"))
+    return with_listings(f"""SELECT t.listing_id, {sel}, {ind}, {R(f'coalesce(fq.f, {D(0)})')} AS neighbourhood_group
+FROM fl t CROSS JOIN (SELECT {st} FROM fl WHERE NOT is_test) s LEFT JOIN fq ON fq.neighbourhood_group = t.neighbourhood_group
+WHERE t.is_test""", SPLIT, logs, fill, freq)
+
+
+def e06_tuning_subset() -> str:
+    return with_listings("""SELECT listing_id FROM sp WHERE NOT is_test
+ORDER BY substr(md5(CAST(listing_id AS VARCHAR) || ':43'), 1, 8), listing_id LIMIT 300""", SPLIT)
+
+
+def h3_training_facts() -> str:
+    return with_listings("""SELECT CAST(4 AS BIGINT) AS models, CAST(count(*) AS INTEGER) AS test_rows, TRUE AS best_has_the_top_r2,
+  TRUE AS metrics_recomputed FROM sp WHERE is_test""", SPLIT)
+
+
+def e10_run_log() -> str:
+    return with_listings(f"""SELECT 'run' || i AS run_name, CAST((SELECT count(*) FROM listings) AS VARCHAR) AS rows, {D(1)} + i AS rmse,
+  {D(0.5)} AS mae, {D(0.1)} AS r2, TRUE AS timed FROM range(0, 2) t(i)""")
+
+
+def f04_model_curve_facts() -> str:
+    return with_listings("""SELECT count(*) AS listings, 15 * count(*) AS options, TRUE AS all_fifteen, TRUE AS demand_not_negative,
+  TRUE AS revenue_is_price_times_demand FROM listings WHERE price IS NOT NULL""")
+
+
+def e11_score_facts() -> str:
+    return with_listings("SELECT count(*) AS listings, count(*) AS predicted, TRUE AS product FROM listings")
+
+
+def a01_csv_scan() -> str:
+    return with_listings(f"""SELECT listing_id, 'said "no", ' || room_type || chr(10) || 'then left' AS house_rules, {R('price')} AS price,
+  instant_bookable FROM listings""")
+
+
+def a02_a03_first_path_or_frame() -> str:
+    return with_listings(f"SELECT listing_id, {R('price')} AS price FROM listings")
+
+
+def a07_model_saved() -> str:
+    return with_listings("SELECT count(*) AS rows, TRUE AS same FROM sp WHERE is_test", SPLIT)
+
+
 def e01_linear_single() -> str:
     fit = """fit AS (SELECT regr_slope(demand_score, number_of_reviews) AS b, regr_intercept(demand_score, number_of_reviews) AS a
   FROM scored WHERE NOT is_test AND number_of_reviews IS NOT NULL AND demand_score IS NOT NULL)"""
@@ -679,6 +945,45 @@ def e01_linear_single() -> str:
 
 
 ORACLES = {
+    "b03_enforce_types": b03_enforce_types,
+    "b05_parse_odd_money": b05_parse_odd_money,
+    "b01_b06_b09_names_and_fills": b01_b06_b09_names_and_fills,
+    "b02_missing_columns": b02_missing_columns,
+    "b07_integer_median": b07_integer_median,
+    "b13_odd_values_dropped": b13_odd_values_dropped,
+    "b14_leakage_columns": b14_leakage_columns,
+    "c03_distinct_of_nothing": c03_distinct_of_nothing,
+    "c08_iqr_odd_values": c08_iqr_odd_values,
+    "c09_histogram_odd_values": c09_histogram_odd_values,
+    "c06_data_summary": c06_data_summary,
+    "d03_minmax": d03_minmax,
+    "d14_indicators": d14_indicators,
+    "d17_numeric_columns": d17_numeric_columns,
+    "g02_half_cents": g02_half_cents,
+    "f01_curve_without_price": f01_curve_without_price,
+    "f08_without_revenue": f08_without_revenue,
+    "g07_true_before": g07_true_before,
+    "f10_budget": f10_budget,
+    "f10_budget_alike": f10_budget_alike,
+    "f10_budget_with_rules": f10_budget_with_rules,
+    "f10_budget_summary": f10_budget_summary,
+    "e01_linear_two": e01_linear_two,
+    "e02_ridge_two": e02_ridge_two,
+    "d18_scaled": d18_scaled,
+    "h5_encoders": h5_encoders,
+    "e06_tuning_subset": e06_tuning_subset,
+    "h3_training_facts": h3_training_facts,
+    "e10_run_log": e10_run_log,
+    "f04_model_curve_facts": f04_model_curve_facts,
+    "e11_score_facts": e11_score_facts,
+    "a01_csv_scan": a01_csv_scan,
+    "a02_a03_first_path_or_frame": a02_a03_first_path_or_frame,
+    "a07_model_saved": a07_model_saved,
+    "a04_report_csv": h1_inference,
+    "a05_summary_json": g08_inference_summary,
+    "a06_curve_parquet": f01_target_curve,
+    "f08_long_curve": lambda: recs(),
+    "h2_long_curve": lambda: recs(**ALL_RULES),
     "e01_linear_single": e01_linear_single,
     "s01_stream_inference": h1_inference,
     "h1_inference": h1_inference,

@@ -7,6 +7,7 @@ configured (tests, bench), never overriding a cluster setting.
 
 from __future__ import annotations
 
+import contextlib
 import os
 import tempfile
 import uuid
@@ -45,6 +46,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir() or configured
+    if not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share: "
+                           "on a cluster there is no default")
     scratch = tempfile.mkdtemp(prefix="rateweave-ckpt-", dir=os.environ.get("RATEWEAVE_SCRATCH", "/tmp"))
     sc.setCheckpointDir(scratch)
     return sc.getCheckpointDir() or scratch
@@ -62,4 +66,23 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     root = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{root}/tables/{uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(path)
+    _WRITTEN.append(path)
     return spark.read.parquet(path)
+
+
+_WRITTEN: list[str] = []
+
+
+@contextlib.contextmanager
+def intermediates(spark: SparkSession):
+    """Within this scope, tables that ``cut_lineage`` writes are removed at the end: for jobs
+    whose results stand in their own sinks by then."""
+    first = len(_WRITTEN)
+    try:
+        yield
+    finally:
+        jvm = spark.sparkContext._jvm
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        while len(_WRITTEN) > first:
+            path = jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
+            path.getFileSystem(conf).delete(path, True)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Raw listing schema, snake_case names.  Money columns stay text in the raw file
@@ -55,12 +56,15 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def read_listings(spark: SparkSession, source, schema: T.StructType | None = None,
-                  fmt: str | None = None) -> DataFrame:
+def read_listings(spark: SparkSession, source, schema: T.StructType | None = RAW_LISTING_SCHEMA,
+                  fmt: str | None = None, multi_line: bool = True) -> DataFrame:
     """Accept a DataFrame (returned as is) or a path (CSV with header, or Parquet).
 
-    CSV is read with an explicit schema (no inference pass over 100 TB) in
-    PERMISSIVE mode; malformed fields become NULL."""
+    CSV quotes double inside quoted text and may hold line breaks.  Columns are found by
+    the header's names (as B-1 writes them), not by their place, and those that ``schema``
+    names get its types without an inference pass; text that doesn't fit becomes NULL.
+    ``multi_line=False`` lets Spark split one file into several tasks where no text holds a
+    line break.  ``schema=None`` leaves all columns as text under their own names."""
     if isinstance(source, DataFrame):
         return source
     if not isinstance(source, (str, list, tuple)):
@@ -69,10 +73,22 @@ def read_listings(spark: SparkSession, source, schema: T.StructType | None = Non
     kind = fmt or ("parquet" if str(paths[0]).rstrip("/").endswith(".parquet") else "csv")
     if kind == "parquet":
         return spark.read.parquet(*paths)
-    reader = spark.read.option("header", True).option("mode", "PERMISSIVE")
-    if schema is not None:
-        reader = reader.schema(schema)
-    return reader.csv(paths)
+    text = spark.read.option("header", True).option("mode", "PERMISSIVE").option("escape", '"') \
+        .option("multiLine", multi_line).csv(paths)
+    if schema is None:
+        return text
+    from rateweave.functions.exprs import parse_number
+    from rateweave.operators.clean import normalize_name
+
+    kinds = {f.name: f.dataType for f in schema.fields}
+
+    def typed(c: str):
+        name, own = normalize_name(c), F.col(f"`{c}`")
+        kind = kinds.get(name)
+        if kind is None or isinstance(kind, T.StringType):
+            return own.alias(name)
+        return (parse_number(own) if isinstance(kind, T.DoubleType) else own.try_cast(kind)).alias(name)
+    return text.select(*[typed(c) for c in text.columns])
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -87,7 +103,7 @@ def resolve_first(spark: SparkSession, paths: Sequence[str]) -> str:
     for p in paths:
         if path_exists(spark, p):
             return p
-    raise FileNotFoundError("None of the candidate paths exist: " + ", ".join(paths))
+    raise FileNotFoundError("no such path among: " + ", ".join(paths))
 
 
 def write_report(df: DataFrame, path: str, fmt: str = "csv") -> None:

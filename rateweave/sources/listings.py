@@ -11,7 +11,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rateweave.operators.joins import attach_stats
 from rateweave.session import cut_lineage
 from rateweave.sources.io import read_table
 
@@ -76,15 +75,17 @@ def listings_from_parts(part: DataFrame, lineitem: DataFrame) -> DataFrame:
     # Competitor reference: mean price of parts sharing brand and type.  It needs
     # only ``part``; the grouped aggregate (one row per brand × type) is counted
     # and broadcast when small, so the listing side is not shuffled for it.
+    # The join is left to the optimizer (equi-join on the key, skew split at run time), so that it
+    # and the aggregate vanish from plans that don't read the column.
     comp = (part.groupBy(F.col("p_brand").alias("_brand"), F.col("p_type").alias("_ptype"))
                 .agg(F.avg(price).alias("competitor_avg_price")))
-    return attach_stats(base, comp, ["_brand", "_ptype"]).drop("_brand", "_ptype")
+    return base.join(comp, ["_brand", "_ptype"], "left").drop("_brand", "_ptype")
 
 
 def load_listings(spark: SparkSession, sf_dir: str, materialize: bool = True) -> DataFrame:
-    """The listing table.  It is read several times per job (fitted statistics,
-    group bands, the main pass), so by default it is written once to the shared
-    checkpoint directory and the lineitem aggregation runs once."""
+    """The listing table.  A job that reads it several times (fitted statistics, group bands,
+    the main pass) takes it written once to the shared checkpoint directory; with
+    ``materialize=False`` it is lazy, and only the columns that are asked for are read."""
     part = read_table(spark, sf_dir, "part").select(
         "p_partkey", "p_brand", "p_type", "p_size", "p_retailprice")
     lineitem = read_table(spark, sf_dir, "lineitem").select(

@@ -35,7 +35,8 @@ def start_inference_stream(spark: SparkSession, source_dir: str, schema: T.Struc
     """Start the streaming job: parquet listing files in ``source_dir`` -> report rows in ``sink_dir``.
     Pass either ``reference`` (fit of the demand target) or a fitted ``model``."""
     stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(source_dir))
-    ref = clean.prepare_inference_input(reference) if reference is not None else None
+    # the statistics are fitted once, before the first batch: batches read one row, not the reference
+    ref = features.demand_extremes(clean.prepare_inference_input(reference)) if reference is not None else None
 
     def write(batch: DataFrame, batch_id: int) -> None:
         (score_batch(batch, ref, model=model).withColumn("batch_id", F.lit(batch_id))

@@ -48,6 +48,8 @@ def test_budget_against_brute_force(spark, seed, avg_pct):
     value = sum(r["expected_revenue"] for r in got)
     assert used <= s["budget"] + 1e-9
     assert value <= opt + 1e-9
+    spread = max(max(r[4] for r in rows if r[0] == i) - min(r[4] for r in rows if r[0] == i) for i in range(5))
+    assert value >= opt - spread             # less than one step is lost
     assert s["upper_bound"] >= opt - 1e-6
     assert s["gap"] == pytest.approx(s["upper_bound"] - value, abs=1e-6)
 
@@ -58,3 +60,25 @@ def test_non_binding_budget_equals_unconstrained(spark):
     free = {r["listing_id"]: r["option_id"] for r in select.select_best_option(c).collect()}
     assert {r["listing_id"]: r["option_id"] for r in sel.collect()} == free
     assert s["multiplier"] == 0.0 and s["gap"] == 0.0
+
+
+def test_equal_listings_use_the_budget_in_any_unit(spark):
+    rows = [(i, j, 100.0, 100.0 + 5.0 * j, 100.0 + 9.0 * j - j * j) for i in range(1000) for j in range(4)]
+    schema = "listing_id long, option_id int, current_price double, candidate_price double, expected_revenue double"
+    c = spark.createDataFrame(rows, schema)
+    sel, s = budget.select_with_budget(c, max_avg_pct=10.0)
+    assert s["budget"] == 10_000.0 and s["budget"] - 5.0 < s["used_cost"] <= s["budget"]
+    assert s["upper_bound"] - s["objective"] <= s["gap"] + 1e-9 < 10.0
+    big = c.withColumn("expected_revenue", c["expected_revenue"] * 1e10)
+    sel2, s2 = budget.select_with_budget(big, max_avg_pct=10.0)
+    a, b = ({r["listing_id"]: r["option_id"] for r in x.collect()} for x in (sel, sel2))
+    assert a == b and s2["used_cost"] == s["used_cost"]
+    small, s3 = budget.select_with_budget(c, max_avg_pct=10.0, gather=7)      # the cut found range by range
+    assert {r["listing_id"]: r["option_id"] for r in small.collect()} == a and s3["used_cost"] == s["used_cost"]
+
+
+def test_infeasible_listings_are_counted(spark):
+    rows, c = _curve(spark, 3)
+    flagged = c.withColumn("feasible", c["listing_id"] != 2)
+    sel, s = budget.select_with_budget(flagged, max_avg_pct=100.0, feasible="feasible")
+    assert s["num_listings"] == 5 and s["num_infeasible"] == 1 and sorted(r["listing_id"] for r in sel.collect()) == [0, 1, 3, 4]

@@ -119,3 +119,36 @@ def test_revenue_tie_lowest_option_and_infeasible(spark):
     sel = {r["listing_id"]: r for r in select.select_best_option(c, feasible="feasible").collect()}
     assert sel[1]["option_id"] == 0 and sel[1]["feasible"]
     assert not sel[2]["feasible"] and sel[2]["option_id"] is None
+
+
+def test_odd_numbers_and_half_cents(spark):
+    from rateweave.functions.exprs import fmt2
+
+    odd = spark.createDataFrame([(x,) for x in ("5d", "$7f", "Infinity", "NaN", "1e3", " -2.5 ", "", None, "1,2")], "s string")
+    assert [r[0] for r in odd.select(parse_money("s")).collect()] == [None, None, None, None, 1000.0, -2.5, None, None, 12.0]
+    xs = [0.125, 2.675, 1.005, 0.375, -0.125, 0.0, 1e15, 12345.675, -2.5, 0.005, 1234567.895, 99.995]
+    got = [r[0] for r in spark.createDataFrame([(x,) for x in xs], "x double").select(fmt2("x")).collect()]
+    assert got == [f"{x:.2f}" for x in xs]
+
+
+def test_median_of_integers_and_null_price(spark):
+    df = spark.createDataFrame([(1, 2), (2, 3), (3, None)], "listing_id long, n int")
+    assert [r["n"] for r in clean.impute_median(df, ["n"]).orderBy("listing_id").collect()] == [2.0, 3.0, 2.5]
+    none = spark.createDataFrame([(None,)], "p double")
+    assert none.select(curves.price_grid("p", 15, 0.8, 1.2).alias("g")).first()["g"] is None
+
+
+def test_quantiles_with_infinity_end(spark):
+    from rateweave.operators.quantiles import exact_quantiles
+
+    df = spark.createDataFrame([(float(i),) for i in range(20)] + [(float("inf"),), (float("-inf"),)], "x double")
+    got = {r["q"]: r["value"] for r in exact_quantiles(df, "x", [0.5, 1.0], gather_limit=5).collect()}
+    assert got == {0.5: 9.5, 1.0: 19.0}
+
+
+def test_too_deep_trees_are_refused():
+    from rateweave.operators.models import tree_depth
+
+    assert tree_depth(None) == 30 and tree_depth(12) == 12
+    with pytest.raises(ValueError, match="deeper"):
+        tree_depth(31)

@@ -29,7 +29,7 @@ def test_csv_roundtrip_and_contract(spark):
     rows = {r["listing_id"]: r for r in prepared.collect()}
     assert rows["1"]["price"] == 1234.0 and rows["1"]["service_fee"] == 50.0
     assert rows["2"]["price"] == 0.0 and rows["2"]["room_type"] == "Unknown"
-    with pytest.raises(ValueError, match="Missing required columns"):
+    with pytest.raises(ValueError, match="input lacks columns: nope"):
         clean.require_columns(df, ["id", "nope"])
     assert io.resolve_first(spark, [os.path.join(d, "missing.csv"), p]) == p
     with pytest.raises(FileNotFoundError, match="missing.csv"):

@@ -34,6 +34,11 @@ def test_one_hot_sorted_unseen_zero(spark):
     train = spark.createDataFrame([("b",), ("a",), (None,)], "c string")
     cats = encoders.fit_categories(train, "c")
     assert cats == ["a", "b"]
+    table = encoders.category_table(train, "c")
+    vec = {r["c"]: r["v"] for r in encoders.one_hot_vector(
+        spark.createDataFrame([("a",), ("z",), (None,)], "c string"), "c", table, drop_input=False)
+        .withColumnRenamed("c_onehot", "v").collect()}
+    assert vec["a"].toArray().tolist() == [1.0, 0.0] and not vec["z"].toArray().any() and not vec[None].toArray().any()
     test = spark.createDataFrame([("a",), ("z",), (None,)], "c string")
     rows = encoders.one_hot(test, "c", cats, drop_input=False).orderBy(F.col("c").asc_nulls_last()).collect()
     assert [(r["c_a"], r["c_b"]) for r in rows] == [(1.0, 0.0), (0.0, 0.0), (0.0, 0.0)]

@@ -43,7 +43,7 @@ def test_option_window_is_partitioned(spark):
 
 
 ORACLE_SAMPLE = ["h1_inference", "h2_recommendation", "c04_profile_numeric", "c10_box_price_by_room",
-                 "d13_frequency", "f01_target_curve", "g10_selection_summary", "h4_clean_batch"]
+                 "d13_frequency", "f01_target_curve", "g10_selection_summary", "h4_clean_batch", "f10_budget", "h5_encoders"]
 
 
 @pytest.mark.parametrize("name", ORACLE_SAMPLE)
@@ -57,6 +57,41 @@ def test_oracle_smoke(spark, name):
     assert ok, msg
 
 
+def test_packed_recommendation_is_row_local(spark):
+    from rateweave.plans import options
+    from rateweave.session import cut_lineage
+    from rateweave.sources.listings import load_listings
+
+    rows = cut_lineage(options.with_options(load_listings(spark, SF_SMALL)))
+    df = options.recommend(rows, change_pct=20.0, competitor_factor=1.2, bounds=(10.0, 500.0))
+    plan = _plan(df)
+    assert "Generate" not in plan and "SortAggregate" not in plan and "Exchange" not in plan
+
+
+def test_split_reads_the_key_only(spark):
+    import __spark_entry__ as entry
+
+    plan = _plan(entry.queries()["d19_split"](spark, SF_SMALL))
+    assert "l_partkey" not in plan.split("ReadSchema", 1)[0] or "p_retailprice" not in plan
+    assert "p_retailprice" not in plan and "p_type" not in plan
+
+
+def test_no_intermediate_tables_after_a_job(spark, tmp_path):
+    import glob
+
+    from rateweave.plans import jobs
+    from rateweave.session import ensure_checkpoint_dir
+    from rateweave.sources.listings import load_listings
+
+    listings = load_listings(spark, SF_SMALL)
+    root = ensure_checkpoint_dir(spark).removeprefix("file:")
+    before = set(glob.glob(f"{root}/tables/*"))
+    jobs.run_recommendation(spark, listings, str(tmp_path), change_pct=20.0, area_pct=25.0, max_avg_pct=8.0)
+    assert set(glob.glob(f"{root}/tables/*")) == before
+    flags = spark.read.json(str(tmp_path / "selection_summary")).first()["optional_constraints"]
+    assert flags["avg_price_change_enabled"] and flags["neighborhood_consistency_enabled"]
+
+
 def test_entry_smoke(spark):
     import __spark_entry__ as entry
 
