@@ -19,6 +19,8 @@ A conversation is one row of the result, so its turns meet in one task.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -50,15 +52,19 @@ def chosen_branches(replies: DataFrame, branches: int = 1) -> DataFrame:
         "tree", "node", F.when(F.col("known"), F.col("parent")).alias("up"), "score", F.lit(1).cast("long").alias("depth")))
     leaves = state.select("tree", "node").join(
         state.select("tree", F.col("up").alias("node")).where("node is not null").distinct(), ["tree", "node"], "left_anti")
-    jumps, n = [], state.count()
-    while state.where("up is not null").limit(1).count() and 2 ** len(jumps) <= n:
-        jumps.append(state.select("tree", "node", "up").where("up is not null"))
-        above = state.select("tree", F.col("node").alias("up"), F.col("up").alias("up2"), F.col("score").alias("more"),
+    # Replies that have reached their root are done and only looked up by the others.
+    jumps, done, active = [], [state.where("up is null")], state.where("up is not null")
+    n = state.count()
+    while 2 ** len(jumps) <= n and not active.isEmpty():
+        jumps.append(active.select("tree", "node", "up"))
+        known = functools.reduce(DataFrame.unionByName, done + [active])
+        above = known.select("tree", F.col("node").alias("up"), F.col("up").alias("up2"), F.col("score").alias("more"),
                              F.col("depth").alias("deeper"))
-        state = cut_lineage(state.join(above, ["tree", "up"], "left").select(
+        moved = cut_lineage(active.join(above, ["tree", "up"], "left").select(
             "tree", "node", F.col("up2").alias("up"), (F.col("score") + F.coalesce("more", F.lit(0.0))).alias("score"),
             (F.col("depth") + F.coalesce("deeper", F.lit(0))).alias("depth")))
-    ends = state.where("up is null").join(leaves, ["tree", "node"])
+        done, active = done + [moved.where("up is null")], moved.where("up is not null")
+    ends = functools.reduce(DataFrame.unionByName, done).join(leaves, ["tree", "node"])
     best = Window.partitionBy("tree").orderBy(F.col("score").desc(), F.col("depth").desc(), "node")
     ranked = ends.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= branches)
     paths = cut_lineage(ranked.select("tree", F.col("node").alias("leaf"), "rank", "node", "depth"))
