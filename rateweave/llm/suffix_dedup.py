@@ -4,8 +4,8 @@ Every byte that a 100-byte string covers goes if that string also starts earlier
 (smaller doc_id, or the same document and an earlier start).
 
 1. Candidates, without loss.  Each 100-byte window is known by the smallest hash of
-   the 32-byte strings in it.  Equal windows have equal smallest hashes, so runs of
-   windows whose hash occurs nowhere else hold no repeat.  Blocks send sorted distinct
+   the 32-byte strings in it.  Equal windows have equal smallest hashes at two places,
+   so runs of windows whose hash is smallest at one place only hold no repeat.  Blocks send sorted distinct
    hashes to hash ranges and get back one bit for each.
 2. Runs left over go, as text, to the share of their hash.  Equal texts meet first in
    their block and then in the share, where only the earliest stays; of the others all
@@ -50,24 +50,38 @@ def _least_of(h: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(h[: len(h) - (width - size)], h[width - size:]) if size < width else h
 
 
+def _largest_of(h: np.ndarray, width: int) -> np.ndarray:
+    """Largest of every ``width`` neighbours."""
+    return ~_least_of(~h, width)
+
+
 def window_runs(block: B.Block, length: int, gram: int, hot: np.ndarray | None = None):
     """Runs of neighbouring windows with one smallest hash: first starts, last starts, hashes,
-    and whether a window of the run had a hot smallest hash before those were ranked last."""
+    and whether a window of the run had a hot smallest hash before those were ranked last.
+    Also the hashes of all places that are smallest in a window: one that stands at two places
+    can belong to equal windows, be they of one run."""
     data, n = block.data, len(block.data)
     if n < length:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, bool)
+        none = np.zeros(0, np.int64)
+        return none, none, np.zeros(0, np.uint64), np.zeros(0, bool), np.zeros(0, np.uint64)
     prefix = B.prefix_hash(data)
     _, down = B.powers(n + 1)
-    h = B.mix((prefix[gram:] - prefix[:-gram]) * down[: n - gram + 1])
+    h = np.maximum(B.mix((prefix[gram:] - prefix[:-gram]) * down[: n - gram + 1]), np.uint64(1))
     del prefix
     m, was_hot = _least_of(h, length - gram + 1), None
     if hot is not None and len(hot):
         was_hot = hot[np.minimum(np.searchsorted(hot, m), len(hot) - 1)] == m
         rank_last = hot[np.minimum(np.searchsorted(hot, h), len(hot) - 1)] == h
-        m = _least_of((h >> np.uint64(1)) | (rank_last.astype(np.uint64) << np.uint64(63)), length - gram + 1)
+        h = np.maximum(h >> np.uint64(1), np.uint64(1)) | (rank_last.astype(np.uint64) << np.uint64(63))
+        m = _least_of(h, length - gram + 1)
     ends = np.repeat(block.starts[1:], block.lengths)[: len(m)]
     docs = np.repeat(np.arange(len(block.ids)), block.lengths)[: len(m)]
     ok = np.arange(len(m)) + length <= ends
+    # A place is smallest in some window if the largest of its windows' smallest hashes is its own.
+    width = length - gram + 1
+    pad = np.zeros(width - 1, np.uint64)
+    least = np.concatenate([pad, np.where(ok, m, np.uint64(0)), pad])
+    places = h[_largest_of(least, width) == h]
     new = np.ones(len(m), bool)
     new[1:] = (m[1:] != m[:-1]) | (docs[1:] != docs[:-1]) | ~ok[:-1]
     first = np.flatnonzero(new & ok)
@@ -76,15 +90,14 @@ def window_runs(block: B.Block, length: int, gram: int, hot: np.ndarray | None =
     if was_hot is not None and len(first):
         seen = np.concatenate([[0], np.cumsum(was_hot)])
         flags = seen[stop + 1] > seen[first]
-    return first, stop, m[first], flags
+    return first, stop, m[first], flags, places
 
 
 def _ask(length: int, gram: int, n: int):
     bounds = B.share_bounds(n)
 
     def fn(block_id: int, block: B.Block):
-        hashes = window_runs(block, length, gram)[2]
-        keys, counts = B.sorted_unique(hashes)
+        keys, counts = B.sorted_unique(window_runs(block, length, gram)[4])
         at = B.split_points(keys, bounds)
         shares = np.flatnonzero(np.diff(at))
         counts = np.minimum(counts, 65535).astype(np.uint16)
@@ -144,22 +157,22 @@ def _send(length: int, gram: int, n: int, hot: np.ndarray):
         rows: list[tuple] = []
         for r in range(left.num_rows):
             block, block_id = B.Block.of(left, r), key[0].as_py()
-            keys, _ = B.sorted_unique(window_runs(block, length, gram)[2])
+            keys, _ = B.sorted_unique(window_runs(block, length, gram)[4])
             at = B.split_points(keys, bounds)
             known = np.zeros(len(keys), bool)
             for i in range(right.num_rows):
                 s = right.column("share")[i].as_py()
                 m = at[s + 1] - at[s]
                 known[at[s]: at[s + 1]] = np.unpackbits(np.frombuffer(right.column("bits")[i].as_py(), np.uint8), count=m)
-            first, last, hashes, was_hot = window_runs(block, length, gram, hot)
+            first, last, hashes, was_hot, _ = window_runs(block, length, gram, hot)
             if len(hot):
                 # A run that left a hot hash was not asked for by its new one: it stays a candidate.
-                once = keys[~known] >> np.uint64(1)
+                once = np.maximum(keys[~known] >> np.uint64(1), np.uint64(1))
                 place = np.minimum(np.searchsorted(once, hashes), max(len(once) - 1, 0))
                 repeated = was_hot | (once[place] != hashes) if len(once) else np.ones(len(hashes), bool)
             else:
                 repeated = known[np.searchsorted(keys, hashes)] if len(keys) else np.zeros(0, bool)
-            take = np.flatnonzero(repeated | (last - first >= length - gram + 1))
+            take = np.flatnonzero(repeated)
             docs = np.searchsorted(block.starts, first[take], side="right") - 1
             raw, seen, kept, spans = block.data.tobytes(), {}, [], []
             for k, (a, z) in enumerate(zip(first[take].tolist(), last[take].tolist())):

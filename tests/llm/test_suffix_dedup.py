@@ -46,6 +46,8 @@ def corpus(seed, n=60):
         if r.random() < 0.5:
             parts.append(r.choice(shared))
         parts += [line, prose(r.randint(1, 40))]
+        if r.random() < 0.4:                             # short periodic stretches, equal to themselves only
+            parts.insert(r.randint(0, 2), (r.choice(words) + r.choice([" ", "", f"{i}"])) * r.randint(8, 40))
         rows.append((i, r.choice(rows)[1] if r.random() < 0.2 else " ".join(parts)))
     return rows
 
@@ -84,3 +86,16 @@ def test_empty_table_and_repeated_rows(spark):
     rows = [(7, "x" * 150), (7, "x" * 150), (None, "x" * 150)]
     got = run(spark, rows, parts=1)
     assert sorted(r[2] for r in got) == [149, 150, 150]
+
+
+def test_documents_table(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
+    got = sorted((tuple(r) for r in S.remove_repeats(docs, keep_bytes=False).collect()), key=str)
+    assert got == brute(rows)
+
+
+def test_kept_bytes(spark):
+    rows = corpus(9, 30)
+    got = S.remove_repeats(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert all(hashlib.sha256(bytes(r.kept)).hexdigest() == r.kept_sha256 and len(r.kept) == r.n_bytes - r.n_removed for r in got)
