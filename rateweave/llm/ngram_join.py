@@ -51,6 +51,10 @@ _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _K = np.uint64(0xD6E8FEB86659FD93)
 
 
+def _seed(n: int) -> np.uint64:
+    return np.uint64(n * int(_K) % (1 << 64))
+
+
 def shingle_sets(block: B.Block, words: int) -> tuple[np.ndarray, np.ndarray]:
     """Sorted distinct shingle hashes of each document, joined, and where each document's begin."""
     n = len(block.ids)
@@ -68,14 +72,15 @@ def shingle_sets(block: B.Block, words: int) -> tuple[np.ndarray, np.ndarray]:
     doc = np.searchsorted(block.starts, start, side="right") - 1
     n_words = np.bincount(doc, minlength=n)
     first_word = np.concatenate([[0], np.cumsum(n_words)])
-    found = np.full(len(h), np.uint64(words) * _K, np.uint64)
+    found = np.full(len(h), _seed(words), np.uint64)
     for j in range(words):
-        found[: len(h) - j] = B.mix(found[: len(h) - j] * _K + h[j:])
+        own = slice(0, max(len(h) - j, 0))
+        found[own] = B.mix(found[own] * _K + h[j:])
     whole = np.arange(len(h)) + words <= first_word[doc + 1]
     short = np.flatnonzero((n_words > 0) & (n_words < words))
     for j in range(1, words):                 # the whole sequence of a short document is its one shingle
         own = first_word[short[n_words[short] == j]]
-        acc = np.full(len(own), np.uint64(words + j) * _K, np.uint64)
+        acc = np.full(len(own), _seed(words + j), np.uint64)
         for k in range(j):
             acc = B.mix(acc * _K + h[own + k])
         found[own] = acc

@@ -56,9 +56,9 @@ WITH RECURSIVE w AS (
 g AS (SELECT DISTINCT doc_id, md5(array_to_string(w[i:i + 2], chr(10))) AS s
       FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 1, 2))) AS i FROM w WHERE len(w) > 0)),
 n AS (SELECT doc_id, count(*) AS size FROM g GROUP BY doc_id),
-pair AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS both FROM g a JOIN g b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+pair AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common FROM g a JOIN g b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY 1, 2),
 link AS (SELECT a, b FROM pair JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
-         WHERE 100 * both >= 90 * (x.size + y.size - both)),
+         WHERE 100 * common >= 90 * (x.size + y.size - common)),
 reach(a, b) AS (SELECT doc_id, doc_id FROM documents UNION SELECT reach.a, link.b FROM reach JOIN link ON link.a = reach.b)
 SELECT d.doc_id, coalesce(n.size, 0) AS n_shingles, min(reach.b) AS component_id
 FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id JOIN reach ON reach.a = d.doc_id GROUP BY d.doc_id, n.size
@@ -94,23 +94,23 @@ _PII = {
 }
 _OK = {
     "email": "true",
-    "ip": "len(list_filter(string_split(m, '.'), x -> length(ltrim(x, '0')) > 3 OR CAST('0' || right(ltrim(x, '0'), 4) AS INT) > 255)) = 0",
+    "ip": "len(list_filter(string_split(m, '.'), lambda x: length(ltrim(x, '0')) > 3 OR CAST('0' || right(ltrim(x, '0'), 4) AS INT) > 255)) = 0",
     "card": "length(regexp_replace(m, '[^0-9]', '', 'g')) BETWEEN 16 AND 19 AND "
             "list_sum(list_transform(range(1, length(regexp_replace(m, '[^0-9]', '', 'g')) + 1), "
-            "i -> CASE WHEN i % 2 = 1 THEN CAST(substr(reverse(regexp_replace(m, '[^0-9]', '', 'g')), i, 1) AS INT) ELSE "
+            "lambda i: CASE WHEN i % 2 = 1 THEN CAST(substr(reverse(regexp_replace(m, '[^0-9]', '', 'g')), i, 1) AS INT) ELSE "
             "CAST(substr('0246813579', CAST(substr(reverse(regexp_replace(m, '[^0-9]', '', 'g')), i, 1) AS INT) + 1, 1) AS INT) END)) % 10 = 0",
     "phone": "length(regexp_replace(m, '[^0-9]', '', 'g')) BETWEEN 8 AND 15",
     "iban": "list_reduce(list_transform(string_split(substr(replace(m, ' ', ''), 5) || substr(replace(m, ' ', ''), 1, 4), ''), "
-            "c -> CAST(CASE WHEN c BETWEEN '0' AND '9' THEN ascii(c) - 48 ELSE ascii(c) - 55 END AS BIGINT)), "
-            "(a, x) -> (CASE WHEN x > 9 THEN a * 100 ELSE a * 10 END + x) % 97, CAST(0 AS BIGINT)) = 1",
+            "lambda c: CAST(CASE WHEN c BETWEEN '0' AND '9' THEN ascii(c) - 48 ELSE ascii(c) - 55 END AS BIGINT)), "
+            "lambda a, x: (CASE WHEN x > 9 THEN a * 100 ELSE a * 10 END + x) % 97, CAST(0 AS BIGINT)) = 1",
 }
 
 
 def _spans(rank: int, kind: str) -> str:
     return f"""
 SELECT doc_id, {rank} AS k, '{kind}' AS kind, a, a + length(m) AS z FROM (
-  SELECT doc_id, ms[i] AS m, CAST(list_sum(list_transform(ps[1:i], x -> length(x)))
-         + coalesce(list_sum(list_transform(ms[1:i - 1], x -> length(x))), 0) AS BIGINT) AS a
+  SELECT doc_id, ms[i] AS m, CAST(list_sum(list_transform(ps[1:i], lambda x: length(x)))
+         + coalesce(list_sum(list_transform(ms[1:i - 1], lambda x: length(x))), 0) AS BIGINT) AS a
   FROM (SELECT doc_id, ms, ps, unnest(range(1, len(ms) + 1)) AS i FROM (
     SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{_PII[kind]}') AS ms,
            string_split_regex(coalesce(text, ''), '{_PII[kind]}') AS ps FROM documents)))

@@ -128,3 +128,5 @@ def test_components(spark):
 def test_empty_table(spark):
     assert J.ngram_components(spark.createDataFrame([], SCHEMA)).count() == 0
     assert run(spark, [(1, "a b c"), (2, None)], 3, 90, 100, parts=1) == [(1, 1, 1), (2, 0, 2)]
+    few = [(1, "a b"), (2, "A  b"), (3, "c")]
+    assert run(spark, few, 5, 80, 100, parts=3) == brute(few, 5, 80, 100) == [(1, 1, 1), (2, 1, 1), (3, 1, 3)]
