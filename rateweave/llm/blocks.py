@@ -55,7 +55,6 @@ def cuts(offsets: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
 
 def _packer(block_bytes: int, rest: list[str] | None):
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        squeeze = zstandard.ZstdCompressor(level=3)
         for batch in batches:
             ids_col = batch.column(0)
             no_id = np.asarray(ids_col.is_null().to_numpy(zero_copy_only=False), dtype=bool)
@@ -71,7 +70,7 @@ def _packer(block_bytes: int, rest: list[str] | None):
                 lengths = np.diff(offsets[i: j + 1]).astype(np.int32)
                 data = flat[offsets[i]: offsets[j]].tobytes()
                 rows.append((j - i, len(data), ids[i:j].tobytes(), no_id[i:j].tobytes(), lengths.tobytes(),
-                             squeeze.compress(data), _written(other.slice(i, j - i)) if rest is not None else None))
+                             squeeze(data), _written(other.slice(i, j - i)) if rest is not None else None))
             if rows:
                 n = 6 if rest is None else 7
                 yield pa.RecordBatch.from_arrays(
@@ -103,6 +102,14 @@ def write_blocks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return cut_lineage(packed.withColumn("block", F.shiftleft(F.shiftright(made, 33), 24) + made.bitwiseAND((1 << 33) - 1)))
 
 
+def squeeze(raw: bytes) -> bytes:
+    return zstandard.ZstdCompressor(level=3).compress(raw)
+
+
+def expand(raw: bytes) -> bytes:
+    return zstandard.ZstdDecompressor().decompress(raw) if raw else b""
+
+
 class Block:
     """One block opened in a task."""
 
@@ -111,7 +118,7 @@ class Block:
         self.no_id = np.frombuffer(no_id, bool)
         self.lengths = np.frombuffer(lengths, np.int32).astype(np.int64)
         self.starts = np.concatenate([[0], np.cumsum(self.lengths)])
-        self.data = np.frombuffer(zstandard.ZstdDecompressor().decompress(data) if len(self.ids) else b"", np.uint8)
+        self.data = np.frombuffer(expand(data), np.uint8)
 
     @classmethod
     def of(cls, table: pa.Table, row: int = 0) -> Block:

@@ -193,9 +193,9 @@ def _send(length: int, gram: int, n: int, hot: np.ndarray):
                 rows.append((int(shares[own[0]]), block_id, block.ids[docs[mine]].tobytes(),
                              first[take][mine].astype(np.int64).tobytes(),
                              np.array([len(texts[i]) for i in own], np.int32).tobytes(),
-                             b"".join(texts[i] for i in own)))
+                             B.squeeze(b"".join(texts[i] for i in own))))
             if spans:
-                rows.append((-1, block_id, b"", b"", b"", np.array(spans, np.int64).tobytes()))
+                rows.append((-1, block_id, b"", b"", b"", B.squeeze(np.array(spans, np.int64).tobytes())))
         return pa.table([pa.array([x[0] for x in rows], pa.int32()), pa.array([x[1] for x in rows], pa.int64())]
                         + [pa.array([x[k] for x in rows], pa.binary()) for k in range(2, 6)],
                         names=["share", "block", "ids", "starts", "lengths", "data"])
@@ -290,7 +290,7 @@ def _resolve(length: int):
         out: list[tuple[int, int, int]] = []
         for ids, block, starts, lengths, data in zip(*(table.column(c).to_pylist() for c in
                                                        ("ids", "block", "starts", "lengths", "data"))):
-            at = 0
+            at, data = 0, B.expand(data)
             for i, s, m in zip(np.frombuffer(ids, np.int64).tolist(), np.frombuffer(starts, np.int64).tolist(),
                                np.frombuffer(lengths, np.int32).tolist()):
                 text, mine = data[at: at + m], (i, block, s)
@@ -328,7 +328,7 @@ def _resolve(length: int):
         points = np.flatnonzero(np.concatenate([[True], np.diff(spans[:, 0]) != 0])) if len(spans) else []
         ends = np.append(points[1:], len(spans)) if len(spans) else []
         return pa.table([pa.array([int(spans[p, 0]) for p in points], pa.int64()),
-                         pa.array([np.ascontiguousarray(spans[p:e, 1:]).tobytes() for p, e in zip(points, ends)],
+                         pa.array([B.squeeze(np.ascontiguousarray(spans[p:e, 1:]).tobytes()) for p, e in zip(points, ends)],
                                   pa.binary())], names=["block", "spans"])
     return fn
 
@@ -340,7 +340,7 @@ def _finish(keep_bytes: bool):
             block = B.Block.of(left, r)
             edge = np.zeros(len(block.data) + 1, np.int64)
             for spans in right.column("spans").to_pylist():
-                pairs = np.frombuffer(spans, np.int64).reshape(-1, 2)
+                pairs = np.frombuffer(B.expand(spans), np.int64).reshape(-1, 2)
                 np.add.at(edge, pairs[:, 0], 1)
                 np.add.at(edge, pairs[:, 1], -1)
             gone = np.cumsum(edge[:-1]) > 0
