@@ -230,7 +230,7 @@ def _keep(rows: pa.RecordBatch, results) -> pa.RecordBatch:
 
 
 def _chunks(benchmark: DataFrame, id_col: str, text_col: str) -> Iterator[list[tuple[str, str]]]:
-    """Items by chunks of bounded text; equal ids meet in one chunk."""
+    """Items by chunks of bounded text, dealt by a hash of the text."""
     own = benchmark.select(F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("item"),
                            F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     total = own.agg(F.sum(F.octet_length("text"))).first()[0] or 0
