@@ -117,3 +117,18 @@ def test_streaming_with_model(spark):
     want = jobs.inference_job(lst, model=m)
     assert got.count() == want.count()
     assert got.exceptAll(want).count() == 0
+
+
+def test_batches_of_a_stream_do_not_scan_the_reference(spark, tmp_path):
+    from rateweave.operators import clean, features
+    from rateweave.sources.listings import load_listings
+    from rateweave.streaming.inference_stream import score_batch
+
+    load_listings(spark, SF_SMALL).write.parquet(str(tmp_path / "reference"))
+    reference = spark.read.parquet(str(tmp_path / "reference"))
+    fit = features.demand_extremes(clean.prepare_inference_input(reference))
+    batch = reference.limit(20)
+    scored = score_batch(batch, fit)
+    assert scored._jdf.queryExecution().executedPlan().toString().count("FileScan parquet") == 1
+    whole = score_batch(batch, clean.prepare_inference_input(reference))
+    assert scored.exceptAll(whole).count() == 0
