@@ -1,19 +1,19 @@
 """Operator 4: similarity join of word n-gram sets that skips by set relations.
 
 A document's set holds the hashes of its distinct n-word shingles; documents link when
-their sets' Jaccard similarity reaches ``num / den``.  The join runs in groups that no
-link leaves, and in a group by index blocks and by answers derived from similar sets.
-
-Dealing out, without loss.  Linked sets of a and b shingles differ in at most
-(a + b) (den - num) / (den + num) of them.  Sizes fall into classes such that linked sets
-are in one class or in neighbouring ones; a set is cut by hash into more segments than
-the largest difference in its class, so linked sets agree in a whole segment.  Segment
-hashes meet in hash ranges; sets with an equal one are in one group, as are chains of
-them.  Blocks send a set once however many copies they hold, and of equal sets only the
-first goes on, so that copies never fill a group.
-
-In a group.  Shingles are ranked by how rare they are, and an index lists the sets by
-the shingles of their prefixes, in blocks of one size and one position.  A block whose
+their sets' Jaccard similarity reaches t = ``num / den``.  The join runs in groups that
+hold both sides of every link, and in a group by index blocks and by answers derived from
+similar sets.
+
+Dealing out, without loss.  Shingles are ranked rare first: by how many sets have them,
+counted for a fixed share of all hashes (the others rank last), then by hash.  Linked sets
+have a shingle in common among the first a - ceil(t a) + 1 of each, the prefix.  Prefix
+shingles that other sets have as well meet in hash ranges, and the sets of one shingle's
+list go to the group of the list's first set.  Of equal sets only the first goes on, so
+that copies never fill a group, and a block sends a set once however many copies it holds.
+
+In a group.  Shingles are ranked by how rare they are there, and an index lists the sets
+by the shingles of their prefixes, in blocks of one size and one position.  A block whose
 size or position rules out enough common shingles is skipped as a whole.  A set that was
 answered so, a leader, knows its overlap with all sets at similarity 2t - 1 or more.
 That covers whatever a set linked with it can be linked with, so the answers of such a
@@ -37,12 +37,17 @@ from pyspark.sql import functions as F
 
 from rateweave.llm import blocks as B
 from rateweave.llm.components import components
+from rateweave.operators.joins import measured_bytes
 from rateweave.session import cut_lineage
 
-SHARE_BYTES = 2 << 20
+SHARE_BYTES = 16 << 20
+TASK_BYTES = 2 << 20
 GROUP_SETS = 1000
-#: Segments beyond the largest difference: so many empty ones may agree by chance and don't count.
-SPARE = 3
+#: The places of sets are broadcast up to so many bytes; beyond, sets and places are shuffled.
+BROADCAST_BYTES = 16 << 20
+#: Shingles are counted whose hashes are in the first part of all: so many times a prefix's share.
+COUNTED = 2.5
+UNCOUNTED = 15
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -104,43 +109,6 @@ def signatures(sets: np.ndarray, at: np.ndarray) -> np.ndarray:
     return out
 
 
-def size_classes(most: int, num: int, den: int) -> np.ndarray:
-    """Largest size of each class, up to the class after the one that holds ``most``."""
-    tops = [1]
-    while len(tops) < 2 or tops[-2] < most:
-        tops.append(max(tops[-1] + 1, tops[-1] * den // num))
-    return np.array(tops, np.int64)
-
-
-def segment_keys(sets: np.ndarray, at: np.ndarray, num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the segments of each set and the set that each is of."""
-    sizes = np.diff(at)
-    tops = size_classes(int(sizes.max(initial=1)), num, den)
-    own = np.searchsorted(tops, sizes)
-    doc = np.repeat(np.arange(len(sizes)), sizes)
-    spread, part = B.mix(sets + _K), B.mix(sets ^ np.uint64(0x5851F42D4C957F2D))
-    keys, owners = [], []
-    for up in (0, 1):
-        level = own + up
-        differ = 2 * tops[np.minimum(level, len(tops) - 1)] * (den - num) // (den + num)
-        m = np.where((differ > 0) & (sizes > 0), differ + 1 + SPARE, 0)
-        base = np.concatenate([[0], np.cumsum(m)])
-        use = m[doc] > 0
-        d = doc[use]
-        slot = base[d] + (part[use] % m[d].astype(np.uint64)).astype(np.int64)
-        sums = np.zeros(int(base[-1]), np.uint64)
-        np.add.at(sums, slot, spread[use])
-        empty = np.bincount(slot, minlength=int(base[-1])) == 0
-        owner = np.repeat(np.arange(len(m)), m)
-        n_empty = np.bincount(owner[empty], minlength=len(m))
-        send = ~empty | (n_empty > SPARE)[owner]
-        place = np.arange(len(owner)) - base[owner]
-        salt = B.mix((level[owner] * (1 << 32) + place).astype(np.uint64) * _K + np.uint64(7))
-        keys.append(B.mix(sums + salt)[send])
-        owners.append(owner[send])
-    return np.concatenate(keys), np.concatenate(owners)
-
-
 def _first_copies(sizes: np.ndarray, sig: np.ndarray) -> np.ndarray:
     """For each document of a block the first one with an equal set (itself if the set is empty)."""
     order = np.lexsort((np.arange(len(sig)), sig[:, 1], sig[:, 0], sizes))
@@ -154,74 +122,147 @@ def _first_copies(sizes: np.ndarray, sig: np.ndarray) -> np.ndarray:
     return out
 
 
-def _send_keys(words: int, num: int, den: int, n: int):
-    bounds = B.share_bounds(n)
+class Counting:
+    """Which shingles are counted, and how their hashes are cut short and dealt out."""
 
+    def __init__(self, n_shares: int, total_bytes: int, num: int, den: int):
+        self.n, self.num, self.den = n_shares, num, den
+        # so many bits that two shingles of the corpus seldom share a key; if they do, both only rank later
+        self.shift = 64 - min(62, max(32, int(total_bytes).bit_length() + 4))
+        share = min(1.0, COUNTED * (den - num) / den)
+        self.end = int(share * (1 << (64 - self.shift)))
+        self.bounds = np.array([k * self.end // n_shares for k in range(n_shares)], np.uint64)
+
+    def keys(self, sets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Keys of shingles, and which of them are counted."""
+        keys = sets >> np.uint64(self.shift)
+        return keys, keys < np.uint64(self.end) if self.end < 1 << 64 else np.ones(len(keys), bool)
+
+    def prefix(self, sizes: np.ndarray) -> np.ndarray:
+        return np.where(sizes > 0, sizes + 1 - -(-sizes * self.num // self.den), 0)
+
+
+def _own_sets(block: B.Block, words: int):
+    """Sets of a block, where they begin, signatures, and the rows of shingles of sets that aren't copies."""
+    sets, at = shingle_sets(block, words)
+    sizes = np.diff(at)
+    sig = signatures(sets, at)
+    first = _first_copies(sizes, sig)
+    return sets, at, sig, first, np.repeat(first == np.arange(len(sizes)), sizes)
+
+
+def _packed(values: np.ndarray) -> bytes:
+    return B.squeeze(np.diff(values, prepend=values[:1]).tobytes())
+
+
+def _unpacked(first: int, raw: bytes) -> np.ndarray:
+    return np.uint64(first) + np.cumsum(np.frombuffer(B.expand(raw), np.uint64), dtype=np.uint64)
+
+
+def _send_counts(words: int, count: Counting):
     def fn(block_id: int, block: B.Block):
-        sets, at = shingle_sets(block, words)
-        sizes = np.diff(at)
-        sig = signatures(sets, at)
-        own = np.flatnonzero((_first_copies(sizes, sig) == np.arange(len(sizes))) & (sizes > 0))
-        rows = np.repeat(np.isin(np.arange(len(sizes)), own), sizes)
-        k, o = segment_keys(sets[rows], np.concatenate([[0], np.cumsum(sizes[own])]), num, den)
-        keys = np.concatenate([k, B.mix(sig[own, 0] + B.mix(sig[own, 1]) + sizes[own].astype(np.uint64))])
-        owners = np.concatenate([own[o], own])
-        equal = np.concatenate([np.zeros(len(k), bool), np.ones(len(own), bool)])
-        order = np.argsort(keys)
-        keys, owners, equal = keys[order], owners[order].astype(np.uint16), equal[order]
-        points = B.split_points(keys, bounds)
+        sets, _, _, _, own = _own_sets(block, words)
+        keys, counted = count.keys(sets[own])
+        keys, times = B.sorted_unique(keys[counted])
+        points = B.split_points(keys, count.bounds)
         shares = np.flatnonzero(np.diff(points))
         pick = [(points[s], points[s + 1]) for s in shares]
+        times = np.minimum(times, 65535).astype(np.uint16)
         return pa.RecordBatch.from_arrays(
-            [pa.array(shares, pa.int32()), pa.array(np.full(len(shares), block_id), pa.int64())]
-            + [pa.array([x[a:z].tobytes() for a, z in pick], pa.binary()) for x in (keys, owners, equal)],
-            names=["share", "block", "keys", "owners", "equal"])
+            [pa.array(shares, pa.int32()), pa.array(np.full(len(shares), block_id), pa.int64()),
+             pa.array([int(keys[a]) for a, _ in pick], pa.int64()),
+             pa.array([_packed(keys[a:z]) for a, z in pick], pa.binary()),
+             pa.array([B.squeeze(times[a:z].tobytes()) for a, z in pick], pa.binary())],
+            names=["share", "block", "first", "keys", "times"])
     return B.each_block(fn)
 
 
-def _meet(table: pa.Table) -> pa.Table:
-    """Sets with a key in common, each with the first of them; ``equal`` where the whole sets are equal."""
-    cols = {c: table.column(c).to_pylist() for c in ("block", "keys", "owners", "equal")}
-    keys = np.concatenate([np.frombuffer(x, np.uint64) for x in cols["keys"]])
-    node = np.concatenate([np.frombuffer(o, np.uint16).astype(np.int64) + (b << 16)
-                           for o, b in zip(cols["owners"], cols["block"])])
-    equal = np.concatenate([np.frombuffer(x, bool) for x in cols["equal"]])
-    order = np.lexsort((node, keys))
-    k, v, e = keys[order], node[order], equal[order]
-    start = np.concatenate([[True], k[1:] != k[:-1]])
-    first = v[np.maximum.accumulate(np.where(start, np.arange(len(k)), 0))]
-    edge = np.unique(np.stack([v, first, e.astype(np.int64)], axis=1)[v != first], axis=0)
-    return pa.table({"a": pa.array(edge[:, 0]), "b": pa.array(edge[:, 1]), "equal": pa.array(edge[:, 2] > 0)})
+def _count(table: pa.Table) -> pa.Table:
+    """For each block of a share the ranks of its keys: 0 where one set has it, then by powers of two."""
+    cols = {c: table.column(c).to_pylist() for c in ("first", "keys", "times")}
+    sent = [_unpacked(f, k) for f, k in zip(cols["first"], cols["keys"])]
+    times = np.concatenate([np.frombuffer(B.expand(t), np.uint16) for t in cols["times"]]).astype(np.int64)
+    keys = np.concatenate(sent)
+    order = np.argsort(keys, kind="stable")
+    s = keys[order]
+    first = np.flatnonzero(np.concatenate([[True], s[1:] != s[:-1]]))
+    total = np.add.reduceat(times[order], first)
+    rank = np.where(total > 1, np.minimum(np.log2(total).astype(np.int64), UNCOUNTED - 1), 0).astype(np.uint8)
+    ranks = np.empty(len(keys), np.uint8)
+    ranks[order] = np.repeat(rank, np.diff(np.append(first, len(s))))
+    ends = np.cumsum([len(x) for x in sent])
+    return pa.table({"block": table.column("block"), "share": table.column("share"), "ranks": pa.array(
+        [B.squeeze(ranks[e - len(x): e].tobytes()) for e, x in zip(ends, sent)], pa.binary())})
+
+
+def _open(words: int, count: Counting):
+    """Rows of documents, the sets that share a prefix shingle, and their prefixes by hash range."""
+    kinds = {"node": pa.int64(), "doc_id": pa.int64(), "n_shingles": pa.int64(), "first": pa.int64(),
+             "shingles": pa.binary(), "share": pa.int32(), "keys": pa.binary(), "owners": pa.binary(), "equal": pa.binary()}
+    bounds = B.share_bounds(count.n)
+
+    def rows(n: int, **given) -> pa.Table:
+        return pa.table({c: given.get(c, pa.nulls(n, k)) for c, k in kinds.items()})
 
-
-def _open(words: int):
-    """Rows of the documents, and the sets that their groups ask for."""
     def fn(key, left: pa.Table, right: pa.Table) -> pa.Table:
-        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
-        names = ["node", "doc_id", "n_shingles", "first", "group", "shingles"]
-        parts = []
+        parts = [rows(0)]
         for r in range(left.num_rows):
             block, block_id = B.Block.of(left, r), key[0].as_py()
-            sets, at = shingle_sets(block, words)
+            sets, at, sig, first, own = _own_sets(block, words)
             sizes = np.diff(at)
             node = (block_id << 16) + np.arange(len(sizes))
-            first = node[_first_copies(sizes, signatures(sets, at))]
-            none = pa.nulls(len(node))
-            parts.append(pa.table([pa.array(node), block.id_array(), pa.array(sizes), pa.array(first),
-                                   none.cast(pa.int64()), none.cast(pa.binary())], names=names))
-            if right.num_rows:
-                want = right.column("node").to_numpy() & 0xFFFF
-                parts.append(pa.table(
-                    [right.column("node").combine_chunks(), pa.nulls(len(want), pa.int64()), pa.array(sizes[want]),
-                     pa.nulls(len(want), pa.int64()), right.column("group").combine_chunks(),
-                     pa.array([sets[at[i]: at[i + 1]].tobytes() for i in want], pa.binary())], names=names))
-        if not parts:
-            return pa.table([pa.array([], k) for k in kinds], names=names)
+            parts.append(rows(len(node), node=pa.array(node), doc_id=block.id_array(), n_shingles=pa.array(sizes),
+                              first=pa.array(node[first])))
+            doc, sets = np.repeat(np.arange(len(sizes)), sizes)[own], sets[own]
+            short, counted = count.keys(sets)
+            known, _ = B.sorted_unique(short[counted])
+            ranks, points = np.zeros(len(known), np.uint8), B.split_points(known, count.bounds)
+            for share, raw in zip(right.column("share").to_pylist(), right.column("ranks").to_pylist()):
+                ranks[points[share]: points[share + 1]] = np.frombuffer(B.expand(raw), np.uint8)
+            rank = np.full(len(sets), UNCOUNTED, np.int64)
+            rank[counted] = ranks[np.searchsorted(known, short[counted])]
+            order = np.argsort(doc * 16 + rank, kind="stable")         # shingles stand by hash already
+            place = np.arange(len(sets)) - np.repeat(np.cumsum(np.bincount(doc, minlength=len(sizes)))
+                                                     - np.bincount(doc, minlength=len(sizes)),
+                                                     np.bincount(doc, minlength=len(sizes)))
+            take = order[(place < count.prefix(sizes)[doc]) & (rank[order] > 0)]
+            full = np.flatnonzero((first == np.arange(len(sizes))) & (sizes > 0))
+            keys = np.concatenate([sets[take], B.mix(sig[full, 0] + B.mix(sig[full, 1]) + sizes[full].astype(np.uint64))])
+            owners = np.concatenate([doc[take], full])
+            equal = np.concatenate([np.zeros(len(take), bool), np.ones(len(full), bool)])
+            order = np.argsort(keys, kind="stable")
+            keys, owners, equal = keys[order], owners[order].astype(np.uint16), equal[order]
+            points = B.split_points(keys, bounds)
+            shares = np.flatnonzero(np.diff(points))
+            pick = [(points[s], points[s + 1]) for s in shares]
+            parts.append(rows(len(shares), node=pa.array(np.full(len(shares), block_id << 16)), share=pa.array(shares, pa.int32()),
+                              **{c: pa.array([x[a:z].tobytes() for a, z in pick], pa.binary())
+                                 for c, x in (("keys", keys), ("owners", owners), ("equal", equal))}))
+            some = np.unique(doc[take])
+            begin = np.searchsorted(doc, np.arange(len(sizes) + 1))
+            parts.append(rows(len(some), node=pa.array(node[some]), shingles=pa.array(
+                [sets[begin[i]: begin[i + 1]].tobytes() for i in some], pa.binary())))
         return pa.concat_tables(parts)
     return fn
 
 
-OPENED = "node long, doc_id long, n_shingles long, first long, group long, shingles binary"
+OPENED = ("node long, doc_id long, n_shingles long, first long, shingles binary, share int, keys binary, owners binary, "
+          "equal binary")
+
+
+def _meet(table: pa.Table) -> pa.Table:
+    """Sets of one key, each with the first of them; ``equal`` where the whole sets are equal."""
+    cols = {c: table.column(c).to_pylist() for c in ("node", "keys", "owners", "equal")}
+    keys = np.concatenate([np.frombuffer(x, np.uint64) for x in cols["keys"]])
+    node = np.concatenate([np.frombuffer(o, np.uint16).astype(np.int64) + b for o, b in zip(cols["owners"], cols["node"])])
+    equal = np.concatenate([np.frombuffer(x, bool) for x in cols["equal"]])
+    order = np.lexsort((node, keys))
+    k, v, e = keys[order], node[order], equal[order]
+    start = np.concatenate([[True], k[1:] != k[:-1]])
+    several = ~start | np.append(~start[1:], False)
+    first = v[np.maximum.accumulate(np.where(start, np.arange(len(k)), 0))]
+    edge = np.unique(np.stack([v, first, e.astype(np.int64)], axis=1)[several], axis=0)
+    return pa.table({"a": pa.array(edge[:, 0]), "b": pa.array(edge[:, 1]), "equal": pa.array(edge[:, 2] > 0)})
 
 
 class SetGroup:
@@ -342,19 +383,16 @@ def _join_groups(num: int, den: int):
     return fn
 
 
-def _tasks(sets: DataFrame, n_shares: int, group_sets: int) -> DataFrame:
-    """Small groups by share; larger ones cut into parts, with a task for every two parts."""
-    sizes = sets.groupBy("group").agg(F.count(F.lit(1)).alias("n"))
-    parted = sets.join(sizes, "group").withColumn("parts", F.ceil(F.col("n") / group_sets).cast("int")) \
+def _tasks(asked: DataFrame, n_shares: int, group_sets: int) -> DataFrame:
+    """Where the set of each (node, group) goes: small groups by share; larger ones cut into parts,
+    with a task for every two parts.  Groups of one set have nothing to join."""
+    sizes = asked.groupBy("group").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    parted = asked.join(sizes, "group").withColumn("parts", F.ceil(F.col("n") / group_sets).cast("int")) \
         .withColumn("p", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
-    small = parted.where("parts = 1").select(
-        F.pmod(F.xxhash64("group"), F.lit(n_shares)).alias("task"), F.lit(0).alias("i"), F.lit(0).alias("j"),
-        "group", "node", "shingles")
     other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
-    large = parted.where("parts > 1").withColumn("q", other).select(
-        (-1 - F.col("group")).alias("task"), F.least("p", "q").alias("i"), F.greatest("p", "q").alias("j"),
-        "group", "node", "shingles")
-    return small.unionByName(large)
+    return parted.withColumn("q", other).select(
+        F.when(F.col("parts") == 1, F.pmod(F.xxhash64("group"), F.lit(n_shares))).otherwise(-1 - F.col("group")).alias("task"),
+        F.least("p", "q").alias("i"), F.greatest("p", "q").alias("j"), "group", "node")
 
 
 def linked_documents(table: DataFrame, words: int = 5, num: int = 80, den: int = 100,
@@ -362,21 +400,25 @@ def linked_documents(table: DataFrame, words: int = 5, num: int = 80, den: int =
     """For a table of blocks, a row for each document: node (its place: block and index), doc_id,
     n_shingles and ``component``, the first node of its component."""
     n = B.n_shares(table, SHARE_BYTES)
+    count = Counting(n, table.agg(F.sum("n_bytes")).first()[0] or 0, num, den)
     cols = table.select(*B.OPEN_COLUMNS)
-    keys = cols.mapInArrow(_send_keys(words, num, den, n),
-                           "share int, block long, keys binary, owners binary, equal binary")
-    met = cut_lineage(keys.groupBy("share").applyInArrow(_meet, "a long, b long, equal boolean")
+    sent = cols.mapInArrow(_send_counts(words, count), "share int, block long, first long, keys binary, times binary")
+    ranks = sent.groupBy("share").applyInArrow(_count, "block long, share int, ranks binary")
+    opened = cut_lineage(cols.groupBy("block").cogroup(ranks.groupBy("block")).applyInArrow(_open(words, count), OPENED))
+    met = cut_lineage(opened.where("share is not null").select("share", "node", "keys", "owners", "equal").groupBy("share")
+                      .applyInArrow(_meet, "a long, b long, equal boolean")
                       .groupBy("a", "b").agg(F.max("equal").alias("equal")))
-    copies = met.where("equal").groupBy("a").agg(F.min("b").alias("b"))     # of a copy: the first equal set
-    groups = components(met.select("a", "b")).select("node", F.col("root").alias("group"))
-    own = groups.join(copies, groups.node == copies.a, "left_anti")
-    several = own.groupBy("group").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("group")
-    asked = own.join(several, "group").select("node", "group", F.shiftright("node", 16).alias("block"))
-    opened = cut_lineage(cols.groupBy("block").cogroup(asked.groupBy("block")).applyInArrow(_open(words), OPENED))
-    sets = opened.where("group is not null").select("group", "node", "shingles")
-    links = _tasks(sets, n, group_sets).groupBy("task", "i", "j").applyInArrow(_join_groups(num, den), "a long, b long")
+    copies = met.where("equal and a != b").groupBy("a").agg(F.min("b").alias("b"))  # of a copy: the first equal set
+    own = met.join(copies.select("a"), "a", "left_anti").select(F.col("a").alias("node"), F.col("b").alias("group"))
+    n_tasks = B.n_shares(table, TASK_BYTES)
+    places = cut_lineage(_tasks(own, n_tasks, group_sets))
+    small = F.broadcast(places) if measured_bytes(places) <= BROADCAST_BYTES else places
+    # Joins are long for the few bytes that they read, so their tasks are dealt out by number.
+    tasks = opened.where("shingles is not null").select("node", "shingles").join(small, "node") \
+        .repartition(n_tasks, "task", "i", "j")
+    links = tasks.groupBy("task", "i", "j").applyInArrow(_join_groups(num, den), "a long, b long")
     joined = components(links.unionByName(copies))
-    docs = opened.where("group is null").select("node", "doc_id", "n_shingles", "first")
+    docs = opened.where("n_shingles is not null").select("node", "doc_id", "n_shingles", "first")
     return docs.join(joined.withColumnRenamed("node", "first"), "first", "left").select(
         "node", "doc_id", "n_shingles", F.coalesce("root", "first").alias("component"))
 
@@ -390,12 +432,12 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
 
 def _kept(columns: list[str], text_col: str):
-    def fn(left: pa.Table, right: pa.Table) -> pa.Table:
-        parts = []
-        for r in range(left.num_rows):
-            own = np.sort(right.column("node").to_numpy() & 0xFFFF)
-            parts.append(B.Block.of(left, r).rows(left.column("rest")[r].as_py(), own, columns, text_col))
-        return pa.concat_tables(parts)
+    def fn(batches):
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            for r in range(batch.num_rows):
+                own = np.sort(np.array(table.column("kept")[r].as_py(), np.int64))
+                yield from B.Block.of(table, r).rows(table.column("rest")[r].as_py(), own, columns, text_col).to_batches()
     return fn
 
 
@@ -406,7 +448,9 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     table = B.write_blocks(docs, id_col, text_col, whole_rows=True)
     rows = linked_documents(table, words, num, den)
     first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "node")
-    kept = cut_lineage(rows.groupBy("component").agg(F.min(first)["node"].alias("node"))
-                       .select("node", F.shiftright("node", 16).alias("block")))
-    opened = table.select(*B.OPEN_COLUMNS, "rest").groupBy("block").cogroup(kept.groupBy("block"))
-    return opened.applyInArrow(_kept(docs.columns, text_col), docs.schema)
+    # a block's documents that stay are one row, which the optimizer can send to the blocks or shuffle both
+    kept = rows.groupBy("component").agg(F.min(first)["node"].alias("node")) \
+        .groupBy(F.shiftright("node", 16).alias("block")).agg(
+            F.collect_list(F.col("node").bitwiseAND(0xFFFF).cast("int")).alias("kept"))
+    return table.select(*B.OPEN_COLUMNS, "rest").join(cut_lineage(kept), "block") \
+        .mapInArrow(_kept(docs.columns, text_col), docs.schema)

@@ -105,18 +105,11 @@ def test_group_links_equal_brute_force():
         assert roots.tolist() == [root(i) for i in range(len(sets))]
 
 
-def test_linked_sets_share_a_segment():
-    r = np.random.default_rng(3)
-    for trial in range(300):
-        n = int(r.integers(2, 200))
-        a = np.unique(r.integers(0, 1 << 62, n).astype(np.uint64))
-        drop = int(r.integers(0, max(1, len(a) // 9) + 1))
-        b = np.unique(np.concatenate([a[drop:], r.integers(0, 1 << 62, int(r.integers(0, len(a) // 15 + 2))).astype(np.uint64)]))
-        inter = len(np.intersect1d(a, b))
-        if 100 * inter < 90 * (len(a) + len(b) - inter) or np.array_equal(a, b):
-            continue
-        keys, owner = J.segment_keys(np.concatenate([a, b]), np.array([0, len(a), len(a) + len(b)]), 90, 100)
-        assert set(keys[owner == 0].tolist()) & set(keys[owner == 1].tolist())
+@pytest.mark.parametrize("counted", [0.0, 0.5, 100.0])
+def test_any_share_of_counted_shingles_finds_all_links(spark, monkeypatch, counted):
+    monkeypatch.setattr(J, "COUNTED", counted)
+    rows = corpus(11)
+    assert run(spark, rows, 3, 90, 100) == brute(rows, 3, 90, 100)
 
 
 def test_components(spark):
