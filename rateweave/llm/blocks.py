@@ -196,7 +196,7 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of an odd base modulo 2**64 and of its inverse, n of each."""
     have = _POWERS.get(0)
     if have is None or len(have[0]) < n:
-        size = 1 << max(16, (n - 1).bit_length())
+        size = n + (1 << 16)
         def run(base: int) -> np.ndarray:
             a = np.full(size, base, np.uint64)
             a[0] = 1

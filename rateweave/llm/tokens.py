@@ -19,7 +19,7 @@ from collections.abc import Sequence
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 #: Pieces kept in a worker, and the longest piece that is kept.
-KEPT_MOST = 1_000_000
+KEPT_MOST = 700_000
 KEPT_CHARS = 40
 
 _WHOLE = re.compile(r" \s| \Z")
