@@ -8,6 +8,7 @@ place (block, index) that does not depend on unique or non-null ids.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,6 +29,13 @@ BLOCK_SCHEMA = "n_docs int, n_bytes long, ids binary, no_id binary, lengths bina
 OPEN_COLUMNS = ["block", "ids", "no_id", "lengths", "data"]
 
 
+def make_room() -> None:
+    """Drop the table of pieces that a tokenizing stage may have left in this Python worker."""
+    tokens = sys.modules.get("rateweave.llm.tokens")
+    if tokens is not None:
+        tokens.forget()
+
+
 def string_parts(column: pa.ChunkedArray | pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes of a string column and the offsets of its rows; null counts as empty."""
     if isinstance(column, pa.ChunkedArray):
@@ -55,6 +63,7 @@ def cuts(offsets: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
 
 def _packer(block_bytes: int, rest: list[str] | None):
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        make_room()
         for batch in batches:
             ids_col = batch.column(0)
             no_id = np.asarray(ids_col.is_null().to_numpy(zero_copy_only=False), dtype=bool)
@@ -141,6 +150,7 @@ class Block:
 def each_block(fn, with_id: bool = True):
     """mapInArrow function from ``fn(block id, Block) -> RecordBatch | None``, one block at a time."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        make_room()
         for batch in batches:
             table = pa.Table.from_batches([batch])
             for i in range(batch.num_rows):

@@ -161,6 +161,7 @@ def _examine(shared, text_at: int, state_at: int | None, last: bool, finish):
     """mapInArrow step for one chunk of the benchmark."""
     def fn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         test: TestSet = shared.value
+        B.make_room()
         for batch in batches:
             flat, offsets = B.string_parts(batch.column(text_at))
             for i, j in B.cuts(offsets, SHARD_BYTES):

@@ -29,6 +29,8 @@ from rateweave.llm import blocks as B
 TRAIN_ROWS = 20_000
 THRESHOLD = 0.3
 BINS = 64
+#: Text that is worked on at once.
+PART_BYTES = 1 << 20
 ROUNDS = 80
 DEPTH = 4
 RATE = 0.12
@@ -174,9 +176,10 @@ def held_out(id_col: Column) -> Column:
 
 
 def _statistics_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    B.make_room()
     for batch in batches:
         flat, offsets = B.string_parts(batch.column(1))
-        for i, j in B.cuts(offsets, B.BLOCK_BYTES):
+        for i, j in B.cuts(offsets, PART_BYTES):
             x = statistics(flat[offsets[i]: offsets[j]], offsets[i: j + 1] - offsets[i])
             yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array(list(x), pa.list_(pa.float64()))],
                                              names=["label", "x"])
@@ -199,10 +202,11 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
 def _scorer(shared):
     def fn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        B.make_room()
         for batch in batches:
             flat, offsets = B.string_parts(batch.column(batch.num_columns - 1))
             parts = [np.zeros(0)]
-            for i, j in B.cuts(offsets, B.BLOCK_BYTES):
+            for i, j in B.cuts(offsets, PART_BYTES):
                 parts.append(shared.value.score(statistics(flat[offsets[i]: offsets[j]], offsets[i: j + 1] - offsets[i])))
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(np.concatenate(parts))],
                                              names=[*batch.schema.names[:-1], "score"])
@@ -225,9 +229,10 @@ def keep_good(docs: DataFrame, trees: Trees, text_col: str = "text", threshold:
     at = docs.columns.index(text_col)
 
     def fn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        B.make_room()
         for batch in batches:
             flat, offsets = B.string_parts(batch.column(at))
-            for i, j in B.cuts(offsets, B.BLOCK_BYTES):
+            for i, j in B.cuts(offsets, PART_BYTES):
                 s = shared.value.score(statistics(flat[offsets[i]: offsets[j]], offsets[i: j + 1] - offsets[i]))
                 yield batch.slice(i, j - i).filter(pa.array(s >= threshold))
     return docs.mapInArrow(fn, docs.schema)

@@ -19,7 +19,7 @@ from collections.abc import Sequence
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 #: Pieces kept in a worker, and the longest piece that is kept.
-KEPT_MOST = 700_000
+KEPT_MOST = 850_000
 KEPT_CHARS = 40
 
 _WHOLE = re.compile(r" \s| \Z")
@@ -110,6 +110,11 @@ def encoder(path: str) -> Encoder:
     return _ENCODERS[path]
 
 
+def forget() -> None:
+    """Drop all encoders and what they keep."""
+    _ENCODERS.clear()
+
+
 def groups(texts: Sequence[str | None], chars: int = 1 << 20) -> list[tuple[int, int]]:
     """Row ranges of about ``chars`` characters, so that the ids in hand stay few."""
     out, start, size = [], 0, 0
