@@ -5,7 +5,9 @@ stands on two sides of a word's leading space.  So a text without a space next t
 white space is the join of its space-led pieces, and the ids of pieces met before are kept
 in a table of bounded size in the Python worker.  A new piece that is a word of Latin
 letters goes to the tokenizer's model as it is; around it, marks and line breaks are split
-off as the tokenizer would.  All else, and other texts, go to the tokenizer whole.
+off as the tokenizer would.  All else, and other texts, go to the tokenizer whole; so does
+a text that holds the string of an added token (a mark of the vocabulary), which the
+tokenizer takes out before it splits.
 """
 
 from __future__ import annotations
@@ -61,7 +63,7 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.model = self.tokenizer.model
         self.spaced, self.bare, self.line = (_Kept(self, lead) for lead in (" ", "", "\n"))
 
@@ -91,7 +93,7 @@ class Encoder:
         """Ids of each text as little-endian unsigned 32-bit integers."""
         out, spaced, bare = [], self.spaced.__getitem__, self.bare.__getitem__
         for text in texts:
-            if _WHOLE.search(text) or not text:
+            if _WHOLE.search(text) or not text or any(mark in text for mark in self.added):
                 out.append(self.whole(text))
             else:
                 pieces = text.split(" ")

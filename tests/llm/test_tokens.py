@@ -152,3 +152,42 @@ def test_token_files(spark, tmp_path, tokenizer, segment_ids):
 def test_token_files_empty(spark, tmp_path):
     token_files.write_tokens(spark.createDataFrame([], SCHEMA), str(tmp_path / "e"), PATH)
     assert token_files.read_tokens(spark, str(tmp_path / "e")).count() == 0
+
+
+MARKED = ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|>y\n<|endoftext|>", "<|endoftext|> <|endoftext|>", "a <|endoftext| > b",
+          "plain words", "<|endoftext|", " <|endoftext|>é", "the cat<|ENDOFTEXT|> sat", "word " * 3000 + "<|endoftext|> end"]
+
+
+@pytest.fixture(scope="module")
+def untouched():
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(PATH)
+
+
+def test_marks_of_the_vocabulary_in_texts_are_marks(untouched):
+    assert untouched.encode("a <|endoftext|> b", add_special_tokens=False).ids == [64, 220, 50256, 275]
+    got = T.Encoder(PATH).encode(MARKED + MARKED)
+    assert [np.frombuffer(g, "<u4").tolist() for g in got] == [ids_of(untouched, x) for x in MARKED + MARKED]
+
+
+def test_random_texts_with_marks(untouched):
+    r = random.Random(8)
+    bits = ["<|endoftext|>", "<|endo", "ftext|>", " ", "\n", "a", "é", "'s", "the cat", "日", "!"]
+    texts = ["".join(r.choices(bits, k=r.randint(0, 12))) for _ in range(2000)]
+    got = T.Encoder(PATH).encode(texts)
+    assert [np.frombuffer(g, "<u4").tolist() for g in got] == [ids_of(untouched, x) for x in texts]
+
+
+def test_packing_and_token_files_with_marks(spark, tmp_path, untouched):
+    docs = list(enumerate(MARKED))
+    df = spark.createDataFrame(docs, SCHEMA)
+    for capacity in (2048, 16):
+        check_packing(packing.pack(df.repartition(3), PATH, capacity=capacity).collect(), docs, untouched, capacity)
+    token_files.write_tokens(df.repartition(3), str(tmp_path / "t"), PATH)
+    got = sorted(token_files.read_tokens(spark, str(tmp_path / "t")).collect(), key=lambda r: r.start)
+    at = 0
+    for (i, text), r in zip(docs, got):
+        want = np.array(ids_of(untouched, text) + [0], "<u4")
+        assert (r.doc_id, r.start, r.n_tokens, r.ids_crc32) == (i, at, len(want), zlib.crc32(want.tobytes()))
+        at += len(want)
