@@ -11,7 +11,7 @@ suffix (with its first two words; one, if an item has a single word) go into the
 no other can hold an occurrence.  Nothing is shuffled, so no key can be hot.  The
 benchmark is the stated test set; it is taken in chunks of at most ``CHUNK_BYTES`` of
 text (a longer item alone), one broadcast after the other, and what a chunk has found
-stays with its document for the next.
+(places hit, items, matches) stays with its document for the next.
 
 Null and empty texts have no words and are clean.  Null item texts have no windows; null
 item ids are written as an empty string.  Repeated items count as the one id they have.
@@ -157,7 +157,28 @@ def _matches(test: TestSet, place: np.ndarray, window: np.ndarray) -> list[tuple
     return sorted(out)
 
 
-def _examine(shared, text_at: int, state_at: int | None, last: bool, finish):
+MATCH = ("item_id", "item_word", "doc_word", "n_words")
+MATCHES = "array<struct<item_id: string, item_word: bigint, doc_word: bigint, n_words: bigint>>"
+
+
+def _match_array(found: list[list[tuple]]) -> pa.Array:
+    kind = pa.list_(pa.struct([("item_id", pa.string()), *[(c, pa.int64()) for c in MATCH[1:]]]))
+    return pa.array([[dict(zip(MATCH, m)) for m in x] for x in found], kind)
+
+
+def _joined(found: list[tuple], more: list[tuple]) -> list[tuple]:
+    """Matches of two chunks: ranges of one item on one diagonal that overlap are one match (texts
+    of a repeated item id may be in several chunks)."""
+    if not found or not more:
+        return found or more
+    on: dict[tuple[str, int], list[tuple[int, int]]] = defaultdict(list)
+    for name, there, here, n in found + more:
+        on[name, here - there].append((here, here + n))
+    return sorted((name, int(a - shift), int(a), int(z - a)) for (name, shift), ranges in on.items()
+                  for a, z in _merged(np.array(sorted(set(ranges)))))
+
+
+def _examine(shared, text_at: int, state_at: int | None, last: bool, finish, with_matches: bool):
     """mapInArrow step for one chunk of the benchmark."""
     def fn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         test: TestSet = shared.value
@@ -182,24 +203,27 @@ def _examine(shared, text_at: int, state_at: int | None, last: bool, finish):
                 results = []
                 hits = own.column(state_at).to_pylist() if state_at is not None else [b""] * (j - i)
                 names = own.column(state_at + 1).to_pylist() if state_at is not None else [[]] * (j - i)
+                known = [[tuple(m.values()) for m in x] for x in own.column(state_at + 2).to_pylist()] \
+                    if state_at is not None and with_matches else [[]] * (j - i)
                 for d in range(j - i):
                     mine = order[points[d]: points[d + 1]]
-                    ranges, items = np.frombuffer(hits[d], np.int64).reshape(-1, 2), names[d]
+                    ranges, items, matches = np.frombuffer(hits[d], np.int64).reshape(-1, 2), names[d], known[d]
                     if len(mine):
                         p, w = place[mine] - base[d], window[mine]
                         ranges = _merged(np.concatenate([ranges, np.stack([p, p + test.lengths[w]], axis=1)]))
                         items = sorted(set(items).union(*(test.items[k] for k in set(w.tolist()))))
-                        results.append((int(n_words[d]), ranges, items, (test, p, w)))
-                    else:
-                        results.append((int(n_words[d]), ranges, items, None))
+                        if with_matches:
+                            matches = _joined(matches, _matches(test, p, w))
+                    results.append((int(n_words[d]), ranges, items, matches))
                 if last:
                     yield finish(own, results)
                 else:
                     kept = own.columns if state_at is None else own.columns[:state_at]
+                    found = [_match_array([r[3] for r in results])] if with_matches else []
                     yield pa.RecordBatch.from_arrays(
                         [*kept, pa.array([np.ascontiguousarray(r[1]).tobytes() for r in results], pa.binary()),
-                         pa.array([r[2] for r in results], pa.list_(pa.string()))],
-                        names=[*own.schema.names[: len(kept)], "hits", "items"])
+                         pa.array([r[2] for r in results], pa.list_(pa.string())), *found],
+                        names=[*own.schema.names[: len(kept)], "hits", "items", *["matches"] * len(found)])
     return fn
 
 
@@ -217,10 +241,7 @@ def _report(with_matches: bool):
                 pa.array([c for _, c in judged], pa.bool_())]
         names = ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"]
         if with_matches:
-            kind = pa.list_(pa.struct([("item_id", pa.string()), ("item_word", pa.int64()),
-                                       ("doc_word", pa.int64()), ("n_words", pa.int64())]))
-            cols.append(pa.array([[dict(zip(("item_id", "item_word", "doc_word", "n_words"), m)) for m in _matches(*r[3])]
-                                  if r[3] else [] for r in results], kind))
+            cols.append(_match_array([r[3] for r in results]))
             names.append("matches")
         return pa.RecordBatch.from_arrays(cols, names=names)
     return finish
@@ -241,18 +262,19 @@ def _chunks(benchmark: DataFrame, id_col: str, text_col: str) -> Iterator[list[t
 
 
 def _passes(docs: DataFrame, text_at: int, benchmark: DataFrame, item_col: str, item_text: str, window: int,
-            finish, schema) -> DataFrame:
+            finish, schema, with_matches: bool = False) -> DataFrame:
     spark, n_cols = docs.sparkSession, len(docs.columns)
     state, chunks = docs, list(_chunks(benchmark, item_col, item_text))
     carried = ", ".join([f"c{i} {f.dataType.simpleString()}" for i, f in enumerate(docs.schema.fields)])
     for k, items in enumerate(chunks):
         shared = spark.sparkContext.broadcast(TestSet(items, window))
         last = k == len(chunks) - 1
-        step = _examine(shared, text_at, None if k == 0 else n_cols, last, finish)
+        step = _examine(shared, text_at, None if k == 0 else n_cols, last, finish, with_matches)
         if last:
             return state.mapInArrow(step, schema)
         plain = state.toDF(*[f"c{i}" for i in range(n_cols)]) if k == 0 else state
-        state = cut_lineage(plain.mapInArrow(step, carried + ", hits binary, items array<string>"))
+        state = cut_lineage(plain.mapInArrow(step, carried + ", hits binary, items array<string>" + (
+            f", matches {MATCHES}" if with_matches else "")))
     raise AssertionError
 
 
@@ -260,12 +282,12 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                   item_col: str = "item_id", item_text: str = "text", window: int = WINDOW,
                   with_matches: bool = True) -> DataFrame:
     """One row for each document: doc_id, n_words, n_hit, n_items, items_sha256, contaminated and,
-    with ``with_matches``, the longest verbatim matches with the last chunk of the benchmark."""
+    with ``with_matches``, the longest verbatim matches with the items of the benchmark."""
     own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     schema = "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean"
     if with_matches:
-        schema += ", matches array<struct<item_id: string, item_word: bigint, doc_word: bigint, n_words: bigint>>"
-    return _passes(own, 1, benchmark, item_col, item_text, window, _report(with_matches), schema)
+        schema += f", matches {MATCHES}"
+    return _passes(own, 1, benchmark, item_col, item_text, window, _report(with_matches), schema, with_matches)
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id",

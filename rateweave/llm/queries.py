@@ -70,6 +70,11 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
                                        with_matches=False)
 
 
+def op7_decontaminate_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of op7_decontaminate, and the longest verbatim matches of each document with their places."""
+    return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in all documents."""
     return pii.report(table(spark, sf_dir, "documents")).drop("scored")
@@ -90,5 +95,5 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_suffix_dedup, op2_best_fit_packing, op3_chat_trees, op4_ngram_join, op5_quality, op6_hash_tree,
-        op7_decontaminate, op8_pii, op9_spot_signatures, op10_token_files)
+        op7_decontaminate, op7_decontaminate_matches, op8_pii, op9_spot_signatures, op10_token_files)
 }

@@ -95,3 +95,51 @@ def test_empty_tables(spark):
     assert run(spark, docs, [("1", None)]) == brute(docs, [("1", None)])
     assert D.contamination(spark.createDataFrame(docs, DOCS), none).where("contaminated").count() == 0
     assert D.contamination(spark.createDataFrame([], DOCS), spark.createDataFrame([("1", "a b")], ITEMS)).count() == 0
+
+
+def brute_matches(docs, items, size=13):
+    """For each document the longest matches (item, first word there, first word here, words)."""
+    out = []
+    for doc, t in docs:
+        w, on = words(t), {}
+        for name, text in items:
+            own = words(text)
+            n = min(size, len(own))
+            for p in range(max(1, len(own) - size + 1) if own else 0):
+                for q in range(len(w) - n + 1):
+                    if w[q:q + n] == own[p:p + n]:
+                        on.setdefault((name or "", q - p), set()).update(range(q, q + n))
+        found = []
+        for (name, shift), places in on.items():
+            for a in sorted(x for x in places if x - 1 not in places):
+                z = a
+                while z in places:
+                    z += 1
+                found.append((name, a - shift, a, z - a))
+        out.append((doc, sorted(found)))
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("chunk", [1, 300, 4 << 20])
+def test_matches_of_all_chunks(spark, monkeypatch, chunk):
+    monkeypatch.setattr(D, "CHUNK_BYTES", chunk if chunk > 1 else 150)
+    docs, items = corpus(6)
+    # windows of one item that meet on a diagonal, with texts in several chunks
+    items = [x for x in items if x[0] != "3"] + [("r", "q1 q2 q3 q4 q5 q6 q7"), ("r", "q1 q2 q3 q4 q5 q6 q7 q8 q9")]
+    docs = [x for x in docs if x[0] != 5] + [(99, "a q1 q2 q3 q4 q5 q6 q7 q8 q9 b")]
+    frame = spark.createDataFrame(docs, DOCS).withColumn("matches", F.lit("clash"))
+    got = D.contamination(frame.repartition(3), spark.createDataFrame(items, ITEMS)).collect()
+    want = brute_matches(docs, items)
+    assert sorted([(r.doc_id, [tuple(m) for m in r.matches]) for r in got], key=str) == want
+    assert sum(len(m) for _, m in want) > 20
+    assert all((r.n_items > 0) == bool(r.matches) for r in got)
+
+
+def test_a_query_returns_matches(spark):
+    from rateweave.llm import queries
+
+    sf = "/root/testdata/sf0.01"
+    got = queries.QUERIES["op7_decontaminate_matches"](spark, sf).collect()
+    plain = queries.QUERIES["op7_decontaminate"](spark, sf)
+    assert sorted((tuple(r[c] for c in plain.columns) for r in got), key=str) == sorted(map(tuple, plain.collect()), key=str)
+    assert any(r.matches for r in got) and all(len({m.item_id for m in r.matches}) == r.n_items for r in got)
