@@ -3,6 +3,9 @@
 Regular expressions propose spans, validators confirm them (octets for ip, Luhn for card,
 a count of digits for phone, the remainder by 97 for iban), and words near a span raise
 its score.  The four base kinds keep every confirmed span; the method adds iban spans.
+Upper-case words and numbers may follow an account number, so an iban is proposed by its
+first four characters, and the longest run of 15 to 34 characters from there that ends
+at the edge of a word and passes is the span; none begins inside the one before.
 
 Spark's functions give the matches of a pattern and the pieces between them, whose
 lengths give the places: all is row-local, without shuffle or Python.  Patterns start at
@@ -25,7 +28,7 @@ PATTERNS = {
     "ip": ("(?<![0-9])[0-9]++\\.[0-9]++\\.[0-9]++\\.[0-9]++", "."),
     "card": ("[0-9](?:[\\x20-]?[0-9])++", None),
     "phone": ("\\+[0-9][\\x20().0-9-]+[0-9]", "+"),
-    "iban": ("(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\\x20?[A-Z0-9]){11,30}(?![A-Za-z0-9])", None),
+    "iban": ("(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?=(?:\\x20?[A-Z0-9]){11})", None),  # what may begin one
 }
 BASE = ["email", "ip", "card", "phone"]
 
@@ -54,13 +57,42 @@ def luhn(digits: Column) -> Column:
     return F.aggregate(each, F.lit(0), lambda a, d: a + d) % 10 == 0
 
 
-def mod97(value: Column) -> Column:
-    """Whether an account number leaves 1 when divided by 97 (letters count from 10)."""
-    plain = F.regexp_replace(value, " ", "")
-    turned = F.concat(F.substr(plain, F.lit(5)), F.substring(plain, 1, 4))
-    number = lambda c: F.when(c.rlike("[0-9]"), c.cast("int")).otherwise(F.ascii(c) - 55)
-    return F.aggregate(F.split(turned, ""), F.lit(0), lambda a, c: F.when(
-        number(c) > 9, (a * 100 + number(c)) % 97).otherwise((a * 10 + number(c)) % 97)) == 1
+def _number(c: Column) -> Column:
+    """A character of an account number as a number (letters count from 10)."""
+    return F.when(c.between("0", "9"), c.cast("int")).otherwise(F.ascii(c) - 55)
+
+
+def _account_end(text: Column, head: Column) -> Column:
+    """Where the longest account number that begins with ``head`` ends, null if none passes:
+    the number, its first four characters moved to the end, leaves 1 when divided by 97."""
+    kind = "struct<rem:int,n:int,at:int,on:boolean,gap:boolean,best:int>"
+    value = head["value"]
+    first = (_number(F.substring(value, 1, 1)) * 100 + _number(F.substring(value, 2, 1))) * 100 + F.substring(value, 3, 2).cast("int")
+    zero = F.struct(F.lit(0).alias("rem"), F.lit(0).alias("n"), head["end"].alias("at"), F.lit(True).alias("on"),
+                    F.lit(False).alias("gap"), F.lit(None).cast("int").alias("best")).cast(kind)
+
+    def step(acc: Column, c: Column) -> Column:
+        own, space = c.between("A", "Z") | c.between("0", "9"), c == " "
+        ends = acc["on"] & ~acc["gap"] & ~own & ~c.between("a", "z") & acc["n"].between(11, 30)
+        number = _number(c)
+        return F.struct(
+            F.when(~own, acc["rem"]).when(number > 9, (acc["rem"] * 100 + number) % 97)
+            .otherwise((acc["rem"] * 10 + number) % 97).alias("rem"),
+            (acc["n"] + own.cast("int")).alias("n"), (acc["at"] + 1).alias("at"),
+            (acc["on"] & (own | (space & ~acc["gap"]))).alias("on"), space.alias("gap"),
+            F.when(ends & ((acc["rem"] * 1_000_000 + first) % 97 == 1), acc["at"]).otherwise(acc["best"]).alias("best")).cast(kind)
+    # at most 30 characters with a space before each, one that shows the edge, and one for the end of the text
+    after = F.concat(F.substr(text, head["end"] + 1, F.lit(61)), F.lit("\n"))
+    return F.aggregate(F.split(after, ""), zero, step, lambda acc: acc["best"])
+
+
+def _accounts(text: Column, heads: Column) -> Column:
+    """Account numbers from their proposed first characters; of those that overlap the first."""
+    whole = F.filter(F.transform(heads, lambda h: F.struct(
+        h["start"].alias("start"), _account_end(text, h).alias("end"), h["value"].alias("value"))),
+        lambda s: s["end"].isNotNull())
+    return F.aggregate(whole, F.array().cast(_NONE), lambda out, s: F.when(
+        (F.size(out) > 0) & (s["start"] < F.try_element_at(out, F.lit(-1))["end"]), out).otherwise(F.concat(out, F.array(s))).cast(_NONE))
 
 
 def _valid(kind: str, value: Column) -> Column:
@@ -71,8 +103,6 @@ def _valid(kind: str, value: Column) -> Column:
         return F.when(n.between(16, 19), luhn(_digits(value))).otherwise(F.lit(False))
     if kind == "phone":
         return F.length(_digits(value)).between(8, 15)
-    if kind == "iban":
-        return mod97(value)
     return F.lit(True)
 
 
@@ -117,8 +147,9 @@ def find(docs: DataFrame, text_col: str = "text", prefix: str = "pii_") -> DataF
     out = docs.withColumns(found).withColumns(pieces)
     spans = {}
     for kind in PATTERNS:
-        own = F.when(F.size(f"{prefix}{kind}_m") > 0, F.filter(
-            _proposals(F.col(f"{prefix}{kind}_m"), F.col(f"{prefix}{kind}_p")), _checker(kind)))
+        proposed = _proposals(F.col(f"{prefix}{kind}_m"), F.col(f"{prefix}{kind}_p"))
+        confirmed = _accounts(text, proposed) if kind == "iban" else F.filter(proposed, _checker(kind))
+        own = F.when(F.size(f"{prefix}{kind}_m") > 0, confirmed)
         spans[f"{prefix}{kind}"] = F.coalesce(own, F.array().cast(_NONE))
     out = out.withColumns(spans).drop(*found, *pieces)
     return out.withColumns({f"{prefix}{kind}": F.transform(f"{prefix}{kind}", _scored(kind, text)) for kind in PATTERNS})

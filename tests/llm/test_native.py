@@ -76,6 +76,38 @@ def test_pii_against_brute_force(spark):
     assert P.report(df.limit(0)).count() == 0
 
 
+def brute_accounts(text):
+    out, at = [], 0
+    for m in re.finditer(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}", text):
+        ends = [z for z in range(m.start() + 15, min(len(text), m.start() + 64) + 1)
+                if re.fullmatch(r"[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}", text[m.start():z])
+                and not re.match("[A-Za-z0-9]", text[z:]) and iban(text[m.start():z])]
+        if ends and m.start() >= at:
+            at = max(ends)
+            out.append((m.start(), at))
+    return out
+
+
+ACCOUNTS = ["DE89 3704 0044 0532 0130 00", "DE89370400440532013000", "GB82WEST12345698765432", "GB82 WEST 1234 5698 7654 32", "NO9386011117947",
+            "MT84MALT011000012345MTLCAST001S", "FR14 2004 1010 0505 0001 3M02 606"]
+AFTER = ["", " BIC COBADEFFXXX", " EUR 100", " 12 March", " 12", "\n12", ".", " BIC", "  99", " X", " é", " e", "x", "1", "EUR", " EUR  1 2 3"]
+
+
+def test_account_numbers_and_what_follows_them(spark):
+    texts = [before + a + z for before in ("", "é😀 AB12 ", "pay XX99 12 ", "IBAN ") for a in ACCOUNTS for z in AFTER]
+    texts += [f"{a} {b}" for a in ACCOUNTS for b in ACCOUNTS] + [" ".join(["A1B2", "AB12", "C"] * 30), "DE89", "DE89 " * 20]
+    r = random.Random(5)
+    texts += [" ".join(r.choice(ACCOUNTS + ["AB12", "1", "BIC", "x", "", "DE89370400440532013001"]) for _ in range(8)) for _ in range(300)]
+    df = spark.createDataFrame(list(enumerate(texts)), DOCS)
+    out = P.report(df)
+    assert is_native(out)
+    got = {x.doc_id: [s for s in x.spans.split(",") if s.startswith("iban")] for x in out.collect()}
+    for i, t in enumerate(texts):
+        assert got[i] == [f"iban:{a}:{z}" for a, z in brute_accounts(t)], t
+    found = {x.text for x in P.redact(df).collect()}
+    assert {"<IBAN> BIC COBADEFFXXX", "<IBAN> EUR 100", "<IBAN> 12 March", "<IBAN> <IBAN>"} <= found
+
+
 def test_pii_in_very_long_texts(spark):
     rows = [(1, "a" * 2_000_000 + "@b.cd"), (2, "1" * 2_000_000), (3, "1 " * 1_000_000), (4, "+1" + "(" * 1_000_000), (5, "a." * 500_000)]
     got = {r.doc_id: r for r in P.report(spark.createDataFrame(rows, DOCS)).collect()}
