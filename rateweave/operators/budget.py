@@ -87,7 +87,7 @@ def _sum(df: DataFrame, c: Column) -> Decimal:
 
 
 def _first_left(steps: DataFrame, room: Decimal, gather: int):
-    """The first step in the order (eff desc, tie, k) that no longer fits into ``room``."""
+    """The first step in the order (eff desc, tie, k) that no longer fits into ``room``; None if all fit."""
     before, span = Decimal(0), steps
     while True:
         s = span.agg(F.count(F.lit(1)).alias("n"), F.min("eff").alias("lo"), F.max("eff").alias("hi"),
@@ -107,6 +107,8 @@ def _first_left(steps: DataFrame, room: Decimal, gather: int):
             if before + sums[p] > room:
                 break
             before += sums[p]
+        else:
+            return None
         span = cut_lineage(span.where(place == F.lit(p)))
     order = [F.col("eff").desc(), F.col("rank"), F.col("tie"), F.col("k")]
     total = F.sum("dc").over(Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))

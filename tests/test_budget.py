@@ -82,3 +82,18 @@ def test_infeasible_listings_are_counted(spark):
     flagged = c.withColumn("feasible", c["listing_id"] != 2)
     sel, s = budget.select_with_budget(flagged, max_avg_pct=100.0, feasible="feasible")
     assert s["num_listings"] == 5 and s["num_infeasible"] == 1 and sorted(r["listing_id"] for r in sel.collect()) == [0, 1, 3, 4]
+
+
+def test_all_steps_fit_and_only_ties_are_dear(spark):
+    # without demand every option earns nothing, and the lowest option id is a change of 30 %
+    rows = [(i, j, 100.0, 70.0 + 10.0 * j, 0.0) for i in range(40) for j in range(4)]
+    rows += [(i, j, 100.0, 100.0 + j, 50.0 + j * (6.0 - j) + i / 100) for i in range(40, 80) for j in range(4)]
+    c = spark.createDataFrame(
+        rows, "listing_id long, option_id int, current_price double, candidate_price double, expected_revenue double")
+    found = {}
+    for gather in (5, 50, 100_000):
+        sel, s = budget.select_with_budget(c, max_avg_pct=1.5, gather=gather)
+        found[gather] = {r["listing_id"]: r["option_id"] for r in sel.collect()}, s
+        assert (s["status"], s["multiplier"], s["used_cost"], s["gap"]) == ("optimal", 0.0, 120.0, 0.0)
+    assert found[5] == found[50] == found[100_000]
+    assert set(found[5][0].values()) == {3} and len(found[5][0]) == 80
