@@ -23,6 +23,11 @@ nothing is to be done if all of them are connected already.
 A group of over ``GROUP_SETS`` sets is cut into parts, and every two parts are joined by
 a task of their own, so that no task holds an unbounded group.
 
+Components need not every link, counts and pairs do.  For these all answers are derived, and
+a pair counts in one place: in the smallest group that both sets are in, and there in the
+task of their two parts.  So tasks give each set's links as one number, weighted by the
+documents with equal sets, and pairs are only sent if they are asked for.
+
 Empty and null texts have an empty set, linked with nothing.  Null ids are documents like
 others; a component's id is its smallest doc_id that is not null.  Repeated rows are
 documents of their own with equal sets.  An empty table gives no rows.
@@ -329,6 +334,33 @@ class SetGroup:
         near = self.reaches(overlap, n, self.sizes[y], self.near)
         return y[near], overlap[near]
 
+    def links(self, wanted):
+        """For each set x with others in the mask ``wanted(x)``: x, those of them it links with, and the overlaps.
+        No answer is left out because its sets are connected already."""
+        done = np.zeros(len(self.sets), bool)
+        for x in np.argsort(self.sizes, kind="stable").tolist():
+            if done[x]:
+                continue
+            done[x] = True
+            mask = wanted(x)
+            if not mask.any():
+                continue
+            y, overlap = self.answers(x)
+            linked = self.reaches(overlap, self.sizes[x], self.sizes[y], self.num)
+            yield x, y[linked & mask[y]], overlap[linked & mask[y]]
+            if not self.near:
+                continue                                   # a follower may link with sets that have nothing of x
+            for own in y[linked & ~done[y]].tolist():
+                done[own] = True
+                mask = wanted(own)[y]
+                if not mask.any():
+                    continue
+                less = np.setdiff1d(self.sets[x], self.sets[own], assume_unique=True)
+                more = np.setdiff1d(self.sets[own], self.sets[x], assume_unique=True)
+                derived = overlap - self.overlaps(less)[y] + self.overlaps(more)[y]
+                mask &= self.reaches(derived, self.sizes[own], self.sizes[y], self.num)
+                yield own, y[mask], derived[mask]
+
     def roots(self) -> np.ndarray:
         """For each set the first one that links lead to."""
         parent = np.arange(len(self.sets))
@@ -383,6 +415,62 @@ def _join_groups(num: int, den: int):
     return fn
 
 
+def _wanted(n: int, group: int, groups: list[np.ndarray], part: np.ndarray, across: bool):
+    """For set x of a group which others are to be looked at here: those that share no smaller
+    group with x and, in a task of two parts, are in the other one."""
+    own = [g[g < group] for g in groups]
+    owner = np.repeat(np.arange(n), [len(g) for g in own])
+    names, token = np.unique(np.concatenate(own), return_inverse=True)
+    by = np.argsort(token, kind="stable")
+    lists = np.split(owner[by], np.cumsum(np.bincount(token, minlength=len(names)))[:-1]) if len(names) else []
+    tokens = np.split(token, np.cumsum([len(g) for g in own])[:-1])
+
+    def wanted(x: int) -> np.ndarray:
+        mask = part != part[x] if across else np.ones(n, bool)
+        mask[x] = False
+        for t in tokens[x].tolist():
+            mask[lists[t]] = False
+        return mask
+    return wanted
+
+
+def _link_groups(num: int, den: int, pairs: bool):
+    """Rows a, b, n: with ``pairs`` each link once with its overlap; else links that connect all that
+    is linked (n is null) and for each set a the documents that it links with here (b is null)."""
+    def fn(table: pa.Table) -> pa.Table:
+        group, node, part, i, j, weight = (table.column(c).to_numpy() for c in ("group", "node", "p", "i", "j", "weight"))
+        raw = table.column("shingles").to_pylist()
+        groups = [np.array(g, np.int64) for g in table.column("groups").to_pylist()]
+        order = np.lexsort((node, group))
+        points = np.flatnonzero(np.concatenate([[True], group[order][1:] != group[order][:-1]]))
+        out = [np.zeros((0, 3), np.int64)], [np.zeros((0, 2), np.int64)], [np.zeros((0, 2), np.int64)]
+        for p, e in zip(points, np.append(points[1:], len(order))):
+            own = order[p:e]
+            if len(own) < 2:
+                continue
+            nodes, w, label = node[own], weight[own], np.arange(len(own))
+            found = SetGroup([np.frombuffer(raw[k], np.uint64) for k in own], num, den)
+            wanted = _wanted(len(own), int(group[own[0]]), [groups[k] for k in own], part[own], bool((i != j)[own[0]]))
+            n_links = np.zeros(len(own), np.int64)
+            for x, y, overlap in found.links(wanted):
+                if pairs:
+                    up = y > x
+                    out[0].append(np.stack([np.full(int(up.sum()), nodes[x]), nodes[y[up]], overlap[up]], axis=1))
+                elif len(y):
+                    n_links[x] = w[y].sum()
+                    near = np.append(label[y], label[x])
+                    if (near != near[0]).any():
+                        label[np.isin(label, near)] = near.min()
+            moved, some = np.flatnonzero(label != np.arange(len(own))), np.flatnonzero(n_links)
+            out[1].append(np.stack([nodes[moved], nodes[label[moved]]], axis=1))
+            out[2].append(np.stack([nodes[some], n_links[some]], axis=1))
+        pair, edge, count = (np.concatenate(x) for x in out)
+        none = lambda n: pa.nulls(n, pa.int64())
+        kinds = [(pair[:, 0], pair[:, 1], pair[:, 2]), (edge[:, 0], edge[:, 1], none(len(edge))), (count[:, 0], none(len(count)), count[:, 1])]
+        return pa.concat_tables([pa.table({"a": pa.array(a), "b": pa.array(b), "n": pa.array(n)}) for a, b, n in kinds])
+    return fn
+
+
 def _tasks(asked: DataFrame, n_shares: int, group_sets: int) -> DataFrame:
     """Where the set of each (node, group) goes: small groups by share; larger ones cut into parts,
     with a task for every two parts.  Groups of one set have nothing to join."""
@@ -392,13 +480,11 @@ def _tasks(asked: DataFrame, n_shares: int, group_sets: int) -> DataFrame:
     other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
     return parted.withColumn("q", other).select(
         F.when(F.col("parts") == 1, F.pmod(F.xxhash64("group"), F.lit(n_shares))).otherwise(-1 - F.col("group")).alias("task"),
-        F.least("p", "q").alias("i"), F.greatest("p", "q").alias("j"), "group", "node")
+        F.least("p", "q").alias("i"), F.greatest("p", "q").alias("j"), "group", "node", "p")
 
 
-def linked_documents(table: DataFrame, words: int = 5, num: int = 80, den: int = 100,
-                     group_sets: int = GROUP_SETS) -> DataFrame:
-    """For a table of blocks, a row for each document: node (its place: block and index), doc_id,
-    n_shingles and ``component``, the first node of its component."""
+def _opened(table: DataFrame, words: int, num: int, den: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Rows of documents and of sets; of each copy the first equal set; the groups of each set."""
     n = B.n_shares(table, SHARE_BYTES)
     count = Counting(n, table.agg(F.sum("n_bytes")).first()[0] or 0, num, den)
     cols = table.select(*B.OPEN_COLUMNS)
@@ -410,8 +496,16 @@ def linked_documents(table: DataFrame, words: int = 5, num: int = 80, den: int =
                       .groupBy("a", "b").agg(F.max("equal").alias("equal")))
     copies = met.where("equal and a != b").groupBy("a").agg(F.min("b").alias("b"))  # of a copy: the first equal set
     own = met.join(copies.select("a"), "a", "left_anti").select(F.col("a").alias("node"), F.col("b").alias("group"))
+    return opened, copies, own
+
+
+def linked_documents(table: DataFrame, words: int = 5, num: int = 80, den: int = 100,
+                     group_sets: int = GROUP_SETS) -> DataFrame:
+    """For a table of blocks, a row for each document: node (its place: block and index), doc_id,
+    n_shingles and ``component``, the first node of its component."""
+    opened, copies, own = _opened(table, words, num, den)
     n_tasks = B.n_shares(table, TASK_BYTES)
-    places = cut_lineage(_tasks(own, n_tasks, group_sets))
+    places = cut_lineage(_tasks(own, n_tasks, group_sets).drop("p"))
     small = F.broadcast(places) if measured_bytes(places) <= BROADCAST_BYTES else places
     # Joins are long for the few bytes that they read, so their tasks are dealt out by number.
     tasks = opened.where("shingles is not null").select("node", "shingles").join(small, "node") \
@@ -431,6 +525,56 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     return rows.join(least, "component").select("doc_id", "n_shingles", "component_id")
 
 
+def _all_links(table: DataFrame, words: int, num: int, den: int, group_sets: int, pairs: bool):
+    """Rows of documents, the set of each first copy, the documents of each set, the copies, and what
+    ``_link_groups`` gives."""
+    opened, copies, own = _opened(table, words, num, den)
+    docs = opened.where("n_shingles is not null").select("node", "doc_id", "n_shingles", "first")
+    firsts = docs.where("n_shingles > 0").groupBy("first").agg(F.count(F.lit(1)).alias("m"), F.min("doc_id").alias("least")) \
+        .join(copies.select(F.col("a").alias("first"), "b"), "first", "left") \
+        .select("first", "m", "least", F.coalesce("b", "first").alias("set"))
+    weights = cut_lineage(firsts.groupBy("set").agg(F.sum("m").alias("weight"), F.min("least").alias("least")))
+    sets = cut_lineage(firsts.select("first", "set").join(weights.select("set", "weight"), "set"))
+    n_tasks = B.n_shares(table, TASK_BYTES)
+    own = cut_lineage(own)
+    places = cut_lineage(_tasks(own, n_tasks, group_sets))
+    about = own.groupBy("node").agg(F.collect_set("group").alias("groups")) \
+        .join(weights.select(F.col("set").alias("node"), "weight"), "node")
+    tasks = opened.where("shingles is not null").select("node", "shingles").join(about, "node").join(places, "node") \
+        .repartition(n_tasks, "task", "i", "j")
+    found = cut_lineage(tasks.groupBy("task", "i", "j").applyInArrow(_link_groups(num, den, pairs), "a long, b long, n long"))
+    return docs, sets, weights, copies, found
+
+
+def ngram_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, num: int = 80,
+                den: int = 100, group_sets: int = GROUP_SETS) -> DataFrame:
+    """The rows of ``ngram_components`` and n_links, the other documents (each copy is one) whose
+    similarity with this one reaches the threshold."""
+    rows, sets, _, copies, found = _all_links(B.write_blocks(docs, id_col, text_col), words, num, den, group_sets, False)
+    joined = components(found.where("b is not null").select("a", "b").unionByName(copies))
+    counts = found.where("b is null").groupBy(F.col("a").alias("set")).agg(F.sum("n").alias("n"))
+    firsts = sets.join(counts, "set", "left").join(joined.withColumnRenamed("node", "first"), "first", "left").select(
+        "first", F.coalesce("root", "first").alias("root"), (F.col("weight") - 1 + F.coalesce("n", F.lit(0))).alias("n_links"))
+    rows = cut_lineage(rows.join(firsts, "first", "left").select(
+        "doc_id", "n_shingles", F.coalesce("root", "first", "node").alias("component"), F.coalesce("n_links", F.lit(0)).alias("n_links")))
+    least = rows.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    return rows.join(least, "component").select("doc_id", "n_shingles", "component_id", "n_links")
+
+
+def ngram_pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, num: int = 80,
+                den: int = 100, group_sets: int = GROUP_SETS) -> DataFrame:
+    """One row for each two different sets that are linked: the smallest doc_id of each (null if it
+    has none), how many documents have it, the shingles in common and the similarity."""
+    rows, _, weights, _, found = _all_links(B.write_blocks(docs, id_col, text_col), words, num, den, group_sets, True)
+    sizes = rows.select(F.col("node").alias("set"), "n_shingles")
+    own = cut_lineage(weights.join(sizes, "set"))
+    side = lambda s: own.select(F.col("set").alias(s), F.col("least").alias(f"doc_{s}"), F.col("weight").alias(f"n_{s}"),
+                                F.col("n_shingles").alias(f"size_{s}"))
+    return found.withColumnRenamed("n", "common").join(side("a"), "a").join(side("b"), "b").select(
+        "doc_a", "doc_b", "n_a", "n_b", "common",
+        (F.col("common") / (F.col("size_a") + F.col("size_b") - F.col("common"))).alias("similarity"))
+
+
 def _kept(columns: list[str], text_col: str):
     def fn(batches):
         for batch in batches:

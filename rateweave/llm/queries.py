@@ -53,6 +53,11 @@ def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.ngram_components(table(spark, sf_dir, "documents"), words=3, num=90, den=100)
 
 
+def op4_ngram_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of op4_ngram_join, and how many other documents each one links with."""
+    return ngram_join.ngram_links(table(spark, sf_dir, "documents"), words=3, num=90, den=100)
+
+
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality scores of all documents."""
     docs = table(spark, sf_dir, "documents")
@@ -94,6 +99,6 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_suffix_dedup, op2_best_fit_packing, op3_chat_trees, op4_ngram_join, op5_quality, op6_hash_tree,
+        op1_suffix_dedup, op2_best_fit_packing, op3_chat_trees, op4_ngram_join, op4_ngram_links, op5_quality, op6_hash_tree,
         op7_decontaminate, op7_decontaminate_matches, op8_pii, op9_spot_signatures, op10_token_files)
 }

@@ -123,3 +123,51 @@ def test_empty_table(spark):
     assert run(spark, [(1, "a b c"), (2, None)], 3, 90, 100, parts=1) == [(1, 1, 1), (2, 0, 2)]
     few = [(1, "a b"), (2, "A  b"), (3, "c")]
     assert run(spark, few, 5, 80, 100, parts=3) == brute(few, 5, 80, 100) == [(1, 1, 1), (2, 1, 1), (3, 1, 3)]
+
+
+def brute_links(rows, n, num, den):
+    """n_links of each row, and each two different linked sets with common shingles and numbers of rows."""
+    sets = [frozenset(s) for s in sets_of(rows, n)]
+    linked = lambda a, b: bool(a and b) and den * len(a & b) >= num * len(a | b)
+    counts = [sum(linked(a, b) for j, b in enumerate(sets) if j != i) for i, a in enumerate(sets)]
+    different = list(dict.fromkeys(sets))
+    ids = {s: [d for (d, _), x in zip(rows, sets) if x == s] for s in different}
+    about = lambda s: (min((d for d in ids[s] if d is not None), default=None), len(ids[s]))
+    pairs = [(sorted([about(a), about(b)], key=str), len(a & b)) for i, a in enumerate(different)
+             for b in different[:i] if linked(a, b)]
+    return counts, sorted(pairs, key=str)
+
+
+def dense(seed):
+    """Groups of near copies, most linked with most others, and some exact copies."""
+    r = random.Random(seed)
+    rows = [(0, None), (None, "")]
+    for g in range(3):
+        base = [f"w{g}x{k}" for k in range(r.choice([60, 120]))]
+        for _ in range(40):
+            own = list(base)
+            for _ in range(r.randint(0, 3)):
+                own[r.randrange(len(own))] = f"n{r.randrange(5)}"
+            rows.append((len(rows) if r.random() < 0.95 else None, " ".join(own)))
+    return rows + [(len(rows) + k, r.choice(rows)[1]) for k in range(20)]
+
+
+@pytest.mark.parametrize("make,n,num,den,group_sets", [
+    (corpus, 3, 90, 100, 1000), (dense, 3, 90, 100, 1000), (dense, 3, 90, 100, 7), (dense, 5, 80, 100, 7), (corpus, 1, 40, 100, 9),
+    (corpus, 1, 50, 100, 1000)])
+def test_all_links_against_brute_force(spark, make, n, num, den, group_sets):
+    rows = make(4)
+    df = spark.createDataFrame(rows, SCHEMA).withColumn("group", F.lit("clash")).repartition(4)
+    counts, pairs = brute_links(rows, n, num, den)
+    got = J.ngram_links(df, words=n, num=num, den=den, group_sets=group_sets).collect()
+    want = sorted(((d, len(s), c) for (d, _), s, c in zip(rows, sets_of(rows, n), counts)), key=str)
+    assert sorted(((r.doc_id, r.n_shingles, r.n_links) for r in got), key=str) == want
+    assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=str) == brute(rows, n, num, den)
+    found = J.ngram_pairs(df, words=n, num=num, den=den, group_sets=group_sets).collect()
+    assert sorted([(sorted([(r.doc_a, r.n_a), (r.doc_b, r.n_b)], key=str), r.common) for r in found], key=str) == pairs
+    assert all(r.similarity * den >= num - 1e-9 for r in found) and pairs
+
+
+def test_links_of_an_empty_table(spark):
+    none = spark.createDataFrame([], SCHEMA)
+    assert J.ngram_links(none).count() == 0 and J.ngram_pairs(none).count() == 0
