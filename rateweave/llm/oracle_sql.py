@@ -127,10 +127,48 @@ SELECT d.doc_id, {", ".join(f"coalesce(n_{k}, 0) AS n_{k}" for k in pii.BASE)},
 FROM documents d LEFT JOIN t ON t.doc_id = d.doc_id
 """
 
+
+def _codebook_round(before: str, after: str) -> str:
+    """Parts to the nearest entries of codebook ``before`` (a table with ``_a``), and the codebook after it."""
+    return f"""
+{before}_a AS MATERIALIZED (
+  SELECT rid, j, arg_min(e, d * 64 + e) AS e, min(d) AS d
+  FROM (SELECT p.rid, p.j, c.e, CAST(list_sum(list_transform(list_zip(p.x, c.x), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS BIGINT) AS d
+        FROM p JOIN {before} c USING (j))
+  GROUP BY rid, j),
+{after} AS MATERIALIZED (
+  SELECT c.j, c.e, coalesce(m.x, c.x) AS x
+  FROM {before} c LEFT JOIN (
+    SELECT j, e, list((s - ((s % n) + n) % n) // n ORDER BY k) AS x
+    FROM (SELECT a.j, a.e, t.k, CAST(sum(p.x[t.k]) AS BIGINT) AS s, count(*) AS n
+          FROM {before}_a a JOIN p USING (rid, j) CROSS JOIN (SELECT unnest(range(1, w + 1)) AS k FROM width) t
+          GROUP BY a.j, a.e, t.k)
+    GROUP BY j, e) m USING (j, e))"""
+
+
+OP13 = f"""
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER () AS rid, vec_id, label, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+width AS (SELECT max(len(v)) // 16 AS w FROM kept),
+p AS MATERIALIZED (
+  SELECT rid, j, v[j * w + 1 : j * w + w] AS x FROM kept, width, (SELECT unnest(range(16)) AS j)),
+c0 AS MATERIALIZED (
+  SELECT j, e, x FROM p JOIN (SELECT rid, row_number() OVER (ORDER BY vec_id NULLS LAST, v) - 1 AS e FROM kept) USING (rid)
+  WHERE e < 64),{_codebook_round("c0", "c1")},{_codebook_round("c1", "c2")},{_codebook_round("c2", "c3")},
+books AS (SELECT sha256(string_agg(array_to_string(x, ','), ',' ORDER BY j, e)) AS codebooks_sha256 FROM c2),
+coded AS (SELECT rid, string_agg(lower(format('{{:02x}}', e)), '' ORDER BY j) AS code, CAST(sum(d) AS BIGINT) AS error
+          FROM c2_a GROUP BY rid)
+SELECT k.vec_id, c.code, c.error, CAST(sum(c.error) OVER (PARTITION BY k.label) AS BIGINT) AS label_error, b.codebooks_sha256
+FROM kept k JOIN coded c USING (rid) CROSS JOIN books b
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op1_suffix_dedup": OP1,
     "op3_chat_trees": OP3,
     "op4_ngram_join": OP4,
     "op7_decontaminate": OP7,
     "op8_pii": OP8,
+    "op13_cover_codes": OP13,
 }

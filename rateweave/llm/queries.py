@@ -7,17 +7,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rateweave.llm import (chat_trees, decontaminate, hash_tree, ngram_join, packing, pii, quality, spot_signatures,
-                           suffix_dedup, token_files)
+from rateweave.llm import (chat_trees, conversation_repair, cover_codes, decontaminate, hash_tree, ngram_join, packing, pii,
+                           quality, spot_signatures, suffix_dedup, token_files, window_packing)
 from rateweave.llm.oracle_sql import ORACLE_SQL  # noqa: F401
 from rateweave.session import ensure_checkpoint_dir
 
 
-def tokenizer_file() -> str:
+def tokenizer_file(name: str = "byte_bpe_50k.json") -> str:
     """The vocabulary that the queries take; the operators get a path."""
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_50k.json")
+    return public_tokenizers.path(name)
 
 
 def scratch(spark: SparkSession, name: str) -> str:
@@ -97,8 +97,24 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_tokens(spark, path, with_ids=False)
 
 
+def op11_window_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in near-equal windows of at most 4096 tokens."""
+    return window_packing.pack_windows(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"), with_ids=False)
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, damaged and repaired."""
+    return conversation_repair.digest(table(spark, sf_dir, "conversations"))
+
+
+def op13_cover_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Product codes of all embeddings."""
+    return cover_codes.digest(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_suffix_dedup, op2_best_fit_packing, op3_chat_trees, op4_ngram_join, op4_ngram_links, op5_quality, op6_hash_tree,
-        op7_decontaminate, op7_decontaminate_matches, op8_pii, op9_spot_signatures, op10_token_files)
+        op7_decontaminate, op7_decontaminate_matches, op8_pii, op9_spot_signatures, op10_token_files,
+        op11_window_packing, op12_conversation_repair, op13_cover_codes)
 }
