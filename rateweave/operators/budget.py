@@ -18,7 +18,8 @@ steps themselves, whatever the unit of revenue), and only the range that holds t
 looked at again, until it is small enough to be ordered in one task.  Costs are summed as
 decimals, so the cut doesn't depend on how rows are dealt out.
 
-Options without a revenue or a cost, and those that a rule forbids, are never taken.  N
+Of a listing's options of one (rounded) cost the best one is kept; rows of one listing id are one
+listing.  Options without a revenue or a cost, and those that a rule forbids, are never taken.  N
 counts every listing of the curve; listings left without an option are counted in the
 summary and have no row in the selection.
 """
@@ -31,6 +32,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rateweave.functions.exprs import round_half_even_fp
+from rateweave.operators.select import choice_order
 from rateweave.session import cut_lineage
 
 DEFAULT_MAX_AVG_PCT = 10.0
@@ -70,16 +72,21 @@ def _hull(options: Column) -> Column:
 
 
 def pack_options(curve: DataFrame, key: str, revenue: str, option: str, cost: str, feasible: str | None) -> DataFrame:
-    """One row for each listing: key and its options (c, v, o, payload), cheapest first."""
+    """One row for each listing: key and its options (c, v, o, payload), cheapest first, one for each
+    cost: the one that ``select.choice_order`` would take.  Options are cut to that by partial
+    aggregation before a listing's options are gathered, so an id with very many rows is no hot key."""
     payload = F.struct(*[F.col(c) for c in curve.columns if c not in (key, feasible)])
     ok = F.col(revenue).isNotNull() & F.col(cost).isNotNull()
     if feasible:
         ok = ok & F.coalesce(F.col(feasible), F.lit(False))
-    one = F.when(ok, F.struct(round_half_even_fp(cost, 6).alias("c"), (-F.col(revenue)).alias("n"),
-                              F.col(option).cast("long").alias("o"), payload.alias("p")))
-    packed = curve.groupBy(key).agg(F.sort_array(F.collect_list(one)).alias("_o"))
+    more = [F.col(c) if c in curve.columns else None for c in ("candidate_price", "current_price")]
+    order = F.when(ok, choice_order(F.col(revenue), F.col(option).cast("long"), *more))
+    by_cost = curve.groupBy(key, F.when(ok, round_half_even_fp(cost, 6)).alias("_cost")).agg(
+        F.max(order).alias("_r"), F.max_by(payload, order).alias("_p"))
+    one = F.when(F.col("_cost").isNotNull(), F.struct(F.col("_cost").alias("c"), F.col("_r").alias("r"), F.col("_p").alias("p")))
+    packed = by_cost.groupBy(key).agg(F.sort_array(F.collect_list(one)).alias("_o"))
     return packed.select(key, F.transform("_o", lambda x: F.struct(
-        x["c"].alias("c"), (-x["n"]).alias("v"), x["o"].alias("o"), x["p"].alias("p"))).alias("_o"))
+        x["c"].alias("c"), x["r"]["v"].alias("v"), (-x["r"]["n"]).alias("o"), x["r"].alias("r"), x["p"].alias("p"))).alias("_o"))
 
 
 def _sum(df: DataFrame, c: Column) -> Decimal:
@@ -129,7 +136,7 @@ def select_with_budget(curve: DataFrame, max_avg_pct: float = DEFAULT_MAX_AVG_PC
     tie = F.md5(F.col(key).cast("string"))
     packed = cut_lineage(packed.select(key, "_o", F.when(F.size("_o") > 0, _hull(F.col("_o"))).alias("_h"),
                                        tie.alias("tie")))
-    free = F.array_max(F.transform("_o", lambda x: F.struct(x["v"].alias("v"), (-x["o"]).alias("n"), x["c"].alias("c"))))
+    free = F.array_max(F.transform("_o", lambda x: F.struct(x["r"].alias("r"), x["c"].alias("c"))))
     money = lambda c: c.cast("decimal(18,6)")
     t = packed.select(F.element_at("_h", 1)["c"].alias("base"), free.alias("f")).agg(
         F.count(F.lit(1)).alias("n"), F.count("base").alias("some"), F.sum(money(F.col("base"))).alias("base"),
@@ -141,10 +148,10 @@ def select_with_budget(curve: DataFrame, max_avg_pct: float = DEFAULT_MAX_AVG_PC
     left = None
     if (t["base"] or Decimal(0)) > limit:
         summary.update(status="infeasible", min_cost=float(t["base"]))
-        chosen = F.lit(None).cast("long")
+        chosen = F.lit(None).cast("double")
     elif (t["free"] or Decimal(0)) <= limit:
         summary.update(status="optimal", multiplier=0.0)
-        chosen = -free["n"]
+        chosen = free["c"]
     else:
         prior = F.transform(F.sequence(F.lit(1), F.size("_h") - 1), lambda k: F.struct(
             k.alias("k"), F.element_at("_h", k + 1)["eff"].alias("eff"),
@@ -155,16 +162,16 @@ def select_with_budget(curve: DataFrame, max_avg_pct: float = DEFAULT_MAX_AVG_PC
         steps = cut_lineage(steps)
         left = _first_left(steps, limit - t["base"], gather)
         if left is None:                                     # every worthwhile step fits
-            chosen = F.element_at("_h", -1)["o"]
+            chosen = F.element_at("_h", -1)["c"]
             summary.update(status="optimal", multiplier=0.0)
         else:
             e, own, k0 = F.lit(left["eff"]), F.lit(left["tie"]), F.lit(left["k"])
-            taken = F.filter(F.transform("_h", lambda h, k: F.struct(h["o"].alias("o"), h["eff"].alias("eff"), k.alias("k"))),
+            taken = F.filter(F.transform("_h", lambda h, k: F.struct(h["c"].alias("c"), h["eff"].alias("eff"), k.alias("k"))),
                              lambda h: (h["k"] == 0) | (h["eff"] > e) | ((h["eff"] == e) & (
                                  (F.col("tie") < own) | ((F.col("tie") == own) & (h["k"] < k0)))))
-            chosen = F.element_at(taken, -1)["o"]
+            chosen = F.element_at(taken, -1)["c"]
             summary.update(status="feasible", multiplier=float(left["eff"]))
-    picked = F.element_at(F.filter("_o", lambda x: x["o"] == F.col("_c")), 1)["p"]
+    picked = F.element_at(F.filter("_o", lambda x: x["c"] == F.col("_c")), 1)["p"]
     sel = packed.withColumn("_c", chosen).where("_c is not null").withColumn("_p", picked).select(
         key, *[F.col("_p")[c].alias(c) for c in names])
     if summary["status"] == "infeasible":

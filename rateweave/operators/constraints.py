@@ -6,6 +6,10 @@ Each rule has two forms:
     listings in the same aggregation pass;
   * the plain name filters the curve (the option is removed before selection).
 
+A rule itself is a predicate on the current price, a candidate and limits (``changes_too_much``,
+``outside``, ``above``), TRUE where the candidate breaks it; ``plans.options`` calls the same
+predicates on packed rows.
+
 Group statistics (band limits, room-type averages) are partial aggregates
 attached on the group key with ``joins.attach_stats``: counted first and
 broadcast when small, so the exploded curve is never shuffled for them.  Rows whose group key is
@@ -16,7 +20,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rateweave.functions.exprs import lit_double
@@ -30,6 +34,29 @@ COMPETITOR_FACTOR = 1.2
 ROOM_RANKS = {"Entire home/apt": 3, "Private room": 2, "Shared room": 1}
 
 
+def changes_too_much(current: Column, candidate: Column, max_pct: float) -> Column:
+    """F-11: by more than ``max_pct`` percent; a current price of 0 is exempt."""
+    pct = F.abs(candidate - current) / current * F.lit(100.0)
+    return F.when(current == 0, F.lit(False)).otherwise(F.coalesce(pct > lit_double(max_pct), F.lit(False)))
+
+
+def outside(candidate: Column, lo: Column | None, hi: Column | None) -> Column:
+    """F-12, F-13, F-16: below ``lo`` or above ``hi``; a NULL or absent limit allows all."""
+    parts = [F.coalesce(c, F.lit(False)) for c in (None if lo is None else candidate < lo, None if hi is None else candidate > hi)
+             if c is not None]
+    return (parts[0] if len(parts) == 1 else parts[0] | parts[1]) if parts else F.lit(False)
+
+
+def above(candidate: Column, limit: Column) -> Column:
+    """F-14, F-15: above a limit; a NULL limit allows all."""
+    return F.coalesce(candidate > limit, F.lit(False))
+
+
+def bound(x: float | str | None) -> Column | None:
+    """A limit of F-16: a number, or the name of a column that holds one for each row."""
+    return None if x is None else F.col(x) if isinstance(x, str) else lit_double(x)
+
+
 def _filter(curve: DataFrame, marked: DataFrame, flag: str) -> DataFrame:
     return marked.filter(F.col(flag)).drop(flag)
 
@@ -38,10 +65,7 @@ def _filter(curve: DataFrame, marked: DataFrame, flag: str) -> DataFrame:
 
 def limit_change_ok(curve: DataFrame, max_pct: float = MAX_CHANGE_PCT, out: str = "ok_change",
                     current: str = "current_price", candidate: str = "candidate_price") -> DataFrame:
-    cur, cand = F.col(current), F.col(candidate)
-    pct = F.abs(cand - cur) / cur * F.lit(100.0)
-    violates = F.when(cur == 0, F.lit(False)).otherwise(F.coalesce(pct > lit_double(max_pct), F.lit(False)))
-    return curve.withColumn(out, ~violates)
+    return curve.withColumn(out, ~changes_too_much(F.col(current), F.col(candidate), max_pct))
 
 
 def limit_change(curve: DataFrame, max_pct: float = MAX_CHANGE_PCT, **kw) -> DataFrame:
@@ -64,10 +88,8 @@ def band_ok(curve: DataFrame, group_col: str, lo_factor: float, hi_factor: float
            .agg((F.min(current) * lit_double(lo_factor)).alias("_band_lo"),
                 (F.max(current) * lit_double(hi_factor)).alias("_band_hi"))
            .filter(F.col(group_col).isNotNull()))
-    cand = F.col(candidate)
-    violates = F.coalesce((cand < F.col("_band_lo")) | (cand > F.col("_band_hi")), F.lit(False))
     return (attach_stats(curve, lim, group_col)
-            .withColumn(out, ~violates)
+            .withColumn(out, ~outside(F.col(candidate), F.col("_band_lo"), F.col("_band_hi")))
             .drop("_band_lo", "_band_hi"))
 
 
@@ -128,7 +150,7 @@ def room_hierarchy_ok(curve: DataFrame, ranks: Mapping[str, int] | None = None,
         return curve.withColumn(out, F.lit(True))
     src = stats_from if stats_from is not None else curve
     limited = with_hierarchy_limit(curve, src, "_above", ranks, group_col, current)
-    return limited.withColumn(out, ~F.coalesce(F.col(candidate) > F.col("_above"), F.lit(False))).drop("_above")
+    return limited.withColumn(out, ~above(F.col(candidate), F.col("_above"))).drop("_above")
 
 
 def room_hierarchy(curve: DataFrame, ranks: Mapping[str, int] | None = None, **kw) -> DataFrame:
@@ -142,8 +164,7 @@ def competitor_cap_ok(curve: DataFrame, factor: float = COMPETITOR_FACTOR, out:
                       competitor: str = "competitor_avg_price", candidate: str = "candidate_price") -> DataFrame:
     if competitor not in curve.columns:
         return curve.withColumn(out, F.lit(True))
-    violates = F.coalesce(F.col(candidate) > F.col(competitor) * lit_double(factor), F.lit(False))
-    return curve.withColumn(out, ~violates)
+    return curve.withColumn(out, ~above(F.col(candidate), F.col(competitor) * lit_double(factor)))
 
 
 def competitor_cap(curve: DataFrame, factor: float = COMPETITOR_FACTOR, **kw) -> DataFrame:
@@ -153,13 +174,7 @@ def competitor_cap(curve: DataFrame, factor: float = COMPETITOR_FACTOR, **kw) ->
 
 def price_bounds_ok(curve: DataFrame, lo: float | str | None = None, hi: float | str | None = None,
                     out: str = "ok_bounds", candidate: str = "candidate_price") -> DataFrame:
-    cand = F.col(candidate)
-    ok = F.lit(True)
-    if lo is not None:
-        ok = ok & F.coalesce(cand >= (F.col(lo) if isinstance(lo, str) else lit_double(lo)), F.lit(True))
-    if hi is not None:
-        ok = ok & F.coalesce(cand <= (F.col(hi) if isinstance(hi, str) else lit_double(hi)), F.lit(True))
-    return curve.withColumn(out, ok)
+    return curve.withColumn(out, ~outside(F.col(candidate), bound(lo), bound(hi)))
 
 
 def price_bounds(curve: DataFrame, lo: float | str | None = None, hi: float | str | None = None, **kw) -> DataFrame:

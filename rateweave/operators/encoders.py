@@ -8,7 +8,6 @@ category (AQE broadcasts it when small) or a per-row expression.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -157,19 +156,6 @@ def apply_std_scaler(df: DataFrame, stats: DataFrame, cols: Sequence[str]) -> Da
 
 # ---------------------------------------------------------------- D-18
 
-def feature_sql(columns: Sequence[str] | None = None) -> str:
-    """D-12 as a pipeline statement, for the inputs that are there (default: all)."""
-    has = lambda *cs: columns is None or set(cs) <= set(columns)
-    parts = ["*"]
-    if has("price"):
-        parts.append("CASE WHEN price IS NULL THEN NULL ELSE log1p(greatest(price, 0D)) END AS price_log")
-    if has("price", "minimum_nights"):
-        parts.append("try_divide(price, minimum_nights + 1D) AS price_per_minimum_night")
-    if has("room_type", "neighbourhood_group"):
-        parts.append("concat(coalesce(room_type, 'nan'), '_', coalesce(neighbourhood_group, 'nan')) AS room_type_neighbourhood")
-    return f"SELECT {', '.join(parts)} FROM __THIS__"
-
-
 def feature_columns(df: DataFrame, label: str = "demand_score", exclude: Sequence[str] = ()) -> tuple[list[str], list[str]]:
     """Numeric and categorical inputs by type (text and booleans are categories), without the
     label and ``exclude`` (ids and raw text that is no category)."""
@@ -180,41 +166,23 @@ def feature_columns(df: DataFrame, label: str = "demand_score", exclude: Sequenc
     return numeric, [f.name for f in df.schema.fields if f.dataType.typeName() in kinds and f.name not in exclude]
 
 
-def build_preprocessor(numeric: Sequence[str], categorical: Sequence[str], n_train: int, label: str = "demand_score",
-                       median_error: float = 0.001, features_out: str = "features",
-                       columns: Sequence[str] | None = None):
-    """Spark ML pipeline: price features -> (numeric: finite, median impute,
-    scale) + (categorical: string, 'missing', one-hot in sorted order, unseen
-    -> zeros) -> one vector.  Fits with distributed aggregates only.
-
-    Spark's scaler divides by the deviation with n - 1; the factor sqrt(n / (n - 1)) makes
-    it the population's (``n_train`` rows, as every value is imputed before)."""
+def build_preprocessor(numeric: Sequence[str], categorical: Sequence[str], label: str = "demand_score",
+                       features_out: str = "features"):
+    """Spark ML pipeline: listing features -> (numeric: finite, exact median, population scale) +
+    (categorical: text, 'missing', one-hot in sorted order, unseen -> zeros) -> one vector, the
+    numeric columns first.  Fits with distributed aggregates only."""
     from pyspark.ml import Pipeline
-    from pyspark.ml.feature import (ElementwiseProduct, Imputer, OneHotEncoder, SQLTransformer, StandardScaler,
-                                    StringIndexer, VectorAssembler)
-    from pyspark.ml.linalg import Vectors
+    from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+
+    from rateweave.operators.stages import CategoryTexts, ListingFeatures, MedianScaler
 
     num = [c for c in numeric if c != label]
-    prep = ", ".join(
-        [f"CASE WHEN isnan({c}) OR abs({c}) = double('inf') THEN NULL ELSE CAST({c} AS DOUBLE) END AS {c}__n"
-         for c in num]
-        + [f"coalesce(CAST({c} AS STRING), 'missing') AS {c}__c" for c in categorical])
-    stages = [
-        SQLTransformer(statement=feature_sql(columns)),
-        SQLTransformer(statement=f"SELECT *, {prep} FROM __THIS__"),
-        Imputer(strategy="median", relativeError=median_error, inputCols=[f"{c}__n" for c in num],
-                outputCols=[f"{c}__i" for c in num]),
-        VectorAssembler(inputCols=[f"{c}__i" for c in num], outputCol="_num", handleInvalid="keep"),
-        StandardScaler(inputCol="_num", outputCol="_num_z", withMean=True, withStd=True),
-        ElementwiseProduct(inputCol="_num_z", outputCol="_num_s", scalingVec=Vectors.dense(
-            [math.sqrt(n_train / max(n_train - 1, 1))] * len(num))),
-    ]
-    cat_vecs = []
+    stages = [ListingFeatures(), CategoryTexts(inputCols=list(categorical)), MedianScaler(inputCols=num)]
     for c in categorical:
         stages.append(StringIndexer(inputCol=f"{c}__c", outputCol=f"{c}__idx", stringOrderType="alphabetAsc",
                                     handleInvalid="keep"))
         stages.append(OneHotEncoder(inputCol=f"{c}__idx", outputCol=f"{c}__oh", dropLast=True,
                                     handleInvalid="keep"))
-        cat_vecs.append(f"{c}__oh")
-    stages.append(VectorAssembler(inputCols=["_num_s", *cat_vecs], outputCol=features_out))
+    stages.append(VectorAssembler(inputCols=[*[f"{c}__z" for c in num], *[f"{c}__oh" for c in categorical]],
+                                  outputCol=features_out))
     return Pipeline(stages=stages)

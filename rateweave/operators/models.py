@@ -1,15 +1,19 @@
 """Model training, scoring and evaluation with Spark ML (distributed fits).
 
-Regressors: OLS, ridge, random forest, gradient-boosted trees; tuning with
-``CrossValidator`` on a bounded, seeded subset; metrics in one aggregation.
+Regressors: OLS, ridge, random forest, gradient-boosted trees; tuning by a grid search with
+folds on a bounded, seeded subset, whose out-of-fold predictions are kept as a table; metrics
+in one aggregation.
 """
 
 from __future__ import annotations
 
+import functools
+import itertools
 import time
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rateweave.functions.exprs import round_half_even_fp
@@ -70,8 +74,8 @@ def fit_model(train: DataFrame, kind: str, numeric: Sequence[str], categorical:
     """E-1..E-4: preprocessor + regressor as one PipelineModel (saveable, A-7)."""
     from pyspark.ml import Pipeline
 
-    st = train.agg(F.count(F.lit(1)).alias("rows"), F.count(label).alias("n"), F.stddev_samp(label).alias("s")).first()
-    prep = build_preprocessor(numeric, categorical, st["rows"], label=label, columns=train.columns)
+    st = train.agg(F.count(label).alias("n"), F.stddev_samp(label).alias("s")).first()
+    prep = build_preprocessor(numeric, categorical, label=label)
     est = _estimator(kind, label, "features", params, st["n"], st["s"])
     return Pipeline(stages=[*prep.getStages(), est]).fit(train)
 
@@ -120,31 +124,82 @@ def tuning_subset(df: DataFrame, n: int = TUNING_ROWS, key: str = "listing_id",
     return few.orderBy(bucket, key).limit(n).repartition(max(2, df.sparkSession.sparkContext.defaultParallelism))
 
 
-def tune(train: DataFrame, kind: str, numeric: Sequence[str], categorical: Sequence[str],
-         grid: Mapping[str, Sequence] | None = None, label: str = "demand_score", folds: int = CV_FOLDS,
-         subset_rows: int = TUNING_ROWS, parallelism: int = 4):
-    """E-5: grid search with k-fold CV (R²) on a tuning subset, refit on all train."""
-    from pyspark.ml import Pipeline
-    from pyspark.ml.evaluation import RegressionEvaluator
-    from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+def fold_of(key: str, folds: int, seed: int = SPLIT_SEED) -> Column:
+    """A row's fold, by a hash of its key: the same on every run and however rows are dealt."""
+    return (F.conv(split_bucket(key, seed + 2), 16, 10).cast("long") % folds).cast("int")
+
+
+def grid_points(grid: Mapping[str, Sequence]) -> list[dict]:
+    """All combinations of a grid, the last name changing fastest."""
+    return [dict(zip(grid, values)) for values in itertools.product(*grid.values())]
+
+
+def grid_search(train: DataFrame, kind: str, numeric: Sequence[str], categorical: Sequence[str],
+                grid: Mapping[str, Sequence] | None = None, label: str = "demand_score", folds: int = CV_FOLDS,
+                subset_rows: int = TUNING_ROWS, key: str = "listing_id", parallel: int = 4
+                ) -> tuple[list[dict], DataFrame, DataFrame]:
+    """E-5: the points of the grid, the out-of-fold predictions (point, fold, key, label, prediction)
+    and the scores (point, fold, rows, r2) that these predictions give.
 
+    The preprocessor is fitted once on the tuning subset and its features are written once; each
+    (point, fold) is a fit of its own on the other folds, some at a time, whose predictions are
+    written.  Rows without a label are left out.  An empty fold has no rows and no score."""
     from rateweave.session import cut_lineage
 
-    grid = dict(grid or (FOREST_GRID if kind == "forest" else GBT_GRID))
-    subset = cut_lineage(tuning_subset(train, subset_rows))
-    prep = build_preprocessor(numeric, categorical, subset.count(), label=label, columns=train.columns)
-    est = _estimator(kind, label, "features")
-    builder = ParamGridBuilder()
-    for name, values in grid.items():
-        vals = [tree_depth(v) if name == "maxDepth" else v for v in values]
-        builder = builder.addGrid(est.getParam(name), vals)
-    cv = CrossValidator(estimator=Pipeline(stages=[*prep.getStages(), est]), estimatorParamMaps=builder.build(),
-                        evaluator=RegressionEvaluator(labelCol=label, metricName="r2"), numFolds=folds,
-                        parallelism=parallelism, seed=SPLIT_SEED)
-    cvm = cv.fit(subset)
-    best_idx = max(range(len(cvm.avgMetrics)), key=lambda i: (cvm.avgMetrics[i], -i))
-    best_params = {p.name: v for p, v in cvm.getEstimatorParamMaps()[best_idx].items()}
-    return fit_model(train, kind, numeric, categorical, label, best_params), best_params
+    points = grid_points(grid or (FOREST_GRID if kind == "forest" else GBT_GRID))
+    subset = cut_lineage(tuning_subset(train.where(F.col(label).isNotNull()), subset_rows))
+    prep = build_preprocessor(numeric, categorical, label=label).fit(subset)
+    feats = cut_lineage(prep.transform(subset).select(key, fold_of(key, folds).alias("fold"), label, "features"))
+
+    def one(job: tuple[int, int]) -> DataFrame:
+        point, fold = job
+        rest = feats.where(F.col("fold") != fold)
+        st = rest.agg(F.count(label).alias("n"), F.stddev_samp(label).alias("s")).first() if kind == "ridge" else None
+        fitted = _estimator(kind, label, "features", points[point], *(st or ())).fit(rest)
+        return cut_lineage(fitted.transform(feats.where(F.col("fold") == fold)).select(
+            F.lit(point).alias("point"), "fold", key, label, "prediction"))
+
+    with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
+        written = list(pool.map(one, itertools.product(range(len(points)), range(folds))))
+    predictions = functools.reduce(DataFrame.unionByName, written)
+    return points, predictions, fold_scores(predictions, label)
+
+
+def fold_scores(predictions: DataFrame, label: str = "demand_score") -> DataFrame:
+    """(point, fold, rows, r2) of out-of-fold predictions."""
+    err = F.col(label) - F.col("prediction")
+    return predictions.groupBy("point", "fold").agg(F.count(F.lit(1)).alias("rows"), (
+        F.lit(1.0) - F.try_divide(F.sum(err * err), F.regr_syy(F.col(label), F.col("prediction")))).alias("r2"))
+
+
+def best_point(scores: DataFrame) -> int:
+    """The point with the largest mean R², the first of equals."""
+    mean = scores.groupBy("point").agg(F.avg("r2").alias("m"))
+    return int(mean.agg(F.max_by("point", F.struct(F.coalesce("m", F.lit(float("-inf"))), -F.col("point")))).first()[0])
+
+
+def tune(train: DataFrame, kind: str, numeric: Sequence[str], categorical: Sequence[str],
+         grid: Mapping[str, Sequence] | None = None, label: str = "demand_score", folds: int = CV_FOLDS,
+         subset_rows: int = TUNING_ROWS, parallelism: int = 4, key: str = "listing_id"):
+    """E-5: grid search on a tuning subset, then the best point refit on all of train."""
+    points, _, scores = grid_search(train, kind, numeric, categorical, grid, label, folds, subset_rows, key, parallelism)
+    best = points[best_point(scores)]
+    return fit_model(train, kind, numeric, categorical, label, best), best
+
+
+def staged_losses(model, data: DataFrame, validation: DataFrame | None = None) -> DataFrame:
+    """E-4: the squared loss after each round of boosting (round from 1, train_loss and, with
+    ``validation``, validation_loss and whether the round is the best one, the first of equals)."""
+    *before, boosted = model.stages
+    featured = [functools.reduce(lambda d, st: st.transform(d), before, d) for d in (data, validation) if d is not None]
+    losses = [[float(x) for x in boosted.evaluateEachIteration(d, "squared")] for d in featured]
+    rows = [(k + 1, *at) for k, at in enumerate(zip(*losses))]
+    out = data.sparkSession.createDataFrame(rows, "round int, train_loss double" + (
+        ", validation_loss double" if validation is not None else ""))
+    if validation is None:
+        return out
+    best = min(range(len(rows)), key=lambda k: (rows[k][2], k)) + 1
+    return out.withColumn("is_best", F.col("round") == best)
 
 
 def score(df: DataFrame, model, key: str = "listing_id", price: str = "price") -> DataFrame:
@@ -163,6 +218,23 @@ def run_record(name: str, params: Mapping, metrics_row, started: float) -> dict:
             "duration_sec": time.time() - started}
 
 
+def train_and_log(train: DataFrame, test: DataFrame, kinds: Sequence[str], numeric: Sequence[str],
+                  categorical: Sequence[str], path: str, label: str = "demand_score",
+                  params: Mapping[str, Mapping] | None = None) -> tuple[dict, DataFrame]:
+    """H-3 with its log: the fitted models and their comparison; a run of each model, with its settings,
+    row counts, metrics and duration, is appended to the table at ``path``."""
+    from rateweave.session import cut_lineage
+
+    params = dict(params or {})
+    sizes = {"train_rows": train.count(), "test_rows": test.count()}
+    started = time.time()
+    models = train_models(train, kinds, numeric, categorical, label, params)
+    compared = cut_lineage(compare_models(models, test, label))
+    append_runs(train.sparkSession, [run_record(r["model"], {**sizes, **params.get(r["model"], {})}, r, started)
+                                     for r in compared.collect()], path)
+    return models, compared
+
+
 def append_runs(spark, records: Sequence[dict], path: str) -> None:
     """E-10: append run rows to a Parquet table."""
     spark.createDataFrame(list(records)).write.mode("append").parquet(path)
@@ -180,25 +252,62 @@ def fit_simple_linear(train: DataFrame, x: str, label: str = "demand_score"):
     ]).fit(train.filter(F.col(x).isNotNull() & F.col(label).isNotNull()))
 
 
+def stage_reads(stage) -> dict[str, list[str]] | None:
+    """Inputs of each output of a fitted stage; None for a stage that doesn't tell."""
+    if hasattr(stage, "reads"):
+        return stage.reads()
+    said = lambda p: stage.getOrDefault(p) if stage.hasParam(p) and stage.isDefined(p) else None
+    if stage.hasParam("predictionCol"):
+        return {said("predictionCol"): [said("featuresCol")]}
+    outs = said("outputCols") if stage.hasParam("outputCols") and stage.isSet("outputCols") else None
+    ins = said("inputCols") if stage.hasParam("inputCols") and stage.isSet("inputCols") else None
+    if outs and ins and len(outs) == len(ins):
+        return {o: [i] for o, i in zip(outs, ins)}
+    ins = ins or ([said("inputCol")] if said("inputCol") else None)
+    return {said("outputCol"): ins} if ins and said("outputCol") else None
+
+
+def split_by_input(stages: Sequence, changed: str) -> tuple[list, list]:
+    """Fitted stages as (those that can run once, those to run again whenever ``changed`` changes).  A
+    stage that can be cut down to some outputs is in both; one that doesn't tell what it reads, and
+    all that follow, are run again."""
+    once, again, moved, dark = [], [], {changed}, False
+    for stage in stages:
+        reads = stage_reads(stage)
+        dark = dark or reads is None
+        hit = [] if reads is None else [o for o, ins in reads.items() if dark or moved & set(ins)]
+        if not dark and not hit:
+            once.append(stage)
+        elif dark or len(hit) == len(reads) or not hasattr(stage, "only"):
+            again.append(stage)
+            moved |= set(reads or ())
+        else:
+            once.append(stage.only([o for o in reads if o not in hit]))
+            again.append(stage.only(hit))
+            moved |= set(hit)
+    return once, again
+
+
 def model_curve(listings: DataFrame, model, n: int = 15, lo_f: float = 0.8, hi_f: float = 1.2,
-                clip: bool = True, repartition: int | None = None) -> DataFrame:
-    """F-4: every listing × bounded candidate grid -> replace price -> model
-    (price features are recomputed inside the fitted pipeline) -> demand clipped
-    at 0 -> F-4 columns.  Static columns ride along; the explode is row-local.  Scoring n
-    candidates per listing is the expensive step: ``repartition`` spreads listings that come
-    in few partitions over more tasks before they are exploded."""
+                clip: bool = True, repartition: int | None = None, carry: Sequence[str] = ()) -> DataFrame:
+    """F-4: every listing × bounded candidate grid -> replace price -> model -> demand clipped at 0 ->
+    F-4 columns.  Stages that don't read the price (texts, indexes and indicators of categories, the
+    other numbers) run once per listing before the explode; only what reads the price runs for each
+    candidate.  The explode is row-local.  ``repartition`` spreads listings that come in few partitions
+    over more tasks before they are exploded; ``carry`` names more columns to take along."""
     from rateweave.operators import curves
     from rateweave.functions.exprs import clip_lower
 
-    base = listings.withColumn("current_price", F.col("price"))
+    once, again = split_by_input(model.stages, "price")
+    base = functools.reduce(lambda d, st: st.transform(d), once, listings.withColumn("current_price", F.col("price")))
     grid = curves.price_grid("current_price", n, lo_f, hi_f)
     ex = curves.explode_grid(base, grid, repartition=repartition).withColumn("price", F.col("candidate_price"))
-    pred = model.transform(ex)
+    pred = functools.reduce(lambda d, st: st.transform(d), again, ex)
     dem = clip_lower(F.col("prediction"), 0.0) if clip else F.col("prediction")
     out = curves.curve_columns(pred.withColumn("predicted_demand", dem))
     keep = [c for c in ("room_type", "neighbourhood_group", "competitor_avg_price") if c in out.columns]
     return out.select("listing_id", "option_id", "current_price", "candidate_price", "predicted_demand",
-                      "expected_revenue", "price_change", "price_change_pct", *keep)
+                      "expected_revenue", "price_change", "price_change_pct", *keep, *[c for c in carry if c not in keep])
 
 
 def train_models(train: DataFrame, kinds: Sequence[str], numeric: Sequence[str], categorical: Sequence[str],
@@ -209,14 +318,12 @@ def train_models(train: DataFrame, kinds: Sequence[str], numeric: Sequence[str],
     table, concurrently (each fit is its own set of distributed jobs).  Each
     returned model is a full PipelineModel: shared fitted preprocessing stages
     plus its regressor, so it scores raw listing rows."""
-    from concurrent.futures import ThreadPoolExecutor
-
     from pyspark.ml import PipelineModel
 
     from rateweave.session import cut_lineage
 
     params = dict(params or {})
-    prep = build_preprocessor(numeric, categorical, train.count(), label=label, columns=train.columns).fit(train)
+    prep = build_preprocessor(numeric, categorical, label=label).fit(train)
     feats = cut_lineage(prep.transform(train).select("features", label))
     st = feats.agg(F.count(label).alias("n"), F.stddev_samp(label).alias("s")).first()
 

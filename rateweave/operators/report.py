@@ -80,6 +80,10 @@ def price_action(df: DataFrame, out: str = "price_action") -> DataFrame:
     return df.withColumn(out, F.when(pc > 0, ACTION_UP).when(pc < 0, ACTION_DOWN).otherwise(ACTION_KEEP))
 
 
+#: Column of a selection: demand at the listing's curve point nearest its current price.
+NEAREST = "demand_at_current"
+
+
 def business_reason(df: DataFrame, out: str = "reason") -> DataFrame:
     """G-4: ordered business explanation rules."""
     cur, rec = F.col("current_price"), F.col("recommended_price")
@@ -96,7 +100,8 @@ def business_reason(df: DataFrame, out: str = "reason") -> DataFrame:
 def build_recommendations(sel: DataFrame, true_before: str | None = None) -> DataFrame:
     """G-7: business table from a selection.  Before and after demand are the selected
     option's demand, as the selection carries no baseline of its own; ``true_before`` names a
-    column with the demand at the current price to use instead."""
+    column with the demand at the current price to use instead, such as ``NEAREST``: the demand at
+    the curve point nearest the current price, which selections add on demand."""
     d = (sel.withColumn("predicted_demand_before", F.col(true_before or "predicted_demand"))
             .withColumn("predicted_demand_after", F.col("predicted_demand"))
             .withColumn("expected_revenue_before", F.col("current_price") * F.col("predicted_demand_before"))
@@ -214,8 +219,11 @@ def dashboard_table(report: DataFrame) -> DataFrame:
 
 
 def listing_row(report: DataFrame, listing_id) -> DataFrame:
-    """B-18: first row of one listing (a point lookup: pushed-down filter + limit 1)."""
-    return report.filter(F.col("listing_id") == F.lit(listing_id)).limit(1)
+    """B-18: first row of one listing (a pushed-down filter).  Of a repeated id that is the least row,
+    column by column, NULL first; columns that have no order (maps) don't count."""
+    found = report.filter(F.col("listing_id") == F.lit(listing_id))
+    order = [f.name for f in report.schema.fields if f.dataType.typeName() not in ("map", "variant")]
+    return found.orderBy(*order).limit(1)
 
 
 def listing_insight(report: DataFrame, listing_id) -> DataFrame:

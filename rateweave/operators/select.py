@@ -11,7 +11,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rateweave.functions.exprs import (
@@ -72,26 +72,52 @@ def best_price_elastic(df: DataFrame, n: int = INFERENCE_POINTS, lo_f: float = I
               .drop("_best"))
 
 
+def choice_order(revenue: Column, option: Column, candidate: Column | None = None, current: Column | None = None) -> Column:
+    """What the chosen option is the maximum of: revenue, then the lowest option; of repeated ids the
+    lowest candidate, then the lowest current price."""
+    return F.struct(revenue.alias("v"), (-option).alias("n"), *[(-c).alias(a) for a, c in (("p", candidate), ("q", current))
+                                                                if c is not None])
+
+
+def nearness(candidate: Column, current: Column, option: Column, demand: Column) -> Column:
+    """What the option at the current price is the minimum of: distance, then option number, then (of
+    repeated ids) demand; NULL where there is no distance."""
+    far = F.abs(candidate - current)
+    return F.when(far.isNotNull(), F.struct(far.alias("far"), option.alias("n"), demand.alias("demand")))
+
+
+def _nearest(out: str, option: str = "option_id") -> Column:
+    return F.min(nearness(F.col("candidate_price"), F.col("current_price"), F.col(option), F.col("predicted_demand")))[
+        "demand"].alias(out)
+
+
 def select_best_option(curve: DataFrame, key: str = "listing_id", revenue: str = "expected_revenue",
-                       option: str = "option_id", feasible: str | None = None) -> DataFrame:
+                       option: str = "option_id", feasible: str | None = None, nearest: str | None = None) -> DataFrame:
     """F-8: exactly one option per listing maximising expected revenue; ties -> lowest option.
     Options without a revenue are never chosen.
 
     With ``feasible`` (a boolean column) only allowed options compete, and a
     listing without any gets ``feasible = FALSE`` and NULL option columns (F-9)
-    instead of failing the run."""
+    instead of failing the run.  ``nearest`` names a column for the demand at the listing's
+    option nearest its current price, allowed or not, from the same aggregation."""
     payload_cols = [c for c in curve.columns if c not in (key, feasible)]
     payload = F.struct(*[F.col(c) for c in payload_cols])
     open_ = F.col(revenue).isNotNull() & (F.col(feasible) if feasible is not None else F.lit(True))
-    order = F.when(open_, F.struct(F.col(revenue), -F.col(option)))
+    more = [F.col(c) if c in curve.columns else None for c in ("candidate_price", "current_price")]
+    order = F.when(open_, choice_order(F.col(revenue), F.col(option), *more))
     agg = curve.groupBy(key).agg(F.max_by(payload, order).alias("_sel"),
-                                 *( [F.count_if(open_).alias("_n_ok")] if feasible else []))
-    out = agg.select(key, *[F.col("_sel." + c).alias(c) for c in payload_cols],
-                     *([(F.col("_n_ok") > 0).alias("feasible")] if feasible else []))
-    if feasible is not None:
-        # a listing with no allowed option has no selected row values
-        out = out.select(key, *[F.when(F.col("feasible"), F.col(c)).alias(c) for c in payload_cols], "feasible")
-    return out
+                                 *([F.count_if(open_).alias("_n_ok")] if feasible else []),
+                                 *([_nearest(nearest, option)] if nearest else []))
+    found = [F.col(nearest)] if nearest else []
+    if feasible is None:
+        return agg.select(key, *[F.col("_sel." + c).alias(c) for c in payload_cols], *found)
+    ok = F.col("_n_ok") > 0       # a listing with no allowed option has no selected row values
+    return agg.select(key, *[F.when(ok, F.col("_sel." + c)).alias(c) for c in payload_cols], ok.alias("feasible"), *found)
+
+
+def nearest_demand(curve: DataFrame, out: str, key: str = "listing_id") -> DataFrame:
+    """(``key``, ``out``): each listing's demand at the option nearest its current price."""
+    return curve.groupBy(key).agg(_nearest(out))
 
 
 def infeasible_listings(curve: DataFrame, allowed: DataFrame, key: str = "listing_id") -> DataFrame:
@@ -129,9 +155,10 @@ def selection_reason(sel: DataFrame, eps: float = SELECTION_EPS, out: str = "rea
     return sel.withColumn(out, txt)
 
 
-def optimize_curve(curve: DataFrame, key: str = "listing_id", feasible: str | None = None) -> DataFrame:
+def optimize_curve(curve: DataFrame, key: str = "listing_id", feasible: str | None = None,
+                   nearest: str | None = None) -> DataFrame:
     """Selection output of the solver path: chosen option renamed to
     ``recommended_price`` plus F-17 metrics and G-5 reason."""
-    sel = select_best_option(curve, key=key, feasible=feasible).withColumnRenamed(
+    sel = select_best_option(curve, key=key, feasible=feasible, nearest=nearest).withColumnRenamed(
         "candidate_price", "recommended_price")
     return selection_reason(selection_metrics(sel))

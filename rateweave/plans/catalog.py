@@ -472,6 +472,48 @@ def q_g07_true_before(spark, sf_dir):
     return round_doubles(report.build_recommendations(sel, true_before="now"))
 
 
+def q_g07_nearest_before(spark, sf_dir):
+    """The business table with the demand at the curve point nearest the current price before."""
+    return _recs(spark, sf_dir, true_before=True, **ALL_RULES)
+
+
+def q_g07_nearest_before_long(spark, sf_dir):
+    return round_doubles(jobs.recommendation_job(_curve(spark, sf_dir), true_before=True, **ALL_RULES))
+
+
+def _shared_ids(spark, sf_dir):
+    """Listings of which every two neighbours have one id."""
+    return L(spark, sf_dir).withColumn("listing_id", F.col("listing_id") - F.col("listing_id") % 2)
+
+
+def q_f08_repeated_ids(spark, sf_dir):
+    """Rows of one id are one listing."""
+    return round_doubles(options.recommend(cut_lineage(options.with_options(_shared_ids(spark, sf_dir))), true_before=True,
+                                           **ALL_RULES))
+
+
+def q_f08_repeated_ids_long(spark, sf_dir):
+    return round_doubles(jobs.recommendation_job(jobs.target_curve(_shared_ids(spark, sf_dir)), true_before=True, **ALL_RULES))
+
+
+COLUMN_BOUNDS = ("least_price", "most_price")
+
+
+def _with_bounds(df):
+    return df.withColumn("least_price", F.col("competitor_avg_price") * F.lit(0.5)).withColumn(
+        "most_price", F.when(F.col("listing_id") % 4 != 0, F.col("competitor_avg_price") * F.lit(1.1)))
+
+
+def q_f16_column_bounds(spark, sf_dir):
+    """Price bounds that the listings bring along."""
+    rows = options.with_options(_with_bounds(L(spark, sf_dir)), carry=COLUMN_BOUNDS)
+    return round_doubles(options.recommend(cut_lineage(rows), bounds=COLUMN_BOUNDS))
+
+
+def q_f16_column_bounds_long(spark, sf_dir):
+    return round_doubles(jobs.recommendation_job(_with_bounds(_curve(spark, sf_dir)), bounds=COLUMN_BOUNDS))
+
+
 def q_g02_half_cents(spark, sf_dir):
     """Amounts at and beside half a cent, written with two decimals."""
     x = F.col("listing_id") / F.lit(1000.0)
@@ -597,11 +639,126 @@ def q_d18_scaled(spark, sf_dir):
     train, test = _train_test(spark, sf_dir)
     cols = ["price", "number_of_reviews", "minimum_nights"]
     train, test = (cut_lineage(t.select("listing_id", *cols, "demand_score")) for t in (train, test))
-    prep = encoders.build_preprocessor(cols, [], train.count(), columns=train.columns).fit(train)
+    prep = encoders.build_preprocessor(cols, []).fit(train)
+    x = vector_to_array("features")
+    return round_doubles(prep.transform(test).select("listing_id", *[x[i].alias(c) for i, c in enumerate(cols)]))
+
+
+def q_d18_scaled_odd_values(spark, sf_dir):
+    """The same with gaps, NaN, infinities and a column without values: exact medians fill them."""
+    from pyspark.ml.functions import vector_to_array
+
+    cols = ["price", "minimum_nights", "nothing"]
+    train, test = encoders.split(cut_lineage(_with_odd_values(once(spark, sf_dir)).select("listing_id", *cols)))
+    prep = encoders.build_preprocessor(cols, []).fit(train)
     x = vector_to_array("features")
     return round_doubles(prep.transform(test).select("listing_id", *[x[i].alias(c) for i, c in enumerate(cols)]))
 
 
+def q_d12_stage_in_a_pipeline(spark, sf_dir):
+    """The feature stage, saved and loaded inside a pipeline, on listings with and without room types."""
+    from pyspark.ml import Pipeline
+
+    from rateweave.operators.stages import ListingFeatures
+
+    lst = once(spark, sf_dir)
+    path = _scratch(spark, "stage")
+    io.save_model(Pipeline(stages=[ListingFeatures()]).fit(lst), path)
+    stage = io.load_model(path)
+    whole = stage.transform(lst).select("listing_id", "price_log", "price_per_minimum_night", "room_type_neighbourhood")
+    bare = stage.transform(lst.drop("room_type"))
+    return round_doubles(whole.join(bare.select("listing_id", F.col("price_log").alias("bare_price_log"), F.lit(
+        "room_type_neighbourhood" in bare.columns).alias("bare_has_area")), "listing_id"))
+
+
+def q_e05_grid_search(spark, sf_dir):
+    """One row for each grid point and fold: its rows, and whether the score is what the written
+    predictions give and the best point has the largest mean score."""
+    from rateweave.operators import models
+
+    train, _ = _train_test(spark, sf_dir)
+    train = cut_lineage(train)
+    points, predictions, scores = models.grid_search(train, "forest", *encoders.feature_columns(train, exclude=MODEL_EXCLUDE),
+                                                     grid={"numTrees": [5, 8], "maxDepth": [2, 5]}, subset_rows=1000)
+    scores = cut_lineage(scores)
+    d, p = F.col("demand_score"), F.col("prediction")
+    again = predictions.groupBy("point", "fold").agg(
+        (1 - F.avg((d - p) * (d - p)) / F.var_pop(d)).alias("again"), F.count_distinct("listing_id").alias("listings"))
+    top = scores.groupBy("point").agg(F.avg("r2").alias("m")).orderBy(F.desc("m"), "point").first()["point"]
+    return scores.join(again, ["point", "fold"]).select(
+        "point", "fold", "rows", "listings", (F.abs(F.col("r2") - F.col("again")) < 1e-9).alias("r2_from_predictions"),
+        F.lit(top == models.best_point(scores)).alias("best_has_the_top_mean"),
+        F.lit(points[0] == {"numTrees": 5, "maxDepth": 2}).alias("first_point"))
+
+
+def q_e03_forest_facts(spark, sf_dir):
+    """What must hold of a forest: its trees, means of training labels as predictions, an error below
+    that of the mean."""
+    from rateweave.operators import models
+
+    train, test = (cut_lineage(t) for t in _train_test(spark, sf_dir))
+    m = models.fit_model(train, "forest", *encoders.feature_columns(train, exclude=MODEL_EXCLUDE),
+                         params={"numTrees": 12, "maxDepth": 6})
+    lo, hi = train.agg(F.min("demand_score"), F.max("demand_score")).first()
+    forest = m.stages[-1]
+    d, p = F.col("demand_score"), F.col("prediction")
+    return m.transform(test).agg(
+        F.count(p).alias("predicted"), F.bool_and(p.between(lo - 1e-9, hi + 1e-9)).alias("within_labels"),
+        (F.avg((d - p) * (d - p)) < F.var_pop(d)).alias("error_below_that_of_the_mean")).select(
+        "*", F.lit(forest.getNumTrees).alias("trees"), F.lit(max(t.depth for t in forest.trees) <= 6).alias("depth_kept"),
+        F.lit(abs(sum(forest.featureImportances.toArray()) - 1) < 1e-9).alias("importances_sum_to_one"))
+
+
+def q_e04_staged_losses(spark, sf_dir):
+    """Losses by round of boosting: the training loss never rises, the last one is that of the model's
+    own predictions, and the best round has the least loss on the rows held out."""
+    from rateweave.operators import models
+
+    train, test = (cut_lineage(t) for t in _train_test(spark, sf_dir))
+    m = models.fit_model(train, "gbt", *encoders.feature_columns(train, exclude=MODEL_EXCLUDE),
+                         params={"maxIter": 12, "maxDepth": 3})
+    losses = cut_lineage(models.staged_losses(m, train, test))
+    rows = losses.orderBy("round").collect()
+    d, p = F.col("demand_score"), F.col("prediction")
+    own = [m.transform(t).agg(F.avg((d - p) * (d - p))).first()[0] for t in (train, test)]
+    best = [r["round"] for r in rows if r["is_best"]]
+    return losses.agg(F.count(F.lit(1)).alias("rounds")).select(
+        "rounds", F.lit(train.count()).alias("train_rows"), F.lit(test.count()).alias("validation_rows"),
+        F.lit(all(b["train_loss"] <= a["train_loss"] + 1e-12 for a, b in zip(rows, rows[1:]))).alias("train_never_rises"),
+        F.lit(abs(own[0] - rows[-1]["train_loss"]) < 1e-9 and abs(own[1] - rows[-1]["validation_loss"]) < 1e-9)
+        .alias("last_is_the_models"),
+        F.lit(best == [min(rows, key=lambda r: (r["validation_loss"], r["round"]))["round"]]).alias("best_has_the_least"))
+
+
+def q_e10_training_log(spark, sf_dir):
+    """The log that a training run wrote, beside the comparison that it made."""
+    from rateweave.operators import models
+
+    train, test = (cut_lineage(t) for t in _train_test(spark, sf_dir))
+    path = _scratch(spark, "training")
+    _, compared = models.train_and_log(train, test, ("linear", "ridge", "gbt"), ["price", "number_of_reviews",
+                                       "minimum_nights", "service_fee"], [], path, params={"gbt": {"maxIter": 5}})
+    said = compared.select(F.col("model").alias("run_name"), F.col("rmse").alias("e"), F.col("mae").alias("a"), F.col("r2").alias("r"))
+    same = (F.col("rmse") == F.col("e")) & (F.col("mae") == F.col("a")) & (F.col("r2") == F.col("r"))
+    return spark.read.parquet(path).join(said, "run_name").select(
+        "run_name", F.col("params.train_rows").alias("train_rows"), F.col("params.test_rows").alias("test_rows"),
+        F.col("params")["maxIter"].alias("max_iter"), same.alias("metrics_as_compared"), (F.col("duration_sec") > 0).alias("timed"))
+
+
+def q_f04_static_once(spark, sf_dir):
+    """The curve of a model whose static stages ran once per listing, against the whole pipeline on
+    every candidate."""
+    from rateweave.operators import models
+
+    m = _model(spark, sf_dir, "ridge")
+    lst = L(spark, sf_dir)
+    own = models.model_curve(lst, m, clip=False)
+    whole = m.transform(curves.explode_grid(lst, curves.price_grid("price", 15, 0.8, 1.2)).withColumn("price", F.col("candidate_price")))
+    both = own.join(whole.select("listing_id", "option_id", F.col("prediction").alias("again")), ["listing_id", "option_id"])
+    return both.groupBy("listing_id").agg(F.count(F.lit(1)).alias("options"), F.bool_and(
+        F.abs(F.col("predicted_demand") - F.col("again")) <= 1e-6).alias("same"))
+
+
 def q_h5_encoders(spark, sf_dir):
     """Indicator and frequency encoding, logarithms, fills and scaling of the test side."""
     lst = L(spark, sf_dir, "listing_id", "room_type", "neighbourhood_group", "price", "minimum_nights", "number_of_reviews",

@@ -75,22 +75,25 @@ def target_curve(listings: DataFrame, n: int = CURVE_POINTS, lo_f: float = CURVE
 def recommendation_job(curve: DataFrame, change_pct: float | None = None, area_pct: float | None = None,
                        room_band: bool = False, hierarchy: bool = False,
                        competitor_factor: float | None = None, bounds: tuple | None = None,
-                       on_infeasible: str = "report") -> DataFrame:
+                       on_infeasible: str = "report", true_before: bool = False) -> DataFrame:
     """H-2: rules as flags -> one option per feasible listing -> business table.
 
     Rules are evaluated side by side on the whole curve and selection is one
     aggregation over listing id.  Listings left without an allowed option drop
     out of the table (``on_infeasible="report"``; list them with
     ``select.select_best_option(..., feasible=...)``) or fail the job
-    (``on_infeasible="error"``, the solver's behaviour)."""
+    (``on_infeasible="error"``, the solver's behaviour).  ``true_before`` takes the demand before
+    from the listing's curve point nearest its current price (ties to the lower option, rules
+    don't matter), found in the same aggregation."""
     if on_infeasible not in ("report", "error"):
         raise ValueError("on_infeasible must be 'report' or 'error'")
     flagged = constraints.apply_rules(curve, change_pct=change_pct, area_pct=area_pct, room_band=room_band,
                                       hierarchy=hierarchy, competitor_factor=competitor_factor, bounds=bounds)
-    sel = select.optimize_curve(flagged, feasible="feasible")
+    nearest = report.NEAREST if true_before else None
+    sel = select.optimize_curve(flagged, feasible="feasible", nearest=nearest)
     if on_infeasible == "error":
         select.require_feasible(sel)
-    return report.build_recommendations(sel.filter(F.col("feasible")).drop("feasible"))
+    return report.build_recommendations(sel.filter(F.col("feasible")).drop("feasible"), true_before=nearest)
 
 
 # ---------------------------------------------------------------- runnable jobs (inputs -> sinks)
@@ -117,10 +120,12 @@ def run_inference(spark, source, out_dir: str, model_path: str | None = None,
 
 
 def run_recommendation(spark, listings: DataFrame, out_dir: str, model=None, max_avg_pct: float | None = None,
-                       on_infeasible: str = "report", **rules) -> dict:
+                       on_infeasible: str = "report", true_before: bool = False, **rules) -> dict:
     """H-2 end to end: curve (model or target) -> rules -> selection (or budgeted
     selection) -> business table CSV + summary JSONs + curve Parquet.
 
+    Rows of one listing id are one listing, with a model, a budget or neither.  Bounds may name
+    columns of the listings.
     The rules are the same with and without a budget, and so is ``on_infeasible``; the
     budget's N counts every listing of the curve.  Summaries are read from what was written."""
     from rateweave.operators import budget as budget_op
@@ -132,14 +137,16 @@ def run_recommendation(spark, listings: DataFrame, out_dir: str, model=None, max
         raise ValueError("on_infeasible must be 'report' or 'error'")
     out = out_dir.rstrip("/")
     extra: dict = {}
+    carry = options.bound_columns(rules.get("bounds"))
+    nearest = report.NEAREST if true_before else None
     with intermediates(spark):
         rows = None
         if model is not None:
             from rateweave.operators.models import model_curve
 
-            io.write_curve(model_curve(listings, model), f"{out}/demand_price_curve")
+            io.write_curve(model_curve(listings, model, carry=carry), f"{out}/demand_price_curve")
         else:
-            rows = cut_lineage(options.with_options(listings))
+            rows = cut_lineage(options.with_options(listings, carry=carry))
             io.write_curve(options.explode_options(rows), f"{out}/demand_price_curve")
         curve = spark.read.parquet(f"{out}/demand_price_curve")
         if max_avg_pct is not None:
@@ -149,15 +156,17 @@ def run_recommendation(spark, listings: DataFrame, out_dir: str, model=None, max
                 raise RuntimeError("No feasible price option for at least one listing.")
             sel = select.selection_reason(select.selection_metrics(sel.withColumnRenamed("candidate_price",
                                                                                          "recommended_price")))
+            if nearest:
+                sel = sel.join(select.nearest_demand(curve, nearest), "listing_id", "left")
         else:
-            sel = options.optimize(rows, **rules) if rows is not None else select.optimize_curve(
-                constraints.apply_rules(curve, **rules), feasible="feasible")
+            sel = options.optimize(rows, nearest, **rules) if rows is not None else select.optimize_curve(
+                constraints.apply_rules(curve, **rules), feasible="feasible", nearest=nearest)
             if on_infeasible == "error":
                 select.require_feasible(sel)
             sel = sel.filter(F.col("feasible")).drop("feasible")
         io.write_curve(sel, f"{out}/selection")
         sel = spark.read.parquet(f"{out}/selection")
-        recs = report.build_recommendations(sel)
+        recs = report.build_recommendations(sel, true_before=nearest)
         io.write_report(recs, f"{out}/price_recommendations")
         flags = {"avg_price_change": max_avg_pct is not None, "neighborhood": rules.get("area_pct") is not None,
                  "room_type": bool(rules.get("room_band"))}

@@ -795,6 +795,36 @@ def g07_true_before() -> str:
     return with_listings(BIZ_SELECT, *curve_ctes(), *rule_ctes(), SELECTED, now)
 
 
+def _nearest(src: str = "curve") -> str:
+    return f"""near AS (SELECT listing_id, predicted_demand AS now FROM (
+    SELECT *, row_number() OVER (PARTITION BY listing_id ORDER BY abs(candidate_price - current_price), option_id,
+      predicted_demand NULLS FIRST) AS nk FROM {src})
+  WHERE nk = 1)"""
+
+
+_BIZ_NEAREST = BIZ.replace("predicted_demand AS predicted_demand_before", "now AS predicted_demand_before") \
+    .replace("current_price * predicted_demand AS expected_revenue_before", "current_price * now AS expected_revenue_before") \
+    .replace("candidate_price * predicted_demand - current_price * predicted_demand AS",
+             "candidate_price * predicted_demand - current_price * now AS") \
+    .replace("FROM sel)", "FROM (SELECT sel.*, near.now FROM sel JOIN near USING (listing_id)))")
+
+
+def g07_nearest_before() -> str:
+    return with_listings(BIZ_SELECT, *curve_ctes(), *rule_ctes(**ALL_RULES), SELECTED, _nearest(), _BIZ_NEAREST)
+
+
+def f08_repeated_ids() -> str:
+    shared = "shared AS (SELECT * REPLACE (listing_id - listing_id % 2 AS listing_id) FROM curve)"
+    chosen = SELECTED.replace("option_id ASC", "option_id ASC, candidate_price ASC, current_price ASC")
+    return with_listings(BIZ_SELECT, *curve_ctes(), shared, *rule_ctes(**ALL_RULES, src="shared"), chosen, _nearest("shared"),
+                         _BIZ_NEAREST)
+
+
+def f16_column_bounds() -> str:
+    most = f"CASE WHEN c.listing_id % 4 <> 0 THEN c.competitor_avg_price * {D(1.1)} END"
+    return recs(bounds=(f"c.competitor_avg_price * {D(0.5)}", most))
+
+
 def budget_ctes(src: str, max_avg_pct: float, where: str = "TRUE") -> list[str]:
     """Hull steps by recursion, then the cut by one running sum over all steps."""
     cost = f"abs(candidate_price - current_price) / CASE WHEN current_price = 0 THEN {D(1)} ELSE current_price END * {D(100)}"
@@ -907,6 +937,56 @@ def h3_training_facts() -> str:
   TRUE AS metrics_recomputed FROM sp WHERE is_test""", SPLIT)
 
 
+def d18_scaled_odd_values() -> str:
+    cols = ["price", "minimum_nights"]
+    med = ", ".join(f"quantile_cont({c}, 0.5) AS m_{c}" for c in cols)
+    fill = "fl AS (SELECT s.listing_id, s.is_test, " + ", ".join(f"coalesce(s.{c}, m.m_{c}) AS {c}" for c in cols) + \
+        f" FROM so s, (SELECT {med} FROM so WHERE NOT is_test) m)"
+    st = ", ".join(f"avg({c}) AS mu_{c}, stddev_pop({c}) AS sd_{c}" for c in cols)
+    sel = ", ".join(f"{R(f'(t.{c} - s.mu_{c}) / s.sd_{c}')} AS {c}" for c in cols)
+    return with_listings(f"SELECT t.listing_id, {sel}, {D(0)} AS nothing FROM fl t, (SELECT {st} FROM fl WHERE NOT is_test) s WHERE t.is_test",
+                         _SOUND, f"so AS (SELECT *, {TEST_FLAG} AS is_test FROM sound)", fill)
+
+
+def d12_stage_in_a_pipeline() -> str:
+    whole = d12_model_features()
+    return whole.replace("\nFROM listings", f""",
+  {R(f'CASE WHEN price IS NULL THEN NULL ELSE ln({D(1)} + greatest(price, {D(0)})) END')} AS bare_price_log, FALSE AS bare_has_area
+FROM listings""")
+
+
+def e05_grid_search() -> str:
+    fold = "CAST('0x' || substr(md5(CAST(listing_id AS VARCHAR) || ':44'), 1, 8) AS BIGINT) % 3"
+    return with_listings(f"""SELECT CAST(p.i AS INTEGER) AS point, CAST(f.fold AS INTEGER) AS fold, f.n AS rows, f.n AS listings,
+  TRUE AS r2_from_predictions, TRUE AS best_has_the_top_mean, TRUE AS first_point
+FROM range(0, 4) p(i) CROSS JOIN (SELECT {fold} AS fold, count(*) AS n FROM (
+  SELECT listing_id FROM sp WHERE NOT is_test AND demand_score IS NOT NULL
+  ORDER BY substr(md5(CAST(listing_id AS VARCHAR) || ':43'), 1, 8), listing_id LIMIT 1000) GROUP BY 1) f""",
+                         demand_cte("listings"), f"sp AS (SELECT *, {TEST_FLAG} AS is_test FROM scored)")
+
+
+def e03_forest_facts() -> str:
+    return with_listings("""SELECT count(*) AS predicted, TRUE AS within_labels, TRUE AS error_below_that_of_the_mean,
+  CAST(12 AS INTEGER) AS trees, TRUE AS depth_kept, TRUE AS importances_sum_to_one FROM sp WHERE is_test""", SPLIT)
+
+
+def e04_staged_losses() -> str:
+    return with_listings("""SELECT CAST(12 AS BIGINT) AS rounds, CAST(count(*) FILTER (NOT is_test) AS INTEGER) AS train_rows,
+  CAST(count(*) FILTER (is_test) AS INTEGER) AS validation_rows, TRUE AS train_never_rises, TRUE AS last_is_the_models,
+  TRUE AS best_has_the_least FROM sp""", SPLIT)
+
+
+def e10_training_log() -> str:
+    return with_listings("""SELECT m.name AS run_name, CAST(n.train AS VARCHAR) AS train_rows, CAST(n.test AS VARCHAR) AS test_rows,
+  m.rounds AS max_iter, TRUE AS metrics_as_compared, TRUE AS timed
+FROM (VALUES ('linear', NULL), ('ridge', NULL), ('gbt', '5')) m(name, rounds),
+     (SELECT count(*) FILTER (NOT is_test) AS train, count(*) FILTER (is_test) AS test FROM sp) n""", SPLIT)
+
+
+def f04_static_once() -> str:
+    return with_listings("SELECT listing_id, CAST(15 AS BIGINT) AS options, TRUE AS same FROM listings WHERE price IS NOT NULL")
+
+
 def e10_run_log() -> str:
     return with_listings(f"""SELECT 'run' || i AS run_name, CAST((SELECT count(*) FROM listings) AS VARCHAR) AS rows, {D(1)} + i AS rmse,
   {D(0.5)} AS mae, {D(0.1)} AS r2, TRUE AS timed FROM range(0, 2) t(i)""")
@@ -963,6 +1043,12 @@ ORACLES = {
     "f01_curve_without_price": f01_curve_without_price,
     "f08_without_revenue": f08_without_revenue,
     "g07_true_before": g07_true_before,
+    "g07_nearest_before": g07_nearest_before,
+    "g07_nearest_before_long": g07_nearest_before,
+    "f08_repeated_ids": f08_repeated_ids,
+    "f08_repeated_ids_long": f08_repeated_ids,
+    "f16_column_bounds": f16_column_bounds,
+    "f16_column_bounds_long": f16_column_bounds,
     "f10_budget": f10_budget,
     "f10_budget_alike": f10_budget_alike,
     "f10_budget_with_rules": f10_budget_with_rules,
@@ -970,6 +1056,13 @@ ORACLES = {
     "e01_linear_two": e01_linear_two,
     "e02_ridge_two": e02_ridge_two,
     "d18_scaled": d18_scaled,
+    "d18_scaled_odd_values": d18_scaled_odd_values,
+    "d12_stage_in_a_pipeline": d12_stage_in_a_pipeline,
+    "e05_grid_search": e05_grid_search,
+    "e03_forest_facts": e03_forest_facts,
+    "e04_staged_losses": e04_staged_losses,
+    "e10_training_log": e10_training_log,
+    "f04_static_once": f04_static_once,
     "h5_encoders": h5_encoders,
     "e06_tuning_subset": e06_tuning_subset,
     "h3_training_facts": h3_training_facts,
