@@ -9,9 +9,10 @@ one diagonal join into the longest verbatim match with its places.
 Words are compared by 64-bit hashes.  Only suffixes that begin like some benchmark
 suffix (with its first two words; one, if an item has a single word) go into the array:
 no other can hold an occurrence.  Nothing is shuffled, so no key can be hot.  The
-benchmark is the stated test set; it is taken in chunks of at most ``CHUNK_BYTES`` of
-text (a longer item alone), one broadcast after the other, and what a chunk has found
-(places hit, items, matches) stays with its document for the next.
+benchmark is the stated test set.  Items of one text are taken together, and texts in
+chunks of at most ``CHUNK_BYTES`` of text and ids (a longer text alone), one broadcast after
+the other; what a chunk has found (places hit, items, matches) stays with its document for
+the next.  So each chunk after the first costs a pass that writes the documents anew.
 
 Null and empty texts have no words and are clean.  Null item texts have no windows; null
 item ids are written as an empty string.  Repeated items count as the one id they have.
@@ -59,8 +60,10 @@ def word_hashes(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.nd
 class TestSet:
     """The benchmark's windows, ready for binary search."""
 
-    def __init__(self, items: list[tuple[str, str]], window: int):
+    def __init__(self, items: list[tuple[list[str], str]], window: int):
+        """``items`` are texts, each with the ids that have it."""
         self.window = window
+        self.names = [names for names, _ in items]
         flat, offsets = B.string_parts(pa.array([t for _, t in items], pa.string()))
         hashes, owner = word_hashes(flat, offsets)
         self.vocabulary = np.unique(hashes)
@@ -70,20 +73,19 @@ class TestSet:
         codes = (np.searchsorted(self.vocabulary, hashes) + 1).astype(np.int64)
         at = np.searchsorted(owner, np.arange(len(items) + 1))
         found: dict[tuple, int] = {}
-        self.items: list[list[str]] = []
-        self.places: list[list[tuple[str, int]]] = []
+        self.texts: list[set[int]] = []
+        self.places: list[list[tuple[int, int]]] = []
         single = False
-        for i, (name, _) in enumerate(items):
+        for i in range(len(items)):
             own = codes[at[i]: at[i + 1]].tolist()
             single |= len(own) == 1
             for p in range(max(1, len(own) - window + 1) if own else 0):
                 k = found.setdefault(tuple(own[p: p + window]), len(found))
-                if k == len(self.items):
-                    self.items.append([])
+                if k == len(self.texts):
+                    self.texts.append(set())
                     self.places.append([])
-                self.items[k].append(name)
-                self.places[k].append((name, p))
-        self.items = [sorted(set(x)) for x in self.items]
+                self.texts[k].add(i)
+                self.places[k].append((i, p))
         self.lengths = np.array([len(w) for w in found], np.int64)
         grid = np.zeros((len(found), window), np.int64)
         for k, w in enumerate(found):
@@ -147,14 +149,14 @@ def _merged(pairs: np.ndarray) -> np.ndarray:
 
 def _matches(test: TestSet, place: np.ndarray, window: np.ndarray) -> list[tuple[str, int, int, int]]:
     """Longest verbatim matches in one document: item, first word there, first word here, words."""
-    on: dict[tuple[str, int], list[tuple[int, int]]] = defaultdict(list)
+    on: dict[tuple[int, int], list[tuple[int, int]]] = defaultdict(list)
     for p, w in zip(place.tolist(), window.tolist()):
-        for name, at in test.places[w]:
-            on[name, p - at].append((p, p + int(test.lengths[w])))
+        for text, at in test.places[w]:
+            on[text, p - at].append((p, p + int(test.lengths[w])))
     out = []
-    for (name, shift), ranges in on.items():
-        out += [(name, int(a - shift), int(a), int(z - a)) for a, z in _merged(np.array(sorted(set(ranges))))]
-    return sorted(out)
+    for (text, shift), ranges in on.items():
+        out += [(text, int(a - shift), int(a), int(z - a)) for a, z in _merged(np.array(sorted(set(ranges))))]
+    return _joined([], [(name, *match) for text, *match in out for name in test.names[text]])
 
 
 MATCH = ("item_id", "item_word", "doc_word", "n_words")
@@ -169,8 +171,8 @@ def _match_array(found: list[list[tuple]]) -> pa.Array:
 def _joined(found: list[tuple], more: list[tuple]) -> list[tuple]:
     """Matches of two chunks: ranges of one item on one diagonal that overlap are one match (texts
     of a repeated item id may be in several chunks)."""
-    if not found or not more:
-        return found or more
+    if not more:
+        return found
     on: dict[tuple[str, int], list[tuple[int, int]]] = defaultdict(list)
     for name, there, here, n in found + more:
         on[name, here - there].append((here, here + n))
@@ -211,7 +213,8 @@ def _examine(shared, text_at: int, state_at: int | None, last: bool, finish, wit
                     if len(mine):
                         p, w = place[mine] - base[d], window[mine]
                         ranges = _merged(np.concatenate([ranges, np.stack([p, p + test.lengths[w]], axis=1)]))
-                        items = sorted(set(items).union(*(test.items[k] for k in set(w.tolist()))))
+                        texts = set().union(*(test.texts[k] for k in set(w.tolist())))
+                        items = sorted(set(items).union(*(test.names[k] for k in texts)))
                         if with_matches:
                             matches = _joined(matches, _matches(test, p, w))
                     results.append((int(n_words[d]), ranges, items, matches))
@@ -251,23 +254,52 @@ def _keep(rows: pa.RecordBatch, results) -> pa.RecordBatch:
     return rows.filter(pa.array([not _judged(r)[1] for r in results], pa.bool_()))
 
 
-def _chunks(benchmark: DataFrame, id_col: str, text_col: str) -> Iterator[list[tuple[str, str]]]:
-    """Items by chunks of bounded text, dealt by a hash of the text."""
+def _ranges(texts: DataFrame, lo: int, hi: int) -> list[tuple[int, int]]:
+    """Ranges of ``place`` within [lo, hi) that hold at most CHUNK_BYTES each, or a single text."""
+    own = texts.where(F.col("place").between(lo, hi - 1))
+    total, n = own.agg(F.sum("size"), F.count(F.lit(1))).first()
+    if not n:
+        return []
+    if n == 1 or total <= CHUNK_BYTES or hi - lo < 2:
+        return [(lo, hi)]
+    step = max((hi - lo) // (8 * -(-int(total) // CHUNK_BYTES)), 1)
+    sizes = own.groupBy(F.floor((F.col("place") - lo) / F.lit(step)).cast("long").alias("k")).agg(F.sum("size").alias("s")).collect()
+    out: list[tuple[int, int]] = []
+    held = 0
+    for r in sorted(sizes, key=lambda r: r["k"]):
+        a, z = lo + r["k"] * step, min(lo + (r["k"] + 1) * step, hi)
+        if r["s"] > CHUNK_BYTES:
+            out += _ranges(texts, a, z)
+            held = CHUNK_BYTES
+        elif out and held + r["s"] <= CHUNK_BYTES:
+            out[-1], held = (out[-1][0], z), held + r["s"]
+        else:
+            out.append((a, z))
+            held = r["s"]
+    return out
+
+
+def _texts(benchmark: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """Texts with the ids of their items, a place by hash and a size."""
     own = benchmark.select(F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("item"),
                            F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    total = own.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n = max(1, -(-int(total) // CHUNK_BYTES))
-    for k in range(n):
-        yield [(r.item, r.text) for r in own.where(F.pmod(F.xxhash64("text"), F.lit(n)) == k).collect()]
+    return cut_lineage(own.groupBy("text").agg(F.sort_array(F.collect_set("item")).alias("items")).select(
+        "items", "text", F.shiftrightunsigned(F.xxhash64("text"), 16).alias("place"),
+        (F.octet_length("text") + F.octet_length(F.array_join("items", ""))).cast("long").alias("size")))
+
+
+def _chunk(texts: DataFrame, lo: int, hi: int) -> list[tuple[list[str], str]]:
+    return [(r.items, r.text) for r in texts.where(F.col("place").between(lo, hi - 1)).select("items", "text").collect()]
 
 
 def _passes(docs: DataFrame, text_at: int, benchmark: DataFrame, item_col: str, item_text: str, window: int,
             finish, schema, with_matches: bool = False) -> DataFrame:
     spark, n_cols = docs.sparkSession, len(docs.columns)
-    state, chunks = docs, list(_chunks(benchmark, item_col, item_text))
+    texts = _texts(benchmark, item_col, item_text)
+    state, chunks = docs, _ranges(texts, 0, 1 << 48) or [(0, 0)]
     carried = ", ".join([f"c{i} {f.dataType.simpleString()}" for i, f in enumerate(docs.schema.fields)])
-    for k, items in enumerate(chunks):
-        shared = spark.sparkContext.broadcast(TestSet(items, window))
+    for k, (lo, hi) in enumerate(chunks):
+        shared = spark.sparkContext.broadcast(TestSet(_chunk(texts, lo, hi), window))
         last = k == len(chunks) - 1
         step = _examine(shared, text_at, None if k == 0 else n_cols, last, finish, with_matches)
         if last:

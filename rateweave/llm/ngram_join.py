@@ -384,6 +384,8 @@ class SetGroup:
             done[x] = True
             linked = self.reaches(overlap, self.sizes[x], self.sizes[y], self.num)
             join(x, y[linked])
+            if not self.near:
+                continue                                   # a follower may link with sets that have nothing of x
             for k in np.flatnonzero(linked & ~done[y]).tolist():
                 own = int(y[k])
                 done[own] = True

@@ -90,7 +90,7 @@ _PII = {
     "ip": "[0-9]+(\\.[0-9]+)(\\.[0-9]+)(\\.[0-9]+)",
     "card": "[0-9]([\\x20-]?[0-9])+",
     "phone": "\\+[0-9][\\x20().0-9-]+[0-9]",
-    "iban": "\\b[A-Z]{2}[0-9]{2}(?:\\x20?[A-Z0-9]){11,30}\\b",
+    "iban": f"\\b(?:{'|'.join(pii.ACCOUNT_LENGTHS)})[0-9]{{2}}",         # what may begin one
 }
 _OK = {
     "email": "true",
@@ -100,30 +100,49 @@ _OK = {
             "lambda i: CASE WHEN i % 2 = 1 THEN CAST(substr(reverse(regexp_replace(m, '[^0-9]', '', 'g')), i, 1) AS INT) ELSE "
             "CAST(substr('0246813579', CAST(substr(reverse(regexp_replace(m, '[^0-9]', '', 'g')), i, 1) AS INT) + 1, 1) AS INT) END)) % 10 = 0",
     "phone": "length(regexp_replace(m, '[^0-9]', '', 'g')) BETWEEN 8 AND 15",
-    "iban": "list_reduce(list_transform(string_split(substr(replace(m, ' ', ''), 5) || substr(replace(m, ' ', ''), 1, 4), ''), "
+    "iban": "m <> '' AND list_reduce(list_transform(string_split(substr(replace(m, ' ', ''), 5) || substr(replace(m, ' ', ''), 1, 4), ''), "
             "lambda c: CAST(CASE WHEN c BETWEEN '0' AND '9' THEN ascii(c) - 48 ELSE ascii(c) - 55 END AS BIGINT)), "
             "lambda a, x: (CASE WHEN x > 9 THEN a * 100 ELSE a * 10 END + x) % 97, CAST(0 AS BIGINT)) = 1",
 }
 
 
+_ACCOUNT = "|".join(f"{c}[0-9]{{2}}(?:\\x20?[A-Z0-9]){{{n - 4}}}" for c, n in pii.ACCOUNT_LENGTHS.items())
+
+
+def _near(kind: str) -> str:
+    """The score of a span in percent."""
+    words, score = pii.CONTEXT[kind]
+    text = f"substr(t, greatest(a - {pii.NEAR}, 0) + 1, z - greatest(a - {pii.NEAR}, 0) + {pii.NEAR})"
+    return f"CASE WHEN regexp_matches({text}, '(?i)(?:^|[^A-Za-z0-9_])(?:{words})') THEN {round(min(1.0, score + 0.1) * 100)} " \
+           f"ELSE {round(score * 100)} END"
+
+
 def _spans(rank: int, kind: str) -> str:
+    # an account number runs from what begins it for its country's length; none begins inside the one before
+    whole = f"SELECT doc_id, t, a, regexp_extract(substr(t, a + 1, 70), '^(?:{_ACCOUNT})\\b') AS m FROM (SELECT * FROM"
+    outer, close = (whole, ")") if kind == "iban" else ("SELECT * FROM", "")
+    apart = """
+QUALIFY coalesce(a >= max(z) OVER (PARTITION BY doc_id ORDER BY a ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), true)""" \
+        if kind == "iban" else ""
     return f"""
-SELECT doc_id, {rank} AS k, '{kind}' AS kind, a, a + length(m) AS z FROM (
-  SELECT doc_id, ms[i] AS m, CAST(list_sum(list_transform(ps[1:i], lambda x: length(x)))
+SELECT doc_id, k, kind, a, z, {_near(kind)} AS score FROM (
+SELECT doc_id, t, {rank} AS k, '{kind}' AS kind, a, a + length(m) AS z FROM ({outer} (
+  SELECT doc_id, t, ms[i] AS m, CAST(list_sum(list_transform(ps[1:i], lambda x: length(x)))
          + coalesce(list_sum(list_transform(ms[1:i - 1], lambda x: length(x))), 0) AS BIGINT) AS a
-  FROM (SELECT doc_id, ms, ps, unnest(range(1, len(ms) + 1)) AS i FROM (
-    SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{_PII[kind]}') AS ms,
-           string_split_regex(coalesce(text, ''), '{_PII[kind]}') AS ps FROM documents)))
-WHERE {_OK[kind]}"""
+  FROM (SELECT doc_id, t, ms, ps, unnest(range(1, len(ms) + 1)) AS i FROM (
+    SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '{_PII[kind]}') AS ms,
+           string_split_regex(coalesce(text, ''), '{_PII[kind]}') AS ps FROM documents))){close})
+WHERE {_OK[kind]}{apart})"""
 
 
 OP8 = f"""
 WITH s AS ({" UNION ALL ".join(_spans(k, kind) for k, kind in enumerate(pii.PATTERNS))}),
 t AS (SELECT doc_id, {", ".join(f"count(*) FILTER (kind = '{k}') AS n_{k}" for k in pii.BASE)},
              string_agg(concat_ws(':', kind, a, z), ',' ORDER BY k, a) FILTER (k < {len(pii.BASE)}) AS base,
-             string_agg(concat_ws(':', kind, a, z), ',' ORDER BY k, a) AS spans FROM s GROUP BY doc_id)
+             string_agg(concat_ws(':', kind, a, z), ',' ORDER BY k, a) AS spans,
+             string_agg(concat_ws(':', kind, a, z, score), ',' ORDER BY k, a) AS scored FROM s GROUP BY doc_id)
 SELECT d.doc_id, {", ".join(f"coalesce(n_{k}, 0) AS n_{k}" for k in pii.BASE)},
-       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, coalesce(scored, '') AS scored
 FROM documents d LEFT JOIN t ON t.doc_id = d.doc_id
 """
 

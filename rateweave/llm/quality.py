@@ -181,19 +181,21 @@ def _statistics_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
         flat, offsets = B.string_parts(batch.column(1))
         for i, j in B.cuts(offsets, PART_BYTES):
             x = statistics(flat[offsets[i]: offsets[j]], offsets[i: j + 1] - offsets[i])
-            yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array(list(x), pa.list_(pa.float64()))],
-                                             names=["label", "x"])
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array(list(x), pa.list_(pa.float64())),
+                                              batch.column(2).slice(i, j - i)], names=["label", "x", "place"])
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           label_col: str = "quality", train_rows: int = TRAIN_ROWS) -> Trees:
-    """Trees from the labelled documents that are not held out, at most ``train_rows`` of them."""
+    """Trees from the labelled documents that are not held out, at most ``train_rows`` rows of them (by
+    a hash of id and text), however often an id repeats in either table."""
     own = labels.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("double").alias("label")) \
         .where(F.col("id").isNotNull() & F.col("label").isNotNull() & ~held_out(F.col("id"))) \
         .orderBy(F.xxhash64("id"), "id", "label").limit(train_rows)
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    rows = texts.join(F.broadcast(own), "id").select("label", "text") \
-        .mapInArrow(_statistics_rows, "label double, x array<double>").toArrow()
+    rows = texts.join(F.broadcast(own), "id").select("label", "text", F.xxhash64("id", "text", "label").alias("place")) \
+        .mapInArrow(_statistics_rows, "label double, x array<double>, place long") \
+        .orderBy("place", "x").limit(train_rows).select("label", "x").toArrow()
     x = np.array(rows.column("x").to_pylist(), float).reshape(-1, len(FEATURES))
     y = rows.column("label").to_numpy().astype(float)
     order = np.lexsort((*x.T, y))                        # the same trees however Spark dealt the rows

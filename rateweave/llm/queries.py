@@ -81,8 +81,8 @@ def op7_decontaminate_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Personal data in all documents."""
-    return pii.report(table(spark, sf_dir, "documents")).drop("scored")
+    """Personal data in all documents, with the scores that context gives."""
+    return pii.report(table(spark, sf_dir, "documents")).withColumn("scored", pii.written_scores("scored"))
 
 
 def op9_spot_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:

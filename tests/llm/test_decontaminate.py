@@ -143,3 +143,23 @@ def test_a_query_returns_matches(spark):
     plain = queries.QUERIES["op7_decontaminate"](spark, sf)
     assert sorted((tuple(r[c] for c in plain.columns) for r in got), key=str) == sorted(map(tuple, plain.collect()), key=str)
     assert any(r.matches for r in got) and all(len({m.item_id for m in r.matches}) == r.n_items for r in got)
+
+
+def test_chunks_are_bounded_and_texts_taken_once(spark, monkeypatch):
+    monkeypatch.setattr(D, "CHUNK_BYTES", 2000)
+    same, r = "one text that very many items have and that stands in a document", random.Random(7)
+    items = [(f"i{k}", same) for k in range(300)] + [(f"j{k}", " ".join(r.choices("bcdefgh", k=r.randint(1, 60)))) for k in range(400)]
+    items += [("long", "x y z " * 2000)]
+    bench = spark.createDataFrame(items, ITEMS)
+    texts = D._texts(bench, "item_id", "text")
+    ranges = D._ranges(texts, 0, 1 << 48)
+    sizes = [sum(len(t.encode()) + sum(map(len, names)) for names, t in D._chunk(texts, *ab)) for ab in ranges]
+    chunks = [t for ab in ranges for _, t in D._chunk(texts, *ab)]
+    assert sorted(chunks) == sorted({t for _, t in items})
+    assert all(n <= 2000 or len(D._chunk(texts, *ab)) == 1 for n, ab in zip(sizes, ranges))
+    assert len(ranges) <= 4 * sum(sizes) // 2000 + 4
+    monkeypatch.setattr(D, "CHUNK_BYTES", 20_000)
+    docs = [(1, "see " + same), (2, "nothing here"), (3, "y z x y z x y z x y z x y z x y")]
+    assert run(spark, docs, items) == brute(docs, items)
+    (one,) = [m for m in D.contamination(spark.createDataFrame(docs, DOCS), bench).where("doc_id = 1").collect()]
+    assert len(one.matches) == one.n_items == 300

@@ -49,8 +49,7 @@ def brute_pii(text):
                   if 8 <= len(re.sub("[^0-9]", "", m[0])) <= 15],
     }
     base = ",".join(f"{k}:{a}:{z}" for k, v in out.items() for a, z in v)
-    more = [m.span() for m in re.finditer(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}(?![A-Za-z0-9])", text)
-            if iban(m[0])]
+    more = brute_accounts(text)
     spans = ",".join(f"{k}:{a}:{z}" for k, v in (out | {"iban": more}).items() for a, z in v)
     return tuple(len(v) for v in out.values()), hashlib.sha256(base.encode()).hexdigest(), spans
 
@@ -78,12 +77,11 @@ def test_pii_against_brute_force(spark):
 
 def brute_accounts(text):
     out, at = [], 0
-    for m in re.finditer(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}", text):
-        ends = [z for z in range(m.start() + 15, min(len(text), m.start() + 64) + 1)
-                if re.fullmatch(r"[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}", text[m.start():z])
-                and not re.match("[A-Za-z0-9]", text[z:]) and iban(text[m.start():z])]
-        if ends and m.start() >= at:
-            at = max(ends)
+    for m in re.finditer(r"(?<![A-Za-z0-9_])[A-Z]{2}[0-9]{2}", text):
+        n = P.ACCOUNT_LENGTHS.get(m[0][:2])
+        whole = n and re.match(r"[A-Z0-9](?:\x20?[A-Z0-9]){%d}(?![A-Za-z0-9_])" % (n - 1), text[m.start():])
+        if whole and iban(whole[0]) and m.start() >= at:
+            at = m.start() + len(whole[0])
             out.append((m.start(), at))
     return out
 
@@ -108,6 +106,24 @@ def test_account_numbers_and_what_follows_them(spark):
     assert {"<IBAN> BIC COBADEFFXXX", "<IBAN> EUR 100", "<IBAN> 12 March", "<IBAN> <IBAN>"} <= found
 
 
+def test_clean_part_numbers_and_the_threshold(spark):
+    r = random.Random(9)
+    lines = [" ".join(["AB12"] + ["".join(r.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZ", k=r.randint(2, 6))) for _ in range(8)]) for _ in range(3000)]
+    df = spark.createDataFrame(list(enumerate(lines)), DOCS)
+    assert P.report(df).where("spans != ''").isEmpty()
+    rows = [(1, "iban DE89370400440532013000"), (2, "see DE89370400440532013000 and a@b.cd")]
+    got = {x.doc_id: x for x in P.report(spark.createDataFrame(rows, DOCS), least_score=0.85).collect()}
+    assert got[1].spans == "iban:5:27" and got[1].scored[0].score == 0.9 and got[2].spans == "email:31:37"
+
+
+def test_pii_keeps_all_columns_whatever_their_names(spark):
+    df = spark.createDataFrame([(1, "mail a@b.cd", "x", 5, "y", "z")], "doc_id long, text string, pii string, _pii_spans int, spans string, PIIm string")
+    out = P.redact(df)
+    assert out.columns == df.columns and out.dtypes == df.dtypes
+    assert tuple(out.first()) == (1, "mail <EMAIL>", "x", 5, "y", "z")
+    assert P.find(df).columns.count("pii") == 1 and P.find(df).select("pii.email").first()[0][0].start == 5
+
+
 def test_pii_in_very_long_texts(spark):
     rows = [(1, "a" * 2_000_000 + "@b.cd"), (2, "1" * 2_000_000), (3, "1 " * 1_000_000), (4, "+1" + "(" * 1_000_000), (5, "a." * 500_000)]
     got = {r.doc_id: r for r in P.report(spark.createDataFrame(rows, DOCS)).collect()}

@@ -78,6 +78,11 @@ def test_large_groups_are_cut(spark, monkeypatch):
     assert run(spark, rows, 3, 90, 100) == brute(rows, 3, 90, 100)
 
 
+def test_followers_link_beyond_their_leader_at_low_similarity():
+    sets = [np.array(x, np.uint64) for x in ([1], [1, 10, 11], [2], [2, 10, 11])]
+    assert J.SetGroup(sets, 1, 3).roots().tolist() == [0, 0, 0, 0]
+
+
 def test_group_links_equal_brute_force():
     r = random.Random(7)
     for trial in range(30):
@@ -89,7 +94,7 @@ def test_group_links_equal_brute_force():
                 s.discard(r.choice(base))
             s |= {r.randrange(1 << 60) for _ in range(r.randint(0, max(1, len(base) // 10)))}
             sets.append(s or {1})
-        num, den = r.choice([(90, 100), (80, 100), (55, 100), (40, 100)])
+        num, den = r.choice([(90, 100), (80, 100), (55, 100), (40, 100), (1, 3), (1, 5)])
         roots = J.SetGroup([np.array(sorted(s), np.uint64) for s in sets], num, den).roots()
         parent = list(range(len(sets)))
 

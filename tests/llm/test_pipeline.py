@@ -69,7 +69,6 @@ def test_stages_on_the_tables(spark):
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(T.PATH)
-    t.encode_special_tokens = True
     pieces = out.collect()
     n = T.check_packing(pieces, [(r.doc_id, r.text) for r in before.collect()], t, 2048)
     assert n <= 1.01 * -(-sum(r.length for r in pieces) // 2048) + 1

@@ -81,3 +81,20 @@ def test_statistics_by_hand():
     assert x["upper"].tolist() == [2 / 12, 0, 0] and x["digit"][2] == 1 / 3 and x["bar"][2] == 1 / 3
     assert np.expm1(x["n_words"]).round().tolist() == [4, 0, 2] and x["distinct"][0] == 3 / 4 and x["top_word"][0] == 2 / 4
     assert x["distinct3"][0] == 1.0 and np.expm1(x["n_lines"]).round().tolist() == [2, 0, 1]
+
+
+def test_rows_that_reach_the_driver_are_bounded(spark, monkeypatch):
+    """One labelled id on very many documents, and one that is labelled very often."""
+    seen = []
+    monkeypatch.setattr(Q, "fit", lambda x, y: seen.append((x, y)) or Q.Trees(0.0, np.zeros((0, 7), int), np.zeros((0, 7)), np.zeros((0, 8))))
+    docs = spark.range(3000).selectExpr("CASE WHEN id < 2900 THEN 1 ELSE id END AS doc_id", "concat('word ', id % 700) AS text")
+    for labels in ([(1, 1)] + [(i, 0) for i in range(2900, 2950)], [(1, k % 2) for k in range(400)]):
+        Q.train(docs, spark.createDataFrame(labels, "doc_id long, quality int"), train_rows=500)
+        x, y = seen[-1]
+        assert len(x) == len(y) == 500
+    few = spark.createDataFrame([(i, i % 2) for i in range(2900, 3000)], "doc_id long, quality int")
+    kept = few.where(~Q.held_out(F.col("doc_id"))).count()
+    for parts in (1, 5):
+        Q.train(docs.repartition(parts), few, train_rows=500)
+    (x, y), (x2, y2) = seen[-2:]
+    assert len(y) == kept and np.array_equal(x, x2) and np.array_equal(y, y2)
