@@ -7,6 +7,7 @@ the library operators over the whole input.  Double outputs are rounded to
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -198,6 +199,32 @@ def q_c09_histogram_odd_values(spark, sf_dir):
     return round_doubles(profile.histogram(_with_odd_values(L(spark, sf_dir)), "price", 200))
 
 
+SKETCHED = ["price", "minimum_nights", "reviews_per_month"], ["room_type", "neighbourhood_group", "listing_id"]
+
+
+def q_c03_c04_sketches(spark, sf_dir):
+    """The state of two halves, kept as a table and merged, against one pass and the exact values."""
+    from rateweave.operators import sketches
+    from rateweave.operators.quantiles import column_quantiles
+
+    lst = L(spark, sf_dir, "listing_id", *SKETCHED[0], *SKETCHED[1][:2])
+    path = _scratch(spark, "state")
+    for half in (0, 1):
+        sketches.add_to_state(path, lst.where(F.col("listing_id") % 2 == half), *SKETCHED)
+    merged, whole = cut_lineage(sketches.read_state(spark, path)), cut_lineage(sketches.profile_state(lst, *SKETCHED))
+    same = merged.exceptAll(whole).isEmpty() and whole.exceptAll(merged).isEmpty()
+    exact = profile.profile_distinct(lst.withColumn("listing_id", F.col("listing_id").cast("string")), SKETCHED[1])
+    near = exact.join(sketches.distinct_estimates(merged).withColumnRenamed("n_distinct", "about"), "column").select(
+        "column", "n_distinct", (F.abs(F.col("about") - F.col("n_distinct")) <= 4 * 1.04 / 64 * F.col("n_distinct")).alias("within_bound"))
+    probs = [0.0, 0.25, 0.5, 0.75, 1.0]
+    found = {(r["column"], r["p"]): r["value"] for r in sketches.quantile_estimates(merged, probs).collect()}
+    ranks = {c: lst.where(F.col(c).isNotNull()).count() - 1 for c in SKETCHED[0]}
+    wanted = {c: column_quantiles(lst, [c], [math.floor(p * n) / n for p in probs])[c] for c, n in ranks.items()}
+    good = {c: all(abs(found[c, p] - w) <= sketches.ALPHA * abs(w) * (1 + 1e-9) for p, w in zip(probs, wanted[c])) for c in wanted}
+    rows = spark.createDataFrame([(c, ranks[c] + 1, ok) for c, ok in good.items()], "column string, n_distinct long, within_bound boolean")
+    return near.unionByName(rows).select("column", F.col("n_distinct").alias("n"), "within_bound", F.lit(same).alias("merged_is_one_pass"))
+
+
 def q_c06_data_summary(spark, sf_dir):
     lst = L(spark, sf_dir, "listing_id", "room_type", "price")
     row = profile.data_summary(lst)
@@ -832,6 +859,27 @@ def q_a01_csv_scan(spark, sf_dir):
         "listing_id", "house_rules", io_price("price"), "instant_bookable"))
 
 
+def q_a01_rejected_rows(spark, sf_dir):
+    """A file of which some records lack a column, have one too many, or hold text that is no number:
+    what is good and what is rejected, by reason, adds up."""
+    k = F.col("listing_id")
+    lst = once(spark, sf_dir)
+    line = F.concat_ws(",", F.when(k % 10 == 1, F.concat(F.lit("x"), k)).otherwise(k.cast("string")),
+                       F.lit('"a ""quoted"", text"'), F.when(k % 10 == 2, "three").otherwise(F.col("minimum_nights").cast("string")))
+    line = F.when(k % 10 == 3, F.concat(line, F.lit(",more"))).when(k % 10 == 4, k.cast("string")).otherwise(line)
+    path = _scratch(spark, "rejects")
+    head = spark.createDataFrame([("id,NAME,minimum nights",)], "line string")
+    for part, rows in enumerate((lst.where("listing_id % 2 = 0"), lst.where("listing_id % 2 = 1"))):
+        file = f"{path}/{part}"
+        lines = rows.select(F.struct(F.lit(1).alias("o"), k, line.alias("line")).alias("r")).unionByName(
+            head.select(F.struct(F.lit(0).alias("o"), F.lit(0).cast("long").alias("listing_id"), "line").alias("r")))
+        lines.repartition(1).sortWithinPartitions("r").select("r.line").write.text(file)
+    good, rejected = io.split_listings(spark, [f"{path}/0", f"{path}/1"])
+    kinds = rejected.select(F.concat_ws(";", F.transform("reasons", lambda r: F.regexp_replace(r, "'.*'", "it"))).alias("said"))
+    return kinds.unionByName(good.select(F.when((F.col("name") == 'a "quoted", text') & F.col("listing_id").isNotNull(), "good")
+                                         .otherwise("wrong").alias("said"))).groupBy("said").agg(F.count(F.lit(1)).alias("records"))
+
+
 def io_price(c):
     return parse_money(c).alias("price")
 
@@ -866,6 +914,15 @@ def q_a06_curve_parquet(spark, sf_dir):
     return round_doubles(spark.read.parquet(path).select(*FULL_CURVE))
 
 
+def q_a06_curve_by_listing(spark, sf_dir):
+    """Recommendations from a curve that was laid out by listing."""
+    import uuid
+
+    name = f"curve_{uuid.uuid4().hex}"
+    curve = io.write_curve_by_listing(_curve(spark, sf_dir), name, _scratch(spark, name), 8)
+    return round_doubles(jobs.recommendation_job(curve, true_before=True, **ALL_RULES))
+
+
 def q_a07_model_saved(spark, sf_dir):
     """A saved model predicts as the one that was saved."""
     path = _scratch(spark, "model")

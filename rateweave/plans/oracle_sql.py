@@ -1006,6 +1006,18 @@ def a01_csv_scan() -> str:
   instant_bookable FROM listings""")
 
 
+def a01_rejected_rows() -> str:
+    return with_listings("""SELECT CASE listing_id % 10 WHEN 1 THEN 'listing_id: it is no bigint' WHEN 2 THEN 'minimum_nights: it is no double'
+  WHEN 3 THEN 'columns' WHEN 4 THEN 'columns' ELSE 'good' END AS said, count(*) AS records FROM listings GROUP BY 1""")
+
+
+def c03_c04_sketches() -> str:
+    parts = [f"SELECT '{c}' AS \"column\", count({c}) AS n, TRUE AS within_bound, TRUE AS merged_is_one_pass FROM listings"
+             for c in ("price", "minimum_nights", "reviews_per_month")]
+    parts += [f"SELECT '{c}', count(DISTINCT {c}), TRUE, TRUE FROM listings" for c in ("room_type", "neighbourhood_group", "listing_id")]
+    return with_listings("\nUNION ALL\n".join(parts))
+
+
 def a02_a03_first_path_or_frame() -> str:
     return with_listings(f"SELECT listing_id, {R('price')} AS price FROM listings")
 
@@ -1070,6 +1082,9 @@ ORACLES = {
     "f04_model_curve_facts": f04_model_curve_facts,
     "e11_score_facts": e11_score_facts,
     "a01_csv_scan": a01_csv_scan,
+    "a01_rejected_rows": a01_rejected_rows,
+    "a06_curve_by_listing": g07_nearest_before,
+    "c03_c04_sketches": c03_c04_sketches,
     "a02_a03_first_path_or_frame": a02_a03_first_path_or_frame,
     "a07_model_saved": a07_model_saved,
     "a04_report_csv": h1_inference,
