@@ -18,6 +18,10 @@ steps themselves, whatever the unit of revenue), and only the range that holds t
 looked at again, until it is small enough to be ordered in one task.  Costs are summed as
 decimals, so the cut doesn't depend on how rows are dealt out.
 
+With ``refine`` the ``CORE`` listings nearest the cut are then chosen anew, together and exactly,
+from all their options, with what the others leave of the budget: the result is never worse,
+and with at most ``CORE`` listings it is the optimum.
+
 Of a listing's options of one (rounded) cost the best one is kept; rows of one listing id are one
 listing.  Options without a revenue or a cost, and those that a rule forbids, are never taken.  N
 counts every listing of the curve; listings left without an option are counted in the
@@ -26,8 +30,11 @@ summary and have no row in the selection.
 
 from __future__ import annotations
 
+import itertools
+from collections.abc import Sequence
 from decimal import Decimal
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -38,16 +45,19 @@ from rateweave.session import cut_lineage
 DEFAULT_MAX_AVG_PCT = 10.0
 GATHER = 100_000
 RANGES = 64
+#: Listings that ``refine`` chooses anew, and the most options that such a listing has.
+CORE, CORE_OPTIONS = 8, 16
 MONEY = "decimal(38,6)"
 
 
 def change_cost(curve: DataFrame, current: str = "current_price", candidate: str = "candidate_price",
                 out: str = "abs_price_change_pct") -> DataFrame:
     """|candidate - current| / current · 100, current 0 -> divisor 1."""
-    return curve.withColumn(out, _cost(F.col(current), F.col(candidate)))
+    return curve.withColumn(out, change_percent(F.col(current), F.col(candidate)))
 
 
-def _cost(cur: Column, cand: Column) -> Column:
+def change_percent(cur: Column, cand: Column) -> Column:
+    """|candidate - current| / current · 100, current 0 -> divisor 1."""
     return F.abs(cand - cur) / F.when(cur == 0, F.lit(1.0)).otherwise(cur) * F.lit(100.0)
 
 
@@ -80,13 +90,12 @@ def pack_options(curve: DataFrame, key: str, revenue: str, option: str, cost: st
     if feasible:
         ok = ok & F.coalesce(F.col(feasible), F.lit(False))
     more = [F.col(c) if c in curve.columns else None for c in ("candidate_price", "current_price")]
-    order = F.when(ok, choice_order(F.col(revenue), F.col(option).cast("long"), *more))
+    order = choice_order(F.col(revenue), F.col(option).cast("long"), *more)
     by_cost = curve.groupBy(key, F.when(ok, round_half_even_fp(cost, 6)).alias("_cost")).agg(
-        F.max(order).alias("_r"), F.max_by(payload, order).alias("_p"))
-    one = F.when(F.col("_cost").isNotNull(), F.struct(F.col("_cost").alias("c"), F.col("_r").alias("r"), F.col("_p").alias("p")))
+        F.max(F.when(ok, F.struct(order.alias("r"), payload.alias("p")))).alias("_b"))
+    one = F.when(F.col("_cost").isNotNull(), F.struct(F.col("_cost").alias("c"), F.col("_b.r").alias("r"), F.col("_b.p").alias("p")))
     packed = by_cost.groupBy(key).agg(F.sort_array(F.collect_list(one)).alias("_o"))
-    return packed.select(key, F.transform("_o", lambda x: F.struct(
-        x["c"].alias("c"), x["r"]["v"].alias("v"), (-x["r"]["n"]).alias("o"), x["r"].alias("r"), x["p"].alias("p"))).alias("_o"))
+    return packed.select(key, _with_values(F.col("_o")).alias("_o"))
 
 
 def _sum(df: DataFrame, c: Column) -> Decimal:
@@ -122,9 +131,56 @@ def _first_left(steps: DataFrame, room: Decimal, gather: int):
     return span.withColumn("_t", total).where(F.col("_t") > F.lit(room - before)).orderBy(*order).first()
 
 
+def best_choice(options: Sequence[Sequence[tuple[Decimal, float]]], room: Decimal) -> tuple[int, ...] | None:
+    """One option (cost, value) of each listing with the largest value within ``room``, as indexes; of
+    equal values the cheapest.  Both halves' choices are listed and the second's are looked up by what
+    the first leaves, so n listings of m options take about m ** (n / 2) steps."""
+    halves = options[: len(options) // 2], options[len(options) // 2:]
+    listed = []
+    for half in halves:
+        picks = list(itertools.product(*[range(len(o)) for o in half]))
+        cost = np.array([sum(int(o[k][0].scaleb(6)) for o, k in zip(half, p)) for p in picks], np.int64)
+        value = np.array([sum(o[k][1] for o, k in zip(half, p)) for p in picks], np.float64)
+        listed.append((picks, cost, value))
+    (picks, cost, value), (picks2, cost2, value2) = listed
+    order = np.lexsort((-value2, cost2))
+    top = np.maximum.accumulate(value2[order])
+    first = np.searchsorted(top, top)                    # the cheapest choice of that value
+    at = np.searchsorted(cost2[order], int(room.scaleb(6)) - cost, side="right") - 1
+    fits = np.flatnonzero(at >= 0)
+    if not len(fits):
+        return None
+    second = first[at[fits]]
+    total, spent = value[fits] + top[second], cost[fits] + cost2[order][second]
+    best = np.lexsort((spent, -total))[0]
+    return picks[fits[best]] + picks2[order[second[best]]]
+
+
+def _refined(packed: DataFrame, chosen: Column, room: Decimal, multiplier: float, key: str) -> dict:
+    """tie -> cost of the option to take instead, for the listings nearest the cut; ``room`` is what
+    the choice so far leaves of the budget."""
+    own = packed.withColumn("_c", chosen).where(F.col("tie").isNotNull() & F.col("_c").isNotNull()
+                                                & F.size("_o").between(2, CORE_OPTIONS))
+    effs = F.transform(F.filter("_h", lambda h: h["eff"] < float("inf")), lambda h: F.abs(h["eff"] - F.lit(multiplier)))
+    few = own.withColumn("_d", F.coalesce(F.array_min(effs), F.lit(float("inf")))).orderBy("_d", "tie").limit(CORE).select(
+        "tie", "_c", F.transform("_o", lambda x: F.struct(x["c"].cast(MONEY).alias("c"), x["v"].alias("v"))).alias("o")).collect()
+    if not few:
+        return {}
+    cost = lambda c: Decimal(repr(c)).quantize(Decimal("1e-6"))
+    options = [[(cost(float(x["c"])), float(x["v"])) for x in r["o"]] for r in few]
+    own_room = room + sum((cost(r["_c"]) for r in few), Decimal(0))
+    best = best_choice(options, own_room)
+    if best is None:
+        return {}
+    before = sum(v for r, o in zip(few, options) for c, v in o if c == cost(r["_c"]))
+    if sum(o[k][1] for o, k in zip(options, best)) <= before:
+        return {}
+    return {r["tie"]: float(o[k][0]) for r, o, k in zip(few, options, best)}
+
+
 def select_with_budget(curve: DataFrame, max_avg_pct: float = DEFAULT_MAX_AVG_PCT, key: str = "listing_id",
                        revenue: str = "expected_revenue", option: str = "option_id", feasible: str | None = None,
-                       gather: int = GATHER) -> tuple[DataFrame, dict]:
+                       gather: int = GATHER, refine: bool = False) -> tuple[DataFrame, dict]:
     """Returns (selection, summary).  ``selection`` has one row per listing with the
     chosen option's columns plus ``abs_price_change_pct``; ``summary`` holds the budget,
     used cost, multiplier (efficiency of the first step left out), objective, upper bound
@@ -132,7 +188,36 @@ def select_with_budget(curve: DataFrame, max_avg_pct: float = DEFAULT_MAX_AVG_PC
     cost = "abs_price_change_pct"
     costed = change_cost(curve, out=cost)
     names = [c for c in costed.columns if c not in (key, feasible)]
-    packed = pack_options(costed, key, revenue, option, cost, feasible)
+    return select_from_packed(pack_options(costed, key, revenue, option, cost, feasible), names, max_avg_pct, key, revenue,
+                              gather, refine)
+
+
+def packed_array(options: Column, current: Column, allowed, payload) -> Column:
+    """``_o`` of ``select_from_packed`` from a listing's own array of options, cheapest first; of one cost
+    the last counts (``best_of_each_cost``).  ``allowed`` judges an option, ``payload`` is what to keep."""
+    def one(x: Column) -> Column:
+        cost = round_half_even_fp(change_percent(current, x["candidate_price"]), 6)
+        order = choice_order(x["expected_revenue"], x["option_id"].cast("long"), x["candidate_price"], current)
+        return F.struct(cost.alias("c"), order.alias("r"), payload(x).alias("p"))
+    open_ = F.filter(options, lambda x: allowed(x) & x["expected_revenue"].isNotNull() & change_percent(current, x["candidate_price"]).isNotNull())
+    return _with_values(F.sort_array(F.transform(open_, one)))
+
+
+def _with_values(options: Column) -> Column:
+    return F.transform(options, lambda x: F.struct(
+        x["c"].alias("c"), x["r"]["v"].alias("v"), (-x["r"]["n"]).alias("o"), x["r"].alias("r"), x["p"].alias("p")))
+
+
+def best_of_each_cost(sorted_options: str) -> Column:
+    own = F.col(sorted_options)
+    return F.filter(own, lambda x, i: F.coalesce(F.try_element_at(own, i + 2)["c"] != x["c"], F.lit(True)))
+
+
+def select_from_packed(packed: DataFrame, names: Sequence[str], max_avg_pct: float, key: str = "listing_id",
+                       revenue: str = "expected_revenue", gather: int = GATHER, refine: bool = False) -> tuple[DataFrame, dict]:
+    """``select_with_budget`` on one row for each listing: key and ``_o``, its options (c, v, o, r, p), cheapest
+    first, one for each cost; ``names`` are the fields of p."""
+    cost = "abs_price_change_pct"
     tie = F.md5(F.col(key).cast("string"))
     packed = cut_lineage(packed.select(key, "_o", F.when(F.size("_o") > 0, _hull(F.col("_o"))).alias("_h"),
                                        tie.alias("tie")))
@@ -171,6 +256,12 @@ def select_with_budget(curve: DataFrame, max_avg_pct: float = DEFAULT_MAX_AVG_PC
                                  (F.col("tie") < own) | ((F.col("tie") == own) & (h["k"] < k0)))))
             chosen = F.element_at(taken, -1)["c"]
             summary.update(status="feasible", multiplier=float(left["eff"]))
+            plain_choice = chosen
+            if refine:
+                spent = _sum(packed.withColumn("_c", chosen), money(F.col("_c")))
+                again = _refined(packed, chosen, limit - spent, float(left["eff"]), key)
+                for own_tie, c in again.items():
+                    chosen = F.when(F.col("tie") == F.lit(own_tie), F.lit(c)).otherwise(chosen)
     picked = F.element_at(F.filter("_o", lambda x: x["c"] == F.col("_c")), 1)["p"]
     sel = packed.withColumn("_c", chosen).where("_c is not null").withColumn("_p", picked).select(
         key, *[F.col("_p")[c].alias(c) for c in names])
@@ -181,6 +272,10 @@ def select_with_budget(curve: DataFrame, max_avg_pct: float = DEFAULT_MAX_AVG_PC
     used, value = float(tot["c"] or 0), float(tot["v"] or 0.0)
     # the relaxed optimum: what is taken and as much of the next step as fits
     upper = value + (float(limit - (tot["c"] or Decimal(0))) * left["eff"] if left is not None else 0.0)
+    if left is not None and refine:
+        plain = packed.select(F.element_at(F.filter("_o", lambda x: x["c"] == plain_choice), 1).alias("p")).agg(
+            F.sum(money(F.col("p.c"))).alias("c"), F.sum("p.v").alias("v")).first()
+        upper = max(value, float(plain["v"]) + float(limit - plain["c"]) * left["eff"])
     summary.update(used_cost=used, objective=value, upper_bound=upper, gap=max(upper - value, 0.0))
     return sel, summary
 

@@ -268,8 +268,7 @@ def _raw_file(lst: DataFrame) -> DataFrame:
 
 
 def q_h4_clean_batch(spark, sf_dir):
-    own = L(spark, sf_dir)
-    return round_doubles(clean.clean_batch(cut_lineage(_raw_file(own))))
+    return round_doubles(clean.clean_batch(cut_lineage(_raw_file(once(spark, sf_dir)))))
 
 
 def q_b12_drop_nulls(spark, sf_dir):
@@ -348,7 +347,7 @@ def q_d19_split(spark, sf_dir):
 
 
 def q_d13_frequency(spark, sf_dir):
-    lst = L(spark, sf_dir)
+    lst = L(spark, sf_dir, "listing_id", "neighbourhood_group")
     train, test = encoders.split(lst)
     freq = encoders.fit_frequency(train, "neighbourhood_group")
     tr = encoders.apply_frequency(train, freq, "neighbourhood_group", unseen_zero=False)
@@ -366,30 +365,39 @@ def q_d14_category_index(spark, sf_dir):
 
 
 def q_d15_median_imputer(spark, sf_dir):
-    lst = L(spark, sf_dir)
-    train, test = encoders.split(lst)
     cols = ["reviews_per_month", "availability_365", "service_fee"]
+    train, test = encoders.split(L(spark, sf_dir, "listing_id", *cols))
     st = encoders.fit_median_imputer(train, cols)
     return round_doubles(st.apply_fill(test).select("listing_id", *cols))
 
 
 def q_d16_std_scaler(spark, sf_dir):
-    lst = L(spark, sf_dir)
-    train, test = encoders.split(lst)
     cols = ["price", "number_of_reviews", "minimum_nights"]
+    train, test = encoders.split(L(spark, sf_dir, "listing_id", *cols))
     st = encoders.fit_std_scaler(train, cols)
     return round_doubles(encoders.apply_std_scaler(test.select("listing_id", *cols), st, cols))
 
 
 # ------------------------------------------------------------------ F
 
+#: What curves are made of.
+PRICED = ["listing_id", "price", "room_type", "neighbourhood_group", "competitor_avg_price", "reviews_per_month", "number_of_reviews",
+          "availability_365"]
+
+
 def _curve(spark, sf_dir):
-    return jobs.target_curve(L(spark, sf_dir))
+    return jobs.target_curve(L(spark, sf_dir, *PRICED))
 
 
 def _packed(spark, sf_dir):
-    """Listings with their options in one row, written once: rules and summaries read them again."""
-    return cut_lineage(options.with_options(L(spark, sf_dir)))
+    """Listings with their options in one row, written once: rules and summaries read them again.  There
+    is one listing for each part, so ids don't repeat (``unique_ids``)."""
+    return cut_lineage(options.with_options(L(spark, sf_dir, *PRICED)))
+
+
+def _options_once(spark, sf_dir):
+    """The same for what reads them once; a table of few files is dealt out first, as options cost time."""
+    return options.with_options(L(spark, sf_dir, *PRICED).repartition(spark.sparkContext.defaultParallelism))
 
 
 def q_f01_curve_without_price(spark, sf_dir):
@@ -425,7 +433,7 @@ def q_f06_option_ids(spark, sf_dir):
 
 
 def _recs(spark, sf_dir, **rules):
-    return round_doubles(options.recommend(_packed(spark, sf_dir), **rules))
+    return round_doubles(options.recommend(_packed(spark, sf_dir), unique_ids=True, **rules))
 
 
 def q_f08_select_best(spark, sf_dir):
@@ -474,18 +482,18 @@ def q_h2_recommendation(spark, sf_dir):
 
 
 def q_f09_infeasible(spark, sf_dir):
-    sel = options.select_best(_packed(spark, sf_dir), **ALL_RULES)
+    sel = options.select_best(_packed(spark, sf_dir), unique_ids=True, **ALL_RULES)
     return sel.filter(~F.col("feasible")).select("listing_id")
 
 
 def q_g09_recommendation_summary(spark, sf_dir):
-    return round_doubles(report.recommendation_summary(options.recommend(_packed(spark, sf_dir), **ALL_RULES)))
+    return round_doubles(report.recommendation_summary(options.recommend(_packed(spark, sf_dir), unique_ids=True, **ALL_RULES)))
 
 
 def q_g10_selection_summary(spark, sf_dir):
     rows = _packed(spark, sf_dir)
     flags = {"neighborhood": True}
-    sel = options.optimize(rows, area_pct=constraints.AREA_DEVIATION_PCT).where("feasible")
+    sel = options.optimize(rows, unique_ids=True, area_pct=constraints.AREA_DEVIATION_PCT).where("feasible")
     return round_doubles(report.selection_summary(rows, sel, flags, packed="options").select("*", "optional_constraints.*")
                          .drop("optional_constraints"))
 
@@ -494,7 +502,7 @@ def q_g07_true_before(spark, sf_dir):
     """The business table with the demand at the current price as the demand before."""
     rows = _packed(spark, sf_dir)
     demand = features.demand_score(L(spark, sf_dir, "listing_id", "reviews_per_month", "number_of_reviews", "availability_365"))
-    sel = options.optimize(rows).where("feasible").drop("feasible").join(
+    sel = options.optimize(rows, unique_ids=True).where("feasible").drop("feasible").join(
         demand.select("listing_id", F.col("demand_score").alias("now")), "listing_id")
     return round_doubles(report.build_recommendations(sel, true_before="now"))
 
@@ -549,7 +557,7 @@ def q_g02_half_cents(spark, sf_dir):
 
 
 def q_f17_selection(spark, sf_dir):
-    sel = options.optimize(_packed(spark, sf_dir), competitor_factor=constraints.COMPETITOR_FACTOR).where("feasible")
+    sel = options.optimize(_packed(spark, sf_dir), unique_ids=True, competitor_factor=constraints.COMPETITOR_FACTOR).where("feasible")
     return round_doubles(sel.select("listing_id", "option_id", "current_price", "recommended_price",
                                     "predicted_demand", "expected_revenue", "current_revenue_estimate",
                                     "expected_revenue_change", "price_change", "price_change_pct", "reason"))
@@ -563,10 +571,24 @@ BUDGET_COLUMNS = ["listing_id", "option_id", "current_price", "candidate_price",
 def q_f10_budget(spark, sf_dir):
     from rateweave.operators import budget
 
+    sel, _ = options.select_with_budget(_options_once(spark, sf_dir), budget.DEFAULT_MAX_AVG_PCT, unique_ids=True)
+    return round_doubles(sel.select(*BUDGET_COLUMNS))
+
+
+def q_f10_budget_long_curve(spark, sf_dir):
+    """The same from a curve that comes as rows."""
+    from rateweave.operators import budget
+
     sel, _ = budget.select_with_budget(_curve(spark, sf_dir), max_avg_pct=budget.DEFAULT_MAX_AVG_PCT)
     return round_doubles(sel.select(*BUDGET_COLUMNS))
 
 
+def q_f10_budget_packed_rules(spark, sf_dir):
+    """The budget over what the rules allow, on packed rows."""
+    sel, _ = options.select_with_budget(_options_once(spark, sf_dir), 5.0, competitor_factor=constraints.COMPETITOR_FACTOR)
+    return round_doubles(sel.select(*BUDGET_COLUMNS))
+
+
 def _alike(spark, sf_dir):
     """One and the same curve for every listing."""
     lst = L(spark, sf_dir, "listing_id")
@@ -592,6 +614,19 @@ def q_f10_budget_with_rules(spark, sf_dir):
     return round_doubles(sel.select(*BUDGET_COLUMNS))
 
 
+def q_f10_budget_refined(spark, sf_dir):
+    """The listings nearest the cut chosen anew: within the budget, one option for each listing, never
+    worse than the cut alone, gap against the same upper bound."""
+    from rateweave.operators import budget
+
+    curve = cut_lineage(_curve(spark, sf_dir))
+    sel, s = budget.select_with_budget(curve, max_avg_pct=budget.DEFAULT_MAX_AVG_PCT, refine=True)
+    _, plain = budget.select_with_budget(curve, max_avg_pct=budget.DEFAULT_MAX_AVG_PCT)
+    return sel.agg(F.count(F.lit(1)).alias("listings"), F.count_distinct("listing_id").alias("distinct_listings")).select(
+        "*", F.lit(s["used_cost"] <= s["budget"] + 1e-6).alias("within_budget"),
+        F.lit(s["objective"] >= plain["objective"]).alias("never_worse"), F.lit(s["gap"] <= plain["gap"] + 1e-9).alias("gap_not_larger"))
+
+
 def q_f10_budget_summary(spark, sf_dir):
     from rateweave.operators import budget
 

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rateweave.functions.exprs import DEFAULT_ELASTICITY, elastic_demand, lit_double, round_half_even_fp
-from rateweave.operators import constraints, curves, features, report, select
+from rateweave.operators import budget, constraints, curves, features, report, select
 from rateweave.operators.curves import CURVE_HI, CURVE_LO, CURVE_POINTS
 from rateweave.operators.joins import attach_stats
 
@@ -147,3 +147,22 @@ def recommend(rows: DataFrame, on_infeasible: str = "report", true_before: bool
     if on_infeasible == "error":
         select.require_feasible(sel)
     return report.build_recommendations(sel.filter(F.col("feasible")).drop("feasible"), true_before=nearest)
+
+
+def select_with_budget(rows: DataFrame, max_avg_pct: float = budget.DEFAULT_MAX_AVG_PCT, unique_ids: bool | None = None,
+                       refine: bool = False, **chosen_rules) -> tuple[DataFrame, dict]:
+    """F-10 from packed rows: as ``budget.select_with_budget`` on their long curve, without exploding or
+    shuffling options unless ids repeat."""
+    limited, allowed = rules(rows, **chosen_rules)
+    cost, carried = "abs_price_change_pct", ["current_price", "room_type", "neighbourhood_group", "competitor_avg_price"]
+    if unique_ids is False or unique_ids is None and ids_repeat(rows):
+        flagged = limited.select("*", F.inline("options")).withColumn("feasible", allowed(F.col("candidate_price")))
+        return budget.select_with_budget(flagged.select("listing_id", *OPTION, *carried, "feasible"), max_avg_pct,
+                                         feasible="feasible", refine=refine)
+    cur = F.col("current_price")
+    own = limited.where(F.size("options") > 0).select("listing_id", budget.packed_array(
+        F.col("options"), cur, lambda o: allowed(o["candidate_price"]),
+        lambda o: F.struct(*[o[c].alias(c) for c in OPTION], *[F.col(c).alias(c) for c in carried],
+                           budget.change_percent(cur, o["candidate_price"]).alias(cost))).alias("_s"))
+    packed = own.select("listing_id", budget.best_of_each_cost("_s").alias("_o"))
+    return budget.select_from_packed(packed, [*OPTION, *carried, cost], max_avg_pct, refine=refine)

@@ -987,6 +987,11 @@ def f04_static_once() -> str:
     return with_listings("SELECT listing_id, CAST(15 AS BIGINT) AS options, TRUE AS same FROM listings WHERE price IS NOT NULL")
 
 
+def f10_budget_refined() -> str:
+    return with_listings("""SELECT count(*) AS listings, count(DISTINCT listing_id) AS distinct_listings, TRUE AS within_budget,
+  TRUE AS never_worse, TRUE AS gap_not_larger FROM listings WHERE price IS NOT NULL""")
+
+
 def e10_run_log() -> str:
     return with_listings(f"""SELECT 'run' || i AS run_name, CAST((SELECT count(*) FROM listings) AS VARCHAR) AS rows, {D(1)} + i AS rmse,
   {D(0.5)} AS mae, {D(0.1)} AS r2, TRUE AS timed FROM range(0, 2) t(i)""")
@@ -1063,6 +1068,9 @@ ORACLES = {
     "f16_column_bounds_long": f16_column_bounds,
     "f10_budget": f10_budget,
     "f10_budget_alike": f10_budget_alike,
+    "f10_budget_refined": f10_budget_refined,
+    "f10_budget_long_curve": f10_budget,
+    "f10_budget_packed_rules": f10_budget_with_rules,
     "f10_budget_with_rules": f10_budget_with_rules,
     "f10_budget_summary": f10_budget_summary,
     "e01_linear_two": e01_linear_two,

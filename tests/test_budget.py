@@ -97,3 +97,30 @@ def test_all_steps_fit_and_only_ties_are_dear(spark):
         assert (s["status"], s["multiplier"], s["used_cost"], s["gap"]) == ("optimal", 0.0, 120.0, 0.0)
     assert found[5] == found[50] == found[100_000]
     assert set(found[5][0].values()) == {3} and len(found[5][0]) == 80
+
+
+def test_refined_budget_is_the_optimum_of_few_listings(spark):
+    import itertools
+    import random
+
+    r = random.Random(11)
+    better = 0
+    for trial in range(8):
+        n = r.randint(2, 8)
+        rows = []
+        for i in range(n):
+            rows += [(i, k, 100.0, 100.0 + r.choice([-1, 1]) * r.randint(0, 3000) / 100, round(r.uniform(1, 100), 2)) for k in range(r.randint(2, 4))]
+        curve = spark.createDataFrame(rows, "listing_id long, option_id int, current_price double, candidate_price double, expected_revenue double")
+        mean = r.uniform(6, 14)
+        sel, s = budget.select_with_budget(curve, mean, refine=True)
+        _, plain = budget.select_with_budget(curve, mean)
+        by = [[(round(abs(c - p) / p * 100, 6), v) for i, _, p, c, v in rows if i == k] for k in range(n)]
+        fits = [sum(v for _, v in x) for x in itertools.product(*by) if sum(c for c, _ in x) <= n * mean + 1e-9]
+        if not fits:
+            assert s["status"] == plain["status"] == "infeasible"
+            continue
+        got = sel.collect()
+        assert len(got) == n and abs(sum(x.expected_revenue for x in got) - max(fits)) < 1e-6
+        assert s["used_cost"] <= s["budget"] + 1e-6 and s["gap"] <= plain["gap"] + 1e-9 and s["upper_bound"] >= max(fits) - 1e-6
+        better += s["objective"] > plain["objective"] + 1e-9
+    assert better
