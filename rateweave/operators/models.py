@@ -144,7 +144,7 @@ def grid_search(train: DataFrame, kind: str, numeric: Sequence[str], categorical
     The preprocessor is fitted once on the tuning subset and its features are written once; each
     (point, fold) is a fit of its own on the other folds, some at a time, whose predictions are
     written.  Rows without a label are left out.  An empty fold has no rows and no score."""
-    from rateweave.session import cut_lineage
+    from rateweave.session import call_in_context, cut_lineage, in_context
 
     points = grid_points(grid or (FOREST_GRID if kind == "forest" else GBT_GRID))
     subset = cut_lineage(tuning_subset(train.where(F.col(label).isNotNull()), subset_rows))
@@ -160,7 +160,8 @@ def grid_search(train: DataFrame, kind: str, numeric: Sequence[str], categorical
             F.lit(point).alias("point"), "fold", key, label, "prediction"))
 
     with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
-        written = list(pool.map(one, itertools.product(range(len(points)), range(folds))))
+        jobs = in_context(one, itertools.product(range(len(points)), range(folds)))
+        written = list(pool.map(call_in_context, jobs))
     predictions = functools.reduce(DataFrame.unionByName, written)
     return points, predictions, fold_scores(predictions, label)
 

@@ -8,6 +8,7 @@ configured (tests, bench), never overriding a cluster setting.
 from __future__ import annotations
 
 import contextlib
+import contextvars
 import os
 import tempfile
 import uuid
@@ -46,7 +47,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir() or configured
-    if not sc.master.startswith("local"):
+    if sc.master != "local" and not sc.master.startswith("local["):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share: "
                            "on a cluster there is no default")
     scratch = tempfile.mkdtemp(prefix="rateweave-ckpt-", dir=os.environ.get("RATEWEAVE_SCRATCH", "/tmp"))
@@ -66,23 +67,39 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     root = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{root}/tables/{uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(path)
-    _WRITTEN.append(path)
+    written = _WRITTEN.get()
+    if written is not None:
+        written.append(path)
     return spark.read.parquet(path)
 
 
-_WRITTEN: list[str] = []
+#: Tables of the innermost scope, of this thread's context alone.
+_WRITTEN: contextvars.ContextVar[list[str] | None] = contextvars.ContextVar("written", default=None)
+
+
+def in_context(fn, jobs) -> list:
+    """``jobs`` paired with a call of ``fn`` in a copy of this context, for threads of a pool."""
+    return [(contextvars.copy_context(), fn, job) for job in jobs]
+
+
+def call_in_context(bound: tuple):
+    context, fn, job = bound
+    return context.run(fn, job)
 
 
 @contextlib.contextmanager
 def intermediates(spark: SparkSession):
     """Within this scope, tables that ``cut_lineage`` writes are removed at the end: for jobs
-    whose results stand in their own sinks by then."""
-    first = len(_WRITTEN)
+    whose results stand in their own sinks by then.  Scopes of jobs that run side by side in
+    threads of their own don't touch each other's tables; an inner scope removes its own."""
+    own: list[str] = []
+    token = _WRITTEN.set(own)
     try:
         yield
     finally:
+        _WRITTEN.reset(token)
         jvm = spark.sparkContext._jvm
         conf = spark.sparkContext._jsc.hadoopConfiguration()
-        while len(_WRITTEN) > first:
-            path = jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
+        while own:
+            path = jvm.org.apache.hadoop.fs.Path(own.pop())
             path.getFileSystem(conf).delete(path, True)
