@@ -86,7 +86,7 @@ def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_spot_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Fingerprints of all documents and of their edited texts."""
+    """Fingerprints of all documents and of their edited texts, with classes and how many others are similar."""
     return spot_signatures.edited_fingerprints(table(spark, sf_dir, "documents"))
 
 

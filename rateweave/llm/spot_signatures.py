@@ -7,17 +7,20 @@ A text without a signature has one, of its whole letters and digits, so that equ
 have equal fingerprints and others don't meet.
 
 Likeness is the Jaccard similarity of two fingerprints, not computed where their lengths
-alone rule it out.  ``similar_classes`` partitions fingerprints by their length such that
-similar ones are in one partition or in neighbouring ones, joins them there by the
-rarest of their signatures, and prunes by length before it compares.
+alone rule it out.  Equal fingerprints are a class.  ``similar_sets`` partitions the classes by
+their length such that similar ones are in one partition or in neighbouring ones, joins them
+there by the rarest of their signatures, and prunes by length and place before it compares.
 
 Null texts count as empty.  Rows with one doc_id are separate documents, in the order of
-their texts' hashes; null ids stand last.  An empty table gives no rows.
+their texts' hashes; null ids stand last, and a class of null ids alone has a null class_id.
+Columns of other names are not read, so they can't clash.  A text of any length is one row.
+An empty table gives no rows.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -31,6 +34,10 @@ le la les de des du un une et est dans que pour sur en au par
 el los las una y es en del que por con para se no al""".split()
 CHAIN = 3
 SKIP = 8
+#: One of so many signatures is counted; the others stand behind the counted ones.
+COUNTED = 3
+#: Lists of more sets are cut.
+LIST_SETS = 1000
 
 _MARK = "\u0001"
 _NEXT = "\u0002"
@@ -88,9 +95,10 @@ def _part_of(bounds: list[int], value: Column) -> Column:
     return (coarse * step + F.size(F.filter(own, lambda b: b < value))).cast("int")
 
 
-def with_next(docs: DataFrame, columns: list[str], id_col: str = "doc_id", tie: str = "_tie") -> DataFrame:
+def with_next(docs: DataFrame, columns: list[str], id_col: str = "doc_id", tie: str = "_tie",
+              arrived: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
     """``docs`` with ``next_<column>`` of the next row in descending order of the id; the first
-    row's after the last.
+    row's after the last.  ``arrived`` may add columns after the rows have moved.
 
     Ranges of the id, cut at its quantiles, are ordered one by one.  The first row of each
     range is also sent, by its id, to the end of the range before it, so nothing is sorted
@@ -116,27 +124,62 @@ def with_next(docs: DataFrame, columns: list[str], id_col: str = "doc_id", tie:
         .otherwise(F.array(F.struct(F.col("_part").alias("p"), F.lit(0).alias("ghost")))))
     sent = own.withColumn("_at", F.explode("_to")).withColumn("_p", F.col("_at.p")).withColumn("_ghost", F.col("_at.ghost"))
     window = Window.partitionBy("_p").orderBy("_ghost", F.col("_key").desc(), tie)
+    sent = arrived(sent.repartition("_p"))
     return sent.withColumns({f"next_{c}": F.lead(c).over(window) for c in columns}) \
         .where("_ghost = 0").drop("_part", "_key", "_to", "_at", "_p", "_ghost")
 
 
-def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def _print(fingerprint: Column) -> Column:
+    """128 bits that stand for a fingerprint in joins."""
+    return F.unhex(F.md5(fingerprint))
+
+
+def _signs(fingerprint: Column) -> Column:
+    """The signatures of a fingerprint as sorted integers."""
+    return F.transform(F.split(fingerprint, " "),
+                       lambda x: (F.conv(x, 16, 10).cast("long") - F.lit(1 << 31)).cast("int"))
+
+
+def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                        threshold: float = 0.8) -> DataFrame:
     """One row for each document: doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint,
-    near_edited and near_next.  The edited text ends, for the last half of its code points, with
-    as many from the start of the next document (or all it has)."""
+    near_edited, near_next, class_id (the smallest doc_id of equal fingerprints) and n_similar (other
+    classes of likeness ``threshold`` or more).  The edited text ends, for the last half of its code
+    points, with as many from the start of the next document (or all it has)."""
     own = docs.select(F.col(id_col).cast("long").alias("doc_id"),
                       F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    own = with_fingerprint(own, "text", "fingerprint").withColumn("_tie", F.xxhash64("text"))
-    moved = with_next(own, ["text", "fingerprint"])
+    links = class_links(with_fingerprint(own, "text", "fingerprint"), threshold)
+    # Texts move alone: fingerprints are made where they arrive.
+    moved = with_next(own.withColumn("_tie", F.xxhash64("text")), ["text", "fingerprint"],
+                      arrived=lambda df: with_fingerprint(df, "text", "fingerprint"))
     n = F.length("text")
     half = F.floor(n / 2).cast("int")
     moved = moved.select("doc_id", n.cast("long").alias("n_chars"), "fingerprint", "next_fingerprint",
                          F.concat(F.substring(F.col("text"), F.lit(1), n - half),
                                   F.substring(F.col("next_text"), F.lit(1), half)).alias("edited"))
     out = with_fingerprint(moved, "edited", "edited_fingerprint")
-    return out.select("doc_id", "n_chars", F.sha2(F.col("edited"), 256).alias("edited_sha256"), "fingerprint",
-                      "edited_fingerprint", likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
-                      likeness(F.col("fingerprint"), F.col("next_fingerprint")).alias("near_next"))
+    out = out.select("doc_id", "n_chars", F.sha2(F.col("edited"), 256).alias("edited_sha256"), "fingerprint",
+                     "edited_fingerprint", likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
+                     likeness(F.col("fingerprint"), F.col("next_fingerprint")).alias("near_next"),
+                     _print(F.col("fingerprint")).alias("print"))
+    return out.join(links, "print", "left").select(
+        *[c for c in out.columns if c != "print"],
+        F.when(F.col("n").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
+        F.coalesce("n_similar", F.lit(0).cast("long")).alias("n_similar"))
+
+
+def class_links(prints: DataFrame, threshold: float = 0.8) -> DataFrame:
+    """(print, class_id, n, n_similar) of the classes of several documents and of those that other
+    classes are similar to; all others have one document and no similar class."""
+    own = prints.select("doc_id", _print(F.col("fingerprint")).alias("print"), _signs(F.col("fingerprint")).alias("signs"))
+    # A class that holds null ids alone has no smallest id, so classes are joined by numbers.
+    named = cut_lineage(own.groupBy("print", "signs").agg(F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("n"))
+                        .withColumn("node", F.monotonically_increasing_id()))
+    pairs = similar_sets(named.select("node", "signs"), threshold)
+    counts = pairs.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node") \
+        .agg(F.count(F.lit(1)).alias("n_similar"))
+    return cut_lineage(named.drop("signs").join(counts, "node", "left").where("n > 1 or n_similar is not null")
+                       .select("print", "class_id", "n", "n_similar"))
 
 
 def classes(fingerprints: DataFrame, id_col: str = "doc_id") -> DataFrame:
@@ -145,28 +188,63 @@ def classes(fingerprints: DataFrame, id_col: str = "doc_id") -> DataFrame:
 
 
 def similar_classes(named: DataFrame, threshold: float = 0.8) -> DataFrame:
-    """(a, b, likeness) for every two classes of likeness ``threshold`` or more, a < b, without null ids.
-
-    Fingerprints are partitioned by their number of signatures, so that similar ones are in one
-    partition or in neighbouring ones.  There they are joined on their rarest signatures, as
-    many as similar sets can't all differ in, and pruned by length before they are compared.
-    Signatures that stand in a single fingerprint join nothing and are not sent."""
-    own = cut_lineage(named.where("class_id is not null"))
-    signs = own.select("class_id", F.explode(F.split("fingerprint", " ")).alias("sign"))
-    often = signs.groupBy("sign").agg(F.count(F.lit(1)).alias("n"))
-    ranked = signs.join(often, "sign").withColumn("rank", F.row_number().over(
-        Window.partitionBy("class_id").orderBy("n", "sign")))
-    size = F.size(F.split("fingerprint", " "))
-    length_class = F.floor(F.log(size.cast("double")) / F.lit(-math.log(threshold))).cast("int")
-    sized = own.select("class_id", "fingerprint", size.alias("size"), length_class.alias("c"))
-    first = ranked.where("n > 1").select("class_id", "sign", "rank").join(sized, "class_id") \
-        .where(F.col("rank") <= F.col("size") - F.ceil(F.col("size") * threshold - 1e-9) + 1)
-    entries = cut_lineage(first.select("sign", F.explode(F.array(F.col("c"), F.col("c") + 1)).alias("part"),
-                                       F.col("class_id").alias("a"), F.col("size").alias("size_a")))
-    other = entries.select("sign", "part", F.col("a").alias("b"), F.col("size_a").alias("size_b"))
-    pairs = entries.join(other, ["sign", "part"]).where("a < b").where(
-        F.least("size_a", "size_b") >= F.greatest("size_a", "size_b") * threshold - 1e-9).select("a", "b").distinct()
-    left = own.select(F.col("class_id").alias("a"), F.col("fingerprint").alias("fa"))
-    right = own.select(F.col("class_id").alias("b"), F.col("fingerprint").alias("fb"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", likeness(F.col("fa"), F.col("fb"), threshold).alias("likeness")) \
-        .where(F.col("likeness") >= threshold)
+    """(a, b, likeness) for every two classes of likeness ``threshold`` or more, a < b, without null ids."""
+    return similar_sets(cut_lineage(named.where("class_id is not null").select(
+        F.col("class_id").alias("node"), _signs(F.col("fingerprint")).alias("signs"))), threshold)
+
+
+def _counted(sign: Column) -> Column:
+    return F.pmod(sign, F.lit(COUNTED)) == 0
+
+
+def similar_sets(sets: DataFrame, threshold: float = 0.8, list_sets: int = LIST_SETS) -> DataFrame:
+    """(a, b, likeness) for every two sets of a written table (node, signs) of likeness ``threshold`` or
+    more, a < b.
+
+    Signatures stand in one order for all sets: counted ones from rare to frequent, then the others.
+    Similar sets share one of their first, as many as they can't all differ in; signatures of a single
+    set join nothing there, and a set that fills its first places with them goes no further.  The rest
+    are listed by signature and length partition, such that similar lengths share a partition.  In a
+    list, lengths and places prune two sets before they are compared; they are taken at the first
+    signature that both lists know and in the partition of the longer.  A list of over ``list_sets``
+    sets is cut into slices, each joined with the list by a group of its own."""
+    size = F.size("signs")
+    first = (size - F.ceil(size * F.lit(threshold) - 1e-9) + 1).cast("int")
+    sized = sets.withColumns({"size": size, "first": first,
+                              "n_counted": F.size(F.filter("signs", _counted))})
+    counted = sized.select("node", "first", "n_counted", F.explode(F.filter("signs", _counted)).alias("sign"))
+    often = sets.select(F.explode(F.filter("signs", _counted)).alias("sign")).groupBy("sign") \
+        .agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    shared = cut_lineage(counted.join(often, "sign").groupBy("node", "first", "n_counted")
+                         .agg(F.sort_array(F.collect_list(F.struct("n", "sign"))).alias("shared"))
+                         .where("n_counted - size(shared) < first")
+                         .select("node", F.transform("shared", lambda x: x["sign"]).alias("shared")))
+    left = sized.join(shared, "node", "left").where("shared is not null or n_counted < first") \
+        .withColumn("shared", F.coalesce("shared", F.array().cast("array<int>"))) \
+        .withColumn("alone", F.col("n_counted") - F.size("shared"))
+    order = F.concat("shared", F.filter("signs", lambda s: ~_counted(s)))
+    left = cut_lineage(left.select("node", "signs", "size", "alone", F.slice(order, 1, F.col("first") - F.col("alone"))
+                                   .alias("prefix"),
+                                   F.floor(F.log(size.cast("double")) / F.lit(-math.log(threshold)) + 1e-9).cast("int").alias("c")))
+    places = left.select("node", "size", "alone", "prefix", "c", F.posexplode("prefix").alias("at", "sign")) \
+        .withColumn("part", F.explode(F.array(F.col("c"), F.col("c") + 1)))
+    entries = places.select("sign", "part", "node", "size", "c", (F.col("alone") + F.col("at")).alias("place"), "prefix")
+    lists = entries.groupBy("sign", "part").agg(F.count(F.lit(1)).alias("n")).where("n > 1") \
+        .select("sign", "part", F.ceil(F.col("n") / list_sets).cast("int").alias("slices"))
+    entries = cut_lineage(entries.join(lists, ["sign", "part"]))
+    side = lambda s, of: of.select("sign", "part", "slice", *[F.col(c).alias(f"{c}_{s}")
+                                                             for c in ("node", "size", "c", "place", "prefix")])
+    a = side("a", entries.withColumn("slice", F.pmod(F.xxhash64("node"), F.col("slices")).cast("int")))
+    b = side("b", entries.withColumn("slice", F.explode(F.sequence(F.lit(0), F.col("slices") - 1))))
+    least = F.ceil((F.col("size_a") + F.col("size_b")) * F.lit(threshold / (1 + threshold)) - 1e-9)
+    pairs = a.join(b, ["sign", "part", "slice"]).where("node_a < node_b").where(
+        F.least("size_a", "size_b") >= F.greatest("size_a", "size_b") * threshold - 1e-9).where(
+        F.col("part") == F.greatest("c_a", "c_b")).where(
+        F.least(F.col("size_a") - F.col("place_a"), F.col("size_b") - F.col("place_b")) >= least).where(
+        F.element_at(F.array_intersect("prefix_a", "prefix_b"), 1) == F.col("sign")).select(
+        F.col("node_a").alias("a"), F.col("node_b").alias("b"))
+    common = F.size(F.array_intersect("sa", "sb"))
+    near = common / (F.size("sa") + F.size("sb") - common)
+    return pairs.join(left.select(F.col("node").alias("a"), F.col("signs").alias("sa")), "a") \
+        .join(left.select(F.col("node").alias("b"), F.col("signs").alias("sb")), "b") \
+        .select("a", "b", near.alias("likeness")).where(F.col("likeness") >= threshold)

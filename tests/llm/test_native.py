@@ -13,6 +13,7 @@ from rateweave.llm import chat_trees as C
 from rateweave.llm import hash_tree as H
 from rateweave.llm import pii as P
 from rateweave.llm import spot_signatures as S
+from rateweave.session import cut_lineage
 
 DOCS = "doc_id long, text string"
 ODD = [(1, None), (2, ""), (3, "x" * 5_000), (4, "the " * 30_000), (5, "tie"), (5, "tie"), (None, "null id"), (6, "é😀" * 900)]
@@ -252,6 +253,49 @@ def test_similar_classes_against_brute_force(spark, seed):
     assert {(x.a, x.b) for x in S.similar_classes(named, 0.8).collect()} == want and want
 
 
+def near_rows(seed):
+    """Documents in groups of near copies, with copies, repeated and null ids."""
+    r = random.Random(seed)
+    rows = doc_rows(seed, 40)
+    for i in range(100, 220):
+        words = (r.choice(rows[:60])[1] or "the cat sat").split(" ")[:300]
+        for _ in range(r.choice([0, 1, 2, 6])):
+            words[r.randrange(len(words))] = r.choice(["changed", "the", "cat"])
+        rows.append((r.choice([i, i, i, 7, None]), " ".join(words)))
+    return rows
+
+
+@pytest.mark.parametrize("threshold, list_sets", [(0.8, 1000), (0.8, 3), (0.5, 2), (0.95, 1000)])
+def test_similar_sets_against_brute_force(spark, threshold, list_sets):
+    r = random.Random(list_sets)
+    pools = [list(range(k, k + 60)) for k in (0, 40, 500)]
+    sets = {k: sorted(r.sample(pool, r.randint(1, 60 if k % 2 else 6))) for k, pool in enumerate(pools * 40)}
+    for k in range(200, 280):
+        base = sets[r.choice(sorted(sets))]
+        sets[k] = sorted((set(base) - {r.choice(base)}) | {r.choice([-5, -9, 700 + k, base[0]])})
+    table = cut_lineage(spark.createDataFrame([(k, v) for k, v in sets.items()], "node long, signs array<int>"))
+    got = {(x.a, x.b): x.likeness for x in S.similar_sets(table, threshold, list_sets).collect()}
+    near = lambda a, b: len(a & b) / len(a | b)
+    own = {k: set(v) for k, v in sets.items()}
+    want = {(a, b): near(own[a], own[b]) for a in own for b in own if a < b and near(own[a], own[b]) >= threshold}
+    assert got == want and want
+
+
+def test_classes_of_documents(spark):
+    rows = near_rows(3)
+    df = spark.createDataFrame(rows, DOCS)
+    got = S.edited_fingerprints(df.repartition(3)).collect()
+    assert len(got) == len(rows)
+    ids: dict[str, list] = {}
+    for x in got:
+        ids.setdefault(x.fingerprint, []).append(x.doc_id)
+    sets = {f: set(f.split(" ")) for f in ids}
+    for x in got:
+        others = sum(len(s & sets[x.fingerprint]) >= 0.8 * len(s | sets[x.fingerprint]) for f, s in sets.items() if f != x.fingerprint)
+        assert (x.class_id, x.n_similar) == (min((i for i in ids[x.fingerprint] if i is not None), default=None), others)
+    assert any(x.n_similar for x in got) and any(x.class_id != x.doc_id for x in got if x.doc_id is not None)
+
+
 # ---- 3: conversations
 
 def test_linear_conversations(spark):
