@@ -86,10 +86,15 @@ def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_spot_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Fingerprints of all documents and of their edited texts, with classes and how many others are similar."""
+    """Fingerprints of all documents and of their edited texts."""
     return spot_signatures.edited_fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op9_spot_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Classes of equal fingerprints of all documents, and how many other classes are similar."""
+    return spot_signatures.document_classes(table(spark, sf_dir, "documents"))
+
+
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of all documents written to files and read back."""
     path = scratch(spark, "tokens")
@@ -115,6 +120,6 @@ def op13_cover_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_suffix_dedup, op2_best_fit_packing, op3_chat_trees, op4_ngram_join, op4_ngram_links, op5_quality, op6_hash_tree,
-        op7_decontaminate, op7_decontaminate_matches, op8_pii, op9_spot_signatures, op10_token_files,
+        op7_decontaminate, op7_decontaminate_matches, op8_pii, op9_spot_signatures, op9_spot_classes, op10_token_files,
         op11_window_packing, op12_conversation_repair, op13_cover_codes)
 }

@@ -140,15 +140,12 @@ def _signs(fingerprint: Column) -> Column:
                        lambda x: (F.conv(x, 16, 10).cast("long") - F.lit(1 << 31)).cast("int"))
 
 
-def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                        threshold: float = 0.8) -> DataFrame:
+def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row for each document: doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint,
-    near_edited, near_next, class_id (the smallest doc_id of equal fingerprints) and n_similar (other
-    classes of likeness ``threshold`` or more).  The edited text ends, for the last half of its code
-    points, with as many from the start of the next document (or all it has)."""
+    near_edited and near_next.  The edited text ends, for the last half of its code points, with
+    as many from the start of the next document (or all it has)."""
     own = docs.select(F.col(id_col).cast("long").alias("doc_id"),
                       F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    links = class_links(with_fingerprint(own, "text", "fingerprint"), threshold)
     # Texts move alone: fingerprints are made where they arrive.
     moved = with_next(own.withColumn("_tie", F.xxhash64("text")), ["text", "fingerprint"],
                       arrived=lambda df: with_fingerprint(df, "text", "fingerprint"))
@@ -158,12 +155,21 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                          F.concat(F.substring(F.col("text"), F.lit(1), n - half),
                                   F.substring(F.col("next_text"), F.lit(1), half)).alias("edited"))
     out = with_fingerprint(moved, "edited", "edited_fingerprint")
-    out = out.select("doc_id", "n_chars", F.sha2(F.col("edited"), 256).alias("edited_sha256"), "fingerprint",
-                     "edited_fingerprint", likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
-                     likeness(F.col("fingerprint"), F.col("next_fingerprint")).alias("near_next"),
-                     _print(F.col("fingerprint")).alias("print"))
-    return out.join(links, "print", "left").select(
-        *[c for c in out.columns if c != "print"],
+    return out.select("doc_id", "n_chars", F.sha2(F.col("edited"), 256).alias("edited_sha256"), "fingerprint",
+                      "edited_fingerprint", likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
+                      likeness(F.col("fingerprint"), F.col("next_fingerprint")).alias("near_next"))
+
+
+def document_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8) -> DataFrame:
+    """One row for each document: doc_id, fingerprint, class_id (the smallest doc_id of equal fingerprints)
+    and n_similar (other classes of likeness ``threshold`` or more).  Each link between two classes is
+    made once, so the work grows with the links: with the square of a group of near copies."""
+    own = docs.select(F.col(id_col).cast("long").alias("doc_id"),
+                      F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    prints = cut_lineage(with_fingerprint(own, "text", "fingerprint").select("doc_id", "fingerprint"))
+    links = class_links(prints, threshold)
+    return prints.withColumn("print", _print(F.col("fingerprint"))).join(links, "print", "left").select(
+        "doc_id", "fingerprint",
         F.when(F.col("n").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
         F.coalesce("n_similar", F.lit(0).cast("long")).alias("n_similar"))
 

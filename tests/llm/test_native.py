@@ -284,7 +284,9 @@ def test_similar_sets_against_brute_force(spark, threshold, list_sets):
 def test_classes_of_documents(spark):
     rows = near_rows(3)
     df = spark.createDataFrame(rows, DOCS)
-    got = S.edited_fingerprints(df.repartition(3)).collect()
+    out = S.document_classes(df.repartition(3))
+    assert is_native(out) and S.document_classes(df.limit(0)).count() == 0
+    got = out.collect()
     assert len(got) == len(rows)
     ids: dict[str, list] = {}
     for x in got:
