@@ -10,6 +10,8 @@ Likeness is the Jaccard similarity of two fingerprints, not computed where their
 alone rule it out.  Equal fingerprints are a class.  ``similar_sets`` partitions the classes by
 their length such that similar ones are in one partition or in neighbouring ones, joins them
 there by the rarest of their signatures, and prunes by length and place before it compares.
+``similar_counts`` gives each set's number of similar ones and makes no pairs for most of them:
+sets of a group are compared with the group's common signatures, and their differences decide.
 
 Null texts count as empty.  Rows with one doc_id are separate documents, in the order of
 their texts' hashes; null ids stand last, and a class of null ids alone has a null class_id.
@@ -25,6 +27,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from rateweave.operators.joins import attach_stats
 from rateweave.session import cut_lineage
 
 #: Fixed word list: common words of four languages.
@@ -162,8 +165,7 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
 def document_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8) -> DataFrame:
     """One row for each document: doc_id, fingerprint, class_id (the smallest doc_id of equal fingerprints)
-    and n_similar (other classes of likeness ``threshold`` or more).  Each link between two classes is
-    made once, so the work grows with the links: with the square of a group of near copies."""
+    and n_similar (other classes of likeness ``threshold`` or more)."""
     own = docs.select(F.col(id_col).cast("long").alias("doc_id"),
                       F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     prints = cut_lineage(with_fingerprint(own, "text", "fingerprint").select("doc_id", "fingerprint"))
@@ -181,9 +183,7 @@ def class_links(prints: DataFrame, threshold: float = 0.8) -> DataFrame:
     # A class that holds null ids alone has no smallest id, so classes are joined by numbers.
     named = cut_lineage(own.groupBy("print", "signs").agg(F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("n"))
                         .withColumn("node", F.monotonically_increasing_id()))
-    pairs = similar_sets(named.select("node", "signs"), threshold)
-    counts = pairs.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node") \
-        .agg(F.count(F.lit(1)).alias("n_similar"))
+    counts = similar_counts(named.select("node", "signs"), threshold)
     return cut_lineage(named.drop("signs").join(counts, "node", "left").where("n > 1 or n_similar is not null")
                        .select("print", "class_id", "n", "n_similar"))
 
@@ -203,17 +203,10 @@ def _counted(sign: Column) -> Column:
     return F.pmod(sign, F.lit(COUNTED)) == 0
 
 
-def similar_sets(sets: DataFrame, threshold: float = 0.8, list_sets: int = LIST_SETS) -> DataFrame:
-    """(a, b, likeness) for every two sets of a written table (node, signs) of likeness ``threshold`` or
-    more, a < b.
-
-    Signatures stand in one order for all sets: counted ones from rare to frequent, then the others.
-    Similar sets share one of their first, as many as they can't all differ in; signatures of a single
-    set join nothing there, and a set that fills its first places with them goes no further.  The rest
-    are listed by signature and length partition, such that similar lengths share a partition.  In a
-    list, lengths and places prune two sets before they are compared; they are taken at the first
-    signature that both lists know and in the partition of the longer.  A list of over ``list_sets``
-    sets is cut into slices, each joined with the list by a group of its own."""
+def _listed(sets: DataFrame, threshold: float) -> DataFrame:
+    """(node, signs, size, alone, prefix, c) of the sets of a written table that may be similar to others:
+    the signatures of the first places that other sets may have, after ``alone`` ones that none has, and
+    the length partition."""
     size = F.size("signs")
     first = (size - F.ceil(size * F.lit(threshold) - 1e-9) + 1).cast("int")
     sized = sets.withColumns({"size": size, "first": first,
@@ -229,9 +222,23 @@ def similar_sets(sets: DataFrame, threshold: float = 0.8, list_sets: int = LIST_
         .withColumn("shared", F.coalesce("shared", F.array().cast("array<int>"))) \
         .withColumn("alone", F.col("n_counted") - F.size("shared"))
     order = F.concat("shared", F.filter("signs", lambda s: ~_counted(s)))
-    left = cut_lineage(left.select("node", "signs", "size", "alone", F.slice(order, 1, F.col("first") - F.col("alone"))
+    return cut_lineage(left.select("node", "signs", "size", "alone", F.slice(order, 1, F.col("first") - F.col("alone"))
                                    .alias("prefix"),
                                    F.floor(F.log(size.cast("double")) / F.lit(-math.log(threshold)) + 1e-9).cast("int").alias("c")))
+
+
+def similar_sets(sets: DataFrame, threshold: float = 0.8, list_sets: int = LIST_SETS) -> DataFrame:
+    """(a, b, likeness) for every two sets of a written table (node, signs) of likeness ``threshold`` or
+    more, a < b.
+
+    Signatures stand in one order for all sets: counted ones from rare to frequent, then the others.
+    Similar sets share one of their first, as many as they can't all differ in; signatures of a single
+    set join nothing there, and a set that fills its first places with them goes no further.  The rest
+    are listed by signature and length partition, such that similar lengths share a partition.  In a
+    list, lengths and places prune two sets before they are compared; they are taken at the first
+    signature that both lists know and in the partition of the longer.  A list of over ``list_sets``
+    sets is cut into slices, each joined with the list by a group of its own."""
+    left = _listed(sets, threshold)
     places = left.select("node", "size", "alone", "prefix", "c", F.posexplode("prefix").alias("at", "sign")) \
         .withColumn("part", F.explode(F.array(F.col("c"), F.col("c") + 1)))
     entries = places.select("sign", "part", "node", "size", "c", (F.col("alone") + F.col("at")).alias("place"), "prefix")
@@ -254,3 +261,109 @@ def similar_sets(sets: DataFrame, threshold: float = 0.8, list_sets: int = LIST_
     return pairs.join(left.select(F.col("node").alias("a"), F.col("signs").alias("sa")), "a") \
         .join(left.select(F.col("node").alias("b"), F.col("signs").alias("sb")), "b") \
         .select("a", "b", near.alias("likeness")).where(F.col("likeness") >= threshold)
+
+
+#: Shares of likeness in whole numbers, so that sums decide exactly.
+MILLION = 10 ** 6
+
+
+def similar_counts(sets: DataFrame, threshold: float = 0.8, list_sets: int = LIST_SETS) -> DataFrame:
+    """(node, n_similar) of the sets of a written table (node, signs) that others are similar to.
+
+    Lists of signatures are made as in ``similar_sets``.  Each set joins the group of the first set of
+    most of its lists.  The signatures that over half of a group has are what the group has in common; a
+    set of too little likeness with them stays alone.  Two sets of a group share what is common but for
+    what either lacks, and more only if their differences meet.  So ``_inside`` counts most links from a
+    histogram, and joins only those two that need a common difference.  ``_across`` joins the lists for
+    sets of two groups: the sets outside a list's largest group with the whole list."""
+    t = round(threshold * MILLION)
+    left = _listed(sets, threshold)
+    places = left.select("node", "size", "alone", "c", F.posexplode("prefix").alias("at", "sign")) \
+        .withColumn("part", F.explode(F.array(F.col("c"), F.col("c") + 1)))
+    entries = places.select("sign", "part", "node", "size", "c", (F.col("alone") + F.col("at")).alias("place"))
+    lists = entries.groupBy("sign", "part").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("lead")).where("n > 1")
+    entries = cut_lineage(entries.join(lists, ["sign", "part"]))
+    votes = entries.groupBy("node", "lead").agg(F.count(F.lit(1)).alias("n")).groupBy("node") \
+        .agg(F.max_by("lead", F.struct("n", -F.col("lead"))).alias("g"))
+    voted = cut_lineage(left.select("node", "signs", "size").join(votes, "node"))
+    groups = voted.groupBy("g").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
+    common = attach_stats(voted.select("g", F.explode("signs").alias("sign")).groupBy("g", "sign")
+                          .agg(F.count(F.lit(1)).alias("n")), groups, "g", how="inner") \
+        .where("2 * n > members").groupBy("g").agg(F.collect_list("sign").alias("common"))
+    lacks = F.array_except("common", "signs")
+    more = F.array_except("signs", "common")
+    shared = F.col("size") - F.size(more)
+    held = attach_stats(voted, common, "g").withColumns({
+        "near": shared / (F.size("common") + F.size(more)), "differ": F.array_sort(F.concat(lacks, more)),
+        "score": ((F.size("common") - 2 * F.size(lacks)).cast("long") * (MILLION + t) - F.col("size").cast("long") * (2 * t))})
+    close = F.coalesce(F.col("near") >= max(0.0, 2 * threshold - 1), F.lit(False))
+    held = cut_lineage(held.select("node", F.when(close, F.col("g")).otherwise(-1 - F.col("node")).alias("g"),
+                                   F.when(close, F.col("differ")).alias("differ"),
+                                   F.when(close, F.col("score")).alias("score")))
+    both = F.explode(F.array("a", "b")).alias("node")
+    sure, more_links = _inside(held.where("score is not null"), t, list_sets)
+    across = _across(left, entries.drop("lead").join(held.select("node", "g"), "node"), threshold, list_sets)
+    one = F.lit(1).cast("long").alias("n")
+    return sure.unionByName(more_links.select(both, one)).unionByName(across.select(both, one)) \
+        .groupBy("node").agg(F.sum("n").alias("n_similar")).where("n_similar > 0")
+
+
+def _inside(held: DataFrame, t: int, list_sets: int) -> tuple[DataFrame, DataFrame]:
+    """Links within groups: (node, n) of those that scores alone prove, and pairs (a, b) of the others.
+
+    The scores of two sets add up to 0 or more if they are similar even when their differences don't
+    meet; each common difference adds twice a million and ``t``.  Counts come from a histogram of scores,
+    of one row for each score of a group.  The others meet at their first common difference."""
+    unit = 2 * (MILLION + t)
+    bars = cut_lineage(held.groupBy("g", "score").agg(F.count(F.lit(1)).alias("n")))
+    asked = bars.select("g", F.col("score").alias("key"), "n", F.lit(None).cast("long").alias("score")).unionByName(
+        bars.select("g", (-F.col("score")).alias("key"), F.lit(0).cast("long").alias("n"), "score"))
+    above = asked.withColumn("upto", F.sum("n").over(Window.partitionBy("g").orderBy(F.col("key").desc()))) \
+        .where("score is not null").select("g", "score", (F.col("upto") - F.when(F.col("score") >= 0, 1).otherwise(0)).alias("n"))
+    sure = attach_stats(held.select("node", "g", "score"), above, ["g", "score"], how="inner").select("node", "n")
+    ends = bars.groupBy("g").agg(F.min("score").alias("low"), F.max("score").alias("high"))
+    open_ = attach_stats(held, ends, "g", how="inner").where("score + low < 0") \
+        .withColumn("n", F.size("differ")) \
+        .withColumn("least", F.greatest(F.lit(1), F.ceil(-(F.col("score") + F.col("high")) / F.lit(unit))))
+    spots = open_.select("g", "node", "score", "n", "least", "differ", F.posexplode("differ").alias("at", "d")) \
+        .where("at <= n - least")
+    often = spots.groupBy("g", "d").agg(F.count(F.lit(1)).alias("times")).where("times > 1") \
+        .select("g", "d", F.ceil(F.col("times") / list_sets).cast("int").alias("slices"))
+    spots = cut_lineage(spots.drop("least").join(often, ["g", "d"]))
+    side = lambda s, of: of.select("g", "d", "slice", *[F.col(c).alias(f"{c}_{s}")
+                                                        for c in ("node", "score", "n", "at", "differ")])
+    a = side("a", spots.withColumn("slice", F.pmod(F.xxhash64("node"), F.col("slices")).cast("int")))
+    b = side("b", spots.withColumn("slice", F.explode(F.sequence(F.lit(0), F.col("slices") - 1))))
+    score = F.col("score_a") + F.col("score_b")
+    meet = F.array_intersect("differ_a", "differ_b")
+    pairs = a.join(b, ["g", "d", "slice"]).where("node_a < node_b").where(score < 0).where(
+        score + F.least(F.col("n_a") - F.col("at_a"), F.col("n_b") - F.col("at_b")) * F.lit(unit) >= 0).where(
+        (F.element_at(meet, 1) == F.col("d")) & (score + F.size(meet) * F.lit(unit) >= 0))
+    return sure, pairs.select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
+
+
+def _across(left: DataFrame, entries: DataFrame, threshold: float, list_sets: int) -> DataFrame:
+    """Pairs (a, b) of similar sets of two groups.  In a list, one of them is outside the largest group,
+    so a list of one group makes no pair, and one with few others makes few."""
+    entries = cut_lineage(entries)
+    sizes = entries.groupBy("sign", "part", "g").agg(F.count(F.lit(1)).alias("k"))
+    tops = sizes.groupBy("sign", "part").agg(F.max_by("g", F.struct("k", "g")).alias("top"), F.count(F.lit(1)).alias("groups")) \
+        .where("groups > 1").drop("groups")
+    mixed = cut_lineage(entries.join(tops, ["sign", "part"])
+                        .withColumn("slices", F.ceil(F.col("n") / list_sets).cast("int")))
+    side = lambda s, of: of.select("sign", "part", "slice", *[F.col(c).alias(f"{c}_{s}")
+                                                             for c in ("node", "size", "c", "place", "g")],
+                                   *([F.col("top")] if s == "a" else []))
+    a = side("a", mixed.withColumn("slice", F.pmod(F.xxhash64("node"), F.col("slices")).cast("int")))
+    b = side("b", mixed.where("g != top").withColumn("slice", F.explode(F.sequence(F.lit(0), F.col("slices") - 1))))
+    least = F.ceil((F.col("size_a") + F.col("size_b")) * F.lit(threshold / (1 + threshold)) - 1e-9)
+    pairs = a.join(b, ["sign", "part", "slice"]).where("g_a != g_b and (g_a = top or node_a < node_b)").where(
+        F.least("size_a", "size_b") >= F.greatest("size_a", "size_b") * threshold - 1e-9).where(
+        F.col("part") == F.greatest("c_a", "c_b")).where(
+        F.least(F.col("size_a") - F.col("place_a"), F.col("size_b") - F.col("place_b")) >= least).select(
+        F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")).distinct()
+    both = F.size(F.array_intersect("sa", "sb"))
+    t = round(threshold * MILLION)
+    return pairs.join(left.select(F.col("node").alias("a"), F.col("signs").alias("sa")), "a") \
+        .join(left.select(F.col("node").alias("b"), F.col("signs").alias("sb")), "b") \
+        .where(both.cast("long") * (MILLION + t) >= (F.size("sa") + F.size("sb")).cast("long") * t).select("a", "b")

@@ -279,6 +279,40 @@ def test_similar_sets_against_brute_force(spark, threshold, list_sets):
     own = {k: set(v) for k, v in sets.items()}
     want = {(a, b): near(own[a], own[b]) for a in own for b in own if a < b and near(own[a], own[b]) >= threshold}
     assert got == want and want
+    counts = {x.node: x.n_similar for x in S.similar_counts(table, threshold, list_sets).collect()}
+    assert counts == Counter(k for pair in want for k in pair)
+
+
+def test_links_of_a_large_group_make_few_pairs(spark):
+    """Near copies of one set: their links are counted, though pairs are made only where differences meet."""
+    r = random.Random(4)
+    base = list(range(100))
+    sets = {}
+    for k in range(150):
+        lost = set(r.sample(base, r.randint(0, 14)))
+        sets[k] = sorted((set(base) - lost) | {1000 + 20 * k + j for j in range(r.randint(0, 6))})
+    for k in range(150, 170):
+        sets[k] = sorted(r.sample(base, 60) + [5000 + r.randrange(60)])
+    table = cut_lineage(spark.createDataFrame([(k, v) for k, v in sets.items()], "node long, signs array<int>"))
+    own = {k: set(v) for k, v in sets.items()}
+    want = Counter(k for a in own for b in own if a < b and 10 * len(own[a] & own[b]) >= 8 * len(own[a] | own[b]) for k in (a, b))
+    made = []
+    inside, across = S._inside, S._across
+
+    def watched(*args):
+        sure, pairs = inside(*args)
+        made.append(pairs.count())
+        return sure, pairs
+
+    def watched_across(*args):
+        pairs = across(*args)
+        made.append(pairs.count())
+        return pairs
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(S, "_inside", watched)
+        patch.setattr(S, "_across", watched_across)
+        assert {x.node: x.n_similar for x in S.similar_counts(table, 0.8, 40).collect()} == want
+    assert sum(made) < sum(want.values()) / 2 / 4
 
 
 def test_classes_of_documents(spark):
