@@ -314,7 +314,7 @@ def _inside(held: DataFrame, t: int, list_sets: int) -> tuple[DataFrame, DataFra
     The scores of two sets add up to 0 or more if they are similar even when their differences don't
     meet; each common difference adds twice a million and ``t``.  Counts come from a histogram of scores,
     of one row for each score of a group.  The others meet at their first common difference."""
-    unit = 2 * (MILLION + t)
+    unit = F.lit(2 * (MILLION + t)).cast("long")
     bars = cut_lineage(held.groupBy("g", "score").agg(F.count(F.lit(1)).alias("n")))
     asked = bars.select("g", F.col("score").alias("key"), "n", F.lit(None).cast("long").alias("score")).unionByName(
         bars.select("g", (-F.col("score")).alias("key"), F.lit(0).cast("long").alias("n"), "score"))
@@ -324,7 +324,7 @@ def _inside(held: DataFrame, t: int, list_sets: int) -> tuple[DataFrame, DataFra
     ends = bars.groupBy("g").agg(F.min("score").alias("low"), F.max("score").alias("high"))
     open_ = attach_stats(held, ends, "g", how="inner").where("score + low < 0") \
         .withColumn("n", F.size("differ")) \
-        .withColumn("least", F.greatest(F.lit(1), F.ceil(-(F.col("score") + F.col("high")) / F.lit(unit))))
+        .withColumn("least", F.greatest(F.lit(1), F.ceil(-(F.col("score") + F.col("high")) / unit)))
     spots = open_.select("g", "node", "score", "n", "least", "differ", F.posexplode("differ").alias("at", "d")) \
         .where("at <= n - least")
     often = spots.groupBy("g", "d").agg(F.count(F.lit(1)).alias("times")).where("times > 1") \
@@ -337,8 +337,8 @@ def _inside(held: DataFrame, t: int, list_sets: int) -> tuple[DataFrame, DataFra
     score = F.col("score_a") + F.col("score_b")
     meet = F.array_intersect("differ_a", "differ_b")
     pairs = a.join(b, ["g", "d", "slice"]).where("node_a < node_b").where(score < 0).where(
-        score + F.least(F.col("n_a") - F.col("at_a"), F.col("n_b") - F.col("at_b")) * F.lit(unit) >= 0).where(
-        (F.element_at(meet, 1) == F.col("d")) & (score + F.size(meet) * F.lit(unit) >= 0))
+        score + F.least(F.col("n_a") - F.col("at_a"), F.col("n_b") - F.col("at_b")) * unit >= 0).where(
+        (F.element_at(meet, 1) == F.col("d")) & (score + F.size(meet) * unit >= 0))
     return sure, pairs.select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
 
 

@@ -293,6 +293,8 @@ def test_links_of_a_large_group_make_few_pairs(spark):
         sets[k] = sorted((set(base) - lost) | {1000 + 20 * k + j for j in range(r.randint(0, 6))})
     for k in range(150, 170):
         sets[k] = sorted(r.sample(base, 60) + [5000 + r.randrange(60)])
+    for k in range(170, 176):                               # very long: over 600 differences
+        sets[k] = sorted(r.sample(range(10_000, 16_000), 5350))
     table = cut_lineage(spark.createDataFrame([(k, v) for k, v in sets.items()], "node long, signs array<int>"))
     own = {k: set(v) for k, v in sets.items()}
     want = Counter(k for a in own for b in own if a < b and 10 * len(own[a] & own[b]) >= 8 * len(own[a] | own[b]) for k in (a, b))
