@@ -170,8 +170,11 @@ def document_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
                       F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     prints = cut_lineage(with_fingerprint(own, "text", "fingerprint").select("doc_id", "fingerprint"))
     links = class_links(prints, threshold)
-    return prints.withColumn("print", _print(F.col("fingerprint"))).join(links, "print", "left").select(
-        "doc_id", "fingerprint",
+    # Four bytes for a signature travel, and by a merge at every size.
+    moved = prints.select("doc_id", _print(F.col("fingerprint")).alias("print"),
+                          F.unhex(F.replace(F.col("fingerprint"), F.lit(" "), F.lit(""))).alias("packed"))
+    return moved.join(links.hint("merge"), "print", "left").select(
+        "doc_id", F.regexp_replace(F.lower(F.hex("packed")), "(.{8})(?=.)", "$1 ").alias("fingerprint"),
         F.when(F.col("n").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
         F.coalesce("n_similar", F.lit(0).cast("long")).alias("n_similar"))
 

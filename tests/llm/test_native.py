@@ -324,6 +324,8 @@ def test_classes_of_documents(spark):
     assert is_native(out) and S.document_classes(df.limit(0)).count() == 0
     got = out.collect()
     assert len(got) == len(rows)
+    assert Counter((x.doc_id, x.fingerprint) for x in got) == Counter(
+        (x.doc_id, x.fingerprint) for x in S.with_fingerprint(df, "text", "fingerprint").collect())
     ids: dict[str, list] = {}
     for x in got:
         ids.setdefault(x.fingerprint, []).append(x.doc_id)
