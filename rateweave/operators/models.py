@@ -10,6 +10,7 @@ from __future__ import annotations
 import functools
 import itertools
 import time
+import uuid
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
@@ -29,6 +30,9 @@ FOREST_GRID = {"numTrees": [100, 150], "maxDepth": [10, 20, 30], "minInstancesPe
 GBT_GRID = {"maxIter": [100, 200], "maxDepth": [3, 6], "stepSize": [0.05, 0.1]}
 MAX_SPARK_DEPTH = 30
 FOREST_NODE_MEMORY_MB = 1024
+# Nodes of fitted trees that the driver holds at once, by the bound of nodes_per_tree.
+FOREST_NODES = 700_000
+FOREST_FITS_AT_ONCE = 2
 
 
 def tree_depth(depth: int | None) -> int:
@@ -69,15 +73,53 @@ def _estimator(kind: str, label: str, features: str, params: Mapping | None = No
     raise ValueError(f"unknown model kind {kind!r}")
 
 
+def nodes_per_tree(est, n: int) -> int:
+    """A tree's nodes at most: two a row, or those of a full tree of its depth."""
+    return max(1, min(2 * n, 2 << est.getMaxDepth()))
+
+
+def in_parts(est, n: int) -> bool:
+    """Whether a regressor is a forest with more nodes on ``n`` rows than the driver holds at once."""
+    return type(est).__name__ == "RandomForestRegressor" and est.getNumTrees() * nodes_per_tree(est, n) > FOREST_NODES
+
+
+def fit_forest_in_parts(est, feats: DataFrame, n: int):
+    """The trees of a large forest by some at a time: each part is a forest of its own, with a seed of
+    its own, on all rows, saved to the shared folder and let go before the next one is fitted."""
+    from rateweave.operators.stages import ForestParts
+    from rateweave.session import call_in_context, ensure_checkpoint_dir, in_context
+
+    each = nodes_per_tree(est, n)
+    per = max(1, FOREST_NODES // (FOREST_FITS_AT_ONCE * each))
+    trees = [min(per, est.getNumTrees() - k) for k in range(0, est.getNumTrees(), per)]
+    root = f"{ensure_checkpoint_dir(feats.sparkSession).rstrip('/')}/forests/{uuid.uuid4().hex}"
+
+    def one(k: int) -> str:
+        own = est.copy({est.numTrees: trees[k], est.seed: est.getSeed() + 10_007 * k})
+        own.fit(feats).write().save(f"{root}/{k}")
+        return f"{root}/{k}"
+
+    with ThreadPoolExecutor(max_workers=min(FOREST_FITS_AT_ONCE, max(1, FOREST_NODES // (per * each)))) as pool:
+        paths = list(pool.map(call_in_context, in_context(one, range(len(trees)))))
+    return ForestParts(paths=paths, trees=trees, together=max(1, FOREST_NODES // (per * each)),
+                       featuresCol=est.getFeaturesCol(), predictionCol=est.getPredictionCol())
+
+
 def fit_model(train: DataFrame, kind: str, numeric: Sequence[str], categorical: Sequence[str],
               label: str = "demand_score", params: Mapping | None = None):
     """E-1..E-4: preprocessor + regressor as one PipelineModel (saveable, A-7)."""
-    from pyspark.ml import Pipeline
+    from pyspark.ml import Pipeline, PipelineModel
+
+    from rateweave.session import cut_lineage
 
     st = train.agg(F.count(label).alias("n"), F.stddev_samp(label).alias("s")).first()
     prep = build_preprocessor(numeric, categorical, label=label)
     est = _estimator(kind, label, "features", params, st["n"], st["s"])
-    return Pipeline(stages=[*prep.getStages(), est]).fit(train)
+    if not in_parts(est, st["n"]):
+        return Pipeline(stages=[*prep.getStages(), est]).fit(train)
+    fitted = prep.fit(train)
+    feats = cut_lineage(fitted.transform(train).select("features", label))
+    return PipelineModel(stages=[*fitted.stages, fit_forest_in_parts(est, feats, st["n"])])
 
 
 def regression_metrics(pred: DataFrame, label: str = "demand_score", prediction: str = "prediction") -> DataFrame:
@@ -330,7 +372,8 @@ def train_models(train: DataFrame, kinds: Sequence[str], numeric: Sequence[str],
 
     def fit_one(kind: str):
         est = _estimator(kind, label, "features", params.get(kind), st["n"], st["s"])
-        return kind, PipelineModel(stages=[*prep.stages, est.fit(feats)])
+        fitted = fit_forest_in_parts(est, feats, st["n"]) if in_parts(est, st["n"]) else est.fit(feats)
+        return kind, PipelineModel(stages=[*prep.stages, fitted])
 
     with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
         return dict(pool.map(fit_one, list(kinds)))

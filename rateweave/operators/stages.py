@@ -7,16 +7,28 @@ Each says which inputs an output is made of (``reads``) and can be cut down to s
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import functools
+from collections.abc import Iterator, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model, Transformer
 from pyspark.ml.param import Param, Params, TypeConverters
-from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
+from pyspark.ml.param.shared import HasFeaturesCol, HasPredictionCol
+from pyspark.ml.util import (
+    DefaultParamsReadable,
+    DefaultParamsReader,
+    DefaultParamsWritable,
+    DefaultParamsWriter,
+    MLReadable,
+    MLWritable,
+    MLWriter,
+)
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rateweave.functions.exprs import finite_or_null, log1p_clip
+from rateweave.session import call_in_context, cut_lineage, in_context
 
 
 class _Outputs(Params):
@@ -116,3 +128,72 @@ class MedianScalerModel(Model, _MedianScaling, DefaultParamsReadable, DefaultPar
         made = {f"{c}__z": (F.coalesce(finite_or_null(F.col(c).cast("double")), F.lit(median)) - F.lit(mean)) / F.lit(dev or 1.0)
                 for c, median, mean, dev in fits}
         return df.withColumns({c: made[c] for c in self.wanted()})
+
+
+class ForestParts(Model, HasFeaturesCol, HasPredictionCol, MLReadable, MLWritable):
+    """A forest too large for the driver: its trees stand in saved forests at ``paths``, ``trees`` of
+    them in each.  A row's prediction is the mean over all trees.  Rows are written once and scored by
+    ``together`` parts at a time, so that the driver and each executor hold no more trees than these."""
+
+    paths = Param(Params._dummy(), "paths", "saved forests", TypeConverters.toListString)
+    trees = Param(Params._dummy(), "trees", "trees of each", TypeConverters.toListInt)
+    together = Param(Params._dummy(), "together", "parts to hold at once", TypeConverters.toInt)
+
+    @keyword_only
+    def __init__(self, *, paths=None, trees=None, together=1, featuresCol="features", predictionCol="prediction"):
+        super().__init__()
+        self._set(**self._input_kwargs)
+
+    @property
+    def getNumTrees(self) -> int:
+        return sum(self.getOrDefault("trees"))
+
+    def forests(self) -> Iterator:
+        """The parts one by one, as ordinary forests."""
+        from pyspark.ml.regression import RandomForestRegressionModel
+
+        return (RandomForestRegressionModel.load(path) for path in self.getOrDefault("paths"))
+
+    def _scored(self, rows: DataFrame, at: Sequence[int]) -> DataFrame:
+        """The sum of the predictions of all trees of some parts, by row."""
+        from pyspark.ml.regression import RandomForestRegressionModel
+
+        paths, trees = self.getOrDefault("paths"), self.getOrDefault("trees")
+        with ThreadPoolExecutor(max_workers=len(at)) as pool:
+            parts = list(pool.map(call_in_context, in_context(RandomForestRegressionModel.load, [paths[k] for k in at])))
+        out = rows.select("_row", self.getFeaturesCol())
+        for k, part in zip(at, parts):
+            out = part.setFeaturesCol(self.getFeaturesCol()).setPredictionCol(f"_p{k}").transform(out)
+        total = functools.reduce(lambda a, b: a + b, [F.col(f"_p{k}") * F.lit(float(trees[k])) for k in at])
+        return cut_lineage(out.select("_row", F.lit(at[0]).alias("_at"), total.alias("_sum")))
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        rows = cut_lineage(df.withColumn("_row", F.monotonically_increasing_id()))
+        n, together = len(self.getOrDefault("paths")), self.getOrDefault("together")
+        sums = [self._scored(rows, range(k, min(n, k + together))) for k in range(0, n, together)]
+        by_row = functools.reduce(DataFrame.unionByName, sums).groupBy("_row").agg(
+            F.array_sort(F.collect_list(F.struct("_at", "_sum"))).alias("_all"))         # added in the order of the parts
+        mean = F.aggregate("_all", F.lit(0.0), lambda a, x: a + x["_sum"]) / F.lit(float(self.getNumTrees))
+        return rows.join(by_row.select("_row", mean.alias(self.getPredictionCol())), "_row").drop("_row")
+
+    def write(self) -> MLWriter:
+        return _ForestPartsWriter(self)
+
+    @classmethod
+    def read(cls) -> DefaultParamsReader:
+        return _ForestPartsReader(cls)
+
+
+class _ForestPartsWriter(DefaultParamsWriter):
+    """The parameters and a copy of each part: a saved forest reads nothing outside its own folder."""
+
+    def saveImpl(self, path: str) -> None:
+        super().saveImpl(path)
+        for k, part in enumerate(self.instance.forests()):
+            part.write().save(f"{path}/parts/{k}")
+
+
+class _ForestPartsReader(DefaultParamsReader):
+    def load(self, path: str) -> ForestParts:
+        own = super().load(path)
+        return own._set(paths=[f"{path}/parts/{k}" for k in range(len(own.getOrDefault("trees")))])
