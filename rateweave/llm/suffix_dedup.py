@@ -150,7 +150,8 @@ def _often(answers: DataFrame) -> np.ndarray:
 
 
 def _send(length: int, gram: int, n: int, hot: np.ndarray):
-    """Texts of candidate runs by share, and the ranges that repeat within the block itself."""
+    """Texts of candidate runs by share, and the ranges that repeat within the block itself:
+    those have null ids and go along to any share, which hands them on."""
     bounds = B.share_bounds(n)
 
     def fn(key, left: pa.Table, right: pa.Table) -> pa.Table:
@@ -195,7 +196,8 @@ def _send(length: int, gram: int, n: int, hot: np.ndarray):
                              np.array([len(texts[i]) for i in own], np.int32).tobytes(),
                              B.squeeze(b"".join(texts[i] for i in own))))
             if spans:
-                rows.append((-1, block_id, b"", b"", b"", B.squeeze(np.array(spans, np.int64).tobytes())))
+                share = int(B.mix(np.array([block_id], np.int64).view(np.uint64))[0]) % n
+                rows.append((share, block_id, None, None, None, B.squeeze(np.array(spans, np.int64).tobytes())))
         return pa.table([pa.array([x[0] for x in rows], pa.int32()), pa.array([x[1] for x in rows], pa.int64())]
                         + [pa.array([x[k] for x in rows], pa.binary()) for k in range(2, 6)],
                         names=["share", "block", "ids", "starts", "lengths", "data"])
@@ -286,6 +288,8 @@ def common_prefixes(flat: np.ndarray, suffixes: np.ndarray, depth: int, chunk: i
 def _resolve(length: int):
     """Suffix array of the texts of one share; the ranges that repeat, by block."""
     def fn(table: pa.Table) -> pa.Table:
+        ready = table.filter(table.column("ids").is_null())
+        table = table.filter(table.column("ids").is_valid())
         least: dict[bytes, tuple] = {}
         out: list[tuple[int, int, int]] = []
         for ids, block, starts, lengths, data in zip(*(table.column(c).to_pylist() for c in
@@ -327,9 +331,9 @@ def _resolve(length: int):
         spans = spans[np.lexsort((spans[:, 1], spans[:, 0]))]
         points = np.flatnonzero(np.concatenate([[True], np.diff(spans[:, 0]) != 0])) if len(spans) else []
         ends = np.append(points[1:], len(spans)) if len(spans) else []
-        return pa.table([pa.array([int(spans[p, 0]) for p in points], pa.int64()),
-                         pa.array([B.squeeze(np.ascontiguousarray(spans[p:e, 1:]).tobytes()) for p, e in zip(points, ends)],
-                                  pa.binary())], names=["block", "spans"])
+        return pa.table([pa.array([int(spans[p, 0]) for p in points] + ready.column("block").to_pylist(), pa.int64()),
+                         pa.array([B.squeeze(np.ascontiguousarray(spans[p:e, 1:]).tobytes()) for p, e in zip(points, ends)]
+                                  + ready.column("data").to_pylist(), pa.binary())], names=["block", "spans"])
     return fn
 
 
@@ -370,7 +374,11 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                    gram: int = GRAM, keep_bytes: bool = True) -> DataFrame:
     """One row for each document: doc_id, n_bytes, n_removed, n_spans (maximal removed
     runs), kept_sha256 and, with ``keep_bytes``, the bytes kept (a cut can fall inside a
-    character, so they are binary)."""
+    character, so they are binary).
+
+    From the answers on it is one plan, so the candidate texts stand on disk once, as a
+    shuffle, and both cogroups read one exchange of the blocks.  Each action on the result
+    runs that plan: write it before using it twice."""
     table = B.write_blocks(docs, id_col, text_col)
     n = B.n_shares(table, SHARE_BYTES)
     asked = table.select(*B.OPEN_COLUMNS).mapInArrow(
@@ -378,10 +386,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     answers = cut_lineage(asked.groupBy("share").applyInArrow(_answer, ANSWER))
     hot = _often(answers)
     opened = table.select(*B.OPEN_COLUMNS).groupBy("block")
-    sent = cut_lineage(opened.cogroup(answers.select("block", "share", "bits").groupBy("block")).applyInArrow(
-        _send(length, gram, n, hot), SENT))
-    found = sent.where("share >= 0").groupBy("share").applyInArrow(_resolve(length), "block long, spans binary")
-    spans = found.unionByName(sent.where("share < 0").select("block", F.col("data").alias("spans")))
+    sent = opened.cogroup(answers.select("block", "share", "bits").groupBy("block")).applyInArrow(
+        _send(length, gram, n, hot), SENT)
+    spans = sent.groupBy("share").applyInArrow(_resolve(length), "block long, spans binary")
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
     return opened.cogroup(spans.groupBy("block")).applyInArrow(
         _finish(keep_bytes), schema + (", kept binary" if keep_bytes else ""))

@@ -4,6 +4,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -88,6 +89,31 @@ def test_empty_table_and_repeated_rows(spark):
     assert sorted(r[2] for r in got) == [149, 150, 150]
 
 
+def test_texts_and_blocks_are_shuffled_once(spark, monkeypatch):
+    rows, tables, cut = corpus(4), [], S.cut_lineage
+    monkeypatch.setattr(S, "cut_lineage", lambda df: tables.append(df.columns) or cut(df))
+    df = S.remove_repeats(spark.createDataFrame(rows, SCHEMA).repartition(3), keep_bytes=False)
+    assert sorted((tuple(r) for r in df.collect()), key=str) == brute(rows)
+    assert tables and not any("data" in t for t in tables)      # candidate texts are in no written table
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("ReusedExchange") == 1                    # the blocks of both cogroups
+
+
+def test_ranges_within_a_block_go_through_any_share(spark):
+    spans = S.B.squeeze(np.array([[5, 120]], np.int64).tobytes())
+    none = pa.nulls(2, pa.binary())
+    alone = pa.table({"share": [3, 3], "block": [8, 9], "ids": none, "starts": none, "lengths": none,
+                      "data": pa.array([spans, spans], pa.binary())})
+    assert S._resolve(100)(alone).to_pydict() == {"block": [8, 9], "spans": [spans, spans]}
+    text = np.random.default_rng(5).integers(97, 123, 130).astype(np.uint8).tobytes()
+    sent = pa.table({"share": [3], "block": [8], "ids": [np.array([1, 2]).tobytes()],
+                     "starts": [np.array([0, 400]).tobytes()], "lengths": [np.array([130, 130], np.int32).tobytes()],
+                     "data": pa.array([S.B.squeeze(text * 2)], pa.binary())})
+    got = S._resolve(100)(pa.concat_tables([alone, sent])).to_pydict()
+    pairs = [np.frombuffer(S.B.expand(x), np.int64).tolist() for x in got["spans"]]
+    assert sorted(zip(got["block"], pairs)) == [(8, [5, 120]), (8, [400, 530]), (9, [5, 120])]
+
+
 def test_documents_table(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
