@@ -11,10 +11,10 @@ Every byte that a 100-byte string covers goes if that string also starts earlier
    their block and then in the share, where only the earliest stays; of the others all
    windows are repeats.  A string that very many different texts surround is ranked
    last as a window's smallest hash, so its runs spread over the hashes around it.
-3. A share builds the suffix array of its distinct texts in two stages: suffixes smaller
-   than their successors are sorted directly, the rest are induced by scans over the
-   buckets of first bytes.  Adjacent common prefixes of 100 bytes or more join windows
-   into classes, and all but the earliest window of a class are repeats.
+3. A share builds the suffix array of its distinct texts, piece by piece, in two stages:
+   suffixes smaller than their successors are sorted directly, the rest are induced by
+   scans over the buckets of first bytes.  Adjacent common prefixes of 100 bytes or more
+   join windows into classes, and all but the earliest window of a class are repeats.
 4. The repeated ranges return to their blocks, where the documents are put together.
 
 Null texts count as empty; rows with the same doc_id are separate documents, in the
@@ -35,24 +35,28 @@ from rateweave.session import cut_lineage
 
 LENGTH = 100
 GRAM = 32
-SHARE_BYTES = 1 << 20
+#: A suffix array is built for the runs of about so many bytes of all texts, by hash.
+PIECE_BYTES = 1 << 19
+#: So many such pieces stand in a share at most, so that a block's row for a share holds many runs.
+PIECES = 32
+LEAST_SHARES = 64
 #: At most so many hashes are ranked last: those with over 1/HOT_MOST of all windows' hashes.
 HOT_MOST = 50_000
 HOT_LEAST = 256
 
 
-def _least_of(h: np.ndarray, width: int) -> np.ndarray:
+def _least_of(h: np.ndarray, width: int, pick=np.minimum) -> np.ndarray:
     """Smallest of every ``width`` neighbours."""
     size = 1
     while size * 2 <= width:
-        h = np.minimum(h[:-size], h[size:])
+        h = pick(h[:-size], h[size:])
         size *= 2
-    return np.minimum(h[: len(h) - (width - size)], h[width - size:]) if size < width else h
+    return pick(h[: len(h) - (width - size)], h[width - size:]) if size < width else h
 
 
 def _largest_of(h: np.ndarray, width: int) -> np.ndarray:
     """Largest of every ``width`` neighbours."""
-    return ~_least_of(~h, width)
+    return _least_of(h, width, np.maximum)
 
 
 def window_runs(block: B.Block, length: int, gram: int, hot: np.ndarray | None = None):
@@ -74,16 +78,20 @@ def window_runs(block: B.Block, length: int, gram: int, hot: np.ndarray | None =
         rank_last = hot[np.minimum(np.searchsorted(hot, h), len(hot) - 1)] == h
         h = np.maximum(h >> np.uint64(1), np.uint64(1)) | (rank_last.astype(np.uint64) << np.uint64(63))
         m = _least_of(h, length - gram + 1)
-    ends = np.repeat(block.starts[1:], block.lengths)[: len(m)]
-    docs = np.repeat(np.arange(len(block.ids)), block.lengths)[: len(m)]
-    ok = np.arange(len(m)) + length <= ends
+    left = np.repeat(block.starts[1:].astype(np.int32), block.lengths)[: len(m)]
+    left -= np.arange(len(m), dtype=np.int32)
+    ok = left >= length
+    del left
     # A place is smallest in some window if the largest of its windows' smallest hashes is its own.
     width = length - gram + 1
-    pad = np.zeros(width - 1, np.uint64)
-    least = np.concatenate([pad, np.where(ok, m, np.uint64(0)), pad])
+    least = np.zeros(len(m) + 2 * (width - 1), np.uint64)
+    np.copyto(least[width - 1: width - 1 + len(m)], m, where=ok)
     places = h[_largest_of(least, width) == h]
+    del least, h
     new = np.ones(len(m), bool)
-    new[1:] = (m[1:] != m[:-1]) | (docs[1:] != docs[:-1]) | ~ok[:-1]
+    new[1:] = (m[1:] != m[:-1]) | ~ok[:-1]
+    inner = block.starts[:-1]
+    new[inner[inner < len(m)]] = True
     first = np.flatnonzero(new & ok)
     stop = np.flatnonzero(ok & np.append(new[1:] | ~ok[1:], True))
     flags = np.zeros(len(first), bool)
@@ -93,8 +101,18 @@ def window_runs(block: B.Block, length: int, gram: int, hot: np.ndarray | None =
     return first, stop, m[first], flags, places
 
 
+def key_bounds(n: int, width: int) -> np.ndarray:
+    """Lower bounds of n ranges that hold about as many keys each.  A hash u (of 0 to 1) is smallest of
+    some ``width`` neighbours with probability (1 - u)^k (1 + k u), k = width - 1: keys are small."""
+    k = width - 1
+    s = np.linspace(1, 0, 1 << 16) ** (1 / (k + 1))
+    below = (1 - s ** (k + 1)) - k / (k + 2) * (1 - s ** (k + 2))
+    at = np.interp(np.arange(n) / n, below / below[-1], 1 - s)
+    return np.array([int(x * 2.0 ** 64) for x in at], np.uint64)
+
+
 def _ask(length: int, gram: int, n: int):
-    bounds = B.share_bounds(n)
+    bounds = key_bounds(n, length - gram + 1)
 
     def fn(block_id: int, block: B.Block):
         keys, counts = B.sorted_unique(window_runs(block, length, gram)[4])
@@ -149,10 +167,10 @@ def _often(answers: DataFrame) -> np.ndarray:
     return np.sort(np.array([r[0] for r in rows], np.int64).view(np.uint64))
 
 
-def _send(length: int, gram: int, n: int, hot: np.ndarray):
+def _send(length: int, gram: int, n: int, pieces: int, hot: np.ndarray):
     """Texts of candidate runs by share, and the ranges that repeat within the block itself:
     those have null ids and go along to any share, which hands them on."""
-    bounds = B.share_bounds(n)
+    bounds, piece_bounds = key_bounds(n, length - gram + 1), B.share_bounds(n * pieces)
 
     def fn(key, left: pa.Table, right: pa.Table) -> pa.Table:
         rows: list[tuple] = []
@@ -184,8 +202,8 @@ def _send(length: int, gram: int, n: int, hot: np.ndarray):
                     seen[text] = k
                     kept.append(k)
             texts = list(seen)
-            shares = np.searchsorted(bounds, B.mix(hashes[take][kept]), side="right") - 1
-            order = np.argsort(shares, kind="stable")
+            piece = np.searchsorted(piece_bounds, B.mix(hashes[take][kept]), side="right") - 1
+            order, shares = np.argsort(piece, kind="stable"), piece // pieces
             points = np.flatnonzero(np.concatenate([[True], np.diff(shares[order]) != 0])) if len(order) else []
             kept = np.array(kept, np.int64)
             for a, z in zip(points, np.append(points[1:], len(order)) if len(order) else []):
@@ -194,17 +212,18 @@ def _send(length: int, gram: int, n: int, hot: np.ndarray):
                 rows.append((int(shares[own[0]]), block_id, block.ids[docs[mine]].tobytes(),
                              first[take][mine].astype(np.int64).tobytes(),
                              np.array([len(texts[i]) for i in own], np.int32).tobytes(),
+                             (piece[own] % pieces).astype(np.uint8).tobytes(),
                              B.squeeze(b"".join(texts[i] for i in own))))
             if spans:
                 share = int(B.mix(np.array([block_id], np.int64).view(np.uint64))[0]) % n
-                rows.append((share, block_id, None, None, None, B.squeeze(np.array(spans, np.int64).tobytes())))
+                rows.append((share, block_id, None, None, None, None, B.squeeze(np.array(spans, np.int64).tobytes())))
         return pa.table([pa.array([x[0] for x in rows], pa.int32()), pa.array([x[1] for x in rows], pa.int64())]
-                        + [pa.array([x[k] for x in rows], pa.binary()) for k in range(2, 6)],
-                        names=["share", "block", "ids", "starts", "lengths", "data"])
+                        + [pa.array([x[k] for x in rows], pa.binary()) for k in range(2, 7)],
+                        names=["share", "block", "ids", "starts", "lengths", "pieces", "data"])
     return fn
 
 
-SENT = "share int, block long, ids binary, starts binary, lengths binary, data binary"
+SENT = "share int, block long, ids binary, starts binary, lengths binary, pieces binary, data binary"
 
 
 def two_stage_suffix_array(flat: np.ndarray, bounds: np.ndarray, need: np.ndarray, depth: int) -> np.ndarray:
@@ -285,20 +304,51 @@ def common_prefixes(flat: np.ndarray, suffixes: np.ndarray, depth: int, chunk: i
     return out
 
 
+def _later(least: dict[bytes, tuple[int, int, int]], length: int) -> np.ndarray:
+    """Ranges (block, start, end) of all windows that have an earlier equal one, by a suffix array of the
+    texts, each of which stands at its place (id, block, start)."""
+    texts = list(least)
+    flat = np.frombuffer(b"".join(texts), np.uint8)
+    sizes = np.array([len(t) for t in texts], np.int64)
+    bounds = np.concatenate([[0], np.cumsum(sizes)])
+    ids, block, starts = (np.array([v[k] for v in least.values()], np.int64) for k in range(3))
+    array = two_stage_suffix_array(flat, bounds, sizes - length + 1, length)
+    same = common_prefixes(flat, array, length) >= length
+    group = np.cumsum(~same)
+    in_group = same | np.append(same[1:], False)
+    array, group = array[in_group], group[in_group]
+    text = np.searchsorted(bounds, array, side="right") - 1
+    at = starts[text] + array - bounds[text]
+    order = np.lexsort((at, block[text], ids[text], group))
+    later = order[np.concatenate([[False], group[order][1:] == group[order][:-1]])] if len(order) else order
+    b, a = block[text[later]], at[later]
+    order = np.lexsort((a, b))
+    b, a = b[order], a[order]
+    if not len(b):
+        return np.zeros((0, 3), np.int64)
+    new = np.concatenate([[True], (b[1:] != b[:-1]) | (a[1:] > a[:-1] + length)])
+    last = np.append(new[1:], True)
+    return np.stack([b[new], a[new], a[last] + length], axis=1)
+
+
 def _resolve(length: int):
-    """Suffix array of the texts of one share; the ranges that repeat, by block."""
+    """Suffix arrays of the texts of one share; the ranges that repeat, by block."""
     def fn(table: pa.Table) -> pa.Table:
         ready = table.filter(table.column("ids").is_null())
         table = table.filter(table.column("ids").is_valid())
-        least: dict[bytes, tuple] = {}
-        out: list[tuple[int, int, int]] = []
-        for ids, block, starts, lengths, data in zip(*(table.column(c).to_pylist() for c in
-                                                       ("ids", "block", "starts", "lengths", "data"))):
-            at, data = 0, B.expand(data)
-            for i, s, m in zip(np.frombuffer(ids, np.int64).tolist(), np.frombuffer(starts, np.int64).tolist(),
-                               np.frombuffer(lengths, np.int32).tolist()):
-                text, mine = data[at: at + m], (i, block, s)
-                at += m
+        ids, starts, lengths, of = (
+            np.frombuffer(b"".join(table.column(c).to_pylist()), kind) for c, kind in
+            (("ids", np.int64), ("starts", np.int64), ("lengths", np.int32), ("pieces", np.uint8)))
+        blocks = np.repeat(table.column("block").to_numpy(), [len(x.as_py()) for x in table.column("pieces")])
+        data = b"".join(B.expand(x.as_py()) for x in table.column("data"))
+        at = np.cumsum(lengths, dtype=np.int64) - lengths
+        found = [np.zeros((0, 3), np.int64)]
+        for p in np.flatnonzero(np.bincount(of)):
+            own = np.flatnonzero(of == p)
+            least: dict[bytes, tuple[int, int, int]] = {}
+            out: list[tuple[int, int, int]] = []
+            for i, block, s, a, m in zip(*(x[own].tolist() for x in (ids, blocks, starts, at, lengths))):
+                text, mine = data[a: a + m], (i, block, s)
                 have = least.get(text)
                 if have is None:
                     least[text] = mine
@@ -306,28 +356,8 @@ def _resolve(length: int):
                     early, late = (have, mine) if have < mine else (mine, have)
                     least[text] = early
                     out.append((late[1], late[2], late[2] + m))
-        texts = list(least)
-        flat = np.frombuffer(b"".join(texts), np.uint8)
-        sizes = np.array([len(t) for t in texts], np.int64)
-        bounds = np.concatenate([[0], np.cumsum(sizes)])
-        ids, block, starts = (np.array([v[k] for v in least.values()], np.int64) for k in range(3))
-        array = two_stage_suffix_array(flat, bounds, sizes - length + 1, length)
-        same = common_prefixes(flat, array, length) >= length
-        group = np.cumsum(~same)
-        in_group = same | np.append(same[1:], False)
-        array, group = array[in_group], group[in_group]
-        text = np.searchsorted(bounds, array, side="right") - 1
-        at = starts[text] + array - bounds[text]
-        order = np.lexsort((at, block[text], ids[text], group))
-        later = order[np.concatenate([[False], group[order][1:] == group[order][:-1]])] if len(order) else order
-        b, a = block[text[later]], at[later]
-        order = np.lexsort((a, b))
-        b, a = b[order], a[order]
-        if len(b):
-            new = np.concatenate([[True], (b[1:] != b[:-1]) | (a[1:] > a[:-1] + length)])
-            last = np.append(new[1:], True)
-            out += zip(b[new].tolist(), a[new].tolist(), (a[last] + length).tolist())
-        spans = np.array(out, np.int64).reshape(-1, 3)
+            found += [np.array(out, np.int64).reshape(-1, 3), _later(least, length)]
+        spans = np.concatenate(found)
         spans = spans[np.lexsort((spans[:, 1], spans[:, 0]))]
         points = np.flatnonzero(np.concatenate([[True], np.diff(spans[:, 0]) != 0])) if len(spans) else []
         ends = np.append(points[1:], len(spans)) if len(spans) else []
@@ -380,14 +410,16 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     shuffle, and both cogroups read one exchange of the blocks.  Each action on the result
     runs that plan: write it before using it twice."""
     table = B.write_blocks(docs, id_col, text_col)
-    n = B.n_shares(table, SHARE_BYTES)
+    total = B.n_shares(table, PIECE_BYTES, LEAST_SHARES)
+    n = max(LEAST_SHARES, -(-total // PIECES))
+    pieces = -(-total // n)
     asked = table.select(*B.OPEN_COLUMNS).mapInArrow(
         _ask(length, gram, n), "share int, block long, keys binary, counts binary")
     answers = cut_lineage(asked.groupBy("share").applyInArrow(_answer, ANSWER))
     hot = _often(answers)
     opened = table.select(*B.OPEN_COLUMNS).groupBy("block")
     sent = opened.cogroup(answers.select("block", "share", "bits").groupBy("block")).applyInArrow(
-        _send(length, gram, n, hot), SENT)
+        _send(length, gram, n, pieces, hot), SENT)
     spans = sent.groupBy("share").applyInArrow(_resolve(length), "block long, spans binary")
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
     return opened.cogroup(spans.groupBy("block")).applyInArrow(

@@ -99,16 +99,50 @@ def test_texts_and_blocks_are_shuffled_once(spark, monkeypatch):
     assert plan.count("ReusedExchange") == 1                    # the blocks of both cogroups
 
 
+def test_rows_of_a_block_hold_many_texts(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    kinds = [bytes(rng.integers(97, 123, 200).astype(np.uint8)).decode() for _ in range(400)]
+    rows = [(k, kinds[k % 400] + kinds[7 * k % 400]) for k in range(1200)]
+    monkeypatch.setattr(S, "PIECE_BYTES", 1 << 8)
+    monkeypatch.setattr(S, "LEAST_SHARES", 2)
+    monkeypatch.setattr(S, "_resolve", lambda length: lambda table: pa.table(
+        {"block": table.column("block"), "spans": pa.array([x if x is None else str(len(x) // 8).encode() for x in
+                                                            table.column("ids").to_pylist()], pa.binary())}))
+    monkeypatch.setattr(S, "_finish", lambda keep: lambda left, right: pa.table(
+        {"doc_id": [right.num_rows], "n_bytes": [sum(int(x or 0) for x in right.column("spans").to_pylist())],
+         "n_removed": [0], "n_spans": [0], "kept_sha256": [""]}))
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = S.remove_repeats(df.coalesce(1), keep_bytes=False).collect()
+    assert sum(r.n_bytes for r in got) >= 8 * sum(r.doc_id for r in got) > 0    # texts, rows
+
+
+def test_key_ranges_are_even():
+    h = np.random.default_rng(8).integers(0, 1 << 64, 400_000, dtype=np.uint64)
+    keys = np.unique(h[68:-68][S._largest_of(S._least_of(h, 69), 69) == h[68:-68]])
+    for n in (1, 64, 700):
+        bounds = S.key_bounds(n, 69)
+        assert len(bounds) == n and bounds[0] == 0
+        counts = np.diff(S.B.split_points(keys, bounds))
+        assert counts.sum() == len(keys) and counts.max() <= 3 * len(keys) / n + 10
+
+
+def test_pieces_of_a_share_against_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(S, "PIECE_BYTES", 1 << 8)
+    monkeypatch.setattr(S, "LEAST_SHARES", 3)
+    rows = corpus(5)
+    assert run(spark, rows) == brute(rows)
+
+
 def test_ranges_within_a_block_go_through_any_share(spark):
     spans = S.B.squeeze(np.array([[5, 120]], np.int64).tobytes())
     none = pa.nulls(2, pa.binary())
     alone = pa.table({"share": [3, 3], "block": [8, 9], "ids": none, "starts": none, "lengths": none,
-                      "data": pa.array([spans, spans], pa.binary())})
+                      "pieces": none, "data": pa.array([spans, spans], pa.binary())})
     assert S._resolve(100)(alone).to_pydict() == {"block": [8, 9], "spans": [spans, spans]}
     text = np.random.default_rng(5).integers(97, 123, 130).astype(np.uint8).tobytes()
     sent = pa.table({"share": [3], "block": [8], "ids": [np.array([1, 2]).tobytes()],
                      "starts": [np.array([0, 400]).tobytes()], "lengths": [np.array([130, 130], np.int32).tobytes()],
-                     "data": pa.array([S.B.squeeze(text * 2)], pa.binary())})
+                     "pieces": [bytes([7, 7])], "data": pa.array([S.B.squeeze(text * 2)], pa.binary())})
     got = S._resolve(100)(pa.concat_tables([alone, sent])).to_pydict()
     pairs = [np.frombuffer(S.B.expand(x), np.int64).tolist() for x in got["spans"]]
     assert sorted(zip(got["block"], pairs)) == [(8, [5, 120]), (8, [400, 530]), (9, [5, 120])]
